@@ -145,7 +145,7 @@ def first_nested_key(m) -> Column:
     """First key in document order whose value is a list/object (not 'version')."""
     hits = F.filter(F.map_entries(_c(m)),
                     lambda e: (e["key"] != F.lit(LIST_OK_FIELD)) & is_nested(e["value"]))
-    return F.element_at(hits, 1)["key"]
+    return F.try_element_at(hits, F.lit(1))["key"]
 
 
 def extra_fields(m) -> Column:

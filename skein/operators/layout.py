@@ -23,3 +23,16 @@ def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
+
+
+def fence(df: DataFrame) -> DataFrame:
+    """Compute the projection below once per row and keep later filters above it.
+
+    ``inline(array(struct(*cols)))`` is a one-row-per-row Generate. Catalyst
+    neither pushes a filter on generator output below it nor inlines the
+    expressions that feed it, so an expensive column (a JSON parse, a
+    regex chain) that later filters and projections read several times is
+    evaluated exactly once.
+    """
+    from pyspark.sql import functions as F
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))

@@ -237,3 +237,133 @@ def q_parse_failed_list(spark, sf):
     pages = table(spark, sf, "pages").select((F.col("page_id") + 1000000000).alias("doc_id"), F.col("url").alias("line"))
     both = lines.unionByName(pages)
     return both.select("doc_id", "line", I.id_in_text("line").alias("cve_id"))
+
+
+# ------------------------------------------------------------ validation ---
+
+from skein.operators import validate as V  # noqa: E402
+
+
+def _classified(spark, sf):
+    return V.classify(fx(spark, sf, "f_staged").select("file_name", "content"))
+
+
+_VD = D.with_fixtures(["f_staged"], D.validation_cte())
+
+
+@register("validate_docs", _VD + """
+SELECT cve_id, size, json_valid, content_hash, error, extra_fields, missing_fields,
+ empty_keyphrases, single_keyphrase, non_empty_count FROM vd""")
+def q_validate_docs(spark, sf):
+    v = _classified(spark, sf)
+    return v.select("cve_id", "size", "json_valid", "content_hash", "error",
+                    F.array_join("extra_fields", "|").alias("extra_fields"),
+                    F.array_join("missing_fields", "|").alias("missing_fields"),
+                    "empty_keyphrases", "single_keyphrase",
+                    F.col("non_empty_count").cast("bigint").alias("non_empty_count"))
+
+
+@register("validation_summary", _VD + """
+SELECT count(*)::BIGINT AS total, count(*) FILTER (WHERE json_valid)::BIGINT AS valid,
+ count(*) FILTER (WHERE NOT json_valid)::BIGINT AS invalid, count(*) FILTER (WHERE size = 0)::BIGINT AS zero_byte,
+ count(*) FILTER (WHERE NOT json_valid AND empty_keyphrases)::BIGINT AS empty,
+ count(*) FILTER (WHERE NOT json_valid AND single_keyphrase)::BIGINT AS single FROM vd""")
+def q_validation_summary(spark, sf):
+    return V.validation_summary(_classified(spark, sf))
+
+
+@register("issue_counts", _VD + """
+, k AS (SELECT 'error' AS kind FROM vd WHERE error IS NOT NULL
+ UNION ALL SELECT 'extra_fields' FROM vd WHERE extra_fields <> ''
+ UNION ALL SELECT 'missing_fields' FROM vd WHERE missing_fields <> ''
+ UNION ALL SELECT 'empty_keyphrases' FROM vd WHERE empty_keyphrases
+ UNION ALL SELECT 'single_keyphrase' FROM vd WHERE single_keyphrase)
+SELECT kind, count(*)::BIGINT AS n FROM k GROUP BY kind""")
+def q_issue_counts(spark, sf):
+    return V.issue_counts(_classified(spark, sf))
+
+
+@register("invalid_report", _VD + """
+SELECT cve_id, size, json_valid, content_hash, error FROM vd WHERE size = 0 OR NOT json_valid""")
+def q_invalid_report(spark, sf):
+    return V.invalid_report(_classified(spark, sf))
+
+
+@register("report_ids", _VD + """
+SELECT 'empty_keyphrases' AS report, cve_id FROM vd WHERE NOT json_valid AND empty_keyphrases
+UNION ALL SELECT 'single_keyphrase', cve_id FROM vd WHERE NOT json_valid AND single_keyphrase""")
+def q_report_ids(spark, sf):
+    return V.report_ids(_classified(spark, sf))
+
+
+@register("empty_docs", _VD + "\nSELECT cve_id FROM vd WHERE empty_keyphrases")
+def q_empty_docs(spark, sf):
+    return _classified(spark, sf).filter("empty_keyphrases").select("cve_id")
+
+
+@register("single_docs", _VD + "\nSELECT cve_id FROM vd WHERE single_keyphrase")
+def q_single_docs(spark, sf):
+    return _classified(spark, sf).filter("single_keyphrase").select("cve_id")
+
+
+@register("quarantine_split", _VD + """
+SELECT cve_id, file_name, CASE WHEN json_valid THEN 'keyphrases' ELSE 'invalid' END AS destination FROM vd""")
+def q_quarantine_split(spark, sf):
+    kept, quarantined = V.quarantine_split(_classified(spark, sf))
+    return (kept.select("cve_id", "file_name", F.lit("keyphrases").alias("destination"))
+            .unionByName(quarantined.select("cve_id", "file_name", F.lit("invalid").alias("destination"))))
+
+
+@register("duplicate_content", """
+SELECT content_hash, doc_id, n_copies FROM (
+ SELECT md5(text) AS content_hash, doc_id, count(*) OVER (PARTITION BY md5(text))::BIGINT AS n_copies FROM documents)
+WHERE n_copies > 1""")
+def q_duplicate_content(spark, sf):
+    return V.duplicate_groups(table(spark, sf, "documents"), "doc_id", "text")
+
+
+@register("duplicate_staged", _VD + """
+SELECT content_hash, cve_id, n_copies FROM (
+ SELECT content_hash, cve_id, count(*) OVER (PARTITION BY content_hash)::BIGINT AS n_copies FROM vd WHERE content_hash IS NOT NULL)
+WHERE n_copies > 1""")
+def q_duplicate_staged(spark, sf):
+    v = _classified(spark, sf).filter(F.col("content_hash").isNotNull())
+    return V.duplicate_groups(v.select("cve_id", "content"), "cve_id", "content")
+
+
+_PARSED = "ps AS (SELECT replace(file_name, '_keyphrases.json', '') AS cve_id, file_name, content FROM f_staged WHERE coalesce(json_valid(content), false) AND json_type(content) = 'OBJECT')"
+
+
+@register("quality_score", D.with_fixtures(["f_staged"], _PARSED) + f"""
+SELECT cve_id, {D.nonempty_count('content')} = 0 AS is_empty, {D.nonempty_count('content')} = 1 AS is_single,
+ CAST({D.nonempty_count('content')} AS BIGINT) AS non_empty_count, {D.nonempty_fields('content')} AS non_empty_fields,
+ {D.nonempty_count('content')} <= 1 AS needs_retry FROM ps""")
+def q_quality_score(spark, sf):
+    qt = V.quality_table(fx(spark, sf, "f_staged").select("file_name", "content"))
+    return qt.select("cve_id", "is_empty", "is_single", F.col("non_empty_count").cast("bigint"),
+                     F.array_join("non_empty_fields", "|").alias("non_empty_fields"), "needs_retry")
+
+
+_MENTIONS = " OR ".join(f"strpos(content, {D.q(f)}) > 0" for f in D.FIELDS)
+
+
+@register("insufficient_docs", D.with_fixtures(["f_staged"]) + f"""
+, sc AS (SELECT replace(file_name, '_keyphrases.json', '') AS cve_id, file_name,
+  CASE WHEN NOT coalesce(json_valid(content), false) THEN NULL
+   WHEN json_type(content) = 'OBJECT' THEN {D.nonempty_count('content')}
+   WHEN json_type(content) = 'ARRAY' THEN 0
+   WHEN json_type(content) = 'VARCHAR' AND NOT ({_MENTIONS}) THEN 0 END AS current_count FROM f_staged)
+SELECT cve_id, file_name, CAST(current_count AS BIGINT) AS current_count FROM sc WHERE current_count <= 1""")
+def q_insufficient_docs(spark, sf):
+    d = V.insufficient_docs(fx(spark, sf, "f_staged").select("file_name", "content"))
+    return d.select("cve_id", "file_name", F.col("current_count").cast("bigint"))
+
+
+@register("find_missing_section", D.with_fixtures(["f_store_docs"]) + r"""
+SELECT path FROM f_store_docs WHERE regexp_matches(path, '^/store/\d+/[^/]+/[^/]+\.json$')
+ AND coalesce(json_valid(content), false) AND (
+  (json_type(content) = 'OBJECT' AND coalesce(json_type(content, '$.keyphrases'), '') <> 'OBJECT')
+  OR json_type(content) = 'ARRAY'
+  OR (json_type(content) = 'VARCHAR' AND strpos(content, 'keyphrases') = 0))""")
+def q_find_missing_section(spark, sf):
+    return V.missing_section(fx(spark, sf, "f_store_docs"), "/store")

@@ -87,3 +87,61 @@ def with_fixtures(fixtures, *ctes: str) -> str:
 
 
 FIELDS = REQUIRED_FIELDS
+
+
+REQ_LIST = "[" + ", ".join(q(f) for f in FIELDS) + "]"
+
+
+def jpath(field: str) -> str:
+    return q('$."' + field + '"')
+
+
+def truthy(doc: str, field: str, blank_unknown: bool = False) -> str:
+    """Python truthiness of one field of JSON text ``doc`` (missing = false)."""
+    p = jpath(field)
+    s = f"json_extract_string({doc}, {p})"
+    str_ok = f"{strip(s)} <> ''"
+    if blank_unknown:
+        str_ok += f" AND lower({s}) <> 'unknown'"
+    return f"""coalesce(CASE json_type({doc}, {p})
+  WHEN 'VARCHAR' THEN ({str_ok})
+  WHEN 'NULL' THEN false
+  WHEN 'BOOLEAN' THEN CAST(json_extract({doc}, {p}) AS BOOLEAN)
+  WHEN 'ARRAY' THEN json_array_length({doc}, {p}) > 0
+  WHEN 'OBJECT' THEN CAST(json_extract({doc}, {p}) AS VARCHAR) <> '{{}}'
+  WHEN 'BIGINT' THEN CAST(json_extract({doc}, {p}) AS DOUBLE) <> 0
+  WHEN 'UBIGINT' THEN CAST(json_extract({doc}, {p}) AS DOUBLE) <> 0
+  WHEN 'DOUBLE' THEN CAST(json_extract({doc}, {p}) AS DOUBLE) <> 0
+  ELSE false END, false)"""
+
+
+def nonempty_count(doc: str, blank_unknown: bool = False) -> str:
+    return "(" + " + ".join(f"CAST({truthy(doc, f, blank_unknown)} AS INTEGER)" for f in FIELDS) + ")"
+
+
+def nonempty_fields(doc: str) -> str:
+    parts = ", ".join(f"CASE WHEN {truthy(doc, f)} THEN {q(f)} END" for f in FIELDS)
+    return f"array_to_string(list_filter([{parts}], lambda x: x IS NOT NULL), '|')"
+
+
+def validation_cte(src: str = "f_staged") -> str:
+    """CTE ``vd`` with the classification of raw docs (file_name, content)."""
+    nested = (f"list_filter(json_keys(content), lambda k: k <> 'version' AND "
+              f"json_type(content, '$.\"' || k || '\"') IN ('ARRAY', 'OBJECT'))[1]")
+    return f"""
+vd0 AS (SELECT replace(file_name, '_keyphrases.json', '') AS cve_id, file_name, content,
+  CAST(strlen(content) AS BIGINT) AS size, coalesce(json_valid(content), false) AS ok FROM {src}),
+vd1 AS (SELECT *, CASE WHEN NOT ok THEN 'Invalid JSON'
+  WHEN json_type(content) <> 'OBJECT' THEN 'JSON must be a flat object'
+  WHEN {nested} IS NOT NULL THEN 'Nested structure found in field: ' || {nested} END AS error FROM vd0),
+vd2 AS (SELECT *, CASE WHEN error IS NULL THEN {nonempty_count('content', True)} END AS n,
+  CASE WHEN error IS NULL THEN list_sort(list_filter(json_keys(content), lambda k: NOT list_contains({REQ_LIST}, k))) END AS extra,
+  CASE WHEN error IS NULL THEN list_sort(list_filter({REQ_LIST}, lambda f: NOT list_contains(json_keys(content), f))) END AS missing
+  FROM vd1),
+vd AS (SELECT cve_id, file_name, size, content,
+  coalesce(error IS NULL AND len(extra) = 0 AND len(missing) = 0 AND n > 1, false) AS json_valid,
+  CASE WHEN error IS NULL THEN md5(content) END AS content_hash, error,
+  array_to_string(extra, '|') AS extra_fields, array_to_string(missing, '|') AS missing_fields,
+  coalesce(error IS NULL AND n = 0, false) AS empty_keyphrases,
+  coalesce(error IS NULL AND n = 1, false) AS single_keyphrase,
+  CAST(n AS BIGINT) AS non_empty_count FROM vd2)"""
