@@ -127,3 +127,12 @@ def truncate_200(c) -> Column:
 
 def text_length(c) -> Column:
     return F.coalesce(F.length(_c(c)), F.lit(0))
+
+
+def let(value, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable.
+
+    ``fn`` may read its argument many times without copying the producing
+    expression into the plan (nested CASE chains over a regex otherwise
+    grow the generated code exponentially)."""
+    return F.transform(F.array(_c(value)), fn).getItem(0)

@@ -367,3 +367,80 @@ SELECT path FROM f_store_docs WHERE regexp_matches(path, '^/store/\d+/[^/]+/[^/]
   OR (json_type(content) = 'VARCHAR' AND strpos(content, 'keyphrases') = 0))""")
 def q_find_missing_section(spark, sf):
     return V.missing_section(fx(spark, sf, "f_store_docs"), "/store")
+
+
+# ---------------------------------------------------------------- repair ---
+
+from skein.operators import repair as R  # noqa: E402
+
+
+@register("normalize_field", D.with_fixtures(["f_repair"],
+          "rs AS (SELECT doc_id, value AS s FROM f_repair)", D.normalize_text_ctes("rs", "doc_id"))
+          + "\nSELECT doc_id, norm AS value FROM nt")
+def q_normalize_field(spark, sf):
+    r = fx(spark, sf, "f_repair")
+    return R.balance(r).select("doc_id", R.normalize_text("value").alias("value"))
+
+
+_RV = D.with_fixtures(["f_staged"], f"""
+ps AS (SELECT replace(file_name, '_keyphrases.json', '') AS cve_id, content FROM f_staged
+  WHERE coalesce(json_valid(content), false) AND json_type(content) = 'OBJECT')""", f"""
+rf AS (SELECT cve_id, content, f.field FROM ps, unnest({D.REQ_LIST}) AS f(field))""", """
+rv AS (SELECT cve_id, field, json_type(content, '$."' || field || '"') AS t,
+  json_extract_string(content, '$."' || field || '"') AS s, json_extract(content, '$."' || field || '"') AS j FROM rf)""",
+  D.normalize_text_ctes("rv", "cve_id, field, t, j"), f"""
+rn AS (SELECT cve_id, field, CASE WHEN t IS NULL OR t = 'NULL' THEN '' WHEN t = 'VARCHAR' THEN norm
+  WHEN t = 'ARRAY' THEN array_to_string(list_transform(json_extract(j, '$[*]'), lambda x: {D.scalar_text('x')}), ', ')
+  ELSE {D.scalar_text('j')} END AS value FROM nt)""")
+
+
+@register("repair_record", _RV + """
+, fixed AS (SELECT cve_id, """ + ", ".join(f"max(CASE WHEN field = '{f}' THEN value END) AS {f}" for f in D.FIELDS) + """
+  FROM rn GROUP BY cve_id)
+SELECT s.cve_id, CASE WHEN f.cve_id IS NULL THEN 'failed' ELSE 'fixed' END AS status, """
+          + ", ".join(f"f.{f}" for f in D.FIELDS) + """,
+ CASE WHEN f.cve_id IS NOT NULL THEN array_to_string(list_sort(list_filter(json_keys(s.content),
+   lambda k: NOT list_contains(""" + D.REQ_LIST + """, k))), '|') END AS extra_keys
+FROM (SELECT replace(file_name, '_keyphrases.json', '') AS cve_id, content FROM f_staged) s
+LEFT JOIN fixed f ON f.cve_id = s.cve_id""")
+def q_repair_record(spark, sf):
+    r = R.repair_records(fx(spark, sf, "f_staged").select("file_name", "content"))
+    extras = F.array_sort(F.array_except(F.map_keys("fixed"), R.J.required_array()))
+    return r.select("cve_id", "status",
+                    *[F.col("fixed")[f].alias(f) for f in R.J.REQUIRED_FIELDS],
+                    F.when(F.col("fixed").isNotNull(), F.array_join(extras, "|")).alias("extra_keys"))
+
+
+_FLAT = D.with_fixtures(["f_staged"], f"""
+ps AS (SELECT replace(file_name, '_keyphrases.json', '') AS cve_id, content FROM f_staged
+  WHERE coalesce(json_valid(content), false) AND json_type(content) = 'OBJECT')""")
+
+
+@register("flatten_list_field", _FLAT + f"""
+, lf AS (SELECT cve_id, f.field, json_extract(content, '$."' || f.field || '"') AS j FROM ps, unnest({D.REQ_LIST}) AS f(field)
+  WHERE json_type(content, '$."' || f.field || '"') = 'ARRAY')
+SELECT cve_id, field, array_to_string(list_transform(json_extract(j, '$[*]'), lambda x: {D.scalar_text('x')}), ', ') AS value FROM lf""")
+def q_flatten_list_field(spark, sf):
+    from skein.functions import jsonx as J
+    p = R.fence(fx(spark, sf, "f_staged").select(
+        R.I.key_from_suffix("file_name").alias("cve_id"), J.parse_doc("content").alias("m")))
+    e = p.select("cve_id", F.explode(F.map_entries(F.map_filter(
+        "m", lambda k, v: F.array_contains(J.required_array(), k) & J.vtype(v).startswith("ARRAY")))).alias("e"))
+    return e.select("cve_id", F.col("e.key").alias("field"), R.list_text(F.col("e.value")).alias("value"))
+
+
+@register("repair_stats", D.with_fixtures(["f_staged"]) + """
+, st AS (SELECT CASE WHEN coalesce(json_valid(content), false) AND json_type(content) = 'OBJECT' THEN 'fixed' ELSE 'failed' END AS status FROM f_staged)
+SELECT count(*)::BIGINT AS processed, count(*) FILTER (WHERE status = 'fixed')::BIGINT AS fixed,
+ count(*) FILTER (WHERE status = 'failed')::BIGINT AS failed,
+ CASE WHEN count(*) > 0 THEN round(100.0 * count(*) FILTER (WHERE status = 'fixed') / count(*), 1) END AS success_rate FROM st""")
+def q_repair_stats(spark, sf):
+    return R.repair_stats(R.repair_records(fx(spark, sf, "f_staged").select("file_name", "content")))
+
+
+@register("copy_back", D.with_fixtures(["f_staged"]) + """
+SELECT file_name, CASE WHEN coalesce(json_valid(content), false) THEN json_type(content) = 'OBJECT' ELSE false END AS replaced FROM f_staged""")
+def q_copy_back(spark, sf):
+    staged = fx(spark, sf, "f_staged").select("file_name", "content")
+    out = R.copy_back(staged, R.repair_records(staged))
+    return out.select("file_name", "replaced")

@@ -145,3 +145,35 @@ vd AS (SELECT cve_id, file_name, size, content,
   coalesce(error IS NULL AND n = 0, false) AS empty_keyphrases,
   coalesce(error IS NULL AND n = 1, false) AS single_keyphrase,
   CAST(n AS BIGINT) AS non_empty_count FROM vd2)"""
+
+
+P_LIST_Q = r"^\[(['\"][^'\"]*['\"](?:" + WS + r"*," + WS + r"*['\"][^'\"]*['\"])*)\]$"
+P_ITEM_Q = r"['\"]([^'\"]*)['\"]"
+P_LIST_DQ = r'^\["([^"]*)"(?:' + WS + r'*,' + WS + r'*"([^"]*)")*\]$'
+P_ITEM_DQ = r'"([^"]*)"'
+
+
+def _peel(x: str, o: str, c: str) -> str:
+    return (f"CASE WHEN starts_with({x}, {q(o)}) AND ends_with({x}, {q(c)}) THEN "
+            f"CASE WHEN length({x}) < 2 THEN '' ELSE {strip(f'substr({x}, 2, length({x}) - 2)')} END "
+            f"ELSE {x} END")
+
+
+def normalize_text_ctes(src: str, keys: str, prefix: str = "nt") -> str:
+    """CTEs over ``src(keys..., s)`` ending in ``{prefix}(keys..., norm)``."""
+    return f"""
+{prefix}0 AS (SELECT {keys}, s, {strip('s')} AS st FROM {src}),
+{prefix}1 AS (SELECT *, {_peel('st', '[', ']')} AS c1 FROM {prefix}0),
+{prefix}2 AS (SELECT *, {_peel('c1', '"', '"')} AS c2 FROM {prefix}1),
+{prefix}3 AS (SELECT *, {_peel('c2', "'", "'")} AS c3 FROM {prefix}2),
+{prefix} AS (SELECT {keys}, CASE
+  WHEN regexp_matches(st, {q(P_LIST_Q)}) THEN array_to_string(regexp_extract_all(regexp_extract(st, {q(P_LIST_Q)}, 1), {q(P_ITEM_Q)}, 1), ', ')
+  WHEN regexp_matches(st, {q(P_LIST_DQ)}) THEN array_to_string(regexp_extract_all(s, {q(P_ITEM_DQ)}, 1), ', ')
+  ELSE c3 END AS norm FROM {prefix}3)"""
+
+
+def scalar_text(j: str) -> str:
+    """Python str() of one JSON value (DuckDB JSON)."""
+    return (f"CASE json_type({j}) WHEN 'VARCHAR' THEN json_extract_string({j}, '$') "
+            f"WHEN 'BOOLEAN' THEN CASE WHEN CAST({j} AS BOOLEAN) THEN 'True' ELSE 'False' END "
+            f"WHEN 'NULL' THEN 'None' ELSE CAST({j} AS VARCHAR) END")
