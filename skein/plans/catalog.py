@@ -444,3 +444,110 @@ def q_copy_back(spark, sf):
     staged = fx(spark, sf, "f_staged").select("file_name", "content")
     out = R.copy_back(staged, R.repair_records(staged))
     return out.select("file_name", "replaced")
+
+
+# ----------------------------------------------------------------- merge ---
+
+from skein.operators import merge as M  # noqa: E402
+from skein.functions import jsonx as J  # noqa: E402
+
+MERGE_VERSION = "1.0.0"
+
+
+def _merge_inputs(spark, sf):
+    kp = fx(spark, sf, "f_staged").select(I.key_from_split("file_name").alias("cve_id"), "content")
+    return kp, fx(spark, sf, "f_descriptions"), fx(spark, sf, "f_impacts")
+
+
+def _merged_groups(spark, sf):
+    kp, d, i = _merge_inputs(spark, sf)
+    return M.merge_records(kp, d, i, version=MERGE_VERSION)
+
+
+_MERGE = D.with_fixtures(["f_staged", "f_descriptions", "f_impacts"], D.merge_ctes())
+
+
+@register("merge_docs", _MERGE + f"""
+SELECT e.cve_id, '{MERGE_VERSION}' AS version, d.description, k.cve_id IS NOT NULL AS has_keyphrases,
+ """ + ",\n ".join(f"CASE WHEN k.cve_id IS NOT NULL THEN {D.kp_text('k.content', f) if f != 'component' else D.folded_component('k.content')} END AS {f}"
+                    for f in D.FIELDS) + f""",
+ CASE WHEN k.cve_id IS NOT NULL THEN {D.merged_extra_keys('k.content')} END AS extra_keys,
+ array_to_string(i.impact_texts, '|') AS impact_texts
+FROM env e LEFT JOIN kpo k ON k.cve_id = e.cve_id LEFT JOIN f_descriptions d ON d.cve_id = e.cve_id
+ LEFT JOIN f_impacts i ON i.cve_id = e.cve_id""")
+def q_merge_docs(spark, sf):
+    m = M.merged(_merged_groups(spark, sf))
+    kp = F.col("keyphrases")
+    extras = F.array_sort(F.array_except(F.map_keys(kp), J.required_array()))
+    return m.select("cve_id", "version", "description", kp.isNotNull().alias("has_keyphrases"),
+                    *[J.as_text(F.element_at(kp, F.lit(f))).alias(f) for f in J.REQUIRED_FIELDS],
+                    F.when(kp.isNotNull(), F.array_join(extras, "|")).alias("extra_keys"),
+                    F.array_join("impact_texts", "|").alias("impact_texts"))
+
+
+@register("merge_stats", _MERGE + """
+SELECT (SELECT count(*) FROM env)::BIGINT AS processed,
+ ((SELECT count(*) FROM f_descriptions WHERE cve_id NOT IN (SELECT cve_id FROM ids))
+  + (SELECT count(*) FROM f_impacts WHERE cve_id NOT IN (SELECT cve_id FROM ids)))::BIGINT AS skipped_no_keyphrases,
+ (SELECT count(*) FROM kpd WHERE CASE WHEN ok THEN json_type(content) <> 'OBJECT' ELSE true END)::BIGINT AS errors""")
+def q_merge_stats(spark, sf):
+    return M.merge_stats(_merged_groups(spark, sf))
+
+
+@register("semi_with_keyphrases", D.with_fixtures(["f_staged", "f_descriptions"]) + """
+SELECT cve_id FROM f_descriptions WHERE cve_id IN (SELECT split_part(file_name, '_', 1) FROM f_staged)""")
+def q_semi_with_keyphrases(spark, sf):
+    kp, d, _ = _merge_inputs(spark, sf)
+    return M.semi_with_keyphrases(d, kp).select("cve_id")
+
+
+_KP_IMPACT = """CASE json_type(k.content, '$.impact') WHEN 'VARCHAR' THEN [json_extract_string(k.content, '$.impact')]
+  WHEN 'ARRAY' THEN list_transform(json_extract(k.content, '$.impact[*]'), lambda x: CASE json_type(x) WHEN 'VARCHAR'
+    THEN json_extract_string(x, '$') ELSE CAST(x AS VARCHAR) END)
+  WHEN NULL THEN [''] ELSE CAST([] AS VARCHAR[]) END"""
+
+
+@register("impact_mismatch", _MERGE + f"""
+, bth AS (SELECT k.cve_id,
+   list_filter(CASE WHEN json_type(k.content, '$.impact') IS NULL THEN [''] ELSE {_KP_IMPACT} END, lambda x: x <> '') AS kp,
+   list_filter(i.impact_texts, lambda x: x <> '') AS it
+  FROM kpo k JOIN f_impacts i ON i.cve_id = k.cve_id)
+, d AS (SELECT cve_id, list_distinct(list_filter(kp, lambda x: NOT list_contains(it, x))) AS a,
+   list_distinct(list_filter(it, lambda x: NOT list_contains(kp, x))) AS b FROM bth)
+SELECT cve_id, 'keyphrases_only' AS direction, array_to_string(list_sort(a), '|') AS "values" FROM d WHERE len(a) > 0
+UNION ALL SELECT cve_id, 'impact_texts_only', array_to_string(list_sort(b), '|') FROM d WHERE len(b) > 0""")
+def q_impact_mismatch(spark, sf):
+    m = M.merged(_merged_groups(spark, sf))
+    return M.impact_mismatch(m).select("cve_id", "direction", F.array_join("values", "|").alias("values"))
+
+
+@register("fold_prefixed_fields", D.with_fixtures(["f_staged"], D.merge_ctes().split("ids AS")[0].rstrip().rstrip(","))
+          + f"\nSELECT cve_id, {D.folded_component('content')} AS component FROM kpo")
+def q_fold_prefixed_fields(spark, sf):
+    kp, _, _ = _merge_inputs(spark, sf)
+    p = M.fence(kp.select("cve_id", J.parse_doc("content").alias("m"))).filter(F.col("m").isNotNull())
+    f = M.fill_required(M.fold_prefixed_fields("m"))
+    return p.select("cve_id", J.as_text(F.element_at(f, F.lit("component"))).alias("component"))
+
+
+@register("fill_required", D.with_fixtures(["f_staged"], D.merge_ctes().split("ids AS")[0].rstrip().rstrip(","))
+          + f"""\nSELECT cve_id, array_to_string(list_sort(list_concat(list_filter(json_keys(content), lambda k: NOT starts_with(k, 'component')),
+ list_filter({D.REQ_LIST}, lambda f: NOT list_contains(json_keys(content), f) AND f <> 'component'), ['component'])), '|') AS keys FROM kpo""")
+def q_fill_required(spark, sf):
+    kp, _, _ = _merge_inputs(spark, sf)
+    p = M.fence(kp.select("cve_id", J.parse_doc("content").alias("m"))).filter(F.col("m").isNotNull())
+    return p.select("cve_id", F.array_join(F.array_sort(F.map_keys(M.normalize_keyphrases("m"))), "|").alias("keys"))
+
+
+@register("union_runs", D.with_fixtures(["f_source", "f_store"], D.records_to_process_sql()) + """
+SELECT cve_id, ord, NULL AS description FROM f_store UNION ALL SELECT cve_id, ord, description FROM rtp""")
+def q_union_runs(spark, sf):
+    store = fx(spark, sf, "f_store")
+    cur = ingest.records_to_process(fx(spark, sf, "f_source"), store).select("cve_id", "ord", "description")
+    return M.union_runs(store, cur).select("cve_id", "ord", "description")
+
+
+@register("to_json_record")
+def q_to_json_record(spark, sf):
+    """Serialised merged records (no oracle: JSON text layout is engine-specific)."""
+    return M.record_json(M.merged(_merged_groups(spark, sf)))

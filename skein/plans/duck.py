@@ -177,3 +177,45 @@ def scalar_text(j: str) -> str:
     return (f"CASE json_type({j}) WHEN 'VARCHAR' THEN json_extract_string({j}, '$') "
             f"WHEN 'BOOLEAN' THEN CASE WHEN CAST({j} AS BOOLEAN) THEN 'True' ELSE 'False' END "
             f"WHEN 'NULL' THEN 'None' ELSE CAST({j} AS VARCHAR) END")
+
+
+def kp_text(doc: str, field: str) -> str:
+    """Text of a keyphrase field after fill-required (missing -> '')."""
+    p = jpath(field)
+    return (f"CASE WHEN json_type({doc}, {p}) IS NULL THEN '' WHEN json_type({doc}, {p}) = 'VARCHAR' "
+            f"THEN json_extract_string({doc}, {p}) ELSE CAST(json_extract({doc}, {p}) AS VARCHAR) END")
+
+
+def _part(doc: str, path: str) -> str:
+    return (f"CASE json_type({doc}, {path}) WHEN 'ARRAY' THEN CAST(json_extract({doc}, {path}) AS JSON[]) "
+            f"WHEN 'VARCHAR' THEN CASE WHEN json_extract_string({doc}, {path}) <> '' "
+            f"THEN [json_extract({doc}, {path})] ELSE CAST([] AS JSON[]) END ELSE CAST([] AS JSON[]) END")
+
+
+def folded_component(doc: str) -> str:
+    """Text of ``component`` after folding ``component*`` keys."""
+    keypath = "'$.\"' || k || '\"'"
+    found = (f"flatten(list_transform(list_filter(json_keys({doc}), lambda k: starts_with(k, 'component') "
+             f"AND k <> 'component'), lambda k: {_part(doc, keypath)}))")
+    allv = f"list_concat({found}, {_part(doc, q('$.component'))})"
+    one = f"{allv}[1]"
+    one_text = (f"CASE json_type({one}) WHEN 'VARCHAR' THEN json_extract_string({one}, '$') "
+                f"ELSE CAST({one} AS VARCHAR) END")
+    return (f"CASE WHEN len({found}) = 0 THEN {kp_text(doc, 'component')} "
+            f"WHEN len({allv}) > 1 THEN '[' || array_to_string(list_transform({allv}, lambda x: CAST(x AS VARCHAR)), ',') || ']' "
+            f"ELSE {one_text} END")
+
+
+def merged_extra_keys(doc: str) -> str:
+    return (f"array_to_string(list_sort(list_filter(json_keys({doc}), lambda k: NOT list_contains({REQ_LIST}, k) "
+            f"AND NOT starts_with(k, 'component'))), '|')")
+
+
+def merge_ctes() -> str:
+    return """
+kpd AS (SELECT split_part(file_name, '_', 1) AS cve_id, content, coalesce(json_valid(content), false) AS ok FROM f_staged),
+kpo AS (SELECT cve_id, content FROM kpd WHERE CASE WHEN ok THEN json_type(content) = 'OBJECT' ELSE false END),
+ids AS (SELECT DISTINCT cve_id FROM kpd),
+env AS (SELECT cve_id FROM kpd WHERE ok
+  UNION SELECT cve_id FROM f_descriptions WHERE cve_id IN (SELECT cve_id FROM ids)
+  UNION SELECT cve_id FROM f_impacts WHERE cve_id IN (SELECT cve_id FROM ids))"""
