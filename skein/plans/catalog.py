@@ -551,3 +551,52 @@ def q_union_runs(spark, sf):
 def q_to_json_record(spark, sf):
     """Serialised merged records (no oracle: JSON text layout is engine-specific)."""
     return M.record_json(M.merged(_merged_groups(spark, sf)))
+
+
+# --------------------------------------------------------------- publish ---
+
+from skein.operators import publish as P  # noqa: E402
+from skein.session import scratch_path  # noqa: E402
+
+_PUB = D.with_fixtures(["f_staged", "f_target"], """
+ps AS (SELECT replace(file_name, '_keyphrases', '') AS file_name, content FROM f_staged
+  WHERE regexp_matches(replace(file_name, '_keyphrases', ''), '^CVE-(\\d{4})-(\\d{4,7})\\.json')),
+pt AS (SELECT replace(file_name, '_keyphrases', '') AS file_name, sha256(content) AS h FROM f_target),
+pa AS (SELECT s.file_name, CAST(regexp_extract(s.file_name, '^CVE-(\\d{4})-(\\d{4,7})\\.json', 1) AS INTEGER) AS year,
+  CAST(CAST(regexp_extract(s.file_name, '^CVE-(\\d{4})-(\\d{4,7})\\.json', 2) AS BIGINT) // 1000 AS VARCHAR) || 'xxx' AS bucket,
+  CASE WHEN t.h IS NULL THEN 'moved' WHEN t.h = sha256(s.content) THEN 'deleted' ELSE 'skipped' END AS action
+  FROM ps s LEFT JOIN pt t ON t.file_name = s.file_name)""")
+
+
+def _pub_inputs(spark, sf):
+    ren = F.replace("file_name", F.lit("_keyphrases"), F.lit(""))
+    src = fx(spark, sf, "f_staged").select(ren.alias("file_name"), "content")
+    tgt = fx(spark, sf, "f_target").select(ren.alias("file_name"), "content")
+    return src, tgt
+
+
+@register("publish_action", _PUB + "\nSELECT file_name, year, bucket, action FROM pa")
+def q_publish_action(spark, sf):
+    return P.publish_actions(*_pub_inputs(spark, sf))
+
+
+@register("publish_stats", _PUB + """
+SELECT count(*) FILTER (WHERE action = 'moved')::BIGINT AS moved, count(*) FILTER (WHERE action = 'skipped')::BIGINT AS skipped,
+ count(*) FILTER (WHERE action = 'deleted')::BIGINT AS deleted, 0::BIGINT AS overwritten FROM pa""")
+def q_publish_stats(spark, sf):
+    return P.publish_stats(P.publish_actions(*_pub_inputs(spark, sf)))
+
+
+@register("publish_layout", _MERGE + r"""
+SELECT cve_id, CAST(regexp_extract(cve_id, '^CVE-(\d{4})-(\d{4,7})', 1) AS INTEGER) AS year,
+ CAST(CAST(regexp_extract(cve_id, '^CVE-(\d{4})-(\d{4,7})', 2) AS BIGINT) // 1000 AS VARCHAR) || 'xxx' AS bucket
+FROM env""")
+def q_publish_layout(spark, sf):
+    """Merged records written as a year/bucket partitioned JSON store and read back."""
+    recs = M.record_json(M.merged(_merged_groups(spark, sf)))
+    docs = recs.select(F.concat("cve_id", F.lit(".json")).alias("file_name"), F.col("json").alias("content"))
+    path = scratch_path(spark, "store")
+    P.write_store(P.next_store(docs, None).select(
+        "year", "bucket", F.col("content").alias("value")), path, fmt="text")
+    back = spark.read.text(path)
+    return back.select(F.get_json_object("value", "$.cveId").alias("cve_id"), "year", "bucket")
