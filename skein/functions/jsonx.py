@@ -109,14 +109,24 @@ def required_array() -> Column:
     return F.array(*[F.lit(f) for f in REQUIRED_FIELDS])
 
 
-def nonempty_flags(m) -> list[Column]:
+def _content(v, blank_unknown: bool) -> Column:
+    t = truthy(v)
+    if blank_unknown:
+        t = t & ~(is_str(v) & (F.lower(as_str(v)) == F.lit(UNKNOWN)))
+    return t
+
+
+def nonempty_flags(m, blank_unknown: bool = False) -> list[Column]:
+    """Per required field: does it carry content. ``blank_unknown`` treats
+    'unknown' strings as empty (the validator's reading)."""
     x = _c(m)
-    return [truthy(F.element_at(x, F.lit(f))) for f in REQUIRED_FIELDS]
+    return [_content(F.element_at(x, F.lit(f)), blank_unknown) for f in REQUIRED_FIELDS]
 
 
-def nonempty_count(m) -> Column:
-    """How many of the eight fields carry content."""
-    flags = nonempty_flags(m)
+def nonempty_count(m, blank_unknown: bool = False) -> Column:
+    """How many of the eight fields carry content. ``m`` should be a column
+    reference (a parsed map), not a parse expression: it is read 8 times."""
+    flags = nonempty_flags(m, blank_unknown)
     total = flags[0].cast("int")
     for f in flags[1:]:
         total = total + f.cast("int")

@@ -43,7 +43,7 @@ def classify(docs: DataFrame, key=None, size_col: str | None = None) -> DataFram
              .when(m.isNull(), F.lit(ERR_NOT_OBJECT))
              .when(nested.isNotNull(), F.concat(F.lit(ERR_NESTED), nested)))
     staged = fence(parsed.select("*", error.alias("error"),
-                                 J.nonempty_count(J.blank_unknown(m)).alias("__n")))
+                                 J.nonempty_count(m, blank_unknown=True).alias("__n")))
     hard = F.col("error").isNotNull()
     n = F.col("__n")
     extra = F.when(~hard, J.extra_fields(m))
@@ -148,19 +148,20 @@ def insufficient_docs(docs: DataFrame, key=None) -> DataFrame:
     roots and invalid JSON are skipped."""
     from skein.functions.text import strip
     key = key if key is not None else I.key_from_suffix("file_name")
-    base = fence(balance(docs).select(
-        key.alias("cve_id"), "file_name", "content",
-        J.strict_ok("content").alias("__ok")))
+    base = balance(docs).select(key.alias("cve_id"), "file_name", "content",
+                                J.strict_ok("content").alias("__ok"))
     first = F.substring(strip("content"), 1, 1)
-    m = F.when(F.col("__ok") & (first == "{"), J.parse_object("content"))
+    parsed = fence(base.select("*", first.alias("__first"),
+                               F.when(F.col("__ok") & (first == "{"), J.parse_object("content")).alias("__m")))
     mentions = F.lit(False)
     for f in J.REQUIRED_FIELDS:
         mentions = mentions | F.col("content").contains(f)
+    fc = F.col("__first")
     n = (F.when(~F.col("__ok"), F.lit(None))
-         .when(first == "{", J.nonempty_count(m))
-         .when(first == "[", F.lit(0))
-         .when((first == '"') & ~mentions, F.lit(0)))
-    scored = fence(base.select("cve_id", "file_name", n.alias("current_count")))
+         .when(fc == "{", J.nonempty_count(F.col("__m")))
+         .when(fc == "[", F.lit(0))
+         .when((fc == '"') & ~mentions, F.lit(0)))
+    scored = fence(parsed.select("cve_id", "file_name", "content", n.alias("current_count")))
     return scored.filter(F.col("current_count") <= 1)
 
 

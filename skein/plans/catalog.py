@@ -600,3 +600,220 @@ def q_publish_layout(spark, sf):
         "year", "bucket", F.col("content").alias("value")), path, fmt="text")
     back = spark.read.text(path)
     return back.select(F.get_json_object("value", "$.cveId").alias("cve_id"), "year", "bucket")
+
+
+# ------------------------------------------------------------- inference ---
+
+from skein.operators import infer as N  # noqa: E402
+
+
+def no_wait(_seconds: float) -> None:
+    """Backoff used by the registered queries: the stub answers at once."""
+
+
+_LP, _LH, _LM, _LT = (len(N.EXTRACT_INSTRUCTION), len(N.ENHANCE_HEAD), len(N.ENHANCE_MID), len(N.ENHANCE_TAIL))
+
+_LADDER = D.records_to_process_sql() + f""",
+p1 AS (SELECT cve_id, description, {_LP} + length(description) AS L FROM rtp),
+c1 AS (SELECT *, (L % 7 <> 0 AND L % 11 <> 0) AS ok1, L % 4 AS n1, {D.stub_json('L', 'L % 4')} AS j1 FROM p1),
+e1 AS (SELECT cve_id, n1, {_LH} + length(j1) + {_LM} + length(description) + {_LT} AS LE FROM c1 WHERE ok1 AND n1 <= 1),
+e2 AS (SELECT cve_id, n1, LE % 13 <> 0 AS e_ok, (LE % 3) * 3 + 1 AS e_n FROM e1),
+lad AS (
+ SELECT c1.cve_id, 'success' AS status, 1 AS attempt, 'primary' AS model_type,
+  CASE WHEN coalesce(e_ok AND e_n > c1.n1, false) THEN e_n ELSE c1.n1 END AS n, coalesce(e_ok AND e_n > c1.n1, false) AS enhanced
+  FROM c1 LEFT JOIN e2 ON e2.cve_id = c1.cve_id WHERE ok1
+ UNION ALL SELECT cve_id, 'success', 2, 'fallback', (L % 3) * 3 + 1, false FROM c1 WHERE NOT ok1 AND L % 13 <> 0
+ UNION ALL SELECT cve_id, 'failed', NULL, NULL, NULL, false FROM c1 WHERE NOT ok1 AND L % 13 = 0)"""
+
+
+def _records(spark, sf):
+    return ingest.records_to_process(fx(spark, sf, "f_source"), fx(spark, sf, "f_store"))
+
+
+def _ladder(spark, sf):
+    path = scratch_path(spark, "attempts")
+    out = N.run_ladder(_records(spark, sf), path, sleep=no_wait)
+    return out, path
+
+
+@register("build_prompt", D.with_fixtures(["f_source", "f_store"], D.records_to_process_sql())
+          + f"\nSELECT cve_id, {D.q(N.EXTRACT_INSTRUCTION)} || description AS prompt FROM rtp")
+def q_build_prompt(spark, sf):
+    return _records(spark, sf).select("cve_id", N.build_prompt("description").alias("prompt"))
+
+
+@register("build_enhance_prompt", D.with_fixtures(["f_staged", "f_descriptions"]) + f"""
+SELECT d.cve_id, {D.q(N.ENHANCE_HEAD)} || s.content || {D.q(N.ENHANCE_MID)} || d.description || {D.q(N.ENHANCE_TAIL)} AS prompt
+FROM f_staged s JOIN f_descriptions d ON d.cve_id = replace(s.file_name, '_keyphrases.json', '')""")
+def q_build_enhance_prompt(spark, sf):
+    s = fx(spark, sf, "f_staged").select(I.key_from_suffix("file_name").alias("cve_id"), "content")
+    j = s.join(fx(spark, sf, "f_descriptions"), "cve_id")
+    return j.select("cve_id", N.build_enhance_prompt("description", "content").alias("prompt"))
+
+
+@register("infer_stub", D.with_fixtures(["f_source", "f_store"], _LADDER) + """
+SELECT cve_id, 'primary' AS model, CASE WHEN L % 7 = 0 THEN NULL WHEN L % 11 = 0 THEN 'I cannot answer that.'
+  ELSE j1 || CASE WHEN L % 5 = 0 THEN ' (end)' ELSE '' END END AS response,
+ CASE WHEN L % 7 = 0 THEN '503 Service Unavailable' END AS error FROM c1""")
+def q_infer_stub(spark, sf):
+    r = _records(spark, sf)
+    prompts = r.select("cve_id", F.lit(1).alias("attempt"), F.lit("extract").alias("call"),
+                       F.lit(N.PRIMARY).alias("model"), "description",
+                       N.build_prompt("description").alias("prompt"))
+    path = scratch_path(spark, "calls")
+    N.infer(prompts, sleep=no_wait).write.parquet(path)
+    return spark.read.parquet(path).select("cve_id", "model", "response", "error")
+
+
+@register("attempt_ladder_live", D.with_fixtures(["f_source", "f_store"], _LADDER) + """
+SELECT cve_id, status, CAST(attempt AS BIGINT) AS attempt, model_type, CAST(n AS BIGINT) AS n, enhanced FROM lad""")
+def q_attempt_ladder_live(spark, sf):
+    out, _ = _ladder(spark, sf)
+    return out.select("cve_id", "status", F.col("attempt").cast("bigint"), "model_type",
+                      F.col("n").cast("bigint"), "enhanced")
+
+
+@register("enhance_gate", D.with_fixtures(["f_source", "f_store"], _LADDER) + """
+SELECT cve_id, CAST(n1 AS BIGINT) AS primary_n FROM e1""")
+def q_enhance_gate(spark, sf):
+    _, path = _ladder(spark, sf)
+    calls = N.parse_calls(spark.read.parquet(path).filter((F.col("attempt") == 1) & (F.col("call") == "extract")))
+    return calls.filter(F.col("ok") & (F.col("n") <= 1)).select("cve_id", F.col("n").cast("bigint").alias("primary_n"))
+
+
+@register("best_of", D.with_fixtures(["f_source", "f_store"], _LADDER) + """
+SELECT cve_id, CAST(n1 AS BIGINT) AS primary_n, CAST(CASE WHEN e_ok THEN e_n END AS BIGINT) AS enhanced_n,
+ coalesce(e_ok AND e_n > n1, false) AS taken FROM e2""")
+def q_best_of(spark, sf):
+    _, path = _ladder(spark, sf)
+    a = N.parse_calls(spark.read.parquet(path).filter(F.col("attempt") == 1))
+    p = a.filter((F.col("call") == "extract")).select("cve_id", F.col("n").alias("pn"))
+    e = a.filter(F.col("call") == "enhance").select("cve_id", "ok", F.col("n").alias("en"))
+    j = e.join(p, "cve_id")
+    return j.select("cve_id", F.col("pn").cast("bigint").alias("primary_n"),
+                    F.when(F.col("ok"), F.col("en")).cast("bigint").alias("enhanced_n"),
+                    F.coalesce(F.col("ok") & (F.col("en") > F.col("pn")), F.lit(False)).alias("taken"))
+
+
+@register("infer_run_stats", D.with_fixtures(["f_source", "f_store"], _LADDER) + """
+SELECT count(*) FILTER (WHERE status = 'success')::BIGINT AS successful, count(*) FILTER (WHERE status = 'failed')::BIGINT AS failed,
+ count(*) FILTER (WHERE model_type = 'primary')::BIGINT AS via_primary, count(*) FILTER (WHERE model_type = 'fallback')::BIGINT AS via_fallback,
+ count(*)::BIGINT AS total FROM lad""")
+def q_infer_run_stats(spark, sf):
+    out, _ = _ladder(spark, sf)
+    return N.run_stats(out)
+
+
+_ATT_OK = D.with_fixtures(["f_source", "f_attempts"], f"""
+atn AS (SELECT *, {D.repaired('response')} AS json FROM f_attempts),
+aw AS (SELECT cve_id, min(CASE WHEN json IS NOT NULL THEN attempt END) AS win FROM atn GROUP BY cve_id)""")
+
+
+@register("repair_response", _ATT_OK + "\nSELECT cve_id, attempt, json FROM atn")
+def q_repair_response(spark, sf):
+    a = fx(spark, sf, "f_attempts")
+    return a.select("cve_id", "attempt", J.repair_response("response").alias("json"))
+
+
+@register("classify_error", D.with_fixtures(["f_source", "f_attempts"]) + f"""
+, ce AS (SELECT cve_id, attempt, error, lower(error) AS low FROM f_attempts WHERE error IS NOT NULL)
+SELECT cve_id, attempt,
+ CASE WHEN strpos(error, {D.q(N.RATE_LIMIT_TEXT)}) > 0 OR strpos(low, 'quota') > 0 THEN 'rate_limit'
+  WHEN strpos(low, 'timeout') > 0 OR strpos(low, 'connection') > 0 OR strpos(error, 'TimeoutError') > 0 OR strpos(error, 'API call timed out') > 0 THEN 'timeout'
+  WHEN strpos(error, '500') > 0 OR strpos(error, '502') > 0 OR strpos(error, '503') > 0 OR strpos(error, '504') > 0 THEN 'server'
+  ELSE 'other' END AS error_class,
+ CASE WHEN strpos(error, {D.q(N.RATE_LIMIT_TEXT)}) > 0 OR strpos(low, 'quota') > 0 THEN 3600
+  WHEN strpos(low, 'timeout') > 0 OR strpos(low, 'connection') > 0 OR strpos(error, 'TimeoutError') > 0 OR strpos(error, 'API call timed out') > 0 THEN 30
+  WHEN strpos(error, '500') > 0 OR strpos(error, '502') > 0 OR strpos(error, '503') > 0 OR strpos(error, '504') > 0 THEN 60
+  ELSE 5 END AS wait_s,
+ NOT (strpos(error, {D.q(N.RATE_LIMIT_TEXT)}) > 0 OR strpos(low, 'quota') > 0) AS counts_as_attempt FROM ce""")
+def q_classify_error(spark, sf):
+    a = fx(spark, sf, "f_attempts").filter(F.col("error").isNotNull())
+    return a.select("cve_id", "attempt", N.classify_error("error").alias("c")).select("cve_id", "attempt", "c.*")
+
+
+@register("attempt_ladder", _ATT_OK + """
+SELECT cve_id, CASE WHEN win IS NOT NULL THEN 'success' ELSE 'failed' END AS status, win AS attempt,
+ CASE WHEN win = 1 THEN 'primary' WHEN win IS NOT NULL THEN 'fallback' END AS model_type FROM aw""")
+def q_attempt_ladder(spark, sf):
+    return N.ladder_from_attempts(fx(spark, sf, "f_attempts"))
+
+
+@register("run_stats", _ATT_OK + """
+SELECT count(*) FILTER (WHERE win IS NOT NULL)::BIGINT AS successful, count(*) FILTER (WHERE win IS NULL)::BIGINT AS failed,
+ count(*) FILTER (WHERE win = 1)::BIGINT AS via_primary, count(*) FILTER (WHERE win > 1)::BIGINT AS via_fallback,
+ count(*)::BIGINT AS total FROM aw""")
+def q_run_stats(spark, sf):
+    return N.run_stats(N.ladder_from_attempts(fx(spark, sf, "f_attempts")))
+
+
+@register("latest_errors", D.with_fixtures(["f_source", "f_attempts"]) + """
+SELECT cve_id, attempt, model, error FROM (SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY attempt DESC) AS rn
+ FROM f_attempts WHERE error IS NOT NULL) WHERE rn = 1""")
+def q_latest_errors(spark, sf):
+    return N.latest_errors(fx(spark, sf, "f_attempts"))
+
+
+@register("route_outcomes", _ATT_OK + """
+SELECT a.cve_id, a.attempt, CASE WHEN a.json IS NOT NULL THEN 'success' ELSE 'error' END AS route
+ FROM atn a JOIN aw w ON w.cve_id = a.cve_id WHERE w.win IS NULL OR a.attempt <= w.win
+UNION ALL SELECT cve_id, NULL, 'failed' FROM aw WHERE win IS NULL""")
+def q_route_outcomes(spark, sf):
+    return N.route_outcomes(fx(spark, sf, "f_attempts"))
+
+
+@register("concat_chunks", """
+SELECT conv_id, count(*)::BIGINT AS n_chunks, string_agg(text, '' ORDER BY turn) AS response FROM conversations GROUP BY conv_id""")
+def q_concat_chunks(spark, sf):
+    return N.concat_chunks(table(spark, sf, "conversations"), "conv_id", "turn", "text")
+
+
+_REPRO = D.with_fixtures(["f_staged", "f_descriptions", "f_source"], _FIRST_SQL.replace(
+    "f_source_dup", "f_source").replace("first AS", "first_src AS")) + f"""
+, sc AS (SELECT replace(file_name, '_keyphrases.json', '') AS cve_id, content,
+  CASE WHEN NOT coalesce(json_valid(content), false) THEN NULL
+   WHEN json_type(content) = 'OBJECT' THEN {D.nonempty_count('content')}
+   WHEN json_type(content) = 'ARRAY' THEN 0
+   WHEN json_type(content) = 'VARCHAR' AND NOT ({_MENTIONS}) THEN 0 END AS current_count FROM f_staged)
+, ins AS (SELECT * FROM sc WHERE current_count <= 1)
+, dl AS (SELECT i.cve_id, i.content, i.current_count,
+   coalesce(d.description, CASE WHEN s.cve_id IS NOT NULL THEN {D.clean('s.description')} END) AS description
+   FROM ins i LEFT JOIN f_descriptions d ON d.cve_id = i.cve_id LEFT JOIN first_src s ON s.cve_id = i.cve_id)
+, rl AS (SELECT *, {_LH} + length(content) + {_LM} + length(description) + {_LT} AS L FROM dl)
+, rp AS (SELECT cve_id, current_count, CASE WHEN description IS NULL OR L % 13 = 0 THEN NULL ELSE (L % 3) * 3 + 1 END AS new_count FROM rl)
+, ro AS (SELECT cve_id, current_count, new_count, CASE WHEN new_count IS NULL THEN 'failed'
+   WHEN new_count > current_count THEN 'improved' ELSE 'no_improvement' END AS outcome FROM rp)"""
+
+
+def _reprocess(spark, sf):
+    staged = fx(spark, sf, "f_staged").select("file_name", "content")
+    ins = V.insufficient_docs(staged).select("cve_id", "current_count", "content")
+    ids = ins.select("cve_id")
+    desc = ingest.description_lookup(ids, fx(spark, sf, "f_descriptions"), fx(spark, sf, "f_source"))
+    res = N.reprocess(ins, desc.filter(F.col("description").isNotNull()), scratch_path(spark, "reprocess"),
+                      sleep=no_wait)
+    return staged, res
+
+
+@register("reprocess_insufficient", _REPRO + """
+SELECT cve_id, CAST(current_count AS BIGINT) AS current_count, CAST(new_count AS BIGINT) AS new_count, outcome FROM ro""")
+def q_reprocess_insufficient(spark, sf):
+    _, res = _reprocess(spark, sf)
+    return res.select("cve_id", F.col("current_count").cast("bigint"), F.col("new_count").cast("bigint"), "outcome")
+
+
+@register("reprocess_stats", _REPRO + """
+SELECT count(*) FILTER (WHERE outcome = 'improved')::BIGINT AS improved, count(*) FILTER (WHERE outcome = 'failed')::BIGINT AS failed,
+ count(*)::BIGINT AS total FROM ro""")
+def q_reprocess_stats(spark, sf):
+    _, res = _reprocess(spark, sf)
+    return N.reprocess_stats(res)
+
+
+@register("upsert_if_better", _REPRO + """
+SELECT replace(s.file_name, '_keyphrases.json', '') AS cve_id, coalesce(r.outcome = 'improved', false) AS updated
+FROM f_staged s LEFT JOIN ro r ON r.cve_id = replace(s.file_name, '_keyphrases.json', '')""")
+def q_upsert_if_better(spark, sf):
+    staged, res = _reprocess(spark, sf)
+    cur = staged.select(I.key_from_suffix("file_name").alias("cve_id"), "content")
+    return N.upsert_if_better(cur, res).select("cve_id", "updated")

@@ -219,3 +219,16 @@ ids AS (SELECT DISTINCT cve_id FROM kpd),
 env AS (SELECT cve_id FROM kpd WHERE ok
   UNION SELECT cve_id FROM f_descriptions WHERE cve_id IN (SELECT cve_id FROM ids)
   UNION SELECT cve_id FROM f_impacts WHERE cve_id IN (SELECT cve_id FROM ids))"""
+
+
+def stub_json(L: str, k: str) -> str:
+    """Canonical JSON answer of the stub client with the first k fields set."""
+    parts = [f"'\"{f}\":\"' || CASE WHEN {i} < ({k}) THEN '{f}-' || CAST(({L}) % 97 AS VARCHAR) ELSE '' END || '\"'"
+             for i, f in enumerate(FIELDS)]
+    return "('{' || " + " || ',' || ".join(parts) + " || '}')"
+
+
+def repaired(resp: str) -> str:
+    cut = f"regexp_extract({resp}, '(?s)^{WS}*(\\{{.*\\}})', 1)"
+    return (f"CASE WHEN {resp} IS NULL THEN NULL WHEN coalesce(json_valid({resp}), false) THEN {resp} "
+            f"WHEN {cut} <> '' AND coalesce(json_valid({cut}), false) THEN {cut} END")
