@@ -817,3 +817,55 @@ def q_upsert_if_better(spark, sf):
     staged, res = _reprocess(spark, sf)
     cur = staged.select(I.key_from_suffix("file_name").alias("cve_id"), "content")
     return N.upsert_if_better(cur, res).select("cve_id", "updated")
+
+
+# --------------------------------------------------------- sources / detect ---
+
+from skein.sources import files as S  # noqa: E402
+
+_NA = ", ".join(D.q(w) for w in S.NA_WORDS)
+
+
+def _na(c):
+    return f"CASE WHEN {c} IN ({_NA}) THEN NULL ELSE {c} END AS {c}"
+
+
+@register("read_csv_records", D.with_fixtures(["f_source"])
+          + "\nSELECT " + ", ".join(_na(c) for c in ("cve_id", "description", "state", "rejected_reason")) + " FROM f_source")
+def q_read_csv_records(spark, sf):
+    """f_source written as CSV (quoted newlines) and read back with detection."""
+    path = scratch_path(spark, "csv")
+    S.write_csv(fx(spark, sf, "f_source").select("cve_id", "description", "state", "rejected_reason"), path)
+    return S.read_csv_records(spark, path).select("cve_id", "description", "state", "rejected_reason")
+
+
+_DETECT_SRC = """ds AS (SELECT doc_id, CASE WHEN doc_id % 97 = 0 THEN NULL ELSE 'CVE-' || CAST(1999 + doc_id % 27 AS VARCHAR)
+ || '-' || CAST(1000 + doc_id * 37 AS VARCHAR) END AS ref, text AS body, lang AS lng, source AS origin FROM documents),
+smp AS (SELECT * FROM ds ORDER BY doc_id LIMIT 100)"""
+
+
+def _detect_frame(spark, sf):
+    d = table(spark, sf, "documents")
+    ref = F.when(F.col("doc_id") % 97 == 0, F.lit(None)).otherwise(
+        F.concat(F.lit("CVE-"), (F.col("doc_id") % 27 + 1999).cast("string"), F.lit("-"),
+                 (F.col("doc_id") * 37 + 1000).cast("string")))
+    return d.select(F.col("doc_id").alias("ord"), ref.alias("ref"), F.col("text").alias("body"),
+                    F.col("lang").alias("lng"), F.col("source").alias("origin"))
+
+
+def _prefix_sql(c):
+    return (f"SELECT '{c}' AS \"column\", coalesce(bool_or(starts_with({c}, 'CVE-')), false) AS has_id_prefix FROM "
+            f"(SELECT {c} FROM smp WHERE {c} IS NOT NULL ORDER BY doc_id LIMIT 10)")
+
+
+@register("detect_id_col", "WITH " + _DETECT_SRC + "\n" + "\nUNION ALL ".join(
+    _prefix_sql(c) for c in ("ref", "body", "lng", "origin")))
+def q_detect_id_col(spark, sf):
+    st = S.column_stats(_detect_frame(spark, sf), "ord")
+    return st.select("column", F.coalesce("has_id_prefix", F.lit(False)).alias("has_id_prefix"))
+
+
+@register("detect_text_col", "WITH " + _DETECT_SRC + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", avg(length(coalesce({c}, 'nan'))) AS mean_len FROM smp" for c in ("ref", "body", "lng", "origin")))
+def q_detect_text_col(spark, sf):
+    return S.column_stats(_detect_frame(spark, sf), "ord").select("column", "mean_len")
