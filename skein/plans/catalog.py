@@ -869,3 +869,28 @@ def q_detect_id_col(spark, sf):
     f"SELECT '{c}' AS \"column\", avg(length(coalesce({c}, 'nan'))) AS mean_len FROM smp" for c in ("ref", "body", "lng", "origin")))
 def q_detect_text_col(spark, sf):
     return S.column_stats(_detect_frame(spark, sf), "ord").select("column", "mean_len")
+
+
+# ------------------------------------------------------------- streaming ---
+
+from skein.streaming import incremental as ST  # noqa: E402
+
+
+@register("incremental_stream", D.with_fixtures(["f_source_dup", "f_store"],
+          D.records_to_process_sql("f_source_dup"))
+          + """\nSELECT cve_id, ord, description FROM (
+ SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY ord) AS rn FROM rtp) WHERE rn = 1""")
+def q_incremental_stream(spark, sf):
+    """Source rows arrive in two drops (originals, then later copies); two
+    availableNow runs must give the batch answer (first row per id)."""
+    src = fx(spark, sf, "f_source_dup").select(*ST.SOURCE_SCHEMA.fieldNames())
+    root = scratch_path(spark, "stream")
+    source, sink, ckpt = f"{root}/source", f"{root}/sink", f"{root}/checkpoint"
+    store = fx(spark, sf, "f_store")
+    src.filter(F.col("ord") < 1000000).write.parquet(f"{source}/drop=1")
+    ST.run_incremental(spark, source, sink, ckpt, store, files_per_batch=4,
+                       schema=ST.SOURCE_SCHEMA)
+    src.filter(F.col("ord") >= 1000000).write.parquet(f"{source}/drop=2")
+    out = ST.run_incremental(spark, source, sink, ckpt, store, files_per_batch=4,
+                             schema=ST.SOURCE_SCHEMA)
+    return out.select("cve_id", "ord", "description")
