@@ -168,11 +168,18 @@ def missing_fields(m) -> Column:
 
 def repair_response(c) -> Column:
     """Model text -> JSON text: as-is when strict; else, when the stripped
-    text starts with '{', cut after the last '}'. Null when neither works."""
-    x = _c(c)
-    cut = F.regexp_extract(x, r"(?s)^" + WS_CLASS + r"*(\{.*\})", 1)
-    cand = F.when(strict_ok(x), x).when(cut != F.lit(""), cut)
-    return F.when(strict_ok(cand), cand)
+    text starts with '{', cut after the last '}'. Null when neither works.
+
+    Each intermediate is bound once (``let``) so the strict check of the
+    candidate does not copy the cut expression."""
+    from skein.functions.text import let
+    pat = r"(?s)^" + WS_CLASS + r"*(\{.*\})"
+
+    def pick(x):
+        return let(F.regexp_extract(x, pat, 1), lambda cut: let(
+            F.when(strict_ok(x), x).when(cut != F.lit(""), cut),
+            lambda cand: F.when(strict_ok(cand), cand)))
+    return let(_c(c), pick)
 
 
 def text_map_to_json(m) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import jsonx as J
-from skein.operators.layout import balance
+from skein.operators.layout import balance, fence
 
 # --- fixed values -----------------------------------------------------------
 PRIMARY = "primary"
@@ -177,14 +177,17 @@ def infer(prompts: DataFrame, client_factory: Callable[[], object] = stub_factor
 
 def parse_calls(calls: DataFrame) -> DataFrame:
     """Add ``json`` (repaired strict JSON text or null), ``ok`` and ``n``
-    (non-empty field count; 0 for a non-object answer)."""
-    rep = J.repair_response("response")
-    with_json = calls.withColumn("json", rep)
-    m = J.parse_object("json")
-    n = F.when(F.col("json").isNotNull(), F.coalesce(J.nonempty_count(m), F.lit(0)))
+    (non-empty field count; 0 for a non-object answer).
+
+    Repair, parse and count each run once per row (``fence``): later
+    filters on ``ok`` / ``n`` must not copy the parse into themselves."""
+    j = fence(calls.select("*", J.repair_response("response").alias("json")))
+    m = fence(j.select("*", J.parse_object("json").alias("__m")))
+    n = F.when(F.col("json").isNotNull(), F.coalesce(J.nonempty_count(F.col("__m")), F.lit(0)))
     err = F.coalesce(F.col("error"), F.when(F.col("json").isNull(), F.lit("Invalid JSON response")))
-    return with_json.select("*", F.col("json").isNotNull().alias("ok"), n.alias("n")) \
-        .withColumn("error", err)
+    cols = [c for c in calls.columns if c != "error"]
+    return fence(m.select(*cols, err.alias("error"), "json", F.col("json").isNotNull().alias("ok"),
+                          n.alias("n")))
 
 
 def _append_calls(prompts: DataFrame, attempts_path: str, client_factory, concurrency, tries, sleep):
@@ -210,43 +213,48 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
     answer is taken only when it has strictly more fields. Attempts 2..3
     use the fallback model on the ids still failing. Returns the outcome
     per record: ``cve_id, status, attempt, model_type, json, n, enhanced``.
+
+    ``records`` is read once: later passes take their ids and descriptions
+    from the failed calls stored in the attempts table.
     """
     spark = records.sparkSession
+
+    def calls(a: int, call: str) -> DataFrame:
+        return parse_calls(spark.read.parquet(attempts_path)
+                           .filter((F.col("attempt") == a) & (F.col("call") == call)))
+
+    def prompts(df: DataFrame, a: int, call: str, model: str, prompt: Column) -> DataFrame:
+        return df.select("cve_id", F.lit(a).alias("attempt"), F.lit(call).alias("call"),
+                         F.lit(model).alias("model"), "description", prompt.alias("prompt"))
+
     recs = records.select("cve_id", "description")
-    outcomes = None
-    pending = recs
-    for a in range(1, max_attempts + 1):
-        model = PRIMARY if a == 1 else FALLBACK
-        prompts = pending.select("cve_id", F.lit(a).alias("attempt"), F.lit("extract").alias("call"),
-                                 F.lit(model).alias("model"), "description",
-                                 build_prompt("description").alias("prompt"))
-        _append_calls(prompts, attempts_path, client_factory, concurrency, tries, sleep)
-        calls = parse_calls(spark.read.parquet(attempts_path)
-                            .filter((F.col("attempt") == a) & (F.col("call") == "extract")))
-        good = calls.filter("ok").select("cve_id", "description", "json", "n")
-        if a == 1:
-            gate = good.filter(F.col("n") <= 1)
-            enh_prompts = gate.select(
-                "cve_id", F.lit(1).alias("attempt"), F.lit("enhance").alias("call"),
-                F.lit(FALLBACK).alias("model"), "description",
-                build_enhance_prompt("description", J.text_map_to_json(J.parse_object("json"))).alias("prompt"))
-            _append_calls(enh_prompts, attempts_path, client_factory, concurrency, tries, sleep)
-            enh = parse_calls(spark.read.parquet(attempts_path)
-                              .filter((F.col("attempt") == 1) & (F.col("call") == "enhance"))) \
-                .select("cve_id", F.col("json").alias("e_json"), F.col("n").alias("e_n"), F.col("ok").alias("e_ok"))
-            g = good.join(enh, "cve_id", "left")
-            better = F.coalesce(F.col("e_ok") & (F.col("e_n") > F.col("n")), F.lit(False))
-            good = g.select("cve_id", "description",
-                            F.when(better, F.col("e_json")).otherwise(F.col("json")).alias("json"),
-                            F.when(better, F.col("e_n")).otherwise(F.col("n")).alias("n"),
-                            better.alias("enhanced"))
-        else:
-            good = good.withColumn("enhanced", F.lit(False))
-        won = good.select("cve_id", F.lit("success").alias("status"), F.lit(a).alias("attempt"),
-                          F.lit(model).alias("model_type"), "json", "n", "enhanced")
-        outcomes = won if outcomes is None else outcomes.unionByName(won)
-        pending = pending.join(good.select("cve_id"), "cve_id", "left_anti")
-    failed = pending.select("cve_id", F.lit("failed").alias("status"), F.lit(None).cast("int").alias("attempt"),
+    _append_calls(prompts(recs, 1, "extract", PRIMARY, build_prompt("description")),
+                  attempts_path, client_factory, concurrency, tries, sleep)
+    first = calls(1, "extract")
+    good = first.filter("ok").select("cve_id", "description", "json", "n")
+    gate = good.filter(F.col("n") <= 1)
+    current = J.text_map_to_json(J.parse_object("json"))
+    _append_calls(prompts(gate, 1, "enhance", FALLBACK, build_enhance_prompt("description", current)),
+                  attempts_path, client_factory, concurrency, tries, sleep)
+    enh = calls(1, "enhance").select("cve_id", F.col("json").alias("e_json"), F.col("n").alias("e_n"),
+                                     F.col("ok").alias("e_ok"))
+    g = good.join(enh, "cve_id", "left")
+    better = F.coalesce(F.col("e_ok") & (F.col("e_n") > F.col("n")), F.lit(False))
+    outcomes = g.select("cve_id", F.lit("success").alias("status"), F.lit(1).alias("attempt"),
+                        F.lit(PRIMARY).alias("model_type"),
+                        F.when(better, F.col("e_json")).otherwise(F.col("json")).alias("json"),
+                        F.when(better, F.col("e_n")).otherwise(F.col("n")).alias("n"),
+                        better.alias("enhanced"))
+    failing = first.filter(~F.col("ok")).select("cve_id", "description")
+    for a in range(2, max_attempts + 1):
+        _append_calls(prompts(failing, a, "extract", FALLBACK, build_prompt("description")),
+                      attempts_path, client_factory, concurrency, tries, sleep)
+        res = calls(a, "extract")
+        outcomes = outcomes.unionByName(res.filter("ok").select(
+            "cve_id", F.lit("success").alias("status"), F.lit(a).alias("attempt"),
+            F.lit(FALLBACK).alias("model_type"), "json", "n", F.lit(False).alias("enhanced")))
+        failing = res.filter(~F.col("ok")).select("cve_id", "description")
+    failed = failing.select("cve_id", F.lit("failed").alias("status"), F.lit(None).cast("int").alias("attempt"),
                             F.lit(None).cast("string").alias("model_type"), F.lit(None).cast("string").alias("json"),
                             F.lit(None).cast("int").alias("n"), F.lit(False).alias("enhanced"))
     return outcomes.unionByName(failed)

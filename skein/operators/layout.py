@@ -11,16 +11,21 @@ def parallelism(df: DataFrame) -> int:
 
 def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread CPU-heavy row work (regex cleaning, JSON parsing, model calls)
-    over the cluster when the input arrives in fewer splits than cores.
-
-    A single large file with one row group is read by one task; a
-    round-robin repartition of the (already filtered) rows then lets every
-    core work. On a large input the scan already has at least as many
-    splits as cores and nothing is shuffled. Only the plan is inspected
-    (no job runs).
+    over the cluster when the input comes from fewer files than cores.
+
+    A single file with one row group is read by one task; a round-robin
+    repartition of the rows then lets every core work. An input of many
+    files already yields at least as many splits as cores, so nothing is
+    shuffled. The decision reads only the plan's file list
+    (``inputFiles``); it never runs a job (``df.rdd`` would execute the
+    shuffle stages below it under AQE).
     """
     want = min_partitions or parallelism(df)
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        n_files = len(df.inputFiles())
+    except Exception:  # e.g. a streaming micro-batch without file leaves
+        n_files = 0
+    if n_files >= want:
         return df
     return df.repartition(want)
 

@@ -17,6 +17,7 @@ from skein.fixtures import fixture, table
 from skein.functions import ids as I
 from skein.functions import text as T
 from skein.operators import ingest
+from skein.operators.layout import balance
 from skein.plans import duck as D
 from skein.session import configure
 
@@ -54,27 +55,27 @@ def q_records_to_process(spark, sf):
 
 @register("clean_description", f"SELECT doc_id, {D.clean('text')} AS description FROM documents")
 def q_clean_description(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.clean_description("text").alias("description"))
+    return balance(table(spark, sf, "documents")).select("doc_id", T.clean_description("text").alias("description"))
 
 
 @register("strip_html", f"SELECT page_id, {D.strip_html('html')} AS text FROM pages")
 def q_strip_html(spark, sf):
-    return table(spark, sf, "pages").select("page_id", T.strip_html("html").alias("text"))
+    return balance(table(spark, sf, "pages")).select("page_id", T.strip_html("html").alias("text"))
 
 
 @register("strip_punct", f"SELECT doc_id, {D.strip_punct('text')} AS text FROM documents")
 def q_strip_punct(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.strip_punct("text").alias("text"))
+    return balance(table(spark, sf, "documents")).select("doc_id", T.strip_punct("text").alias("text"))
 
 
 @register("ascii_only", f"SELECT doc_id, {D.ascii_only('text')} AS text FROM documents")
 def q_ascii_only(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.ascii_only("text").alias("text"))
+    return balance(table(spark, sf, "documents")).select("doc_id", T.ascii_only("text").alias("text"))
 
 
 @register("collapse_ws", f"SELECT doc_id, {D.collapse_ws('text')} AS text FROM documents")
 def q_collapse_ws(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.collapse_ws("text").alias("text"))
+    return balance(table(spark, sf, "documents")).select("doc_id", T.collapse_ws("text").alias("text"))
 
 
 @register("trim_kernel_trace", D.with_fixtures(["f_source"],

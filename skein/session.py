@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -19,11 +21,40 @@ RUNTIME_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``skein`` importable by Python workers (the model-call stage runs
+    library code on executors): zip the package once per application and
+    hand it to ``addPyFile``, the programmatic ``--py-files``."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = checkpoint_root(spark)
+    local_root = root[len("file:"):] if root.startswith("file:") else root
+    if not local_root.startswith("/"):
+        local_root = tempfile.mkdtemp(prefix="skein-pyfiles-")  # shipped by the driver
+    target = os.path.join(local_root, f"pyfiles-{uuid.uuid4().hex[:8]}", "skein.zip")
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators depend on (idempotent)."""
     for k, v in RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
