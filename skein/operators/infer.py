@@ -195,8 +195,11 @@ def _append_calls(prompts: DataFrame, attempts_path: str, client_factory, concur
     spark = prompts.sparkSession
     todo = prompts
     try:
-        done = spark.read.parquet(attempts_path).select("cve_id", "attempt", "call")
-        todo = prompts.join(done, ["cve_id", "attempt", "call"], "left_anti")
+        done = spark.read.parquet(attempts_path).select(
+            F.col("cve_id").alias("__id"), F.col("attempt").alias("__a"), F.col("call").alias("__c"))
+        cond = (prompts["cve_id"].eqNullSafe(done["__id"]) & (prompts["attempt"] == done["__a"])
+                & (prompts["call"] == done["__c"]))
+        todo = prompts.join(done, cond, "left_anti")
     except Exception:  # no table yet: first pass of a new run
         pass
     infer(todo, client_factory, concurrency, tries, sleep).write.mode("append").parquet(attempts_path)
@@ -219,24 +222,31 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
     """
     spark = records.sparkSession
 
-    def calls(a: int, call: str) -> DataFrame:
-        return parse_calls(spark.read.parquet(attempts_path)
-                           .filter((F.col("attempt") == a) & (F.col("call") == call)))
+    def calls(a: int, call: str, ids: DataFrame) -> DataFrame:
+        """This run's recorded calls of one pass (earlier runs' calls for
+        other ids stay in the table but are not part of this outcome)."""
+        rec = spark.read.parquet(attempts_path).filter((F.col("attempt") == a) & (F.col("call") == call))
+        k = ids.select(F.col("cve_id").alias("__id"))
+        rec = rec.join(k, rec["cve_id"].eqNullSafe(k["__id"]), "left_semi")
+        return parse_calls(rec)
 
     def prompts(df: DataFrame, a: int, call: str, model: str, prompt: Column) -> DataFrame:
         return df.select("cve_id", F.lit(a).alias("attempt"), F.lit(call).alias("call"),
                          F.lit(model).alias("model"), "description", prompt.alias("prompt"))
 
-    recs = records.select("cve_id", "description")
+    # the records are written once (reliable checkpoint in the shared
+    # checkpoint folder): every pass and id filter reads that copy instead of
+    # re-running the preparation lineage
+    recs = records.select("cve_id", "description").checkpoint()
     _append_calls(prompts(recs, 1, "extract", PRIMARY, build_prompt("description")),
                   attempts_path, client_factory, concurrency, tries, sleep)
-    first = calls(1, "extract")
+    first = calls(1, "extract", recs)
     good = first.filter("ok").select("cve_id", "description", "json", "n")
     gate = good.filter(F.col("n") <= 1)
     current = J.text_map_to_json(J.parse_object("json"))
     _append_calls(prompts(gate, 1, "enhance", FALLBACK, build_enhance_prompt("description", current)),
                   attempts_path, client_factory, concurrency, tries, sleep)
-    enh = calls(1, "enhance").select("cve_id", F.col("json").alias("e_json"), F.col("n").alias("e_n"),
+    enh = calls(1, "enhance", gate).select("cve_id", F.col("json").alias("e_json"), F.col("n").alias("e_n"),
                                      F.col("ok").alias("e_ok"))
     g = good.join(enh, "cve_id", "left")
     better = F.coalesce(F.col("e_ok") & (F.col("e_n") > F.col("n")), F.lit(False))
@@ -249,7 +259,7 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
     for a in range(2, max_attempts + 1):
         _append_calls(prompts(failing, a, "extract", FALLBACK, build_prompt("description")),
                       attempts_path, client_factory, concurrency, tries, sleep)
-        res = calls(a, "extract")
+        res = calls(a, "extract", failing)
         outcomes = outcomes.unionByName(res.filter("ok").select(
             "cve_id", F.lit("success").alias("status"), F.lit(a).alias("attempt"),
             F.lit(FALLBACK).alias("model_type"), "json", "n", F.lit(False).alias("enhanced")))
@@ -324,7 +334,8 @@ def reprocess(insufficient: DataFrame, descriptions: DataFrame, attempts_path: s
                           F.lit(FALLBACK).alias("model"), "description",
                           build_enhance_prompt("description", "content").alias("prompt"))
     _append_calls(prompts, attempts_path, client_factory, concurrency, tries, sleep)
-    calls = parse_calls(spark.read.parquet(attempts_path).filter(F.col("call") == "reprocess"))
+    calls = parse_calls(spark.read.parquet(attempts_path).filter(F.col("call") == "reprocess")
+                        .join(have.select("cve_id"), "cve_id", "left_semi"))
     r = have.select("cve_id", "current_count").join(calls.select("cve_id", "ok", "n", "json"), "cve_id", "left")
     outcome = (F.when(~F.coalesce(F.col("ok"), F.lit(False)), F.lit("failed"))
                .when(F.col("n") > F.col("current_count"), F.lit("improved"))
