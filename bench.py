@@ -37,7 +37,8 @@ def main():
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
     from skein.session import get_spark
-    spark = get_spark(f"local[{cpus}]", app="skein-bench", shuffle_partitions=int(cpus) * 2)
+    spark = get_spark(f"local[{cpus}]", app="skein-bench", shuffle_partitions=int(cpus) * 2,
+                      driver_memory=os.environ.get("BENCH_MEM", "8g"))
     from skein.plans.catalog import QUERIES
     times = {}
     for n in names:

@@ -59,11 +59,13 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def get_spark(master: str | None = None, app: str = "skein",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings used by the library."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+    if driver_memory:  # local mode: the driver JVM is the whole cluster
+        b = b.config("spark.driver.memory", driver_memory)
     b = (b.config("spark.ui.enabled", "false")
          # external model calls must not be duplicated by speculative tasks
          .config("spark.speculation", "false"))
