@@ -244,10 +244,15 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
     good = first.filter("ok").select("cve_id", "description", "json", "n")
     gate = good.filter(F.col("n") <= 1)
     current = J.text_map_to_json(J.parse_object("json"))
-    _append_calls(prompts(gate, 1, "enhance", FALLBACK, build_enhance_prompt("description", current)),
-                  attempts_path, client_factory, concurrency, tries, sleep)
+    failing = first.filter(~F.col("ok")).select("cve_id", "description")
+    # the enhancement calls (attempt 1) and the first fallback attempt both
+    # depend only on attempt 1, so they share one model-call stage
+    second = prompts(gate, 1, "enhance", FALLBACK, build_enhance_prompt("description", current))
+    if max_attempts >= 2:
+        second = second.unionByName(prompts(failing, 2, "extract", FALLBACK, build_prompt("description")))
+    _append_calls(second, attempts_path, client_factory, concurrency, tries, sleep)
     enh = calls(1, "enhance", gate).select("cve_id", F.col("json").alias("e_json"), F.col("n").alias("e_n"),
-                                     F.col("ok").alias("e_ok"))
+                                           F.col("ok").alias("e_ok"))
     g = good.join(enh, "cve_id", "left")
     better = F.coalesce(F.col("e_ok") & (F.col("e_n") > F.col("n")), F.lit(False))
     outcomes = g.select("cve_id", F.lit("success").alias("status"), F.lit(1).alias("attempt"),
@@ -255,10 +260,10 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
                         F.when(better, F.col("e_json")).otherwise(F.col("json")).alias("json"),
                         F.when(better, F.col("e_n")).otherwise(F.col("n")).alias("n"),
                         better.alias("enhanced"))
-    failing = first.filter(~F.col("ok")).select("cve_id", "description")
     for a in range(2, max_attempts + 1):
-        _append_calls(prompts(failing, a, "extract", FALLBACK, build_prompt("description")),
-                      attempts_path, client_factory, concurrency, tries, sleep)
+        if a > 2:
+            _append_calls(prompts(failing, a, "extract", FALLBACK, build_prompt("description")),
+                          attempts_path, client_factory, concurrency, tries, sleep)
         res = calls(a, "extract", failing)
         outcomes = outcomes.unionByName(res.filter("ok").select(
             "cve_id", F.lit("success").alias("status"), F.lit(a).alias("attempt"),
