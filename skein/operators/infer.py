@@ -83,11 +83,23 @@ def classify_error(err) -> Column:
                                           (~rate).alias("counts_as_attempt")))
 
 
-def concat_chunks(chunks: DataFrame, key: str, pos: str, text: str) -> DataFrame:
-    """Response text per key: chunks concatenated in position order."""
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(text).alias("t"))))
-    return chunks.groupBy(key).agg(F.count(F.lit(1)).cast("bigint").alias("n_chunks"),
-                                   F.array_join(F.transform(ordered, lambda x: x["t"]), "").alias("response"))
+def concat_chunks(chunks: DataFrame, key: str, pos: str, text: str, block: int = 1024) -> DataFrame:
+    """Response text per key: chunks concatenated in position order.
+
+    Two-level: chunks are first joined within blocks of ``block``
+    consecutive positions (``(key, pos div block)`` groups, spread over many
+    tasks, each sorting at most ``block`` rows), then the block strings are
+    joined per key. A key with a huge number of chunks therefore does not
+    sort all of them in one task; only its (inherently single) result row
+    is assembled in one place."""
+    def joined(order, value):
+        srt = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
+        return F.array_join(F.transform(srt, lambda x: x["v"]), "")
+    blk = F.floor(F.col(pos) / F.lit(block)).alias("__blk")
+    parts = chunks.groupBy(key, blk).agg(joined(pos, text).alias("__part"),
+                                         F.count(F.lit(1)).alias("__n"))
+    return parts.groupBy(key).agg(F.sum("__n").cast("bigint").alias("n_chunks"),
+                                  joined("__blk", "__part").alias("response"))
 
 
 # ------------------------------------------------------------- the call ---

@@ -87,3 +87,10 @@ def test_concat_chunks_in_order(spark):
     df = spark.createDataFrame([(1, 2, "c"), (1, 0, "a"), (1, 1, "b"), (2, 0, "z")], "k int, p int, t string")
     out = {r.k: r.response for r in N.concat_chunks(df, "k", "p", "t").collect()}
     assert out == {1: "abc", 2: "z"}
+
+
+def test_concat_chunks_many_blocks(spark):
+    rows = [(7, i, f"{i};") for i in range(2500, -1, -1)]
+    df = spark.createDataFrame(rows, "k int, p long, t string").repartition(5)
+    r = N.concat_chunks(df, "k", "p", "t", block=100).first()
+    assert r.n_chunks == 2501 and r.response == "".join(f"{i};" for i in range(2501))
