@@ -23,20 +23,31 @@ ISSUE_KINDS = ("error", "extra_fields", "missing_fields", "empty_keyphrases", "s
 # ---------------------------------------------------------------------------
 
 
-def classify(docs: DataFrame, key=None, size_col: str | None = None) -> DataFrame:
+def classify(docs: DataFrame, key=None, size_col: str | None = None,
+             check_duplicates: bool = False) -> DataFrame:
     """Validate raw docs ``(file_name, content)``.
 
     Output: ``cve_id, file_name, size, json_valid, content_hash, error,
     extra_fields, missing_fields, duplicated_fields, empty_keyphrases,
     single_keyphrase, non_empty_count, content``. Zero-byte docs must be
     present as ``content = ''`` rows (file readers drop empty files).
+
+    ``check_duplicates`` also reports keys repeated in one object (a Python
+    dict cannot hold them, so this check is off by default).
     """
     key = key if key is not None else I.key_from_suffix("file_name")
     base = balance(docs).select(
         key.alias("cve_id"), "file_name", "content",
         (F.col(size_col) if size_col else F.octet_length("content")).cast("bigint").alias("size"),
         J.strict_ok("content").alias("__ok"))
-    parsed = fence(base.withColumn("__m", F.when(F.col("__ok"), J.parse_object("content"))))
+    parsed = base.withColumn("__m", F.when(F.col("__ok"), J.parse_object("content")))
+    if check_duplicates:
+        raw = F.map_keys(F.from_json("content", J.MAP_SCHEMA))
+        parsed = parsed.withColumn("__dup", F.when(F.col("__ok"), F.array_distinct(
+            F.filter(raw, lambda k: F.size(F.filter(raw, lambda x: x == k)) > 1))))
+    else:
+        parsed = parsed.withColumn("__dup", F.lit(None).cast("array<string>"))
+    parsed = fence(parsed)
     m = F.col("__m")
     nested = J.first_nested_key(m)
     error = (F.when(~F.col("__ok"), F.lit(ERR_INVALID))
@@ -48,10 +59,10 @@ def classify(docs: DataFrame, key=None, size_col: str | None = None) -> DataFram
     n = F.col("__n")
     extra = F.when(~hard, J.extra_fields(m))
     missing = F.when(~hard, J.missing_fields(m))
-    dup = F.when(~hard, F.lit(None).cast("array<string>"))
+    dup = F.when(~hard & (F.size(F.coalesce("__dup", F.array().cast("array<string>"))) > 0), F.col("__dup"))
     empty = F.coalesce(~hard & (n == 0), F.lit(False))
     single = F.coalesce(~hard & (n == 1), F.lit(False))
-    valid = (~hard & (F.size(extra) == 0) & (F.size(missing) == 0) & ~empty & ~single)
+    valid = (~hard & (F.size(extra) == 0) & (F.size(missing) == 0) & dup.isNull() & ~empty & ~single)
     return staged.select(
         "cve_id", "file_name", "size",
         F.coalesce(valid, F.lit(False)).alias("json_valid"),
@@ -70,6 +81,7 @@ def issue_kinds(v: DataFrame) -> DataFrame:
         F.when(F.col("error").isNotNull(), F.lit("error")),
         F.when(F.size(F.coalesce("extra_fields", F.array())) > 0, F.lit("extra_fields")),
         F.when(F.size(F.coalesce("missing_fields", F.array())) > 0, F.lit("missing_fields")),
+        F.when(F.size(F.coalesce("duplicated_fields", F.array())) > 0, F.lit("duplicated_fields")),
         F.when(F.col("empty_keyphrases"), F.lit("empty_keyphrases")),
         F.when(F.col("single_keyphrase"), F.lit("single_keyphrase")))
     return v.select("cve_id", F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("kind"))

@@ -99,3 +99,15 @@ def test_repair_response(spark):
     cases = ['{"a":1}', '  {"a":1} trailing', 'prose {"a":1}', '{"a":1} x }', None, '[1,2]', '{bad']
     got = [r[0] for r in one_col(spark, cases).select(J.repair_response("c")).collect()]
     assert got == ['{"a":1}', '{"a":1}', None, None, None, '[1,2]', None]
+
+
+def test_duplicate_fields_opt_in(spark):
+    full = ",".join(f'"{f}":"v"' for f in J.REQUIRED_FIELDS)
+    docs = [("a_keyphrases.json", "{" + full + ',"impact":"w"}'), ("b_keyphrases.json", "{" + full + "}")]
+    df = spark.createDataFrame(docs, "file_name string, content string")
+    off = {r.cve_id: (r.json_valid, r.duplicated_fields) for r in V.classify(df).collect()}
+    on = {r.cve_id: (r.json_valid, r.duplicated_fields) for r in V.classify(df, check_duplicates=True).collect()}
+    assert off == {"a": (True, None), "b": (True, None)}
+    assert on == {"a": (False, ["impact"]), "b": (True, None)}
+    kinds = [r.kind for r in V.issue_kinds(V.classify(df, check_duplicates=True)).collect()]
+    assert kinds == ["duplicated_fields"]
