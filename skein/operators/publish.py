@@ -69,12 +69,15 @@ def next_store(src: DataFrame, store: DataFrame | None, on_conflict: str = "skip
 
 def write_store(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "json") -> None:
     """Write ``df`` partitioned by ``year``/``bucket``; with dynamic
-    partition overwrite only the touched partitions are replaced. Rows are
-    clustered by partition first so each task writes few files."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (df.repartition("year", "bucket").write.mode(mode).partitionBy("year", "bucket")
-       .format(fmt).save(path))
+    partition overwrite only the touched partitions are replaced.
+
+    Rows are clustered by partition first (``rebalance`` hint) so each task
+    writes few files. Unlike ``repartition(year, bucket)``, AQE may split a
+    hot partition over several tasks and merge small ones, so a bucket
+    holding a large share of the records is not written by one task."""
+    (df.hint("rebalance", "year", "bucket").write.mode(mode)
+       .option("partitionOverwriteMode", "dynamic")
+       .partitionBy("year", "bucket").format(fmt).save(path))
 
 
 def read_store(spark, path: str, fmt: str = "json", schema=None) -> DataFrame:

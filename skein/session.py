@@ -67,6 +67,7 @@ def get_spark(master: str | None = None, app: str = "skein",
     if driver_memory:  # local mode: the driver JVM is the whole cluster
         b = b.config("spark.driver.memory", driver_memory)
     b = (b.config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          # external model calls must not be duplicated by speculative tasks
          .config("spark.speculation", "false"))
     if shuffle_partitions:

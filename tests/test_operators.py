@@ -82,3 +82,33 @@ def test_write_and_read_store(spark, tmp_dir):
                         tmp_dir, fmt="text")
     back = spark.read.text(tmp_dir).collect()
     assert [(r.year, r.bucket) for r in back] == [(2024, "0xxx")]
+
+
+def test_write_store_splits_hot_bucket(spark, tmp_dir):
+    """A bucket with a third of all records is written by several tasks
+    (rebalance + AQE), and a dynamic overwrite replaces only the touched
+    partitions."""
+    import glob
+    import hashlib
+
+    def body(i):  # incompressible, so shuffle sizes reflect the row count
+        return "".join(hashlib.sha256(f"{i}-{k}".encode()).hexdigest() for k in range(4))
+    hot = [(f"CVE-2024-{1000 + i % 999}.json", body(i)) for i in range(3000)]
+    cold = [(f"CVE-{2000 + i % 20}-{5000 + i}.json", body(-i - 1)) for i in range(6000)]
+    df = spark.createDataFrame(hot + cold, "file_name string, content string").repartition(8)
+    out = publish.next_store(df, None).select("year", "bucket", F.col("content").alias("value"))
+    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        publish.write_store(out, tmp_dir, fmt="text")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
+    hot_files = glob.glob(f"{tmp_dir}/year=2024/bucket=1xxx/part-*")
+    assert len(hot_files) > 1
+    assert spark.read.text(tmp_dir).count() == 9000
+    one = spark.createDataFrame([("CVE-2024-1234.json", "z")], "file_name string, content string")
+    publish.write_store(publish.next_store(one, None).select("year", "bucket", F.col("content").alias("value")),
+                        tmp_dir, fmt="text")
+    back = spark.read.text(tmp_dir)
+    assert back.filter((F.col("year") == 2024) & (F.col("bucket") == "1xxx")).count() == 1
+    assert back.count() == 6001
