@@ -2,7 +2,10 @@
 
 Each view is one SQL statement that Spark and DuckDB both run, so the
 Spark operators and the DuckDB oracle read identical inputs. ``{S}`` is the
-string type and ``{A}`` the array constructor of the dialect.
+string type, ``{A}`` the array constructor and ``{X}`` the array-to-rows
+function of the dialect. Subsets (the published store, the target
+folder, second copies, missing sources) are chosen by data of the driver
+tables (``labels`` membership, ``lang``), never by id arithmetic.
 """
 
 from __future__ import annotations
@@ -30,8 +33,8 @@ FROM documents""",
     "f_source_dup": """
 SELECT * FROM f_source UNION ALL
 SELECT ord + 1000000 AS ord, cve_id, 'second copy ' || CAST(ord AS {S}) AS description, state, rejected_reason
-FROM f_source WHERE ord % 7 = 0""",
-    "f_store": "SELECT cve_id, ord FROM f_source WHERE ord % 5 = 0",
+FROM f_source WHERE ord IN (SELECT doc_id FROM documents WHERE lang IN ('de', 'es'))""",
+    "f_store": "SELECT cve_id, ord FROM f_source WHERE ord IN (SELECT doc_id FROM labels)",
     "f_staged": """
 SELECT d.doc_id, """ + _CVE + """ || '_keyphrases.json' AS file_name,
  CASE doc_id % 12
@@ -51,15 +54,15 @@ FROM documents d""",
     "f_impacts": """
 SELECT """ + _CVE + """ AS cve_id,
  CASE WHEN doc_id % 6 = 0 THEN {A}('i') WHEN doc_id % 6 = 1 THEN {A}('i', 'j', '') WHEN doc_id % 6 = 2 THEN {A}('') ELSE {A}('k', 'k') END AS impact_texts
-FROM documents WHERE doc_id % 4 <> 3""",
+FROM documents WHERE lang <> 'fr'""",
     "f_target": """
 SELECT file_name, CASE WHEN doc_id % 2 = 0 THEN content ELSE content || ' ' END AS content
-FROM f_staged WHERE doc_id % 3 = 0""",
+FROM f_staged WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""",
     "f_attempts": """
-SELECT cve_id, a.attempt, CASE WHEN a.attempt = 1 THEN 'primary' ELSE 'fallback' END AS model,
- CASE WHEN (ord + a.attempt) % 4 = 0 THEN NULL ELSE '{"rootcause":"r","weakness":"' || CASE WHEN ord % 3 = 0 THEN '' ELSE 'w' END || '"}' || CASE WHEN ord % 11 = 0 THEN ' done.' ELSE '' END END AS response,
- CASE WHEN (ord + a.attempt) % 4 <> 0 THEN NULL WHEN ord % 5 = 0 THEN '429 Resource has been exhausted' WHEN ord % 5 = 1 THEN 'API call timed out after 5 minutes: Timeout' WHEN ord % 5 = 2 THEN '503 Service Unavailable' WHEN ord % 5 = 3 THEN 'Quota exceeded' ELSE 'Invalid JSON response' END AS error
-FROM f_source CROSS JOIN (SELECT 1 AS attempt UNION ALL SELECT 2 UNION ALL SELECT 3) a WHERE cve_id IS NOT NULL""",
+SELECT cve_id, attempt, CASE WHEN attempt = 1 THEN 'primary' ELSE 'fallback' END AS model,
+ CASE WHEN (ord + attempt) % 4 = 0 THEN NULL ELSE '{"rootcause":"r","weakness":"' || CASE WHEN ord % 3 = 0 THEN '' ELSE 'w' END || '"}' || CASE WHEN ord % 11 = 0 THEN ' done.' ELSE '' END END AS response,
+ CASE WHEN (ord + attempt) % 4 <> 0 THEN NULL WHEN ord % 5 = 0 THEN '429 Resource has been exhausted' WHEN ord % 5 = 1 THEN 'API call timed out after 5 minutes: Timeout' WHEN ord % 5 = 2 THEN '503 Service Unavailable' WHEN ord % 5 = 3 THEN 'Quota exceeded' ELSE 'Invalid JSON response' END AS error
+FROM (SELECT cve_id, ord, {X}({A}(1, 2, 3)) AS attempt FROM f_source WHERE cve_id IS NOT NULL) a""",
     "f_repair": """
 SELECT doc_id, CASE doc_id % 9
  WHEN 0 THEN '[' || chr(39) || source || chr(39) || ', ' || chr(39) || lang || chr(39) || ']'
@@ -72,7 +75,7 @@ SELECT doc_id, CASE doc_id % 9
  WHEN 7 THEN '[' || chr(39) || 'a' || chr(39) || ', ' || chr(39) || 'b' || chr(39) || ' ]'
  ELSE '"' || source || '"' END AS value
 FROM documents""",
-    "f_descriptions": "SELECT " + _CVE + " AS cve_id, text AS description FROM documents WHERE doc_id % 6 <> 5",
+    "f_descriptions": "SELECT " + _CVE + " AS cve_id, text AS description FROM documents WHERE lang <> 'es'",
     "f_store_docs": """
 SELECT '/store/' || CASE WHEN doc_id % 13 = 0 THEN 'misc' ELSE CAST(1999 + doc_id % 27 AS {S}) END || '/'
  || CAST(CAST(floor((1000 + doc_id * 37) / 1000) AS BIGINT) AS {S}) || 'xxx/' || """ + _CVE + """ || '.json' AS path,
@@ -91,14 +94,17 @@ _DEPS = {
 }
 
 _DIALECT = {
-    "spark": {"S": "STRING", "A": "array"},
-    "duckdb": {"S": "VARCHAR", "A": "list_value"},
+    "spark": {"S": "STRING", "A": "array", "X": "explode"},
+    "duckdb": {"S": "VARCHAR", "A": "list_value", "X": "unnest"},
 }
 
 
 def render(name: str, dialect: str) -> str:
     d = _DIALECT[dialect]
-    return FIXTURE_SQL[name].replace("{S}", d["S"]).replace("{A}", d["A"]).strip()
+    out = FIXTURE_SQL[name]
+    for k, v in d.items():
+        out = out.replace("{" + k + "}", v)
+    return out.strip()
 
 
 def _closure(names) -> list[str]:
@@ -128,7 +134,7 @@ def register_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture view as a DataFrame over the tables of ``sf_dir``."""
-    register_tables(spark, sf_dir, ("documents",))
+    register_tables(spark, sf_dir, ("documents", "labels"))
     return spark.sql(f"{with_clause([name], 'spark')}\nSELECT * FROM {name}")
 
 
