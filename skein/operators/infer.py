@@ -202,19 +202,36 @@ def parse_calls(calls: DataFrame) -> DataFrame:
                           n.alias("n")))
 
 
-def _append_calls(prompts: DataFrame, attempts_path: str, client_factory, concurrency, tries, sleep):
-    """Make the calls not yet recorded and append them to the attempts table."""
+def read_calls(spark, attempts_path: str, keys) -> DataFrame:
+    """Recorded calls of the given ``(attempt, call)`` passes.
+
+    The attempts table is partitioned by ``call`` and ``attempt``, so the
+    filter prunes whole partitions: a pass reads its own slice of the
+    history, not every call ever made."""
+    cond = None
+    for a, c in keys:
+        k = (F.col("call") == c) & (F.col("attempt") == a)
+        cond = k if cond is None else cond | k
+    return spark.read.parquet(attempts_path).filter(cond)
+
+
+def _append_calls(prompts: DataFrame, keys, attempts_path: str, client_factory, concurrency, tries, sleep):
+    """Make the calls not yet recorded and append them to the attempts table.
+
+    ``keys`` lists the ``(attempt, call)`` passes the prompts belong to;
+    only those partitions are read for the "already called" anti-join."""
     spark = prompts.sparkSession
     todo = prompts
     try:
-        done = spark.read.parquet(attempts_path).select(
+        done = read_calls(spark, attempts_path, keys).select(
             F.col("cve_id").alias("__id"), F.col("attempt").alias("__a"), F.col("call").alias("__c"))
         cond = (prompts["cve_id"].eqNullSafe(done["__id"]) & (prompts["attempt"] == done["__a"])
                 & (prompts["call"] == done["__c"]))
         todo = prompts.join(done, cond, "left_anti")
     except Exception:  # no table yet: first pass of a new run
         pass
-    infer(todo, client_factory, concurrency, tries, sleep).write.mode("append").parquet(attempts_path)
+    (infer(todo, client_factory, concurrency, tries, sleep).write.mode("append")
+     .partitionBy("call", "attempt").parquet(attempts_path))
 
 
 def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_factory,
@@ -237,7 +254,7 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
     def calls(a: int, call: str, ids: DataFrame) -> DataFrame:
         """This run's recorded calls of one pass (earlier runs' calls for
         other ids stay in the table but are not part of this outcome)."""
-        rec = spark.read.parquet(attempts_path).filter((F.col("attempt") == a) & (F.col("call") == call))
+        rec = read_calls(spark, attempts_path, [(a, call)])
         k = ids.select(F.col("cve_id").alias("__id"))
         rec = rec.join(k, rec["cve_id"].eqNullSafe(k["__id"]), "left_semi")
         return parse_calls(rec)
@@ -250,7 +267,7 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
     # checkpoint folder): every pass and id filter reads that copy instead of
     # re-running the preparation lineage
     recs = records.select("cve_id", "description").checkpoint()
-    _append_calls(prompts(recs, 1, "extract", PRIMARY, build_prompt("description")),
+    _append_calls(prompts(recs, 1, "extract", PRIMARY, build_prompt("description")), [(1, "extract")],
                   attempts_path, client_factory, concurrency, tries, sleep)
     first = calls(1, "extract", recs)
     good = first.filter("ok").select("cve_id", "description", "json", "n")
@@ -260,9 +277,11 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
     # the enhancement calls (attempt 1) and the first fallback attempt both
     # depend only on attempt 1, so they share one model-call stage
     second = prompts(gate, 1, "enhance", FALLBACK, build_enhance_prompt("description", current))
+    second_keys = [(1, "enhance")]
     if max_attempts >= 2:
         second = second.unionByName(prompts(failing, 2, "extract", FALLBACK, build_prompt("description")))
-    _append_calls(second, attempts_path, client_factory, concurrency, tries, sleep)
+        second_keys.append((2, "extract"))
+    _append_calls(second, second_keys, attempts_path, client_factory, concurrency, tries, sleep)
     enh = calls(1, "enhance", gate).select("cve_id", F.col("json").alias("e_json"), F.col("n").alias("e_n"),
                                            F.col("ok").alias("e_ok"))
     g = good.join(enh, "cve_id", "left")
@@ -274,7 +293,7 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
                         better.alias("enhanced"))
     for a in range(2, max_attempts + 1):
         if a > 2:
-            _append_calls(prompts(failing, a, "extract", FALLBACK, build_prompt("description")),
+            _append_calls(prompts(failing, a, "extract", FALLBACK, build_prompt("description")), [(a, "extract")],
                           attempts_path, client_factory, concurrency, tries, sleep)
         res = calls(a, "extract", failing)
         outcomes = outcomes.unionByName(res.filter("ok").select(
@@ -350,8 +369,8 @@ def reprocess(insufficient: DataFrame, descriptions: DataFrame, attempts_path: s
     prompts = have.select("cve_id", F.lit(0).alias("attempt"), F.lit("reprocess").alias("call"),
                           F.lit(FALLBACK).alias("model"), "description",
                           build_enhance_prompt("description", "content").alias("prompt"))
-    _append_calls(prompts, attempts_path, client_factory, concurrency, tries, sleep)
-    calls = parse_calls(spark.read.parquet(attempts_path).filter(F.col("call") == "reprocess")
+    _append_calls(prompts, [(0, "reprocess")], attempts_path, client_factory, concurrency, tries, sleep)
+    calls = parse_calls(read_calls(spark, attempts_path, [(0, "reprocess")])
                         .join(have.select("cve_id"), "cve_id", "left_semi"))
     r = have.select("cve_id", "current_count").join(calls.select("cve_id", "ok", "n", "json"), "cve_id", "left")
     outcome = (F.when(~F.coalesce(F.col("ok"), F.lit(False)), F.lit("failed"))
