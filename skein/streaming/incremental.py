@@ -22,11 +22,20 @@ SOURCE_SCHEMA = StructType([
     StructField("rejected_reason", StringType())])
 
 
-def _sink_ids(spark: SparkSession, sink: str) -> DataFrame | None:
+def _seen_ids(spark: SparkSession, sink: str, batch: DataFrame) -> DataFrame | None:
+    """Sink ids that also occur in the micro-batch (null-safe).
+
+    The sink grows with every run while a batch stays small, so the sink's
+    id column is semi-joined against the batch ids: when the batch side is
+    under the broadcast threshold (Catalyst measures it) the sink is
+    scanned without a shuffle, and the later anti-join only sees this small
+    hit set. A large batch falls back to a sort-merge semi-join."""
     try:
-        return spark.read.parquet(sink).select("cve_id")
+        ids = spark.read.parquet(sink).select("cve_id")
     except Exception:  # empty sink on the first run
         return None
+    b = batch.select(F.col("cve_id").alias("__b"))
+    return ids.join(b, ids["cve_id"].eqNullSafe(b["__b"]), "left_semi")
 
 
 def process_batch(batch: DataFrame, store: DataFrame | None, sink: str) -> None:
@@ -34,7 +43,7 @@ def process_batch(batch: DataFrame, store: DataFrame | None, sink: str) -> None:
     spark = batch.sparkSession
     todo = ingest.records_to_process(batch, store)
     first = ingest.first_wins(todo.select("cve_id", "ord", "description"), "cve_id", "ord")
-    new = ingest.incremental_anti(first, _sink_ids(spark, sink))
+    new = ingest.incremental_anti(first, _seen_ids(spark, sink, batch))
     new.write.mode("append").parquet(sink)
 
 
