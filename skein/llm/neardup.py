@@ -3,23 +3,30 @@
 A document's set is its distinct 5-word shingles. Two sets are linked when
 their exact Jaccard similarity is at least 0.75.
 
-1. One pass computes each set's size, a 128-bit set key and T minima (its
-   minwise tokens). Equal sets are one class from here on, so copies cost
-   nothing further.
+1. One pass computes each set's size, a 128-bit set key, T minima (its minwise
+   tokens) and their low bytes (its sketch). Equal sets are one class from here
+   on, so copies cost nothing further.
 2. Chosen paths. In each of TREES independent trees a node picks one or two of
    the T positions (1/lambda on average) by its own seed, and branches every
    class to the child named by its token there. Classes alone in a node leave.
-   Every class of a node is compared with the node's pivot, linear work; links
-   are confirmed on full sets and joined to components.
-3. Nodes that still hold several components are finished: small ones by
-   exhaustive comparison of classes of different components, larger ones by
-   branching again. After DEPTH levels what is left is compared exhaustively
-   in blocks, so no node is cut short.
-4. The links give components (alternating large and small stars).
-
-A node is a grouping key, not a task: rows of a node are only joined with its
-pivot or compared in sorted order within bounded runs. Each stage is a table
-in the shared scratch folder, so a lost executor costs one stage's tasks.
+3. Drawing together. Nodes are dealt in blocks of about BLOCK classes and each
+   class proposes its best partner of another component, one pair a class and
+   node. Proposals are confirmed on full sets and joined to components. A few
+   rounds with new blocks leave a large group of near copies as one component,
+   after linear work.
+4. Finishing. Nodes that still hold several components are compared
+   exhaustively across components: small ones at once, larger ones when few of
+   their classes are outside the main component; the others branch again. After
+   DEPTH levels what is left is compared in all pairs of its blocks. The first
+   comparison only marks classes that have a partner; these get a longer sketch
+   and only pairs near by that are confirmed, as texts that share most of a
+   passage are often alike but seldom enough. No node is cut short and no pair
+   of different components left out.
+5. The links give components (alternating large and small stars).
+
+A node is a grouping key, not a task: its rows are compared in sorted order
+within bounded blocks. Each stage is a table in the shared scratch folder, so a
+lost executor costs one stage's tasks.
 """
 
 from __future__ import annotations
@@ -40,9 +47,15 @@ WIDTH = 5
 SHARE, OF = 75, 100        # linked when OF * intersection >= SHARE * union
 TOKENS = 128
 TREES = 14
-SMALL = 256                # classes of a node compared exhaustively
+BLOCK = 256                # classes that propose partners to each other
+SMALL = 1024               # classes of a node compared exhaustively at once
+ROUNDS = 2                 # of drawing together
 DEPTH = 8
-SIEVE = 0.58               # estimated similarity below which a pair is not confirmed (4.4 sigma under 0.75)
+BROADCAST_IDS = 4_000_000  # ids of texts to fetch that are sent to all tasks; more are joined
+RUN_ROWS = 8192
+SIEVE = 0.58               # estimated similarity below which a pair is let go (4.4 sigma under 0.75)
+DEEP_TOKENS = 512          # of the longer sketch that classes near a class of another component get
+DEEP_SIEVE = 0.67          # (4.2 sigma)
 BLOCK_BYTES = 2 << 20
 CHUNK = 1 << 15
 
@@ -58,8 +71,8 @@ def set_key(s: np.ndarray) -> bytes:
     return xxh3_128_digest(s.tobytes())
 
 
-def token_multipliers() -> np.ndarray:
-    return (odd_constants(TOKENS, 11) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+def token_multipliers(n: int = TOKENS) -> np.ndarray:
+    return (odd_constants(n, 11) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def minima(sets: list[np.ndarray], mult: np.ndarray) -> np.ndarray:
@@ -93,6 +106,14 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_shingles", "set_key", "tokens"])
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The low byte of each token, for comparisons."""
+    for b in batches:
+        if b.num_rows:
+            low = (_matrix(b.column(2)) & np.uint32(0xFF)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([r.tobytes() for r in low], pa.binary())], ["cid", "n", "sketch"])
+
+
 def _choose(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The positions a node branches on: one, and with chance 1/lambda - 1 a second."""
     h = mix(node + np.uint64(0xA5A5A5A5))
@@ -137,41 +158,100 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(cid[row])], ["node", "cid"])
 
 
-def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose token agreement reaches SIEVE."""
-    for b in batches:
-        if b.num_rows:
-            near = (_matrix(b.column(2)) == _matrix(b.column(3))).sum(1) >= SIEVE * TOKENS
-            yield b.select(["a", "b"]).filter(pa.array(near))
-
-
-def _compare_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exhaustive comparison within runs of one node (rows come sorted by
-    node): classes of different components whose tokens agree enough."""
-    rest = None
-    for b in batches:
-        node, comp, cid, tokens = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(), _matrix(b.column(3))
-        if rest is not None:
-            node, comp, cid, tokens = (np.concatenate(x) for x in zip(rest, (node, comp, cid, tokens)))
-        # the last node may go on in the next batch: hold its rows back
-        cut = int(np.searchsorted(node, node[-1])) if len(node) else 0
-        rest = tuple(x[cut:] for x in (node, comp, cid, tokens))
-        yield from _runs(node[:cut], comp[:cut], cid[:cut], tokens[:cut])
-    if rest is not None:
-        yield from _runs(*rest)
-
-
-def _runs(node, comp, cid, tokens) -> Iterator[pa.RecordBatch]:
+def _in_runs(compare):
+    """Calls ``compare`` on runs of whole nodes; rows come sorted by node."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(b)
+            rows += b.num_rows
+            if rows < RUN_ROWS:
+                continue
+            cols = _columns(held)
+            # the last node may go on in the next batch: its rows are held back
+            cut = int(np.searchsorted(cols[0], cols[0][-1]))
+            if cut:
+                yield from compare(*(c[:cut] for c in cols))
+            whole = pa.Table.from_batches(held).slice(cut).combine_chunks()
+            held = whole.to_batches()
+            rows = whole.num_rows
+        if held:
+            yield from compare(*_columns(held))
+    return run
+
+
+def _columns(held: list[pa.RecordBatch]) -> list[np.ndarray]:
+    t = pa.Table.from_batches(held)
+    sketch = np.frombuffer(b"".join(t.column(4).to_pylist()), np.uint8).reshape(t.num_rows, -1)
+    return [*(t.column(i).to_numpy() for i in range(4)), sketch]
+
+
+def _near(node, comp, cid, n, sketch, sieve: float = SIEVE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, agreeing tokens) of all rows of one node but different
+    components whose sizes allow a link and whose sketches reach SIEVE."""
     for gap in range(1, len(node)):
         same = np.flatnonzero(node[gap:] == node[:-gap])
         if not len(same):
             return
-        i = same[comp[same] != comp[same + gap]]
-        for lo in range(0, len(i), 4096):
-            x = i[lo:lo + 4096]
-            x = x[(tokens[x] == tokens[x + gap]).sum(1) >= SIEVE * TOKENS]
-            if len(x):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[x], cid[x + gap])), pa.array(np.maximum(cid[x], cid[x + gap]))], ["a", "b"])
+        j = same + gap
+        ok = (comp[same] != comp[j]) & (OF * np.minimum(n[same], n[j]) >= SHARE * np.maximum(n[same], n[j]))
+        i, j = same[ok], j[ok]
+        agree = (sketch[i] == sketch[j]).sum(1)
+        ok = agree >= sieve * sketch.shape[1]
+        if ok.any():
+            yield i[ok], j[ok], agree[ok]
+
+
+def _pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+
+def _propose(turn: int):
+    """Each row's best partner; later turns add noise, so that a pair which
+    wasn't confirmed isn't proposed again and again."""
+    def compare(node, comp, cid, n, sketch) -> Iterator[pa.RecordBatch]:
+        best, who = np.full(len(node), -1, np.int64), np.full(len(node), -1, np.int64)
+        for i, j, agree in _near(node, comp, cid, n, sketch):
+            score = agree.astype(np.int64)
+            if turn:
+                key = mix(mix(cid[i].view(np.uint64)) + mix(cid[j].view(np.uint64)) + np.uint64(turn))
+                score = score + (key % np.uint64(TOKENS // 10)).astype(np.int64)
+            for x, y in ((i, j), (j, i)):
+                up = score > best[x]
+                best[x[up]], who[x[up]] = score[up], y[up]
+        x = np.flatnonzero(who >= 0)
+        if len(x):
+            a, b = cid[x], cid[who[x]]
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            yield _pairs(pairs[0], pairs[1])
+    return compare
+
+
+def _mark(node, comp, cid, n, sketch) -> Iterator[pa.RecordBatch]:
+    """The rows with any partner."""
+    has = np.zeros(len(node), bool)
+    for i, j, _ in _near(node, comp, cid, n, sketch):
+        has[i] = has[j] = True
+    if has.any():
+        yield pa.RecordBatch.from_arrays([pa.array(x[has]) for x in (node, cid, comp)], ["node", "cid", "comp"])
+
+
+def _exhaust(node, comp, cid, n, sketch) -> Iterator[pa.RecordBatch]:
+    for i, j, _ in _near(node, comp, cid, n, sketch, DEEP_SIEVE):
+        yield _pairs(cid[i], cid[j])
+
+
+def _deepen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Longer sketches of full sets."""
+    mult = token_multipliers(DEEP_TOKENS)
+    for b in batches:
+        if b.num_rows:
+            sets = [np.frombuffer(x, np.uint64) for x in b.column(1).to_pylist()]
+            low = (minima(sets, mult) & np.uint32(0xFF)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([r.tobytes() for r in low], pa.binary())],
+                                             ["cid", "n", "sketch"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,11 +289,15 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """(cid, comp): the smallest member of each linked class's component, by
-    alternating large and small stars. Both steps only take minima by key and
-    join them back, so a centre with a third of all links is no single task."""
-    e = _stored(links.select("a", "b").where("a <> b").distinct(), "edges")
+    alternating large and small stars; ``before`` are components to go on from.
+    Both steps only take minima by key and join them back, so a centre with a
+    third of all links is no single task."""
+    e = links.select("a", "b")
+    if before is not None:
+        e = e.union(before.select(F.col("cid").alias("a"), F.col("comp").alias("b")))
+    e = _stored(e.where("a <> b").distinct(), "edges")
     seen = None
     while True:
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -231,84 +315,129 @@ def components(links: DataFrame) -> DataFrame:
         e.select(F.col("b").alias("cid"), F.col("b").alias("comp")).distinct())
 
 
+PAIR = "a long, b long"
+ROW = "node long, cid long, comp long"
+SKETCH = "cid long, n long, sketch binary"
+
+
 class _Join:
-    """State of one join over the classes (cid, rep, set_key, tokens)."""
+    """State of one join over the classes (cid, rep, set_key, n, tokens)."""
 
     def __init__(self, spark: SparkSession, classes: DataFrame, docs: DataFrame):
         self.spark, self.classes, self.docs = spark, classes, docs
         self.tokens = classes.select("cid", "tokens")
-        self.links: DataFrame | None = None
+        self.sketches = _stored(classes.select("cid", "n", "tokens").mapInArrow(_sketches, SKETCH), "sketches")
+        self.sets: DataFrame | None = None
+        self.tried: DataFrame | None = None
 
-    def with_comp(self, rows: DataFrame, comp: DataFrame | None) -> DataFrame:
+    def mixed(self, rows: DataFrame, comp: DataFrame | None) -> DataFrame:
+        """Rows (node, cid, comp, size) of nodes that hold several components."""
         if comp is None:
-            return rows.withColumn("comp", F.col("cid"))
-        return rows.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+            rows = rows.withColumn("comp", F.col("cid"))
+        else:
+            rows = rows.select("node", "cid").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        open_ = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+        return rows.join(open_.select("node", "size"), "node").select("node", "cid", "comp", "size")
+
+    def compare(self, rows: DataFrame, how, out: str, sketches: DataFrame | None = None) -> DataFrame:
+        """Runs ``how`` over the rows of each node, of bounded size here."""
+        n = shuffle_partitions(self.spark)
+        full = rows.join(sketches or self.sketches, "cid").select("node", "comp", "cid", "n", "sketch")
+        return full.repartition(n, "node").sortWithinPartitions("node", "cid").mapInArrow(_in_runs(how), out)
+
+    @staticmethod
+    def dealt(rows: DataFrame, turn: int) -> DataFrame:
+        """Nodes cut into blocks of about BLOCK classes, others in each turn."""
+        block = F.pmod(F.xxhash64("cid", "node", F.lit(turn)), F.ceil(F.col("size") / BLOCK))
+        return rows.select(F.when(F.col("size") <= BLOCK, F.col("node")).otherwise(F.xxhash64("node", block)).alias("node"), "cid", "comp")
+
+    @staticmethod
+    def in_blocks(big: DataFrame) -> DataFrame:
+        """A node of m classes as all pairs of its blocks: every two classes
+        meet in one of the bounded groups."""
+        b = F.ceil(F.col("size") * 2 / SMALL).cast("int")
+        own = F.pmod(F.xxhash64("cid"), b).cast("int")
+        return (big.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), b - 1)).alias("other"))
+                .select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "cid", "comp"))
 
-    def star(self, rows: DataFrame) -> DataFrame:
-        """Pairs of each class with the smallest class of its node."""
-        pivots = rows.groupBy("node").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a < z")
-        return (rows.join(pivots.select("node", "a"), "node").where("cid <> a")
-                .select("a", F.col("cid").alias("b")).distinct())
+    @staticmethod
+    def beside_main(rows: DataFrame) -> DataFrame:
+        """Large nodes with few classes outside their main component: these
+        are added to each block of the node, so they meet all its rows."""
+        b = F.ceil(F.col("size") / SMALL).cast("int")
+        own = F.pmod(F.xxhash64("cid"), b).cast("int")
+        blocks_ = F.when(F.col("comp") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), b - 1))
+        return rows.select("node", "cid", "comp", F.explode(blocks_).alias("block")).select(F.xxhash64("node", "block").alias("node"), "cid", "comp")
 
-    def sieved(self, pairs: DataFrame) -> DataFrame:
-        t = self.tokens
-        both = (pairs.join(t.select(F.col("cid").alias("a"), F.col("tokens").alias("x")), "a")
-                .join(t.select(F.col("cid").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y"))
-        return both.mapInArrow(_sieve, "a long, b long")
+    @staticmethod
+    def with_main(big: DataFrame) -> DataFrame:
+        """Adds each node's main component and the number of classes outside."""
+        each = big.groupBy("node", "comp").agg(F.count("*").alias("part"), F.max("size").alias("size"))
+        main = each.groupBy("node").agg(F.max_by("comp", F.struct("part", "comp")).alias("main"), (F.max("size") - F.max("part")).alias("outside"))
+        return big.join(main, "node")
+
+    def fetch(self, used: DataFrame) -> DataFrame | None:
+        """Full sets of the given classes and of those asked for before."""
+        if self.sets is not None:
+            used = used.join(self.sets.select("cid"), "cid", "left_anti")
+        named = _stored(used.join(self.classes.select("cid", "rep", "set_key"), "cid"), "fetch")
+        ids, count = named.select("rep").distinct(), named.count()
+        if count:
+            if count <= BROADCAST_IDS:
+                ids = F.broadcast(ids)
+            text = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+            got = text.select("text").mapInArrow(_full_sets, "set_key binary, members binary")
+            # an id may stand on several texts, a text on several rows: one set a class
+            got = _stored(got.join(named.select("cid", "set_key"), "set_key").select("cid", "members").dropDuplicates(["cid"]), "full")
+            self.sets = got if self.sets is None else self.sets.union(got)
+        return self.sets
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
-        """Links among the pairs, as a table."""
+        """The links among the pairs not tried before, as a table."""
+        pairs = pairs.distinct()
+        if self.tried is not None:
+            pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
         pairs = _stored(pairs, "pairs")
-        used = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-        named = used.join(self.classes.select("cid", "rep", "set_key"), "cid")
-        text = self.docs.join(named.select("rep").distinct(), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-        sets = text.select("text").mapInArrow(_full_sets, "set_key binary, members binary")
-        # an id may stand on several texts, a text on several rows: one set a class
-        sets = _stored(sets.join(named.select("cid", "set_key"), "set_key").select("cid", "members").dropDuplicates(["cid"]), "sets")
+        self.tried = pairs if self.tried is None else self.tried.union(pairs)
+        sets = self.fetch(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
+        if sets is None:
+            return pairs
         both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("members").alias("x")), "a")
                 .join(sets.select(F.col("cid").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y"))
-        return _stored(both.mapInArrow(_confirm, "a long, b long"), "links")
-
-    def mixed(self, rows: DataFrame, comp: DataFrame) -> DataFrame:
-        """Rows of nodes that hold several components, with their node's size."""
-        rows = self.with_comp(rows, comp)
-        open_ = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        return rows.join(open_.select("node", "size"), "node").select("node", "cid", "comp", "size")
-
-    def compared(self, rows: DataFrame) -> DataFrame:
-        """Candidate pairs from exhaustive comparison of small nodes."""
-        n = shuffle_partitions(self.spark)
-        full = rows.join(self.tokens, "cid").select("node", "comp", "cid", "tokens")
-        return full.repartition(n, "node").sortWithinPartitions("node", "cid").mapInArrow(_compare_runs, "a long, b long")
+        return _stored(both.mapInArrow(_confirm, PAIR), "links")
+
+    def exhaust(self, groups: list[DataFrame]) -> DataFrame:
+        """Candidate pairs of different components within bounded groups."""
+        marked = None
+        for g in groups:
+            got = self.compare(g, _mark, ROW)
+            marked = got if marked is None else marked.union(got)
+        marked = _stored(marked.distinct(), "marked")
+        used = marked.select("cid").distinct()
+        sets = self.fetch(used)
+        if sets is None:
+            return marked.select(F.col("cid").alias("a"), F.col("cid").alias("b"))  # none are marked
+        deep = _stored(sets.join(used, "cid", "left_semi").mapInArrow(_deepen, SKETCH), "deep")
+        return self.compare(marked, _exhaust, PAIR, deep)
 
     def run(self) -> DataFrame:
-        rows = _stored(self.tokens.mapInArrow(_roots, "node long, cid long"), "nodes")
-        first = self.confirm(self.sieved(self.star(rows)))
-        comp = _stored(components(first), "comp")
-        pairs, level = None, 1
+        rows, comp = self.tokens.mapInArrow(_roots, "node long, cid long"), None
+        for turn in range(ROUNDS):
+            rows = _stored(self.mixed(rows, comp), "nodes")
+            links = self.confirm(self.compare(self.dealt(rows, turn), _propose(turn), PAIR))
+            comp = _stored(components(links, comp), "comp")
+        groups, level = [], 1
         while True:
-            rows = _stored(self.mixed(rows, comp), f"level{level}")
-            got = self.compared(rows.where(F.col("size") <= SMALL))
-            pairs = got if pairs is None else pairs.union(got)
-            big = rows.where(F.col("size") > SMALL)
-            if big.isEmpty():
-                break
-            if level == DEPTH:
-                pairs = pairs.union(self.compared(self.in_blocks(big)))
+            rows = _stored(self.mixed(rows, comp), "nodes")
+            big = self.with_main(rows.where(F.col("size") > SMALL))
+            groups += [rows.where(F.col("size") <= SMALL).select("node", "cid", "comp"), self.beside_main(big.where(F.col("outside") <= SMALL))]
+            big = _stored(big.where(F.col("outside") > SMALL), "large")
+            if level == DEPTH or big.isEmpty():
+                groups.append(self.in_blocks(big))
                 break
             rows = big.join(self.tokens, "cid").select("node", "cid", "tokens").mapInArrow(_branch, "node long, cid long")
             level += 1
-        second = self.confirm(pairs.distinct())
-        return components(first.union(second))
-
-    @staticmethod
-    def in_blocks(big: DataFrame) -> DataFrame:
-        """A node of m classes as all pairs of its m / SMALL blocks: every two
-        classes meet in one of the bounded groups."""
-        b = F.ceil(F.col("size") * 2 / SMALL).cast("int")
-        own = F.pmod(F.xxhash64("cid"), b).cast("int")
-        return (big.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), b - 1)).alias("other"))
-                .select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "cid", "comp"))
+        return components(self.confirm(self.exhaust(groups)), comp)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -328,9 +457,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), as_bytes(f"`{text_col}`"))
     seen = _stored(src.mapInArrow(_describe, "doc_id long, n_shingles long, set_key binary, tokens binary"), "sets")
     classes = (seen.where("set_key IS NOT NULL").groupBy("set_key")
-               .agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")))
+               .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("tokens").alias("tokens")))
     # numbered when written: the numbers stay as they are from here on
-    classes = _stored(classes.select(F.monotonically_increasing_id().alias("cid"), "rep", "set_key", "tokens"), "classes")
+    classes = _stored(classes.select(F.monotonically_increasing_id().alias("cid"), "rep", "set_key", "n", "tokens"), "classes")
     comp = _stored(_Join(spark, classes, src).run(), "comp")
     member = classes.join(comp, "cid", "left").select("set_key", "rep", F.coalesce("comp", "cid").alias("comp"))
     ids = member.groupBy("comp").agg(F.min("rep").alias("component_id"))

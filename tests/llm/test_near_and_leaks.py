@@ -76,6 +76,7 @@ def test_groups_chains_and_shared_passages(spark):
 
 
 def test_large_nodes_branch_and_end_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
     monkeypatch.setattr(neardup, "SMALL", 4)
     monkeypatch.setattr(neardup, "DEPTH", 2)
     rows = corpus(2)
