@@ -39,7 +39,7 @@ from .common import WordHashes, as_bytes, blocks, mix, prepare, shuffle_partitio
 
 HELD_MOD, HELD = 10, 0
 K = 400.0                  # weight of the root's distribution in each state
-BLOCK_BYTES = 12 << 20     # text in a block
+BLOCK_BYTES = 6 << 20      # text in a block
 SHARD_KEYS = 1_500_000     # pair entries aimed at for a shard
 END = b""                  # local word 0: no real word is empty
 BEGIN = np.uint64(0x5D1F_0BEE_71A3_9C47)
