@@ -15,13 +15,14 @@ their exact Jaccard similarity is at least 0.75.
    rounds with new blocks leave a large group of near copies as one component,
    after linear work.
 4. Finishing. Nodes that still hold several components are compared
-   exhaustively across components: small ones at once, larger ones when few of
-   their classes are outside the main component; the others branch again. After
-   DEPTH levels what is left is compared in all pairs of its blocks. The first
-   comparison only marks classes that have a partner; these get a longer sketch
+   exhaustively across components: small ones at once, larger ones in all pairs
+   of their blocks, or, when few classes are outside the main component, these
+   against each block. Very wide nodes branch again, DEPTH times at most. The
+   first comparison only marks classes that have a partner; these get a longer sketch
    and only pairs near by that are confirmed, as texts that share most of a
-   passage are often alike but seldom enough. No node is cut short and no pair
-   of different components left out.
+   passage are often alike but seldom enough. A pair that meets in several
+   trees is reported at its first meeting. No node is cut short and no pair of
+   different components left out.
 5. The links give components (alternating large and small stars).
 
 A node is a grouping key, not a task: its rows are compared in sorted order
@@ -46,20 +47,22 @@ from .common import WordHashes, as_bytes, blocks, mix, odd_constants, prepare, s
 WIDTH = 5
 SHARE, OF = 75, 100        # linked when OF * intersection >= SHARE * union
 TOKENS = 128
-TREES = 14
+TREES = 10
 BLOCK = 256                # classes that propose partners to each other
 SMALL = 1024               # classes of a node compared exhaustively at once
 ROUNDS = 2                 # of drawing together
+WIDE = 8                   # nodes of more than WIDE * SMALL classes branch on
 DEPTH = 8
 BROADCAST_IDS = 4_000_000  # ids of texts to fetch that are sent to all tasks; more are joined
 RUN_ROWS = 8192
 SIEVE = 0.58               # estimated similarity below which a pair is let go (4.4 sigma under 0.75)
-DEEP_TOKENS = 512          # of the longer sketch that classes near a class of another component get
-DEEP_SIEVE = 0.67          # (4.2 sigma)
+DEEP_TOKENS = 1024         # of the longer sketch that classes near a class of another component get
+DEEP_SIEVE = 0.69          # (4.4 sigma)
 BLOCK_BYTES = 2 << 20
 CHUNK = 1 << 15
 
 _M32 = np.uint64(0xFFFFFFFF)
+BELOW = 62                 # the path of nodes below the roots; there are fewer root paths
 
 
 def shingle_set(text: bytes | None, memo: WordHashes) -> np.ndarray:
@@ -107,11 +110,18 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The low byte of each token, for comparisons."""
+    """The low byte of each token, for comparisons, and the whole tokens at
+    the positions the trees' roots branch on."""
+    at = [pos for _, pos in root_paths()]
     for b in batches:
         if b.num_rows:
-            low = (_matrix(b.column(2)) & np.uint32(0xFF)).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([r.tobytes() for r in low], pa.binary())], ["cid", "n", "sketch"])
+            tokens = _matrix(b.column(2))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _rows((tokens & np.uint32(0xFF)).astype(np.uint8)), _rows(tokens[:, at])],
+                                             ["cid", "n", "sketch", "roots"])
+
+
+def _rows(m: np.ndarray) -> pa.Array:
+    return pa.array([r.tobytes() for r in m], pa.binary())
 
 
 def _choose(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +141,7 @@ def _children(node: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndar
         ok = pos >= 0
         value = tokens[r[ok], pos[ok]].astype(np.uint64)
         rows.append(r[ok])
-        out.append(mix(node[ok] * np.uint64(0x9E3779B97F4A7C15) + (pos[ok].astype(np.uint64) << np.uint64(32)) + value))
+        out.append(_child(node[ok], pos[ok], value))
     return np.concatenate(rows), np.concatenate(out)
 
 
@@ -139,14 +149,24 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, TOKENS)
 
 
+def root_paths() -> list[tuple[int, int]]:
+    """(tree, position) of every branch at the roots, in order."""
+    seeds = np.arange(1, TREES + 1, dtype=np.uint64)
+    return [(t, int(p)) for t, pos in enumerate(zip(*_choose(seeds))) for p in pos if p >= 0]
+
+
+def _child(node: np.ndarray, pos: np.ndarray, value: np.ndarray) -> np.ndarray:
+    return mix(node * np.uint64(0x9E3779B97F4A7C15) + (pos.astype(np.uint64) << np.uint64(32)) + value)
+
+
 def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if not b.num_rows:
             continue
-        cid, tokens = b.column(0).to_numpy(), _matrix(b.column(1))
-        for tree in range(TREES):
-            row, child = _children(np.full(len(cid), tree + 1, np.uint64), tokens)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(cid[row])], ["node", "cid"])
+        tokens = _matrix(b.column(1))
+        for path, (tree, pos) in enumerate(root_paths()):
+            child = _child(np.full(len(tokens), tree + 1, np.uint64), np.full(len(tokens), pos), tokens[:, pos].astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), b.column(0), pa.array(np.full(len(tokens), path, np.int64))], ["node", "cid", "path"])
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +175,7 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         node, cid, tokens = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy(), _matrix(b.column(2))
         row, child = _children(node, tokens)
-        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(cid[row])], ["node", "cid"])
+        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(cid[row]), pa.array(np.full(len(row), BELOW))], ["node", "cid", "path"])
 
 
 def _in_runs(compare):
@@ -183,9 +203,9 @@ def _in_runs(compare):
 
 
 def _columns(held: list[pa.RecordBatch]) -> list[np.ndarray]:
+    """Numbers as vectors, binary columns as matrices of bytes."""
     t = pa.Table.from_batches(held)
-    sketch = np.frombuffer(b"".join(t.column(4).to_pylist()), np.uint8).reshape(t.num_rows, -1)
-    return [*(t.column(i).to_numpy() for i in range(4)), sketch]
+    return [np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(t.num_rows, -1) if pa.types.is_binary(c.type) else c.to_numpy() for c in t.columns]
 
 
 def _near(node, comp, cid, n, sketch, sieve: float = SIEVE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -229,18 +249,25 @@ def _propose(turn: int):
     return compare
 
 
-def _mark(node, comp, cid, n, sketch) -> Iterator[pa.RecordBatch]:
+def _mark(node, comp, cid, n, sketch, path) -> Iterator[pa.RecordBatch]:
     """The rows with any partner."""
     has = np.zeros(len(node), bool)
     for i, j, _ in _near(node, comp, cid, n, sketch):
         has[i] = has[j] = True
     if has.any():
-        yield pa.RecordBatch.from_arrays([pa.array(x[has]) for x in (node, cid, comp)], ["node", "cid", "comp"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[has]) for x in (node, cid, comp, path)], ["node", "cid", "comp", "path"])
 
 
-def _exhaust(node, comp, cid, n, sketch) -> Iterator[pa.RecordBatch]:
+def _exhaust(node, comp, cid, n, sketch, path, roots, wide) -> Iterator[pa.RecordBatch]:
+    """Pairs near by, each where it meets first: not when the two also met at
+    an earlier path of the roots, unless that node was too wide and branched."""
+    roots = np.ascontiguousarray(roots).view(np.uint32)
+    bit = np.int64(1) << np.arange(roots.shape[1], dtype=np.int64)
     for i, j, _ in _near(node, comp, cid, n, sketch, DEEP_SIEVE):
-        yield _pairs(cid[i], cid[j])
+        met = (roots[i] == roots[j]) & (np.arange(roots.shape[1]) < path[i][:, None]) & ((wide[i][:, None] & bit) == 0)
+        first = ~met.any(1)
+        if first.any():
+            yield _pairs(cid[i[first]], cid[j[first]])
 
 
 def _deepen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,8 +277,8 @@ def _deepen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if b.num_rows:
             sets = [np.frombuffer(x, np.uint64) for x in b.column(1).to_pylist()]
             low = (minima(sets, mult) & np.uint32(0xFF)).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([r.tobytes() for r in low], pa.binary())],
-                                             ["cid", "n", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), _rows(low), b.column(2), b.column(3)],
+                                             ["cid", "n", "sketch", "roots", "wide"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,30 +321,30 @@ def components(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
     alternating large and small stars; ``before`` are components to go on from.
     Both steps only take minima by key and join them back, so a centre with a
     third of all links is no single task."""
-    e = links.select("a", "b")
+    if before is not None and links.isEmpty():
+        return before
+    e = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     if before is not None:
         e = e.union(before.select(F.col("cid").alias("a"), F.col("comp").alias("b")))
-    e = _stored(e.where("a <> b").distinct(), "edges")
-    seen = None
+    e = e.where("a <> b").distinct()
     while True:
-        both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        e = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        e = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = e.groupBy("a").agg(F.min("b").alias("m"))
+        small = e.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         e = _stored(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
-        now = e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        if now == seen:
+        # done when all edges lead from a member to the top of its own star
+        inner = e.join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a")
+        if inner.union(e.groupBy("a").count().where("count > 1").select("a")).isEmpty():
             break
-        seen = now
-    return e.groupBy("a").agg(F.min("b").alias("comp")).select(F.col("a").alias("cid"), "comp").union(
-        e.select(F.col("b").alias("cid"), F.col("b").alias("comp")).distinct())
+    return e.select(F.col("a").alias("cid"), F.col("b").alias("comp")).union(e.select(F.col("b").alias("cid"), F.col("b").alias("comp")).distinct())
 
 
 PAIR = "a long, b long"
-ROW = "node long, cid long, comp long"
-SKETCH = "cid long, n long, sketch binary"
+NODE = "node long, cid long, path long"
+ROW = "node long, cid long, comp long, path long"
+SKETCH = "cid long, n long, sketch binary, roots binary"
 
 
 class _Join:
@@ -331,18 +358,19 @@ class _Join:
         self.tried: DataFrame | None = None
 
     def mixed(self, rows: DataFrame, comp: DataFrame | None) -> DataFrame:
-        """Rows (node, cid, comp, size) of nodes that hold several components."""
+        """Rows (node, cid, comp, path, size) of nodes that hold several components."""
+        rows = rows.select("node", "cid", "path")
         if comp is None:
             rows = rows.withColumn("comp", F.col("cid"))
         else:
-            rows = rows.select("node", "cid").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+            rows = rows.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
         open_ = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        return rows.join(open_.select("node", "size"), "node").select("node", "cid", "comp", "size")
+        return rows.join(open_.select("node", "size"), "node").select("node", "cid", "comp", "path", "size")
 
-    def compare(self, rows: DataFrame, how, out: str, sketches: DataFrame | None = None) -> DataFrame:
+    def compare(self, rows: DataFrame, how, out: str, sketches: DataFrame, *more: str) -> DataFrame:
         """Runs ``how`` over the rows of each node, of bounded size here."""
         n = shuffle_partitions(self.spark)
-        full = rows.join(sketches or self.sketches, "cid").select("node", "comp", "cid", "n", "sketch")
+        full = rows.join(sketches, "cid").select("node", "comp", "cid", "n", "sketch", *more)
         return full.repartition(n, "node").sortWithinPartitions("node", "cid").mapInArrow(_in_runs(how), out)
 
     @staticmethod
@@ -358,16 +386,17 @@ class _Join:
         b = F.ceil(F.col("size") * 2 / SMALL).cast("int")
         own = F.pmod(F.xxhash64("cid"), b).cast("int")
         return (big.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), b - 1)).alias("other"))
-                .select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "cid", "comp"))
+                .select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "cid", "comp", "path"))
 
     @staticmethod
     def beside_main(rows: DataFrame) -> DataFrame:
-        """Large nodes with few classes outside their main component: these
-        are added to each block of the node, so they meet all its rows."""
+        """Nodes with few classes outside their main component: these are
+        added to each block of the node, so they meet all its rows."""
         b = F.ceil(F.col("size") / SMALL).cast("int")
         own = F.pmod(F.xxhash64("cid"), b).cast("int")
         blocks_ = F.when(F.col("comp") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), b - 1))
-        return rows.select("node", "cid", "comp", F.explode(blocks_).alias("block")).select(F.xxhash64("node", "block").alias("node"), "cid", "comp")
+        return (rows.select("node", "cid", "comp", "path", F.explode(blocks_).alias("block"))
+                .select(F.xxhash64("node", "block").alias("node"), "cid", "comp", "path"))
 
     @staticmethod
     def with_main(big: DataFrame) -> DataFrame:
@@ -406,38 +435,47 @@ class _Join:
                 .join(sets.select(F.col("cid").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y"))
         return _stored(both.mapInArrow(_confirm, PAIR), "links")
 
-    def exhaust(self, groups: list[DataFrame]) -> DataFrame:
-        """Candidate pairs of different components within bounded groups."""
+    def exhaust(self, groups: list[DataFrame], wide: DataFrame | None) -> DataFrame:
+        """Candidate pairs of different components within bounded groups.
+        ``wide``: (cid, wide), the root paths whose node branched, as bits."""
         marked = None
         for g in groups:
-            got = self.compare(g, _mark, ROW)
+            got = self.compare(g, _mark, ROW, self.sketches, "path")
             marked = got if marked is None else marked.union(got)
         marked = _stored(marked.distinct(), "marked")
         used = marked.select("cid").distinct()
         sets = self.fetch(used)
-        if sets is None:
-            return marked.select(F.col("cid").alias("a"), F.col("cid").alias("b"))  # none are marked
-        deep = _stored(sets.join(used, "cid", "left_semi").mapInArrow(_deepen, SKETCH), "deep")
-        return self.compare(marked, _exhaust, PAIR, deep)
+        if sets is None:  # nothing is marked
+            return marked.select(F.col("cid").alias("a"), F.col("cid").alias("b"))
+        sets = sets.join(used, "cid", "left_semi").join(self.sketches.select("cid", "roots"), "cid")
+        sets = sets.join(wide, "cid", "left") if wide is not None else sets.withColumn("wide", F.lit(None).cast("long"))
+        deep = _stored(sets.select("cid", "members", "roots", F.coalesce("wide", F.lit(0).cast("long")).alias("wide"))
+                       .mapInArrow(_deepen, SKETCH + ", wide long"), "deep")
+        return self.compare(marked, _exhaust, PAIR, deep, "path", "roots", "wide")
 
     def run(self) -> DataFrame:
-        rows, comp = self.tokens.mapInArrow(_roots, "node long, cid long"), None
+        rows, comp = self.tokens.mapInArrow(_roots, NODE), None
         for turn in range(ROUNDS):
             rows = _stored(self.mixed(rows, comp), "nodes")
-            links = self.confirm(self.compare(self.dealt(rows, turn), _propose(turn), PAIR))
+            links = self.confirm(self.compare(self.dealt(rows, turn), _propose(turn), PAIR, self.sketches))
             comp = _stored(components(links, comp), "comp")
-        groups, level = [], 1
+        groups, wide, level = [], None, 1
         while True:
             rows = _stored(self.mixed(rows, comp), "nodes")
-            big = self.with_main(rows.where(F.col("size") > SMALL))
-            groups += [rows.where(F.col("size") <= SMALL).select("node", "cid", "comp"), self.beside_main(big.where(F.col("outside") <= SMALL))]
-            big = _stored(big.where(F.col("outside") > SMALL), "large")
-            if level == DEPTH or big.isEmpty():
-                groups.append(self.in_blocks(big))
+            groups.append(rows.where(F.col("size") <= SMALL))
+            large = _stored(self.with_main(rows.where(F.col("size") > SMALL)), "large")
+            if large.isEmpty():
+                break
+            branch = (F.col("outside") > SMALL) & (F.col("size") > WIDE * SMALL) & F.lit(level < DEPTH)
+            groups += [self.beside_main(large.where(F.col("outside") <= SMALL)), self.in_blocks(large.where((F.col("outside") > SMALL) & ~branch))]
+            large = large.where(branch)
+            if large.isEmpty():
                 break
-            rows = big.join(self.tokens, "cid").select("node", "cid", "tokens").mapInArrow(_branch, "node long, cid long")
+            if level == 1:
+                wide = large.groupBy("cid").agg(F.bit_or(F.expr("shiftleft(1L, CAST(path AS INT))")).alias("wide"))
+            rows = large.join(self.tokens, "cid").select("node", "cid", "tokens").mapInArrow(_branch, NODE)
             level += 1
-        return components(self.confirm(self.exhaust(groups)), comp)
+        return components(self.confirm(self.exhaust(groups, wide)), comp)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

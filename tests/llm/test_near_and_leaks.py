@@ -78,11 +78,23 @@ def test_groups_chains_and_shared_passages(spark):
 def test_large_nodes_branch_and_end_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 4)
     monkeypatch.setattr(neardup, "SMALL", 4)
-    monkeypatch.setattr(neardup, "DEPTH", 2)
+    monkeypatch.setattr(neardup, "WIDE", 2)
+    monkeypatch.setattr(neardup, "DEPTH", 3)
     rows = corpus(2)
     assert run(spark, rows) == brute(rows)
 
 
+def test_finishing_alone_finds_all_links(spark, monkeypatch):
+    """Without rounds of drawing together every link comes from the
+    exhaustive comparison, with and without branching."""
+    monkeypatch.setattr(neardup, "_propose", lambda turn: lambda *cols: iter(()))
+    rows = corpus(3)
+    assert run(spark, rows) == brute(rows)
+    monkeypatch.setattr(neardup, "SMALL", 6)
+    monkeypatch.setattr(neardup, "WIDE", 3)
+    assert run(spark, rows) == brute(rows)
+
+
 def test_edges(spark):
     long = " ".join(prose(random.Random(3), 60_000))
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, "a b c"), (5, "A  B\nc"), (6, "a b c d e"), (7, "a b c d e"), (7, "a b c d e"), (8, "É b c d e"), (9, "é b c d e"),
