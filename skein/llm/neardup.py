@@ -53,7 +53,7 @@ SMALL = 1024               # classes of a node compared exhaustively at once
 ROUNDS = 2                 # of drawing together
 WIDE = 8                   # nodes of more than WIDE * SMALL classes branch on
 DEPTH = 8
-BROADCAST_IDS = 4_000_000  # ids of texts to fetch that are sent to all tasks; more are joined
+BROADCAST_IDS = 500_000    # ids of texts to fetch that are sent to all tasks; more are joined
 RUN_ROWS = 8192
 SIEVE = 0.58               # estimated similarity below which a pair is let go (4.4 sigma under 0.75)
 DEEP_TOKENS = 1024         # of the longer sketch that classes near a class of another component get
