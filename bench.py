@@ -39,7 +39,10 @@ def main():
     from skein.session import get_spark
     spark = get_spark(f"local[{cpus}]", app="skein-bench", shuffle_partitions=int(cpus) * 2,
                       driver_memory=os.environ.get("BENCH_MEM", "8g"))
+    from skein.operators.layout import SCAN_PARTITIONS
     from skein.plans.catalog import QUERIES
+    # the bench tables are single row groups, which a scan can't split
+    spark.conf.set(SCAN_PARTITIONS, cpus)
     times = {}
     for n in names:
         def once():

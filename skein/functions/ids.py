@@ -33,8 +33,8 @@ def id_number(name) -> Column:
 
 def bucket(number) -> Column:
     """Thousand bucket: ``int(n) // 1000`` followed by 'xxx', unpadded."""
-    return F.concat((_c(number).cast("bigint") / 1000).cast("bigint").cast("string"),
-                    F.lit(BUCKET_SUFFIX))
+    n = _c(number).cast("bigint")
+    return F.concat(((n - n % 1000) / 1000).cast("bigint").cast("string"), F.lit(BUCKET_SUFFIX))
 
 
 def key_from_suffix(name) -> Column:

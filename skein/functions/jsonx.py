@@ -33,14 +33,18 @@ def _c(c) -> Column:
 def strict_ok(c) -> Column:
     """Valid JSON text in the strict sense of Python ``json.loads``.
 
-    Wrapping the text in ``[...]`` and reading it as ``array<string>`` makes
-    trailing junk or a second value visible (size != 1), which plain
-    ``from_json`` ignores; single quotes are refused.
+    ``from_json`` stops at the end of the first value, so the text is read
+    inside two wrappers. In ``[text]`` a second value or junk shows (size !=
+    1), unless the text closes the array itself; in ``[{"v":text}]`` a stray
+    ``]`` is an error, and a stray ``}``, which would close that wrapper, is
+    one in the first. No text closes both. Single quotes are refused.
     """
     x = _c(c)
-    wrapped = F.from_json(F.concat(F.lit("["), x, F.lit("]")), "array<string>",
-                          {"allowSingleQuotes": "false"})
-    return F.coalesce((F.size(wrapped) == 1) & (strip(x) != F.lit("")), F.lit(False))
+
+    def one(before: str, after: str) -> Column:
+        return F.size(F.from_json(F.concat(F.lit(before), x, F.lit(after)), "array<string>",
+                                  {"allowSingleQuotes": "false"})) == 1
+    return F.coalesce(one("[", "]") & one('[{"v":', "}]") & (strip(x) != F.lit("")), F.lit(False))
 
 
 def parse_object(c) -> Column:

@@ -4,12 +4,13 @@ Prompts are built with column expressions, the external call runs in one
 ``mapInPandas`` stage (one client per partition, bounded concurrency, inner
 retries), and every pass is *written* to an ``attempts`` table before any
 branch reads it, so a paid call is never repeated by re-evaluation. A call
-is keyed by ``(cve_id, attempt, call)``; calls already in the table are not
-made again when a run resumes.
+is keyed by ``(run, cve_id, attempt, call)``; calls already in the table are not
+made again when a run resumes, and a later run calls anew what failed.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import jsonx as J
 from skein.operators.layout import balance, fence
+from skein.session import path_exists
 
 # --- fixed values -----------------------------------------------------------
 PRIMARY = "primary"
@@ -104,61 +106,40 @@ def concat_chunks(chunks: DataFrame, key: str, pos: str, text: str, block: int =
 
 # ------------------------------------------------------------- the call ---
 
-class StubClient:
-    """Deterministic stand-in for the text model, used by tests and the
-    benchmark. The answer depends only on the prompt length ``n`` and the
-    model, so a SQL oracle can recompute every call:
-
-    * primary: ``n % 7 == 0`` raises a server error, ``n % 11 == 0`` answers
-      prose (no JSON); else the first ``n % 4`` fields are filled.
-    * fallback: ``n % 13 == 0`` raises a timeout; else the first
-      ``(n % 3) * 3 + 1`` fields are filled.
-    * ``n % 5 == 0`` appends trailing prose after the JSON object.
-    """
-
-    def __init__(self, latency_s: float = 0.0):
-        self.latency_s = latency_s
-
-    def generate(self, prompt: str, model: str, timeout: float | None = None) -> str:
-        if self.latency_s:
-            time.sleep(self.latency_s)
-        n = len(prompt)
-        if model == PRIMARY:
-            if n % 7 == 0:
-                raise RuntimeError("503 Service Unavailable")
-            if n % 11 == 0:
-                return "I cannot answer that."
-            k = n % 4
-        else:
-            if n % 13 == 0:
-                raise TimeoutError("API call timed out after 5 minutes")
-            k = (n % 3) * 3 + 1
-        vals = [f"{f}-{n % 97}" if i < k else "" for i, f in enumerate(J.REQUIRED_FIELDS)]
-        body = "{" + ",".join(f'"{f}":"{v}"' for f, v in zip(J.REQUIRED_FIELDS, vals)) + "}"
-        return body + (" (end)" if n % 5 == 0 else "")
-
-
-def stub_factory():
-    return StubClient()
+def usable_answer(text: str) -> bool:
+    """Strict JSON, as it is or cut after its last closing brace."""
+    body = text.strip()
+    for t in (text, body[:body.rfind("}") + 1] if body.startswith("{") else ""):
+        try:
+            json.loads(t)
+            return True
+        except ValueError:
+            pass
+    return False
 
 
 def call_with_retries(client, prompt: str, model: str, tries: int = INNER_TRIES,
                       sleep: Callable[[float], None] = time.sleep,
-                      timeout: float = CALL_TIMEOUT_S) -> tuple[str | None, str | None]:
-    """Up to ``tries`` calls with exponential waits between 4 and 10 s; the
-    timeout is handed to the client (signals do not work on executors)."""
-    err = None
+                      timeout: float = CALL_TIMEOUT_S,
+                      accept: Callable[[str], bool] = usable_answer) -> tuple[str | None, str | None]:
+    """Up to ``tries`` calls with exponential waits between 4 and 10 s, until
+    an answer is accepted: a sampling model may answer better the next time.
+    The last answer is kept when none is; the timeout is handed to the client
+    (signals do not work on executors)."""
+    answer, err = None, None
     for i in range(tries):
         try:
-            return client.generate(prompt, model, timeout=timeout), None
+            answer, err = client.generate(prompt, model, timeout=timeout), None
+            if accept(answer):
+                break
         except Exception as e:  # the error text is data: it is classified later
             err = str(e) or type(e).__name__
-            if i + 1 < tries:
-                sleep(min(max(2 ** (i + 1), BACKOFF_MIN_S), BACKOFF_MAX_S))
-    return None, err
+        if i + 1 < tries:
+            sleep(min(max(2 ** (i + 1), BACKOFF_MIN_S), BACKOFF_MAX_S))
+    return (answer, None) if answer is not None else (None, err)
 
 
-def infer(prompts: DataFrame, client_factory: Callable[[], object] = stub_factory,
+def infer(prompts: DataFrame, client_factory: Callable[[], object],
           concurrency: int | None = None, tries: int = INNER_TRIES,
           sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """One model call per row of ``prompts(cve_id, attempt, call, model,
@@ -176,13 +157,13 @@ def infer(prompts: DataFrame, client_factory: Callable[[], object] = stub_factor
         for pdf in batches:
             resp, errs = [], []
             for p, m in zip(pdf["prompt"], pdf["model"]):
-                r, e = call_with_retries(client, p, m, tries=tries, sleep=sleep)
+                r, e = call_with_retries(client, p, m, tries=tries, sleep=sleep) if p is not None else (None, "no prompt")
                 resp.append(r)
                 errs.append(e)
             yield pd.DataFrame({
                 "cve_id": pdf["cve_id"], "attempt": pdf["attempt"].astype("int32"),
                 "call": pdf["call"], "model": pdf["model"], "description": pdf["description"],
-                "prompt_chars": pdf["prompt"].str.len().astype("int32"),
+                "prompt_chars": pd.Series([len(p) if p is not None else 0 for p in pdf["prompt"]], index=pdf.index, dtype="int32"),
                 "response": resp, "error": errs})
     return df.mapInPandas(run, CALL_SCHEMA)
 
@@ -202,39 +183,44 @@ def parse_calls(calls: DataFrame) -> DataFrame:
                           n.alias("n")))
 
 
-def read_calls(spark, attempts_path: str, keys) -> DataFrame:
-    """Recorded calls of the given ``(attempt, call)`` passes.
+def read_calls(spark, attempts_path: str, keys, run_id: str) -> DataFrame:
+    """Recorded calls of the given ``(attempt, call)`` passes of one run.
 
-    The attempts table is partitioned by ``call`` and ``attempt``, so the
+    The attempts table is partitioned by ``run``, ``call`` and ``attempt``, so the
     filter prunes whole partitions: a pass reads its own slice of the
     history, not every call ever made."""
     cond = None
     for a, c in keys:
         k = (F.col("call") == c) & (F.col("attempt") == a)
         cond = k if cond is None else cond | k
-    return spark.read.parquet(attempts_path).filter(cond)
+    return read_attempts(spark, attempts_path).filter((F.col("run") == run_id) & cond)
+
+
+def read_attempts(spark, attempts_path: str) -> DataFrame:
+    """The attempts table, read by its known schema."""
+    return spark.read.schema(CALL_SCHEMA + ", run string").parquet(attempts_path)
 
 
-def _append_calls(prompts: DataFrame, keys, attempts_path: str, client_factory, concurrency, tries, sleep):
-    """Make the calls not yet recorded and append them to the attempts table.
+def _append_calls(prompts: DataFrame, keys, attempts_path: str, run_id: str, client_factory, concurrency, tries, sleep):
+    """Make the calls this run has not recorded yet and append them to the
+    attempts table.
 
-    ``keys`` lists the ``(attempt, call)`` passes the prompts belong to;
-    only those partitions are read for the "already called" anti-join."""
+    ``keys`` lists the ``(attempt, call)`` passes the prompts belong to; only
+    those partitions are read for the "already called" anti-join. Another
+    run's calls don't count: what failed then is tried again now."""
     spark = prompts.sparkSession
     todo = prompts
-    try:
-        done = read_calls(spark, attempts_path, keys).select(
+    if path_exists(spark, attempts_path):
+        done = read_calls(spark, attempts_path, keys, run_id).select(
             F.col("cve_id").alias("__id"), F.col("attempt").alias("__a"), F.col("call").alias("__c"))
         cond = (prompts["cve_id"].eqNullSafe(done["__id"]) & (prompts["attempt"] == done["__a"])
                 & (prompts["call"] == done["__c"]))
         todo = prompts.join(done, cond, "left_anti")
-    except Exception:  # no table yet: first pass of a new run
-        pass
-    (infer(todo, client_factory, concurrency, tries, sleep).write.mode("append")
-     .partitionBy("call", "attempt").parquet(attempts_path))
+    (infer(todo, client_factory, concurrency, tries, sleep).withColumn("run", F.lit(run_id)).write.mode("append")
+     .partitionBy("run", "call", "attempt").parquet(attempts_path))
 
 
-def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_factory,
+def run_ladder(records: DataFrame, attempts_path: str, client_factory, run_id: str = "run",
                concurrency: int | None = None, tries: int = INNER_TRIES,
                sleep: Callable[[float], None] = time.sleep,
                max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
@@ -247,14 +233,16 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
     per record: ``cve_id, status, attempt, model_type, json, n, enhanced``.
 
     ``records`` is read once: later passes take their ids and descriptions
-    from the failed calls stored in the attempts table.
+    from the failed calls stored in the attempts table. Calls are recorded
+    under ``run_id``: a run resumed under its id makes no call twice, a new
+    run tries again what failed before.
     """
     spark = records.sparkSession
 
     def calls(a: int, call: str, ids: DataFrame) -> DataFrame:
         """This run's recorded calls of one pass (earlier runs' calls for
         other ids stay in the table but are not part of this outcome)."""
-        rec = read_calls(spark, attempts_path, [(a, call)])
+        rec = read_calls(spark, attempts_path, [(a, call)], run_id)
         k = ids.select(F.col("cve_id").alias("__id"))
         rec = rec.join(k, rec["cve_id"].eqNullSafe(k["__id"]), "left_semi")
         return parse_calls(rec)
@@ -268,11 +256,12 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
     # re-running the preparation lineage
     recs = records.select("cve_id", "description").checkpoint()
     _append_calls(prompts(recs, 1, "extract", PRIMARY, build_prompt("description")), [(1, "extract")],
-                  attempts_path, client_factory, concurrency, tries, sleep)
+                  attempts_path, run_id, client_factory, concurrency, tries, sleep)
     first = calls(1, "extract", recs)
     good = first.filter("ok").select("cve_id", "description", "json", "n")
     gate = good.filter(F.col("n") <= 1)
-    current = J.text_map_to_json(J.parse_object("json"))
+    # an answer that isn't an object is shown to the model as it is
+    current = F.coalesce(J.text_map_to_json(J.parse_object("json")), F.col("json"))
     failing = first.filter(~F.col("ok")).select("cve_id", "description")
     # the enhancement calls (attempt 1) and the first fallback attempt both
     # depend only on attempt 1, so they share one model-call stage
@@ -281,7 +270,7 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
     if max_attempts >= 2:
         second = second.unionByName(prompts(failing, 2, "extract", FALLBACK, build_prompt("description")))
         second_keys.append((2, "extract"))
-    _append_calls(second, second_keys, attempts_path, client_factory, concurrency, tries, sleep)
+    _append_calls(second, second_keys, attempts_path, run_id, client_factory, concurrency, tries, sleep)
     enh = calls(1, "enhance", gate).select("cve_id", F.col("json").alias("e_json"), F.col("n").alias("e_n"),
                                            F.col("ok").alias("e_ok"))
     g = good.join(enh, "cve_id", "left")
@@ -294,7 +283,7 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory=stub_facto
     for a in range(2, max_attempts + 1):
         if a > 2:
             _append_calls(prompts(failing, a, "extract", FALLBACK, build_prompt("description")), [(a, "extract")],
-                          attempts_path, client_factory, concurrency, tries, sleep)
+                          attempts_path, run_id, client_factory, concurrency, tries, sleep)
         res = calls(a, "extract", failing)
         outcomes = outcomes.unionByName(res.filter("ok").select(
             "cve_id", F.lit("success").alias("status"), F.lit(a).alias("attempt"),
@@ -352,7 +341,7 @@ def route_outcomes(attempts: DataFrame) -> DataFrame:
 
 
 def reprocess(insufficient: DataFrame, descriptions: DataFrame, attempts_path: str,
-              client_factory=stub_factory, concurrency: int | None = None,
+              client_factory, run_id: str = "run", concurrency: int | None = None,
               tries: int = INNER_TRIES, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """Enhance docs with at most one field: ``insufficient(cve_id,
     current_count, content)`` joined to ``descriptions(cve_id,
@@ -369,8 +358,8 @@ def reprocess(insufficient: DataFrame, descriptions: DataFrame, attempts_path: s
     prompts = have.select("cve_id", F.lit(0).alias("attempt"), F.lit("reprocess").alias("call"),
                           F.lit(FALLBACK).alias("model"), "description",
                           build_enhance_prompt("description", "content").alias("prompt"))
-    _append_calls(prompts, [(0, "reprocess")], attempts_path, client_factory, concurrency, tries, sleep)
-    calls = parse_calls(read_calls(spark, attempts_path, [(0, "reprocess")])
+    _append_calls(prompts, [(0, "reprocess")], attempts_path, run_id, client_factory, concurrency, tries, sleep)
+    calls = parse_calls(read_calls(spark, attempts_path, [(0, "reprocess")], run_id)
                         .join(have.select("cve_id"), "cve_id", "left_semi"))
     r = have.select("cve_id", "current_count").join(calls.select("cve_id", "ok", "n", "json"), "cve_id", "left")
     outcome = (F.when(~F.coalesce(F.col("ok"), F.lit(False)), F.lit("failed"))

@@ -5,29 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def parallelism(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
+SCAN_PARTITIONS = "skein.scan.partitions"
 
 
-def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def balance(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Spread CPU-heavy row work (regex cleaning, JSON parsing, model calls)
-    over the cluster when the input comes from fewer files than cores.
-
-    A single file with one row group is read by one task; a round-robin
-    repartition of the rows then lets every core work. An input of many
-    files already yields at least as many splits as cores, so nothing is
-    shuffled. The decision reads only the plan's file list
-    (``inputFiles``); it never runs a job (``df.rdd`` would execute the
-    shuffle stages below it under AQE).
-    """
-    want = min_partitions or parallelism(df)
-    try:
-        n_files = len(df.inputFiles())
-    except Exception:  # e.g. a streaming micro-batch without file leaves
-        n_files = 0
-    if n_files >= want:
-        return df
-    return df.repartition(want)
+    over ``partitions`` tasks when the caller knows that the reader can't be
+    split (a gzip file, one row group). The number is an argument or the
+    session setting ``skein.scan.partitions``; unset, the scan's own splits
+    stay and nothing is shuffled."""
+    n = partitions or int(df.sparkSession.conf.get(SCAN_PARTITIONS, "0"))
+    return df.repartition(n) if n else df
 
 
 def fence(df: DataFrame) -> DataFrame:

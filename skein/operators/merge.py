@@ -59,6 +59,31 @@ def normalize_keyphrases(m) -> Column:
     return fill_required(fold_prefixed_fields(m))
 
 
+def _state(docs: DataFrame) -> list:
+    """``parsed`` (the file makes an envelope) and ``doc_error`` of a source;
+    a source without these columns holds parsed docs only."""
+    return [F.col(c) if c in docs.columns else F.lit(v).alias(c) for c, v in (("parsed", True), ("doc_error", False))]
+
+
+def parse_descriptions(docs: DataFrame) -> DataFrame:
+    """Raw description docs ``(cve_id, content)`` for ``merge_records``:
+    another root than an object makes an envelope and an error."""
+    p = fence(docs.select("cve_id", J.strict_ok("content").alias("parsed"), J.parse_doc("content").alias("__m")))
+    return p.select("cve_id", "parsed", F.col("__m").isNull().alias("doc_error"),
+                    F.when(F.col("__m").isNotNull(), F.coalesce(J.as_text(F.element_at("__m", F.lit("description"))), F.lit(""))).alias("description"))
+
+
+def parse_impacts(docs: DataFrame) -> DataFrame:
+    """Raw technical-impact docs ``(cve_id, content)`` for ``merge_records``.
+    A list root holds neither field and is no error; a number or literal is."""
+    p = fence(docs.select("cve_id", J.strict_ok("content").alias("parsed"), J.parse_doc("content").alias("__m"),
+                          F.substring(F.ltrim("content"), 1, 1).alias("__first")))
+    texts, mitre = (F.element_at("__m", F.lit(k)) for k in ("impact_texts", "mitre_technical_impacts"))
+    return p.select("cve_id", "parsed", (~F.col("parsed") | (F.col("__m").isNull() & ~F.col("__first").isin("[", '"'))).alias("doc_error"),
+                    F.when(J.vtype(texts).startswith("ARRAY"), F.transform(F.variant_get(texts, "$", "array<variant>"), J.as_text)).alias("impact_texts"),
+                    F.when(J.vtype(mitre).startswith("ARRAY"), F.variant_get(mitre, "$", "array<variant>")).alias("mitre_technical_impacts"))
+
+
 def merge_records(kp_docs: DataFrame, descriptions: DataFrame | None = None,
                   impacts: DataFrame | None = None, version: str = "1.0.0",
                   run_ts: str | None = None) -> DataFrame:
@@ -75,19 +100,19 @@ def merge_records(kp_docs: DataFrame, descriptions: DataFrame | None = None,
     ``kp_error`` (the id's keyphrase file failed) for the statistics.
     """
     k = fence(balance(kp_docs).select(
-        "cve_id", J.strict_ok("content").alias("__ok"),
+        "cve_id", F.md5("content").alias("tie"), J.strict_ok("content").alias("__ok"),
         F.when(J.strict_ok("content"), J.parse_object("content")).alias("__m")))
     kp = k.select(
-        "cve_id", F.lit(1).alias("src"),
+        "cve_id", F.lit(1).alias("src"), "tie",
         F.col("__ok").alias("parsed"),
         F.when(F.col("__m").isNotNull(), normalize_keyphrases("__m")).alias("keyphrases"),
         (~F.col("__ok") | F.col("__m").isNull()).alias("kp_error"))
     parts = [kp]
     if descriptions is not None:
-        parts.append(descriptions.select("cve_id", F.lit(2).alias("src"), F.lit(True).alias("parsed"),
+        parts.append(descriptions.select("cve_id", F.lit(2).alias("src"), F.md5("description").alias("tie"), *_state(descriptions),
                                          F.coalesce("description", F.lit("")).alias("description")))
     if impacts is not None:
-        cols = ["cve_id", F.lit(3).alias("src"), F.lit(True).alias("parsed"), "impact_texts"]
+        cols = ["cve_id", F.lit(3).alias("src"), F.md5(F.array_join("impact_texts", "|")).alias("tie"), *_state(impacts), "impact_texts"]
         if "mitre_technical_impacts" in impacts.columns:
             cols.append("mitre_technical_impacts")
         parts.append(impacts.select(*cols))
@@ -98,15 +123,18 @@ def merge_records(kp_docs: DataFrame, descriptions: DataFrame | None = None,
                  ("mitre_technical_impacts", "array<variant>")):
         if c not in u.columns:
             u = u.withColumn(c, F.lit(None).cast(t))
-    one = F.lit(1)
+
+    def pick(c, cond):  # of several docs of an id the same one in every run
+        return F.max_by(c, F.when(cond, F.coalesce("tie", F.lit("")))).alias(c)
+
     g = u.groupBy("cve_id").agg(
         F.max((F.col("src") == 1).cast("int")).alias("__has_kp_file"),
         F.max(F.col("parsed").cast("int")).alias("__envelope"),
-        F.max_by("keyphrases", F.when(F.col("keyphrases").isNotNull(), one)).alias("keyphrases"),
-        F.max_by("description", F.when(F.col("src") == 2, one)).alias("description"),
-        F.max_by("impact_texts", F.when(F.col("impact_texts").isNotNull(), one)).alias("impact_texts"),
-        F.max_by("mitre_technical_impacts",
-                 F.when(F.col("mitre_technical_impacts").isNotNull(), one)).alias("mitre_technical_impacts"),
+        pick("keyphrases", F.col("keyphrases").isNotNull()),
+        pick("description", (F.col("src") == 2) & ~F.coalesce("doc_error", F.lit(False))),
+        pick("impact_texts", F.col("impact_texts").isNotNull()),
+        pick("mitre_technical_impacts", F.col("mitre_technical_impacts").isNotNull()),
+        F.count_if((F.col("src") != 1) & F.col("doc_error")).alias("doc_errors"),
         F.count_if((F.col("src") == 1) & F.col("kp_error")).alias("kp_errors"),
         F.count_if(F.col("src") != 1).alias("other_files"))
     ts = F.lit(run_ts) if run_ts is not None else F.lit(None).cast("string")
@@ -114,23 +142,23 @@ def merge_records(kp_docs: DataFrame, descriptions: DataFrame | None = None,
         "cve_id", F.lit(version).alias("version"), ts.alias("timestamp"), "description", "keyphrases",
         "mitre_technical_impacts", "impact_texts",
         (F.col("__has_kp_file") == 1).alias("has_keyphrase_file"),
-        (F.col("__envelope") == 1).alias("envelope"), "kp_errors", "other_files")
+        (F.col("__envelope") == 1).alias("envelope"), "kp_errors", "doc_errors", "other_files")
 
 
 def merged(g: DataFrame) -> DataFrame:
     """Envelopes only: ids with a keyphrase file and at least one parsed doc."""
     return g.filter(F.col("has_keyphrase_file") & F.col("envelope")).drop(
-        "has_keyphrase_file", "envelope", "kp_errors", "other_files")
+        "has_keyphrase_file", "envelope", "kp_errors", "doc_errors", "other_files")
 
 
 def merge_stats(g: DataFrame) -> DataFrame:
     """processed (envelopes), skipped (non-keyphrase files of ids without a
-    keyphrase file), errors (keyphrase files that failed to parse as objects)."""
+    keyphrase file), errors (files of the other ids that failed to parse)."""
     return g.agg(
         F.count_if(F.col("has_keyphrase_file") & F.col("envelope")).cast("bigint").alias("processed"),
         F.sum(F.when(~F.col("has_keyphrase_file"), F.col("other_files")).otherwise(0))
         .cast("bigint").alias("skipped_no_keyphrases"),
-        F.sum("kp_errors").cast("bigint").alias("errors"))
+        F.sum(F.col("kp_errors") + F.when(F.col("has_keyphrase_file"), F.col("doc_errors")).otherwise(0)).cast("bigint").alias("errors"))
 
 
 def semi_with_keyphrases(docs: DataFrame, kp_docs: DataFrame, key: str = "cve_id") -> DataFrame:

@@ -8,11 +8,13 @@ content is idempotent.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import ids as I
+from skein.functions import jsonx as J
 
+STAMP = "timestamp"
 MOVED, DELETED, SKIPPED, OVERWRITTEN = "moved", "deleted", "skipped", "overwritten"
 
 
@@ -24,18 +26,32 @@ def with_layout(df: DataFrame, name_col: str = "file_name") -> DataFrame:
             .withColumn("bucket", I.bucket(I.id_number(name_col))))
 
 
-def publish_actions(src: DataFrame, target: DataFrame, on_conflict: str = "skip") -> DataFrame:
+def content_hash(c) -> Column:
+    return F.sha2(c, 256)
+
+
+def record_hash(c) -> Column:
+    """Hash of a record's canonical form: keys sorted at every level, without
+    the run timestamp; other texts are hashed as they are."""
+    m = J.parse_doc(c)
+    keys = F.array_sort(F.filter(F.map_keys(m), lambda k: k != F.lit(STAMP)))
+    # a variant keeps the keys of inner objects sorted
+    body = F.array_join(F.transform(keys, lambda k: F.concat(k, F.lit(":"), F.coalesce(F.to_json(F.element_at(m, k)), F.lit("null")))), ",")
+    return F.sha2(F.coalesce(body, F.col(c) if isinstance(c, str) else c), 256)
+
+
+def publish_actions(src: DataFrame, target: DataFrame, on_conflict: str = "skip", digest=content_hash) -> DataFrame:
     """Action per source doc ``(file_name, year, bucket, action)``:
     ``moved`` when the target has no doc under that path, ``deleted`` when
     it holds identical content (nothing to do), else ``skipped`` (the
     existing doc wins) or ``overwritten`` when ``on_conflict='overwrite'``.
 
     One left join on the path key; both sides are reduced to
-    ``(name, sha256)`` before the shuffle.
+    ``(name, hash)`` before the shuffle; ``digest`` makes the hash.
     """
     s = with_layout(src).select("file_name", "year", "bucket",
-                                F.sha2("content", 256).alias("__src_hash"))
-    t = target.select(F.col("file_name").alias("__t_name"), F.sha2("content", 256).alias("__t_hash"))
+                                digest("content").alias("__src_hash"))
+    t = target.select(F.col("file_name").alias("__t_name"), digest("content").alias("__t_hash"))
     j = s.join(t, s["file_name"] == t["__t_name"], "left")
     conflict = F.lit(OVERWRITTEN if on_conflict == "overwrite" else SKIPPED)
     action = (F.when(F.col("__t_hash").isNull(), F.lit(MOVED))
@@ -76,7 +92,7 @@ def write_store(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "j
     hot partition over several tasks and merge small ones, so a bucket
     holding a large share of the records is not written by one task."""
     (df.hint("rebalance", "year", "bucket").write.mode(mode)
-       .option("partitionOverwriteMode", "dynamic")
+       .option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
        .partitionBy("year", "bucket").format(fmt).save(path))
 
 

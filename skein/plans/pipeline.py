@@ -8,7 +8,9 @@ Stage tables live under one ``base`` folder (a shared filesystem path):
     staged/            staged keyphrase docs (file_name, content)
     invalid/           quarantined docs with their issues
     fixed/             repaired docs
-    attempts/          every model call (append-only)
+    attempts/          every model call (append-only, by run)
+    description/, keyphrases/, technical_impacts/
+                       raw stage docs, one file a doc (input, each optional)
     merged/            merged records (parquet)
     reports/<name>/    run reports as small tables
 
@@ -19,6 +21,7 @@ executor only re-runs the stage it was in, and lineage stays short.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from skein.functions import ids as I
 from skein.operators import infer as N
 from skein.operators import ingest, merge, publish, repair, validate
-from skein.session import configure
+from skein.session import configure, path_exists
 from skein.sources import files as S
 
 
@@ -49,36 +52,59 @@ class Paths:
         return f"{self.base.rstrip('/')}/reports/{name}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _read(spark, path) -> DataFrame | None:
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
-def _read(spark, path, fmt="parquet") -> DataFrame | None:
-    return spark.read.format(fmt).load(path) if _exists(spark, path) else None
+def _report(df: DataFrame, path: str) -> None:
+    """A per-row report: as many files as tasks."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def _report(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def _report_row(df: DataFrame, path: str) -> None:
+    """A report of one row (counts): one file."""
+    _report(df.coalesce(1), path)
 
 
-def published_ids(spark: SparkSession, p: Paths) -> DataFrame | None:
-    store = _read(spark, p.store, "json")
-    if store is None or "cveId" not in store.columns:
+def read_store(spark: SparkSession, p: Paths) -> DataFrame | None:
+    """Published records as text with their id and partition; the schema is
+    known, so nothing is inferred from the data."""
+    if not path_exists(spark, p.store):
         return None
-    return store.select(F.col("cveId").alias("cve_id"))
+    return spark.read.text(p.store).select("year", "bucket", "value", F.get_json_object("value", "$.cveId").alias("cve_id"))
+
+
+def published_ids(spark: SparkSession, p: Paths) -> DataFrame | None:
+    store = read_store(spark, p)
+    return None if store is None else store.select("cve_id")
+
+
+def new_run_id() -> str:
+    return f"run-{uuid.uuid4().hex[:12]}"
 
 
-def run_extract(spark: SparkSession, p: Paths, client_factory=N.stub_factory,
-                full: bool = False, concurrency: int | None = None, sleep=time.sleep) -> DataFrame:
+def run_extract(spark: SparkSession, p: Paths, client_factory, full: bool = False,
+                concurrency: int | None = None, sleep=time.sleep, run_id: str | None = None) -> DataFrame:
     """Extract mode: source -> records to process (skip published ids unless
     ``full``) -> descriptions (first wins, insert-if-absent) -> model ladder
-    -> staged docs for the successes. Returns the run statistics."""
+    -> staged docs for the successes. Writes the status reports and returns
+    the run statistics. ``run_id`` of an interrupted run resumes it; without
+    one a new run calls anew for ids that failed or were quarantined."""
     configure(spark)
     src = S.read_csv_records(spark, p.src())
-    done = None if full else published_ids(spark, p)
-    todo = ingest.records_to_process(src, done)
+    store = published_ids(spark, p)
+    done = None if full else store
+    # the prepared records are landed once: the reports and the model run read them
+    ingest.records_to_process(src, done).write.mode("overwrite").parquet(f"{p.base}/to_process")
+    todo = spark.read.parquet(f"{p.base}/to_process")
+    none = spark.createDataFrame([], "cve_id string")
+    status = ingest.processing_status(ingest.fill_and_drop_rejected(src), store if store is not None else none, todo)
+    status.select(*[c for c in status.columns if c != "ord"]).write.mode("overwrite").parquet(f"{p.base}/status")
+    status = spark.read.parquet(f"{p.base}/status")
+    _report(status, p.report("processing_status"))
+    _report(status.filter("processing_status = 'already_processed'").select("cve_id"), p.report("already_processed"))
+    _report(todo.select("cve_id", "description"), p.report("to_process"))
+    _report_row(ingest.processing_summary(status, store), p.report("processing_summary"))
     first = ingest.first_wins(todo.select("cve_id", "ord", "description"), "cve_id", "ord")
     new_desc = ingest.incremental_anti(first, _read(spark, p.descriptions))
     new_desc.select("cve_id", "description").write.mode("append").parquet(p.descriptions)
@@ -88,7 +114,7 @@ def run_extract(spark: SparkSession, p: Paths, client_factory=N.stub_factory,
     pending = first.filter(F.col("cve_id").isNotNull()).select("cve_id", "description")
     if staged is not None:
         pending = pending.join(staged.select(I.key_from_suffix("file_name").alias("cve_id")), "cve_id", "left_anti")
-    outcome = N.run_ladder(pending, p.attempts, client_factory, concurrency, sleep=sleep)
+    outcome = N.run_ladder(pending, p.attempts, client_factory, run_id or new_run_id(), concurrency, sleep=sleep)
     outcome.write.mode("overwrite").parquet(f"{p.base}/outcome")
     out = spark.read.parquet(f"{p.base}/outcome")
     (out.filter(F.col("status") == "success")
@@ -96,12 +122,12 @@ def run_extract(spark: SparkSession, p: Paths, client_factory=N.stub_factory,
         .write.mode("append").parquet(p.staged))
     _report(out.filter(F.col("status") == "failed").select("cve_id").orderBy("cve_id"), p.report("failed_ids"))
     stats = N.run_stats(out)
-    _report(stats, p.report("run_stats"))
+    _report_row(stats, p.report("run_stats"))
     return stats
 
 
-def run_reprocess(spark: SparkSession, p: Paths, client_factory=N.stub_factory,
-                  concurrency: int | None = None, sleep=time.sleep) -> DataFrame:
+def run_reprocess(spark: SparkSession, p: Paths, client_factory, concurrency: int | None = None,
+                  sleep=time.sleep, run_id: str | None = None) -> DataFrame:
     """Reprocess mode: staged docs with 0-1 fields get an enhancement call;
     improved answers replace them (new staged version)."""
     configure(spark)
@@ -110,7 +136,7 @@ def run_reprocess(spark: SparkSession, p: Paths, client_factory=N.stub_factory,
     desc = ingest.description_lookup(ins.select("cve_id"), spark.read.parquet(p.descriptions),
                                      S.read_csv_records(spark, p.src()))
     res = N.reprocess(ins, desc.filter(F.col("description").isNotNull()), p.attempts, client_factory,
-                      concurrency, sleep=sleep)
+                      run_id or new_run_id(), concurrency, sleep=sleep)
     res.write.mode("overwrite").parquet(f"{p.base}/reprocess")
     res = spark.read.parquet(f"{p.base}/reprocess")
     cur = staged.select(I.key_from_suffix("file_name").alias("cve_id"), "content")
@@ -119,7 +145,7 @@ def run_reprocess(spark: SparkSession, p: Paths, client_factory=N.stub_factory,
         .write.mode("overwrite").parquet(f"{p.staged}_next")
     _swap(spark, f"{p.staged}_next", p.staged)
     stats = N.reprocess_stats(res)
-    _report(stats, p.report("reprocess_stats"))
+    _report_row(stats, p.report("reprocess_stats"))
     return stats
 
 
@@ -141,7 +167,7 @@ def run_validate(spark: SparkSession, p: Paths, do_validate: bool = True,
     split, reports and the missing-section scan of the published store."""
     configure(spark)
     out = {}
-    if do_validate and _exists(spark, p.staged):
+    if do_validate and path_exists(spark, p.staged):
         v = validate.classify(spark.read.parquet(p.staged))
         v.write.mode("overwrite").parquet(f"{p.base}/validation")
         v = spark.read.parquet(f"{p.base}/validation")
@@ -156,13 +182,15 @@ def run_validate(spark: SparkSession, p: Paths, do_validate: bool = True,
         _report(validate.duplicate_groups(v.filter(F.col("content_hash").isNotNull()), "cve_id", "content"),
                 p.report("duplicates"))
         out["summary"] = validate.validation_summary(v)
-        _report(out["summary"], p.report("validation_summary"))
-    if check_missing and _exists(spark, p.store):
-        store = spark.read.json(p.store)
-        if "keyphrases" in store.columns:
-            miss = store.filter(F.col("keyphrases").isNull()).select("cveId").orderBy("cveId")
-            _report(miss, p.report("missing_keyphrases"))
-            out["missing"] = miss
+        _report_row(out["summary"], p.report("validation_summary"))
+        _report_row(validate.issue_counts(v), p.report("issue_counts"))
+    store = read_store(spark, p) if check_missing else None
+    if store is not None:
+        docs = store.select(F.concat_ws("/", F.lit(""), "year", "bucket", F.concat("cve_id", F.lit(".json"))).alias("path"),
+                            F.col("value").alias("content"))
+        miss = validate.missing_section(docs).select(F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("cveId"))
+        _report(miss, p.report("missing_keyphrases"))
+        out["missing"] = miss
     return out
 
 
@@ -180,18 +208,30 @@ def run_repair(spark: SparkSession, p: Paths, copy_back: bool = False) -> DataFr
             .write.mode("overwrite").parquet(f"{p.staged}_next")
         _swap(spark, f"{p.staged}_next", p.staged)
     stats = repair.repair_stats(fixed)
-    _report(stats, p.report("repair_stats"))
+    _report_row(stats, p.report("repair_stats"))
     return stats
 
 
 def run_merge(spark: SparkSession, p: Paths, version: str = "1.0.0",
               impacts: DataFrame | None = None) -> DataFrame:
-    """Merge mode: staged keyphrases + descriptions (+ impacts) -> merged
-    records and the impact-consistency report. Raises when nothing merges."""
+    """Merge mode: keyphrases, descriptions and technical impacts -> merged
+    records and the impact-consistency report. Beside the staged tables the
+    raw docs of the three stage folders are read, each when it is there; of
+    an id on both sides the table's doc counts. Raises when nothing merges."""
     configure(spark)
-    kp = spark.read.parquet(p.staged).select(I.key_from_split("file_name").alias("cve_id"), "content")
+    raw = {k: S.read_stage_docs(spark, f"{p.base}/{k}") for k in ("description", "keyphrases", "technical_impacts")}
+    kp, staged = raw["keyphrases"].select("cve_id", "content"), _read(spark, p.staged)
+    if staged is not None:
+        own = staged.select(I.key_from_split("file_name").alias("cve_id"), "content")
+        kp = own.unionByName(kp.join(own.select("cve_id"), "cve_id", "left_anti"))
+    descriptions, table = merge.parse_descriptions(raw["description"]), _read(spark, p.descriptions)
+    if table is not None:
+        table = table.select("cve_id", F.lit(True).alias("parsed"), F.lit(False).alias("doc_error"), "description")
+        descriptions = table.unionByName(descriptions.join(table.select("cve_id"), "cve_id", "left_anti"))
+    if impacts is None:
+        impacts = merge.parse_impacts(raw["technical_impacts"])
     run_ts = spark.sql("SELECT date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\")").first()[0]
-    g = merge.merge_records(kp, _read(spark, p.descriptions), impacts, version=version, run_ts=run_ts)
+    g = merge.merge_records(kp, descriptions, impacts, version=version, run_ts=run_ts)
     g.write.mode("overwrite").parquet(f"{p.base}/merge_groups")
     g = spark.read.parquet(f"{p.base}/merge_groups")
     m = merge.merged(g)
@@ -201,56 +241,54 @@ def run_merge(spark: SparkSession, p: Paths, version: str = "1.0.0",
     m.write.mode("overwrite").parquet(p.merged)
     _report(merge.impact_mismatch(m).select("cve_id", "direction", F.array_join("values", "|").alias("values")),
             p.report("impact_errors"))
-    _report(stats, p.report("merge_stats"))
+    _report_row(stats, p.report("merge_stats"))
     return stats
 
 
 def run_publish(spark: SparkSession, p: Paths, on_conflict: str = "skip") -> DataFrame:
-    """Publish mode: merged records into the year/bucket store. Conflicts are
-    judged on the record without its run timestamp; a new store version is
-    written and swapped in."""
+    """Publish mode: merged records into the year/bucket store. Records are
+    compared by their canonical form without the run timestamp. New ones are
+    appended to their partitions; ``overwrite`` rewrites the partitions that
+    hold a replaced record; no other file is touched."""
     configure(spark)
-    m = spark.read.parquet(p.merged)
-    rec = merge.record_json(m.withColumn("timestamp", F.lit(None).cast("string")))
-    full = merge.record_json(m)
-    src = rec.select(F.concat("cve_id", F.lit(".json")).alias("file_name"), F.col("json").alias("content"))
-    old = _read(spark, p.store, "json")
-    tgt = None
-    if old is not None and "cveId" in old.columns:
-        tgt = merge.record_json(old.select(
-            F.col("cveId").alias("cve_id"), "version", F.lit(None).cast("string").alias("timestamp"),
-            *[F.col(c) if c in old.columns else F.lit(None).alias(c) for c in ("description",)],
-            *[F.col(c).alias(a) if c in old.columns else F.lit(None).alias(a)
-              for c, a in (("keyphrases", "keyphrases"), ("mitreTechnicalImpacts", "mitre_technical_impacts"))]))
-        tgt = tgt.select(F.concat("cve_id", F.lit(".json")).alias("file_name"), F.col("json").alias("content"))
+    full = merge.record_json(spark.read.parquet(p.merged))
+    src = full.select(F.concat("cve_id", F.lit(".json")).alias("file_name"), F.col("json").alias("content"))
+    old = read_store(spark, p)
+    if old is not None:
+        tgt = old.select(F.concat("cve_id", F.lit(".json")).alias("file_name"), F.col("value").alias("content"))
     else:
         tgt = spark.createDataFrame([], "file_name string, content string")
-    acts = publish.publish_actions(src, tgt, on_conflict)
+    acts = publish.publish_actions(src, tgt, on_conflict, publish.record_hash)
     acts.write.mode("overwrite").parquet(f"{p.base}/publish_actions")
     acts = spark.read.parquet(f"{p.base}/publish_actions")
-    write_ids = acts.filter(F.col("action").isin(publish.MOVED, publish.OVERWRITTEN)).select(
-        F.regexp_replace("file_name", r"\.json$", "").alias("cve_id"), "year", "bucket")
-    new_docs = full.join(write_ids, "cve_id").select("year", "bucket", F.col("json").alias("value"))
-    if old is not None:
-        keep = spark.read.text(p.store).select(
-            "year", "bucket", "value", F.get_json_object("value", "$.cveId").alias("cve_id"))
-        if on_conflict == "overwrite":
-            keep = keep.join(write_ids.select("cve_id"), "cve_id", "left_anti")
-        new_docs = keep.select("year", "bucket", "value").unionByName(new_docs)
-    publish.write_store(new_docs, f"{p.store}_next", fmt="text")
-    _swap(spark, f"{p.store}_next", p.store)
+    named = acts.select(F.regexp_replace("file_name", r"\.json$", "").alias("cve_id"), "year", "bucket", "action")
+    replaced = named.filter(F.col("action") == publish.OVERWRITTEN)
+    docs = full.join(named.filter(F.col("action").isin(publish.MOVED, publish.OVERWRITTEN)), "cve_id").select(
+        "year", "bucket", F.col("json").alias("value"))
+    if old is not None and not replaced.isEmpty():
+        touched = replaced.select("year", "bucket").distinct()
+        keep = old.join(touched, ["year", "bucket"], "left_semi").join(replaced.select("cve_id"), "cve_id", "left_anti")
+        # built aside first: a partition is never read and replaced at once
+        part = f"{p.base}/publish_partitions"
+        publish.write_store(keep.select("year", "bucket", "value").unionByName(docs.join(touched, ["year", "bucket"], "left_semi")),
+                            part, fmt="text")
+        publish.write_store(spark.read.text(part).select("year", "bucket", "value"), p.store, fmt="text")
+        docs = docs.join(touched, ["year", "bucket"], "left_anti")
+    publish.write_store(docs, p.store, mode="append", fmt="text")
     stats = publish.publish_stats(acts)
-    _report(stats, p.report("publish_stats"))
+    _report_row(stats, p.report("publish_stats"))
     return stats
 
 
-def run_pipeline(spark: SparkSession, p: Paths, mode: str = "incremental", client_factory=N.stub_factory,
-                 sleep=time.sleep) -> dict:
+def run_pipeline(spark: SparkSession, p: Paths, client_factory=None, mode: str = "incremental",
+                 sleep=time.sleep, run_id: str | None = None) -> dict:
     """``incremental`` / ``full``: extract -> validate -> merge -> publish;
     ``validate``: validation only; ``merge``: merge + publish only."""
     out = {}
     if mode in ("incremental", "full"):
-        out["extract"] = run_extract(spark, p, client_factory, full=(mode == "full"), sleep=sleep)
+        if client_factory is None:
+            raise ValueError("extraction needs a model client")
+        out["extract"] = run_extract(spark, p, client_factory, full=(mode == "full"), sleep=sleep, run_id=run_id)
     if mode in ("incremental", "full", "validate"):
         out["validate"] = run_validate(spark, p)
     if mode in ("incremental", "full", "merge"):

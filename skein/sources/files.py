@@ -3,8 +3,13 @@ JSON stores and staged JSON documents."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from skein.functions import ids as I
+from skein.session import path_exists
 
 # --- fixed values -----------------------------------------------------------
 # Field texts a pandas CSV reader turns into missing values by default.
@@ -69,7 +74,7 @@ def column_stats(df: DataFrame, order: str = ORDER, sample: int | None = SAMPLE_
     3-character text 'nan'), ``numeric`` (every non-null value is a number).
 
     One bounded aggregate (``sample`` rows); ``sample=None`` scans all rows
-    with partial aggregation (``mean_len`` only then)."""
+    with partial aggregation."""
     cols = [f.name for f in df.schema.fields
             if f.name != order and f.dataType.simpleString() == "string"]
     src = df.orderBy(order).limit(sample) if sample else df
@@ -77,7 +82,11 @@ def column_stats(df: DataFrame, order: str = ORDER, sample: int | None = SAMPLE_
     for i, c in enumerate(cols):
         vals = F.collect_list(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("o"), F.col(c).alias("v"))))
         first10 = F.slice(F.array_sort(vals), 1, SAMPLE_VALUES)
-        has_prefix = F.exists(first10, lambda x: x["v"].startswith(ID_PREFIX)) if sample else F.lit(None)
+        if sample:
+            has_prefix = F.exists(first10, lambda x: x["v"].startswith(ID_PREFIX))
+        else:  # the first values of the whole frame, ten rows a column
+            top = df.filter(F.col(c).isNotNull()).orderBy(order).limit(SAMPLE_VALUES)
+            has_prefix = F.lit(not top.filter(F.col(c).startswith(ID_PREFIX)).isEmpty())
         aggs += [has_prefix.alias(f"p{i}"),
                  F.avg(F.length(F.coalesce(F.col(c), F.lit("nan")))).alias(f"m{i}"),
                  F.bool_and(F.col(c).isNull() | F.col(c).try_cast("double").isNotNull()).alias(f"n{i}")]
@@ -115,8 +124,8 @@ def detect_columns(df: DataFrame, order: str = ORDER, sample: int | None = SAMPL
 def read_csv_records(spark: SparkSession, path: str, profile: str | None = None) -> DataFrame:
     """Source records ``(cve_id, description[, state, rejected_reason], ord)``.
 
-    The standard profile with column detection is tried first; when
-    detection fails the legacy profile with fixed columns is used."""
+    The standard profile with column detection is tried first; when reading
+    or detection fails the legacy profile with fixed columns is used."""
     if profile != "legacy":
         try:
             t = read_csv_table(spark, path, "standard")
@@ -124,7 +133,7 @@ def read_csv_records(spark: SparkSession, path: str, profile: str | None = None)
             extra = [c for c in OPTIONAL_COLUMNS if c in t.columns]
             return t.select(F.col(id_col).alias("cve_id"), F.col(text_col).alias("description"),
                             *extra, ORDER)
-        except ValueError:
+        except (ValueError, AnalysisException):
             if profile == "standard":
                 raise
     t = read_csv_table(spark, path, "legacy")
@@ -153,7 +162,7 @@ def read_json_store(spark: SparkSession, path: str, legacy: bool = False, schema
          .option("multiLine", True).option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if schema is not None:
-        r = r.schema(schema.add("_corrupt_record", "string"))
+        r = r.schema(StructType([*schema.fields, StructField("_corrupt_record", StringType())]))
     df = r.json(path).withColumn("source_file", F.col("_metadata.file_name"))
     if "_corrupt_record" in df.columns:
         df = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
@@ -175,6 +184,15 @@ def scan_docs(spark: SparkSession, path: str, glob: str = "*_keyphrases.json",
                      F.col("value").alias("content"))
 
 
+def read_stage_docs(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw docs ``(cve_id, file_name, content)`` of one stage folder
+    (description, keyphrases or technical_impacts); an absent folder is an
+    empty source."""
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], "cve_id string, file_name string, content string")
+    return scan_docs(spark, folder, glob="CVE-*_*.json").select(I.key_from_split("file_name").alias("cve_id"), "file_name", "content")
+
+
 def with_manifest(docs: DataFrame, manifest: DataFrame) -> DataFrame:
     """Add manifest entries (``file_name, size``) missing from the scan as
     ``content = ''`` rows, so zero-byte docs are validated too."""

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from skein.operators import ingest
+from skein.session import path_exists
 
 SOURCE_SCHEMA = StructType([
     StructField("ord", LongType()), StructField("cve_id", StringType()),
     StructField("description", StringType()), StructField("state", StringType()),
     StructField("rejected_reason", StringType())])
+SINK_SCHEMA = "cve_id string, ord long, description string"
 
 
 def _seen_ids(spark: SparkSession, sink: str, batch: DataFrame) -> DataFrame | None:
@@ -30,10 +32,9 @@ def _seen_ids(spark: SparkSession, sink: str, batch: DataFrame) -> DataFrame | N
     under the broadcast threshold (Catalyst measures it) the sink is
     scanned without a shuffle, and the later anti-join only sees this small
     hit set. A large batch falls back to a sort-merge semi-join."""
-    try:
-        ids = spark.read.parquet(sink).select("cve_id")
-    except Exception:  # empty sink on the first run
+    if not path_exists(spark, sink):
         return None
+    ids = spark.read.schema(SINK_SCHEMA).parquet(sink).select("cve_id")
     b = batch.select(F.col("cve_id").alias("__b"))
     return ids.join(b, ids["cve_id"].eqNullSafe(b["__b"]), "left_semi")
 
@@ -44,7 +45,7 @@ def process_batch(batch: DataFrame, store: DataFrame | None, sink: str) -> None:
     todo = ingest.records_to_process(batch, store)
     first = ingest.first_wins(todo.select("cve_id", "ord", "description"), "cve_id", "ord")
     new = ingest.incremental_anti(first, _seen_ids(spark, sink, batch))
-    new.write.mode("append").parquet(sink)
+    new.select("cve_id", "ord", "description").write.mode("append").parquet(sink)
 
 
 def run_incremental(spark: SparkSession, source_dir: str, sink: str, checkpoint: str,
@@ -61,4 +62,4 @@ def run_incremental(spark: SparkSession, source_dir: str, sink: str, checkpoint:
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return spark.read.schema(SINK_SCHEMA).parquet(sink)

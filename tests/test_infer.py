@@ -2,12 +2,13 @@
 
 from skein.functions.jsonx import REQUIRED_FIELDS
 from skein.operators import infer as N
+from skein.plans.stub import StubClient, outage_factory, stub_factory
 from skein.session import scratch_path
 
 
 def _py_ladder(desc):
     """Plain-Python model of attempt 1 (+ gate), 2 and 3 with the stub."""
-    c = N.StubClient()
+    c = StubClient()
 
     def call(prompt, model):
         try:
@@ -41,7 +42,7 @@ def _py_ladder(desc):
 def test_ladder_matches_python_model(spark):
     descs = [f"description {'x' * i}" for i in range(120)]
     recs = spark.createDataFrame([(f"CVE-2024-{i}", d) for i, d in enumerate(descs)], "cve_id string, description string")
-    out = N.run_ladder(recs, scratch_path(spark, "t-att"), sleep=lambda s: None)
+    out = N.run_ladder(recs, scratch_path(spark, "t-att"), stub_factory, sleep=lambda s: None)
     got = {r.cve_id: (r.status, r.attempt, r.n, r.enhanced) for r in out.collect()}
     want = {f"CVE-2024-{i}": _py_ladder(d) for i, d in enumerate(descs)}
     assert got == want
@@ -50,10 +51,45 @@ def test_ladder_matches_python_model(spark):
 def test_resume_skips_recorded_calls(spark):
     recs = spark.createDataFrame([("CVE-1", "abc"), ("CVE-2", "abcd")], "cve_id string, description string")
     path = scratch_path(spark, "t-resume")
-    N.run_ladder(recs, path, sleep=lambda s: None)
+    N.run_ladder(recs, path, stub_factory, run_id="a", sleep=lambda s: None)
     n1 = spark.read.parquet(path).count()
-    N.run_ladder(recs, path, sleep=lambda s: None)
+    N.run_ladder(recs, path, stub_factory, run_id="a", sleep=lambda s: None)
     assert spark.read.parquet(path).count() == n1  # nothing called twice
+    N.run_ladder(recs, path, stub_factory, run_id="b", sleep=lambda s: None)
+    assert spark.read.parquet(path).count() > n1  # another run calls anew
+
+
+def test_outage_then_recovery(spark):
+    recs = spark.createDataFrame([(f"CVE-{i}", "abc" * i) for i in range(1, 12)], "cve_id string, description string")
+    path = scratch_path(spark, "t-outage")
+    down = N.run_ladder(recs, path, outage_factory, run_id="down", sleep=lambda s: None).collect()
+    assert {r.status for r in down} == {"failed"} and len(down) == 11
+    up = N.run_ladder(recs, path, stub_factory, run_id="up", sleep=lambda s: None).collect()
+    alone = N.run_ladder(recs, scratch_path(spark, "t-alone"), stub_factory, sleep=lambda s: None).collect()
+    assert sorted(up) == sorted(alone) and {"success"} <= {r.status for r in up}
+
+
+def test_array_answers_are_enhanced(spark):
+    class ArrayClient:
+        """Valid JSON that isn't an object, then an object when asked to enhance."""
+
+        def generate(self, prompt, model, timeout=None):
+            return '{"rootcause":"r","weakness":"w"}' if "CURRENT KEYPHRASES" in prompt and "[1,2]" in prompt else "[1,2]"
+    recs = spark.createDataFrame([("CVE-1", "abc")], "cve_id string, description string")
+    r = N.run_ladder(recs, scratch_path(spark, "t-array"), ArrayClient, sleep=lambda s: None).first()
+    assert (r.status, r.attempt, r.n, r.enhanced) == ("success", 1, 2, True)
+
+
+def test_bad_answers_are_retried():
+    class Second:
+        n = 0
+
+        def generate(self, prompt, model, timeout=None):
+            self.n += 1
+            return "prose" if self.n == 1 else '{"a":1} end'
+    c = Second()
+    assert N.call_with_retries(c, "p", "primary", sleep=lambda s: None) == ('{"a":1} end', None) and c.n == 2
+    assert N.call_with_retries(StubClient(), "x" * 11, "primary", sleep=lambda s: None) == ("I cannot answer that.", None)
 
 
 def test_retries_wait_between_tries():
@@ -70,7 +106,7 @@ def test_retries_wait_between_tries():
             return "{}"
     resp, err = N.call_with_retries(Flaky(), "p", "primary", sleep=waits.append)
     assert resp == "{}" and err is None and waits == [4, 4]
-    resp, err = N.call_with_retries(N.StubClient(), "x" * 7, "primary", sleep=waits.append)
+    resp, err = N.call_with_retries(StubClient(), "x" * 7, "primary", sleep=waits.append)
     assert resp is None and "503" in err
 
 

@@ -13,7 +13,7 @@ from skein.operators import validate as V
 
 def test_strict_ok_matches_python(spark):
     cases = ["", "{\"a\":1} junk", "{\"a\":1},{\"b\":2}", "{'a':1}", "[]", "null", "{\"a\":1,\"a\":2}",
-             "5", "\"s\"", "{\"a\":[1,{\"b\":null}]}", "  {\"a\":1}  ", "{\"a\":}", "{\"a\":\"x\ny\"}"]
+             "5", "\"s\"", "{\"a\":1}]", "{\"a\":1}] junk", "{\"a\":1}]}", "1],[2", "[1,2]] x", "1}", "1}],[{\"v\":2", "1,\"v\":2", "[1]]", "{}}", "{\"a\":[1,{\"b\":null}]}", "  {\"a\":1}  ", "{\"a\":}", "{\"a\":\"x\ny\"}"]
 
     def py_ok(s):
         try:
@@ -111,3 +111,9 @@ def test_duplicate_fields_opt_in(spark):
     assert on == {"a": (False, ["impact"]), "b": (True, None)}
     kinds = [r.kind for r in V.issue_kinds(V.classify(df, check_duplicates=True)).collect()]
     assert kinds == ["duplicated_fields"]
+
+
+def test_repair_cuts_at_the_last_brace(spark):
+    cases = {'{"a":1}]': '{"a":1}', '{"a":1}] junk': '{"a":1}', '{"a":1}': '{"a":1}', "1],[2": None, ' {"a":1} x': '{"a":1}'}
+    got = [r[0] for r in one_col(spark, list(cases)).select(J.repair_response("c")).collect()]
+    assert got == list(cases.values())

@@ -1,16 +1,35 @@
 """End-to-end run modes over a CSV derived from the driver tables."""
 
+import glob
+import os
+
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from skein.fixtures import fixture
 from skein.plans import pipeline as PL
+from skein.plans.stub import outage_factory, stub_factory
 from skein.sources import files as S
 
 
+quiet = lambda seconds: None  # noqa: E731  a lambda travels to the workers by value
+
+
+def files(path):
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{path}/**/part-*", recursive=True)}
+
+
+def put(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
 def test_pipeline_runs_incrementally_and_is_idempotent(spark, tmp_dir):
     p = PL.Paths(base=f"{tmp_dir}/run")
     src = fixture(spark, SF_SMALL, "f_source").select("cve_id", "description", "state", "rejected_reason")
     S.write_csv(src, p.src())
-    out = PL.run_pipeline(spark, p, "incremental", sleep=lambda s: None)
+    out = PL.run_pipeline(spark, p, stub_factory, sleep=quiet)
     st = out["extract"].first()
     assert st.successful + st.failed == st.total > 0
     summary = out["validate"]["summary"].first()
@@ -19,15 +38,98 @@ def test_pipeline_runs_incrementally_and_is_idempotent(spark, tmp_dir):
     n1 = published.count()
     assert n1 == out["merge"].first().processed > 0
     assert published.select("cveId").distinct().count() == n1
-    calls = spark.read.parquet(p.attempts).count()
-    # a second run retries only what is not published (quarantined or failed
-    # ids), makes no model call twice and publishes nothing twice
-    again = PL.run_pipeline(spark, p, "incremental", sleep=lambda s: None)
-    published_ids = {r.cveId for r in spark.read.json(p.store).select("cveId").collect()}
+    for name in ("processing_status", "already_processed", "to_process", "processing_summary", "issue_counts", "validation"):
+        assert glob.glob(f"{p.report(name)}/*.csv"), name
+    # publishing the same merged records again changes no file
+    before = files(p.store)
+    again = PL.run_publish(spark, p).first()
+    assert (again.moved, again.skipped, again.deleted) == (0, 0, n1) and files(p.store) == before
+    # a second run retries only what is not published and publishes nothing twice
+    second = PL.run_pipeline(spark, p, stub_factory, sleep=quiet)
     src_ids = {r.cve_id for r in S.read_csv_records(spark, p.src()).select("cve_id").collect()}
-    assert again["extract"].first().total <= len(src_ids - published_ids)
-    assert spark.read.parquet(p.attempts).count() == calls
-    assert spark.read.json(p.store).count() == n1
-    assert again["publish"].first().moved == 0
+    published_ids = {r.cveId for r in published.select("cveId").collect()}
+    assert second["extract"].first().total <= len(src_ids - published_ids)
+    assert spark.read.json(p.store).count() == n1 and second["publish"].first().moved == 0
     years = {r.year for r in spark.read.json(p.store).select("year").distinct().collect()}
     assert years and all(1999 <= y <= 2025 for y in years)
+
+
+def test_outage_is_made_good_by_the_next_run(spark, tmp_dir):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    S.write_csv(spark.createDataFrame([("CVE-2024-1000", "text one"), ("CVE-2024-1001", "another text")], "cve_id string, description string"), p.src())
+    assert PL.run_extract(spark, p, outage_factory, sleep=quiet).first().failed == 2
+    assert PL.run_extract(spark, p, stub_factory, sleep=quiet).first().successful > 0
+
+
+def test_merge_mode_reads_the_stage_folders(spark, tmp_dir):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    for i, (kp, desc, impact) in enumerate([
+            ('{"impact":"crash","component_a":"x"}', '{"description":"one"}', '{"impact_texts":["crash","leak"],"mitre_technical_impacts":["DoS"]}'),
+            ('{"impact":"crash"}', "{bad", "5"),
+            (None, '{"description":"no keyphrases"}', None)]):
+        for kind, text in (("keyphrases", kp), ("description", desc), ("technical_impacts", impact)):
+            if text is not None:
+                put(f"{p.base}/{kind}/CVE-2024-100{i}_{kind}.json", text)
+    st = PL.run_merge(spark, p).first()
+    assert (st.processed, st.skipped_no_keyphrases, st.errors) == (2, 1, 2)
+    PL.run_publish(spark, p)
+    got = {r.cveId: r for r in spark.read.json(p.store).collect()}
+    assert set(got) == {"CVE-2024-1000", "CVE-2024-1001"}
+    assert got["CVE-2024-1000"].mitreTechnicalImpacts == ["DoS"] and got["CVE-2024-1000"].keyphrases.component == "x"
+    rows = spark.read.option("header", True).csv(p.report("impact_errors")).collect()
+    assert [(r.cve_id, r.direction, r["values"]) for r in rows] == [("CVE-2024-1000", "impact_texts_only", "leak")]
+
+
+def test_absent_stage_folders_are_empty(spark, tmp_dir):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    put(f"{p.base}/keyphrases/CVE-2024-1000_keyphrases.json", '{"impact":"i"}')
+    assert PL.run_merge(spark, p).first().processed == 1
+
+
+def test_overwrite_touches_only_its_partitions(spark, tmp_dir):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    for n in (1000, 1001, 5000):
+        put(f"{p.base}/keyphrases/CVE-2024-{n}_keyphrases.json", '{"impact":"i"}')
+    PL.run_merge(spark, p)
+    PL.run_publish(spark, p)
+    before = files(f"{p.store}/year=2024/bucket=5xxx")
+    put(f"{p.base}/keyphrases/CVE-2024-1000_keyphrases.json", '{"impact":"changed"}')
+    PL.run_merge(spark, p)
+    assert PL.run_publish(spark, p).first().skipped == 1
+    st = PL.run_publish(spark, p, "overwrite").first()
+    assert (st.overwritten, st.deleted) == (1, 2)
+    assert {r.cveId: r.keyphrases.impact for r in spark.read.json(p.store).collect()} == {
+        "CVE-2024-1000": "changed", "CVE-2024-1001": "i", "CVE-2024-5000": "i"}
+    assert files(f"{p.store}/year=2024/bucket=5xxx") == before
+
+
+def test_validate_mode_lists_records_without_section(spark, tmp_dir):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    rows = [("CVE-2024-1000", '{"cveId":"CVE-2024-1000"}'), ("CVE-2024-1001", '{"cveId":"CVE-2024-1001","keyphrases":"text"}'),
+            ("CVE-2024-1002", '{"cveId":"CVE-2024-1002","keyphrases":{}}')]
+    spark.createDataFrame(rows, "id string, value string").select(F.lit(2024).alias("year"), F.lit("1xxx").alias("bucket"), "value") \
+        .write.partitionBy("year", "bucket").text(p.store)
+    out = PL.run_validate(spark, p)
+    assert sorted(r.cveId for r in out["missing"].collect()) == ["CVE-2024-1000", "CVE-2024-1001"]
+
+
+def test_repair_mode_and_copy_back(spark, tmp_dir):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    docs = [("CVE-2024-1000_keyphrases.json", '{"impact":["a","b"]}'), ("CVE-2024-1001_keyphrases.json", "{bad")]
+    df = spark.createDataFrame(docs, "file_name string, content string")
+    df.write.parquet(p.staged)
+    df.write.parquet(p.invalid)
+    st = PL.run_repair(spark, p, copy_back=True).first()
+    assert (st.processed, st.fixed, st.failed) == (2, 1, 1)
+    got = {r.file_name: r.content for r in spark.read.parquet(p.staged).collect()}
+    assert '"impact":"a, b"' in got[docs[0][0]] and got[docs[1][0]] == "{bad"
+
+
+def test_reprocess_mode(spark, tmp_dir):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    S.write_csv(spark.createDataFrame([(f"CVE-2024-{1000 + i}", "text " + "y" * i) for i in range(8)], "cve_id string, description string"), p.src())
+    spark.createDataFrame([(f"CVE-2024-{1000 + i}_keyphrases.json", '{"impact":"i"}') for i in range(8)], "file_name string, content string") \
+        .write.parquet(p.staged)
+    spark.createDataFrame([], "cve_id string, description string").write.parquet(p.descriptions)
+    st = PL.run_reprocess(spark, p, stub_factory, sleep=quiet).first()
+    assert st.total == 8 and st.improved > 0 and spark.read.parquet(p.staged).count() == 8

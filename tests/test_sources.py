@@ -75,3 +75,22 @@ def test_legacy_json_store_and_docs(spark, tmp_dir):
                                 "file_name string, size long")
     full = S.with_manifest(docs, man)
     assert sorted((r.file_name, r.size, r.content) for r in full.collect())[1] == ("CVE-2024-2_keyphrases.json", 0, "")
+
+
+def test_detection_over_the_whole_frame(spark):
+    rows = [(i, None if i < 150 else f"CVE-2024-{i}", "long text " * 3) for i in range(200)]
+    df = spark.createDataFrame(rows, "ord long, ref string, body string")
+    assert S.detect_columns(df, sample=None) == ("ref", "body")
+
+
+def test_a_schema_given_to_the_store_reader_stays_as_it_is(spark, tmp_dir):
+    from pyspark.sql.types import StringType, StructField, StructType
+    _write(f"{tmp_dir}/s/2024/1xxx/CVE-2024-1234.json", '{"cveId": "CVE-2024-1234"}')
+    schema = StructType([StructField("cveId", StringType())])
+    for _ in range(2):
+        assert S.read_json_store(spark, f"{tmp_dir}/s", legacy=True, schema=schema).select("cveId").collect() == [("CVE-2024-1234",)]
+    assert schema.fieldNames() == ["cveId"]
+
+
+def test_stage_docs_of_an_absent_folder(spark, tmp_dir):
+    assert S.read_stage_docs(spark, f"{tmp_dir}/none").collect() == []

@@ -54,6 +54,8 @@ def check(spark, name, sf_dir, con=None, verbose=True):
     from skein.plans.catalog import ORACLE, QUERIES
     df = QUERIES[name](spark, sf_dir)
     s_cols = df.columns
+    if len(set(s_cols)) != len(s_cols):  # such a result can't be saved
+        return ("COLUMNS", s_cols, "repeated")
     s_rows = [tuple(r) for r in df.collect()]
     if name not in ORACLE:
         return ("rows-only", len(s_rows), None)
