@@ -329,15 +329,18 @@ def latest_errors(attempts: DataFrame) -> DataFrame:
 def route_outcomes(attempts: DataFrame) -> DataFrame:
     """Route each recorded call up to the winning one: ``success`` (the
     winning answer), ``error`` (a failed call) and one ``failed`` row for
-    ids that never succeeded."""
+    ids that never succeeded.
+
+    One scan, one parse a call and one shuffle of (attempt, ok) pairs; an id
+    has as many as the ladder has attempts."""
     parsed = parse_calls(attempts.withColumn("call", F.lit("extract")))
-    win = parsed.groupBy("cve_id").agg(F.min(F.when(F.col("ok"), F.col("attempt"))).alias("win"))
-    j = parsed.join(win, "cve_id")
-    upto = j.filter(F.col("win").isNull() | (F.col("attempt") <= F.col("win")))
-    routed = upto.select("cve_id", "attempt", F.when(F.col("ok"), F.lit("success")).otherwise(F.lit("error")).alias("route"))
-    failed = win.filter(F.col("win").isNull()).select("cve_id", F.lit(None).cast("int").alias("attempt"),
-                                                       F.lit("failed").alias("route"))
-    return routed.unionByName(failed)
+    g = parsed.groupBy("cve_id").agg(
+        F.min(F.when(F.col("ok"), F.col("attempt"))).alias("win"),
+        F.collect_list(F.struct("attempt", F.when(F.col("ok"), F.lit("success")).otherwise(F.lit("error")).alias("route"))).alias("calls"))
+    upto = F.filter("calls", lambda c: F.col("win").isNull() | (c["attempt"] <= F.col("win")))
+    end = F.when(F.col("win").isNull(), F.array(F.struct(F.lit(None).cast("int").alias("attempt"), F.lit("failed").alias("route"))))
+    rows = F.concat(upto, F.coalesce(end, F.slice(upto, 1, 0)))
+    return g.select("cve_id", F.explode(rows).alias("r")).select("cve_id", "r.attempt", "r.route")
 
 
 def reprocess(insufficient: DataFrame, descriptions: DataFrame, attempts_path: str,

@@ -126,16 +126,16 @@ def quarantine_split(v: DataFrame) -> tuple[DataFrame, DataFrame]:
     return v.filter("json_valid"), v.filter(~F.col("json_valid"))
 
 
-def duplicate_groups(df: DataFrame, key: str, content: str) -> DataFrame:
+def duplicate_groups(df: DataFrame, key: str, content: str | None = None, hash_col: str | None = None) -> DataFrame:
     """Rows whose content occurs more than once: ``(content_hash, key, n_copies)``.
 
     Counting is a hash aggregate with map-side partial counts, so a hash
     shared by a large share of the rows costs one row per task in the
     shuffle. Members are listed one row each (no per-group array), and the
     join back to the counts is split by AQE's skew-join handling when one
-    hash dominates a partition.
+    hash dominates a partition. ``hash_col`` takes a hash that is there already.
     """
-    h = df.select(F.col(key), F.md5(F.col(content)).alias("content_hash"))
+    h = df.select(F.col(key), (F.col(hash_col) if hash_col else F.md5(F.col(content))).alias("content_hash"))
     counts = (h.groupBy("content_hash").agg(F.count(F.lit(1)).alias("n_copies"))
               .filter(F.col("n_copies") > 1))
     return h.join(counts, "content_hash").select(

@@ -19,7 +19,7 @@ from skein.functions import text as T
 from skein.operators import ingest
 from skein.operators.layout import balance
 from skein.plans import duck as D
-from skein.session import configure
+from skein.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -251,6 +251,15 @@ def _classified(spark, sf):
     return V.classify(fx(spark, sf, "f_staged").select("file_name", "content"))
 
 
+def _landed(spark, sf):
+    """The classification written once, as the validate mode does, for the
+    queries that read it on several branches."""
+    path = scratch_path(spark, "validation")
+    v = _classified(spark, sf)
+    v.write.parquet(path)
+    return spark.read.schema(v.schema).parquet(path)
+
+
 _VD = D.with_fixtures(["f_staged"], D.validation_cte())
 
 
@@ -312,7 +321,7 @@ def q_single_docs(spark, sf):
 @register("quarantine_split", _VD + """
 SELECT cve_id, file_name, CASE WHEN json_valid THEN 'keyphrases' ELSE 'invalid' END AS destination FROM vd""")
 def q_quarantine_split(spark, sf):
-    kept, quarantined = V.quarantine_split(_classified(spark, sf))
+    kept, quarantined = V.quarantine_split(_landed(spark, sf))
     return (kept.select("cve_id", "file_name", F.lit("keyphrases").alias("destination"))
             .unionByName(quarantined.select("cve_id", "file_name", F.lit("invalid").alias("destination"))))
 
@@ -330,8 +339,8 @@ SELECT content_hash, cve_id, n_copies FROM (
  SELECT content_hash, cve_id, count(*) OVER (PARTITION BY content_hash)::BIGINT AS n_copies FROM vd WHERE content_hash IS NOT NULL)
 WHERE n_copies > 1""")
 def q_duplicate_staged(spark, sf):
-    v = _classified(spark, sf).filter(F.col("content_hash").isNotNull())
-    return V.duplicate_groups(v.select("cve_id", "content"), "cve_id", "content")
+    v = _landed(spark, sf).filter(F.col("content_hash").isNotNull())
+    return V.duplicate_groups(v, "cve_id", hash_col="content_hash")
 
 
 _PARSED = "ps AS (SELECT replace(file_name, '_keyphrases.json', '') AS cve_id, file_name, content FROM f_staged WHERE coalesce(json_valid(content), false) AND json_type(content) = 'OBJECT')"
@@ -584,7 +593,6 @@ def q_to_json_record(spark, sf):
 # --------------------------------------------------------------- publish ---
 
 from skein.operators import publish as P  # noqa: E402
-from skein.session import scratch_path  # noqa: E402
 
 _PUB = D.with_fixtures(["f_staged", "f_target"], """
 ps AS (SELECT replace(file_name, '_keyphrases', '') AS file_name, content FROM f_staged

@@ -179,7 +179,7 @@ def run_validate(spark: SparkSession, p: Paths, do_validate: bool = True,
                 p.report("invalid"))
         _report(validate.report_ids(v), p.report("empty_single_ids"))
         _report(v.select("cve_id", "size", "json_valid", "content_hash").orderBy("cve_id"), p.report("validation"))
-        _report(validate.duplicate_groups(v.filter(F.col("content_hash").isNotNull()), "cve_id", "content"),
+        _report(validate.duplicate_groups(v.filter(F.col("content_hash").isNotNull()), "cve_id", hash_col="content_hash"),
                 p.report("duplicates"))
         out["summary"] = validate.validation_summary(v)
         _report_row(out["summary"], p.report("validation_summary"))
