@@ -12,7 +12,8 @@ PRUNE of the nearest.
 
 Equal vectors are one entry holding its smallest ids, as many as a result can
 use, so a vector that a third of all rows repeat costs one entry. Lists are cut
-into parts of at most about PART entries; a part is scanned by one task, whole.
+into parts of at most about PART entries, and the queries of a list into blocks
+of about QUERIES_AT_ONCE; a task scans one part, whole, for one block.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ PROBES, PRUNE = 64, 1.6    # lists of a query: at most, and the distance ratio
 LEAST = 16                 # lists searched whatever their distance (a query can be its own centroid)
 DEGREE, BEAM = 24, 96      # of the centroid graph and its search
 PART = 4096
+QUERIES_AT_ONCE = 8192     # queries that meet a part of a list in one task
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 1) -> np.ndarray:
@@ -211,10 +213,6 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
             yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), *(c.take(pa.array(rows_)) for c in b.columns)], ["cell", "entry", "v", "ids"])
 
     postings = stored(entries.select("entry", "v", "ids").mapInArrow(post, "cell long, entry long, v binary, ids array<long>"), "postings")
-    cells = postings.groupBy("cell").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    postings = (postings.join(cells, "cell")
-                .select("cell", F.pmod(F.xxhash64("entry"), F.col("parts")).cast("int").alias("part"), "entry", "v", "ids"))
-
     def aim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
@@ -227,7 +225,21 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
             yield pa.RecordBatch.from_arrays([pa.array(got[r, c]), *(col.take(pa.array(r)) for col in b.columns)], ["cell", "query_id", "v"])
 
     asked = rows.where(F.pmod("vec_id", F.lit(query_mod)) == 0).select("vec_id", "v").mapInArrow(aim, "cell long, query_id long, v binary")
-    asked = asked.join(cells, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "query_id", F.col("v").alias("q"))
+    asked = stored(asked, "asked")
+
+    def parts_of(df: DataFrame, size: int, name: str) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
+
+    cells = stored(parts_of(postings, PART, "parts").join(parts_of(asked, QUERIES_AT_ONCE, "blocks"), "cell"), "cells")
+
+    def dealt(df: DataFrame, key: str, own: str, all_: str, *cols) -> DataFrame:
+        """Each row in its own part (or block) and once in each block (or part)."""
+        mine = F.pmod(F.xxhash64(key), F.col("parts" if own == "part" else "blocks")).cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.col("parts" if all_ == "part" else "blocks") - 1)).alias(all_)
+        return df.join(cells, "cell").select("cell", mine, every, *cols)
+
+    postings = dealt(postings, "entry", "part", "block", "entry", "v", "ids")
+    asked = dealt(asked, "query_id", "block", "part", "query_id", F.col("v").alias("q"))
 
     def scan(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"query_id": [], "entry": [], "ids": [], "score": []}
@@ -245,11 +257,12 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
                     order = np.lexsort((low[best], -exact))[:k + 1]
                     out["query_id"] += [query] * len(order)
                     out["entry"] += names[best[order]].tolist()
-                    out["ids"] += list(ids[best[order]])
+                    out["ids"] += [list(i) for i in ids[best[order]]]
                     out["score"] += exact[order].tolist()
-        return pd.DataFrame(out)
+        kinds = {"query_id": "int64", "entry": "int64", "ids": object, "score": "float64"}
+        return pd.DataFrame({c: pd.Series(out[c], dtype=t) for c, t in kinds.items()})
 
-    found = (asked.groupBy("cell", "part").cogroup(postings.groupBy("cell", "part"))
+    found = (asked.groupBy("cell", "part", "block").cogroup(postings.groupBy("cell", "part", "block"))
              .applyInPandas(scan, "query_id long, entry long, ids array<long>, score double"))
     # an entry found in several lists counts once
     each = (found.dropDuplicates(["query_id", "entry"]).select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id"))

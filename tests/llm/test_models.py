@@ -216,6 +216,7 @@ def test_ann_small_and_unusable(spark):
 
 def test_ann_splits_large_lists(spark, monkeypatch):
     monkeypatch.setattr(ann, "PART", 16)
+    monkeypatch.setattr(ann, "QUERIES_AT_ONCE", 3)
     rng = np.random.default_rng(4)
     rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(rng.normal(size=(400, 8)))]
     got, want = run_ann(spark, rows), ann.nearest_exact(rows)
