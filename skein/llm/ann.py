@@ -34,10 +34,11 @@ from .common import prepare, shuffle_partitions
 SAMPLE = 20_000            # vectors the centroids are fitted on, at most
 LIST_SIZE = 128            # vectors in a list, aimed at
 MAX_LISTS = 4096
-COPIES, BORDER = 4, 1.25
-PROBES, PRUNE = 64, 1.6    # lists of a query: at most, and the distance ratio
+COPIES, BORDER = 4, 1.1    # lists a vector stands in at most, and how much farther they may be
+APART = 0.12               # chosen centroids lie at least this share of the vector's squared distance apart
+PROBES, PRUNE = 48, 1.6    # lists of a query: at most, and the distance ratio
 LEAST = 16                 # lists searched whatever their distance (a query can be its own centroid)
-DEGREE, BEAM = 24, 96      # of the centroid graph and its search
+DEGREE, BEAM = 24, 48      # of the centroid graph and, at least, its search
 PART = 4096
 QUERIES_AT_ONCE = 8192     # queries that meet a part of a list in one task
 
@@ -90,7 +91,7 @@ class CentroidGraph:
         """(centroid numbers, squared distances) by distance, ``want`` each;
         -1 where fewer were reached."""
         n, k = len(q), len(self.c)
-        beam = min(k, max(BEAM, want))
+        beam = min(k, max(BEAM, 2 * want))
         known = np.zeros((n, k), bool)
         known[:, self.entry] = True
         ids = np.full((n, beam), -1)
@@ -204,8 +205,8 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
                 for c, d in zip(cs, ds):
                     if c < 0 or d > BORDER ** 2 * ds[0] + 1e-12 or len(chosen) == COPIES:
                         break
-                    # skip a centroid that lies nearer to a chosen one than to the vector
-                    if any(((g.c[c] - g.c[o]) ** 2).sum() < d for o in chosen):
+                    # a chosen centroid close by stands for this one
+                    if any(((g.c[c] - g.c[o]) ** 2).sum() < APART * d for o in chosen):
                         continue
                     chosen.append(int(c))
                 rows_ += [i] * len(chosen)
