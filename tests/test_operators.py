@@ -112,3 +112,27 @@ def test_write_store_splits_hot_bucket(spark, tmp_dir):
     back = spark.read.text(tmp_dir)
     assert back.filter((F.col("year") == 2024) & (F.col("bucket") == "1xxx")).count() == 1
     assert back.count() == 6001
+
+
+def test_outcome_routing_reads_its_input_once(spark, tmp_dir):
+    from skein.operators import infer
+    rows = [("a", 1, "primary", None, "503"), ("a", 2, "fallback", '{"impact":"i"}', None), ("a", 3, "fallback", '{"impact":"j"}', None),
+            ("b", 1, "primary", None, "503"), ("c", 1, "primary", '{"impact":"i"}]', None)]
+    spark.createDataFrame(rows, "cve_id string, attempt int, model string, response string, error string").write.parquet(f"{tmp_dir}/a")
+    out = infer.route_outcomes(spark.read.parquet(f"{tmp_dir}/a"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    assert sorted((r.cve_id, r.attempt or 0, r.route) for r in out.collect()) == [
+        ("a", 1, "error"), ("a", 2, "success"), ("b", 0, "failed"), ("b", 1, "error"), ("c", 1, "success")]
+
+
+def test_balance_keeps_the_scan_unless_told(spark, tmp_dir):
+    from skein.operators.layout import SCAN_PARTITIONS, balance
+    spark.range(10).write.parquet(f"{tmp_dir}/r")
+    df = spark.read.parquet(f"{tmp_dir}/r")
+    assert "Exchange" not in balance(df)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set(SCAN_PARTITIONS, "3")
+    try:
+        assert "Exchange" in balance(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(SCAN_PARTITIONS)
