@@ -86,7 +86,7 @@ def odd_constants(n: int, seed: int) -> np.ndarray:
 class WordHashes(dict):
     """Memo word -> 64-bit hash, emptied when it grows past ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 

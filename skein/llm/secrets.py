@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import as_bytes, blocks, prepare
 
 MAX_STRINGS = 64    # alternatives followed exactly before a part is left open
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -185,7 +185,7 @@ def _finder(rules: Sequence[Rule]):
     def make():
         ready = [(k, r, r.compiled(), trigram_query(r.pattern)) for k, r in enumerate(rules)]
         grams = sorted(set().union(*(query_grams(q) for *_, q in ready)))
-        table = np.zeros(1 << 24, np.uint16)
+        table = np.zeros(1 << 24, np.uint8 if len(grams) < 256 else np.uint16)
         for i, g in enumerate(grams):
             table[int.from_bytes(g, "big")] = i + 1
 

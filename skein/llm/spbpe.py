@@ -34,7 +34,7 @@ from .common import as_bytes, blocks, prepare
 
 MARK = "▁"
 MAX_MODEL_BYTES = 64 << 20
-MEMO_WORDS, MEMO_WORD_CHARS = 200_000, 64
+MEMO_WORDS, MEMO_WORD_CHARS, MEMO_PAIRS = 200_000, 64, 250_000
 BLOCK_BYTES = 2 << 20
 
 _WORD = re.compile(f"{MARK}+|[^{MARK}]+")
@@ -159,7 +159,7 @@ class PieceModel:
                 limit, x = x, self.split[x][1]
             else:
                 limit, y = y + 1, self.split[y][0]
-        if len(self.pair_memo) > 2_000_000:
+        if len(self.pair_memo) >= MEMO_PAIRS:
             self.pair_memo.clear()
         self.pair_memo[(a, b)] = ok
         return ok
