@@ -919,6 +919,16 @@ def q_read_csv_records(spark, sf):
     return S.read_csv_records(spark, path).select("cve_id", "description", "state", "rejected_reason")
 
 
+@register("staged_manifest", D.with_fixtures(["f_staged"])
+          + "\nSELECT file_name, strlen(content)::BIGINT AS size, content FROM f_staged")
+def q_staged_manifest(spark, sf):
+    """Staged docs as a file scan gives them (no zero-byte file), completed
+    by the manifest of all names and sizes."""
+    s = fx(spark, sf, "f_staged").select("file_name", F.octet_length("content").cast("bigint").alias("size"), "content")
+    scanned = s.filter(F.coalesce(F.col("size"), F.lit(1)) > 0).withColumn("file_path", F.lit(None).cast("string"))
+    return S.with_manifest(scanned, s.select("file_name", "size")).select("file_name", "size", "content")
+
+
 _DETECT_SRC = """ds AS (SELECT doc_id, CASE WHEN doc_id % 97 = 0 THEN NULL ELSE """ + CVE_SQL.replace("{S}", "VARCHAR") + """ END AS ref,
  text AS body, lang AS lng, source AS origin FROM documents),
 smp AS (SELECT * FROM ds ORDER BY doc_id LIMIT 100)"""

@@ -23,9 +23,11 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from skein.functions import ids as I
 from skein.operators import infer as N
@@ -39,9 +41,11 @@ class Paths:
     base: str
     source: str | None = None
     extra: dict = field(default_factory=dict)
+    legacy_store: str | None = None   # records published elsewhere, one JSON doc a file
+    csv_multiline: bool = True        # False where no source field holds a newline: the files are split
 
     def __getattr__(self, name):
-        if name in ("base", "source", "extra"):
+        if name in ("base", "source", "extra", "legacy_store", "csv_multiline"):
             raise AttributeError(name)
         return f"{self.base.rstrip('/')}/{name}"
 
@@ -74,9 +78,18 @@ def read_store(spark: SparkSession, p: Paths) -> DataFrame | None:
     return spark.read.text(p.store).select("year", "bucket", "value", F.get_json_object("value", "$.cveId").alias("cve_id"))
 
 
+def legacy_path(spark: SparkSession, p: Paths) -> str | None:
+    return p.legacy_store if p.legacy_store and path_exists(spark, p.legacy_store) else None
+
+
 def published_ids(spark: SparkSession, p: Paths) -> DataFrame | None:
-    store = read_store(spark, p)
-    return None if store is None else store.select("cve_id")
+    """Ids in the store and in a legacy store, each when it is there."""
+    store, legacy = read_store(spark, p), legacy_path(spark, p)
+    ids = [] if store is None else [store.select("cve_id")]
+    if legacy:
+        schema = StructType([StructField("cveId", StringType())])
+        ids.append(S.read_json_store(spark, legacy, legacy=True, schema=schema).select(F.col("cveId").alias("cve_id")))
+    return reduce(DataFrame.unionByName, ids) if ids else None
 
 
 def new_run_id() -> str:
@@ -91,7 +104,7 @@ def run_extract(spark: SparkSession, p: Paths, client_factory, full: bool = Fals
     the run statistics. ``run_id`` of an interrupted run resumes it; without
     one a new run calls anew for ids that failed or were quarantined."""
     configure(spark)
-    src = S.read_csv_records(spark, p.src())
+    src = S.read_csv_records(spark, p.src(), multiline=p.csv_multiline)
     store = published_ids(spark, p)
     done = None if full else store
     # the prepared records are landed once: the reports and the model run read them
@@ -134,7 +147,7 @@ def run_reprocess(spark: SparkSession, p: Paths, client_factory, concurrency: in
     staged = spark.read.parquet(p.staged)
     ins = validate.insufficient_docs(staged).select("cve_id", "current_count", "content")
     desc = ingest.description_lookup(ins.select("cve_id"), spark.read.parquet(p.descriptions),
-                                     S.read_csv_records(spark, p.src()))
+                                     S.read_csv_records(spark, p.src(), multiline=p.csv_multiline))
     res = N.reprocess(ins, desc.filter(F.col("description").isNotNull()), p.attempts, client_factory,
                       run_id or new_run_id(), concurrency, sleep=sleep)
     res.write.mode("overwrite").parquet(f"{p.base}/reprocess")
@@ -164,7 +177,7 @@ def _swap(spark: SparkSession, new: str, target: str) -> None:
 def run_validate(spark: SparkSession, p: Paths, do_validate: bool = True,
                  check_missing: bool = True) -> dict:
     """Validate mode: classify staged docs once (written), then quarantine
-    split, reports and the missing-section scan of the published store."""
+    split, reports and the missing-section scan of the published stores."""
     configure(spark)
     out = {}
     if do_validate and path_exists(spark, p.staged):
@@ -184,11 +197,16 @@ def run_validate(spark: SparkSession, p: Paths, do_validate: bool = True,
         out["summary"] = validate.validation_summary(v)
         _report_row(out["summary"], p.report("validation_summary"))
         _report_row(validate.issue_counts(v), p.report("issue_counts"))
-    store = read_store(spark, p) if check_missing else None
-    if store is not None:
-        docs = store.select(F.concat_ws("/", F.lit(""), "year", "bucket", F.concat("cve_id", F.lit(".json"))).alias("path"),
-                            F.col("value").alias("content"))
-        miss = validate.missing_section(docs).select(F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("cveId"))
+    docs = []
+    if check_missing:
+        store, legacy = read_store(spark, p), legacy_path(spark, p)
+        if store is not None:
+            docs.append(store.select(F.concat_ws("/", F.lit(""), "year", "bucket", F.concat("cve_id", F.lit(".json"))).alias("path"),
+                                     F.col("value").alias("content")))
+        if legacy:
+            docs.append(S.scan_store_paths(spark, legacy))
+    if docs:
+        miss = validate.missing_section(reduce(DataFrame.unionByName, docs)).select(F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("cveId"))
         _report(miss, p.report("missing_keyphrases"))
         out["missing"] = miss
     return out

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from skein.functions import ids as I
 from skein.session import path_exists
@@ -34,24 +33,26 @@ def _na_to_null(df: DataFrame, cols) -> DataFrame:
                        if c in cols else F.col(c) for c in df.columns])
 
 
-def csv_reader(spark: SparkSession, profile: str = "standard"):
+def csv_reader(spark: SparkSession, profile: str = "standard", multiline: bool = True):
     """``standard``: RFC-4180 quoting (doubled quotes), quoted newlines kept.
-    ``legacy``: every field quoted, backslash escapes."""
-    r = (spark.read.option("header", True).option("multiLine", True)
+    ``legacy``: every field quoted, backslash escapes. A file whose fields may
+    hold newlines can't be split; where they hold none, ``multiline=False``
+    lets Spark read a plain file in many tasks."""
+    r = (spark.read.option("header", True).option("multiLine", multiline)
          .option("mode", "PERMISSIVE"))
     if profile == "legacy":
         return r.option("quote", '"').option("escape", "\\")
     return r.option("quote", '"').option("escape", '"')
 
 
-def read_csv_table(spark: SparkSession, path: str, profile: str = "standard") -> DataFrame:
+def read_csv_table(spark: SparkSession, path: str, profile: str = "standard", multiline: bool = True) -> DataFrame:
     """All columns as strings, pandas NA words as null, plus ``ord``: the
     source order (file path, then row position within the file).
 
     ``ord`` is taken right after the scan, before any shuffle, where
     ``monotonically_increasing_id`` is stable; a gzip file is one split, so
     callers spread the rows afterwards (``balance``)."""
-    raw = csv_reader(spark, profile).csv(path)
+    raw = csv_reader(spark, profile, multiline).csv(path)
     cols = raw.columns
     with_ord = raw.select("*", F.struct(F.col("_metadata.file_path").alias("file"),
                                         F.monotonically_increasing_id().alias("row")).alias(ORDER))
@@ -121,14 +122,14 @@ def detect_columns(df: DataFrame, order: str = ORDER, sample: int | None = SAMPL
     return id_col, text_col
 
 
-def read_csv_records(spark: SparkSession, path: str, profile: str | None = None) -> DataFrame:
+def read_csv_records(spark: SparkSession, path: str, profile: str | None = None, multiline: bool = True) -> DataFrame:
     """Source records ``(cve_id, description[, state, rejected_reason], ord)``.
 
     The standard profile with column detection is tried first; when reading
     or detection fails the legacy profile with fixed columns is used."""
     if profile != "legacy":
         try:
-            t = read_csv_table(spark, path, "standard")
+            t = read_csv_table(spark, path, "standard", multiline)
             id_col, text_col = detect_columns(t)
             extra = [c for c in OPTIONAL_COLUMNS if c in t.columns]
             return t.select(F.col(id_col).alias("cve_id"), F.col(text_col).alias("description"),
@@ -136,7 +137,7 @@ def read_csv_records(spark: SparkSession, path: str, profile: str | None = None)
         except (ValueError, AnalysisException):
             if profile == "standard":
                 raise
-    t = read_csv_table(spark, path, "legacy")
+    t = read_csv_table(spark, path, "legacy", multiline)
     return t.select(F.col(LEGACY_COLUMNS[0]).alias("cve_id"),
                     F.col(LEGACY_COLUMNS[1]).alias("description"), ORDER)
 
@@ -159,14 +160,10 @@ def read_json_store(spark: SparkSession, path: str, legacy: bool = False, schema
             r = r.schema(schema)
         return r.json(path)
     r = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "CVE-*.json")
-         .option("multiLine", True).option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", "_corrupt_record"))
+         .option("multiLine", True).option("mode", "DROPMALFORMED"))
     if schema is not None:
-        r = r.schema(StructType([*schema.fields, StructField("_corrupt_record", StringType())]))
-    df = r.json(path).withColumn("source_file", F.col("_metadata.file_name"))
-    if "_corrupt_record" in df.columns:
-        df = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    return df
+        r = r.schema(schema)
+    return r.json(path).withColumn("source_file", F.col("_metadata.file_name"))
 
 
 def scan_docs(spark: SparkSession, path: str, glob: str = "*_keyphrases.json",
@@ -203,6 +200,12 @@ def with_manifest(docs: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def scan_store_paths(spark: SparkSession, base: str) -> DataFrame:
-    """Docs of a legacy store tree: only ``<base>/<digits>/<dir>/*.json``."""
+    """Docs ``(path, content)`` of a store tree of one doc a file. Paths start
+    below ``base``, as ``missing_section`` takes them; it scopes them to
+    ``/<digits>/<dir>/*.json``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root = fs.makeQualified(p).toUri().getRawPath().rstrip("/")
     docs = scan_docs(spark, base, glob="*.json", recursive=True)
-    return docs.select(F.col("file_path").alias("path"), "content")
+    path = F.regexp_replace("file_path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return docs.select(path.substr(F.lit(len(root) + 1), F.length(path)).alias("path"), "content")

@@ -133,3 +133,18 @@ def test_reprocess_mode(spark, tmp_dir):
     spark.createDataFrame([], "cve_id string, description string").write.parquet(p.descriptions)
     st = PL.run_reprocess(spark, p, stub_factory, sleep=quiet).first()
     assert st.total == 8 and st.improved > 0 and spark.read.parquet(p.staged).count() == 8
+
+
+def test_a_legacy_store_counts_as_published_and_is_scanned(spark, tmp_dir):
+    p = PL.Paths(base=f"{tmp_dir}/run", legacy_store=f"{tmp_dir}/legacy", csv_multiline=False)
+    S.write_csv(spark.createDataFrame([(f"CVE-2024-100{i}", "some text") for i in range(3)], "cve_id string, description string"), p.src())
+    put(f"{p.legacy_store}/2024/1xxx/CVE-2024-1000.json", '{\n "cveId": "CVE-2024-1000",\n "keyphrases": {}\n}')
+    put(f"{p.legacy_store}/2024/1xxx/CVE-2024-1001.json", '{"cveId": "CVE-2024-1001"}')
+    put(f"{p.legacy_store}/2024/1xxx/CVE-2024-1002.json", '{"cveId": ')
+    assert sorted(r.cve_id for r in PL.published_ids(spark, p).collect()) == ["CVE-2024-1000", "CVE-2024-1001"]
+    assert PL.run_extract(spark, p, stub_factory, sleep=quiet).first().total == 1
+    assert [r.cveId for r in PL.run_validate(spark, p)["missing"].collect()] == ["CVE-2024-1001"]
+
+
+def test_an_absent_legacy_store_is_empty(spark, tmp_dir):
+    assert PL.published_ids(spark, PL.Paths(base=f"{tmp_dir}/run", legacy_store=f"{tmp_dir}/none")) is None

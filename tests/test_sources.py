@@ -5,6 +5,7 @@ import os
 
 import pytest
 
+from skein.operators.validate import missing_section
 from skein.sources import files as S
 
 
@@ -67,6 +68,7 @@ def test_legacy_json_store_and_docs(spark, tmp_dir):
     _write(f"{base}/2024/1xxx/notes.json", '{"cveId": "x"}')
     df = S.read_json_store(spark, base, legacy=True)
     assert [(r.cveId, r.source_file) for r in df.collect()] == [("CVE-2024-1234", "CVE-2024-1234.json")]
+    assert df.count() == 1 and not df.isEmpty()
     _write(f"{tmp_dir}/staged/CVE-2024-1_keyphrases.json", '{"rootcause":"r"}')
     _write(f"{tmp_dir}/staged/CVE-2024-2_keyphrases.json", "")
     docs = S.scan_docs(spark, f"{tmp_dir}/staged")
@@ -92,5 +94,26 @@ def test_a_schema_given_to_the_store_reader_stays_as_it_is(spark, tmp_dir):
     assert schema.fieldNames() == ["cveId"]
 
 
+def test_single_line_csv_is_split_and_keeps_its_order(spark, tmp_dir):
+    _write(f"{tmp_dir}/c/a.csv", "cveId,description\n" + "".join(f'CVE-2024-{i},"text, ""{i}"" {"x" * 50}"\n' for i in range(1000, 5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        df = S.read_csv_records(spark, f"{tmp_dir}/c", multiline=False)
+        assert df.rdd.getNumPartitions() > 1
+        assert S.read_csv_records(spark, f"{tmp_dir}/c").rdd.getNumPartitions() == 1
+        rows = df.orderBy("ord").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.cve_id, r.description) for r in rows] == [(f"CVE-2024-{i}", f'text, "{i}" {"x" * 50}') for i in range(1000, 5000)]
+
+
+def test_store_paths_start_below_the_base(spark, tmp_dir):
+    for at in ("2024/1xxx/CVE-2024-1234.json", "old/2024/1xxx/CVE-2024-1235.json", "misc/1xxx/CVE-2024-1236.json"):
+        _write(f"{tmp_dir}/a b.c/{at}", '{"cveId":"x"}')
+    docs = S.scan_store_paths(spark, f"{tmp_dir}/a b.c/")
+    assert {r.path for r in docs.collect()} == {"/2024/1xxx/CVE-2024-1234.json", "/old/2024/1xxx/CVE-2024-1235.json", "/misc/1xxx/CVE-2024-1236.json"}
+    assert [r.path for r in missing_section(docs).collect()] == ["/2024/1xxx/CVE-2024-1234.json"]
+
+
 def test_stage_docs_of_an_absent_folder(spark, tmp_dir):
     assert S.read_stage_docs(spark, f"{tmp_dir}/none").collect() == []
