@@ -121,7 +121,7 @@ def run_extract(spark: SparkSession, p: Paths, client_factory, full: bool = Fals
     first = ingest.first_wins(todo.select("cve_id", "ord", "description"), "cve_id", "ord")
     new_desc = ingest.incremental_anti(first, _read(spark, p.descriptions))
     new_desc.select("cve_id", "description").write.mode("append").parquet(p.descriptions)
-    staged = _read(spark, p.staged)
+    staged = read_staged(spark, p)
     # a record without an id can never be published (its file name fails
     # the CVE-<year>-<number> pattern), so it gets no model call
     pending = first.filter(F.col("cve_id").isNotNull()).select("cve_id", "description")
@@ -144,7 +144,9 @@ def run_reprocess(spark: SparkSession, p: Paths, client_factory, concurrency: in
     """Reprocess mode: staged docs with 0-1 fields get an enhancement call;
     improved answers replace them (new staged version)."""
     configure(spark)
-    staged = spark.read.parquet(p.staged)
+    staged = read_staged(spark, p)
+    if staged is None:
+        raise ValueError("nothing is staged")
     ins = validate.insufficient_docs(staged).select("cve_id", "current_count", "content")
     desc = ingest.description_lookup(ins.select("cve_id"), spark.read.parquet(p.descriptions),
                                      S.read_csv_records(spark, p.src(), multiline=p.csv_multiline))
@@ -156,22 +158,45 @@ def run_reprocess(spark: SparkSession, p: Paths, client_factory, concurrency: in
     up = N.upsert_if_better(cur, res)
     up.select(F.concat("cve_id", F.lit(I.STAGED_SUFFIX)).alias("file_name"), "content") \
         .write.mode("overwrite").parquet(f"{p.staged}_next")
-    _swap(spark, f"{p.staged}_next", p.staged)
+    _swap(spark, p.staged)
     stats = N.reprocess_stats(res)
     _report_row(stats, p.report("reprocess_stats"))
     return stats
 
 
-def _swap(spark: SparkSession, new: str, target: str) -> None:
-    """Replace ``target`` by the fully written ``new`` table (rename)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    t = jvm.org.apache.hadoop.fs.Path(target)
-    fs = t.getFileSystem(conf)
-    old = jvm.org.apache.hadoop.fs.Path(target + f"_old_{int(time.time() * 1000)}")
-    if fs.exists(t):
-        fs.rename(t, old)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(new), t)
+def _files(spark: SparkSession, target: str):
+    """(filesystem, the table's path, its next version, its previous version)"""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    t = path(target)
+    return t.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), t, path(f"{target}_next"), path(f"{target}_previous")
+
+
+def _swap(spark: SparkSession, target: str) -> None:
+    """Replace ``target`` by its fully written next version. ``_settle``
+    finishes a swap that was cut short between the two renames."""
+    fs, t, new, old = _files(spark, target)
+    _settle(spark, target)
+    if fs.exists(t) and not fs.rename(t, old):
+        raise OSError(f"cannot set {target} aside")
+    if not fs.rename(new, t):
+        raise OSError(f"cannot rename the next version of {target}")
+    fs.delete(old, True)
+
+
+def _settle(spark: SparkSession, target: str) -> None:
+    """A previous version without a current one means that the next one was
+    written whole and only its rename is due."""
+    fs, t, new, old = _files(spark, target)
+    if not fs.exists(old):
+        return
+    if not fs.exists(t) and not fs.rename(new, t):
+        raise OSError(f"cannot rename the next version of {target}")
+    fs.delete(old, True)
+
+
+def read_staged(spark: SparkSession, p: Paths) -> DataFrame | None:
+    _settle(spark, p.staged)
+    return _read(spark, p.staged)
 
 
 def run_validate(spark: SparkSession, p: Paths, do_validate: bool = True,
@@ -180,14 +205,15 @@ def run_validate(spark: SparkSession, p: Paths, do_validate: bool = True,
     split, reports and the missing-section scan of the published stores."""
     configure(spark)
     out = {}
-    if do_validate and path_exists(spark, p.staged):
-        v = validate.classify(spark.read.parquet(p.staged))
+    staged = read_staged(spark, p) if do_validate else None
+    if staged is not None:
+        v = validate.classify(staged)
         v.write.mode("overwrite").parquet(f"{p.base}/validation")
         v = spark.read.parquet(f"{p.base}/validation")
         kept, bad = validate.quarantine_split(v)
         bad.write.mode("overwrite").parquet(p.invalid)
         kept.select("file_name", "content").write.mode("overwrite").parquet(f"{p.staged}_next")
-        _swap(spark, f"{p.staged}_next", p.staged)
+        _swap(spark, p.staged)
         _report(validate.invalid_report(v).select("cve_id", "size", "json_valid", "content_hash"),
                 p.report("invalid"))
         _report(validate.report_ids(v), p.report("empty_single_ids"))
@@ -221,10 +247,12 @@ def run_repair(spark: SparkSession, p: Paths, copy_back: bool = False) -> DataFr
     fixed.write.mode("overwrite").parquet(p.fixed)
     fixed = spark.read.parquet(p.fixed)
     if copy_back:
-        staged = spark.read.parquet(p.staged)
+        staged = read_staged(spark, p)
+        if staged is None:
+            raise ValueError("nothing is staged")
         repair.copy_back(staged, fixed).select("file_name", "content") \
             .write.mode("overwrite").parquet(f"{p.staged}_next")
-        _swap(spark, f"{p.staged}_next", p.staged)
+        _swap(spark, p.staged)
     stats = repair.repair_stats(fixed)
     _report_row(stats, p.report("repair_stats"))
     return stats
@@ -238,7 +266,7 @@ def run_merge(spark: SparkSession, p: Paths, version: str = "1.0.0",
     an id on both sides the table's doc counts. Raises when nothing merges."""
     configure(spark)
     raw = {k: S.read_stage_docs(spark, f"{p.base}/{k}") for k in ("description", "keyphrases", "technical_impacts")}
-    kp, staged = raw["keyphrases"].select("cve_id", "content"), _read(spark, p.staged)
+    kp, staged = raw["keyphrases"].select("cve_id", "content"), read_staged(spark, p)
     if staged is not None:
         own = staged.select(I.key_from_split("file_name").alias("cve_id"), "content")
         kp = own.unionByName(kp.join(own.select("cve_id"), "cve_id", "left_anti"))

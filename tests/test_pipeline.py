@@ -148,3 +148,18 @@ def test_a_legacy_store_counts_as_published_and_is_scanned(spark, tmp_dir):
 
 def test_an_absent_legacy_store_is_empty(spark, tmp_dir):
     assert PL.published_ids(spark, PL.Paths(base=f"{tmp_dir}/run", legacy_store=f"{tmp_dir}/none")) is None
+
+
+def test_a_swap_that_was_cut_short_is_finished(spark, tmp_dir):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+
+    def version(name, text):
+        spark.createDataFrame([("CVE-2024-1000_keyphrases.json", text)], "file_name string, content string").write.parquet(f"{p.staged}{name}")
+    version("_previous", "old")   # set aside, and the job was lost before the second rename
+    version("_next", "new")
+    assert [r.content for r in PL.read_staged(spark, p).collect()] == ["new"]
+    assert not os.path.exists(f"{p.staged}_previous") and not os.path.exists(f"{p.staged}_next")
+    version("_next", "newer")
+    PL._swap(spark, p.staged)
+    assert [r.content for r in PL.read_staged(spark, p).collect()] == ["newer"]
+    assert sorted(os.listdir(p.base)) == ["staged"]
