@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.session import scratch_path
+
 from .common import WordHashes, as_bytes, blocks, mix, odd_constants, prepare, shingles, word_hashes
 
 WIDTH = 5
@@ -90,42 +92,67 @@ def _windows(n: int, size: int, overlap: int) -> list[tuple[int, int]]:
     return [(a, min(a + size, n)) for a in range(0, max(1, n - overlap), step)] if n else []
 
 
+def _finder(items: list[np.ndarray], threshold: float):
+    """A function that gives the (text, item, shared shingles) of texts that
+    hold items, by their numbers."""
+    memo = WordHashes()
+    parts = partitions(items, threshold)
+
+    def search(texts: Sequence[bytes | None]) -> list[tuple[int, int, int]]:
+        seqs = [shingles(word_hashes(t, memo), WIDTH) for t in texts]
+        pairs: set[tuple[int, int]] = set()
+        for part, numbers in parts:
+            spans = [(d, a, b) for d, s in enumerate(seqs) for a, b in _windows(len(s), part.window, part.largest)]
+            at = 0
+            while at < len(spans):
+                size, end = 0, at
+                while end < len(spans) and (end == at or size + spans[end][2] - spans[end][1] <= CHUNK):
+                    size += spans[end][2] - spans[end][1]
+                    end += 1
+                x = (np.concatenate([seqs[d][a:b] for d, a, b in spans[at:end]]) >> np.uint64(32)).astype(np.uint32)
+                starts = np.cumsum([0, *(b - a for _, a, b in spans[at:end - 1])])
+                for w, owners in part.candidates(x, starts):
+                    d = spans[at + int(w)][0]
+                    pairs.update((d, int(i)) for i in numbers[owners])
+                at = end
+        sets: dict[int, np.ndarray] = {}
+        out = []
+        for d, i in sorted(pairs):
+            if d not in sets:
+                sets[d] = np.unique(seqs[d])
+            pos = np.searchsorted(sets[d], items[i])
+            pos[pos == len(sets[d])] = 0
+            shared = int((sets[d][pos] == items[i]).sum())
+            if shared >= threshold * len(items[i]):
+                out.append((d, i, shared))
+        return out
+    return search
+
+
 def _search(items: list[np.ndarray], threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
-        parts = partitions(items, threshold)
+        search = _finder(items, threshold)
         for ids, texts in blocks(batches, BLOCK_BYTES):
-            seqs = [shingles(word_hashes(t, memo), WIDTH) for t in texts]
-            pairs: set[tuple[int, int]] = set()
-            for part, numbers in parts:
-                spans = [(d, a, b) for d, s in enumerate(seqs) for a, b in _windows(len(s), part.window, part.largest)]
-                at = 0
-                while at < len(spans):
-                    size, end = 0, at
-                    while end < len(spans) and (end == at or size + spans[end][2] - spans[end][1] <= CHUNK):
-                        size += spans[end][2] - spans[end][1]
-                        end += 1
-                    x = (np.concatenate([seqs[d][a:b] for d, a, b in spans[at:end]]) >> np.uint64(32)).astype(np.uint32)
-                    starts = np.cumsum([0, *(b - a for _, a, b in spans[at:end - 1])])
-                    for w, owners in part.candidates(x, starts):
-                        d = spans[at + int(w)][0]
-                        pairs.update((d, int(i)) for i in numbers[owners])
-                    at = end
-            sets: dict[int, np.ndarray] = {}
-            out = []
-            for d, i in sorted(pairs):
-                if d not in sets:
-                    sets[d] = np.unique(seqs[d])
-                pos = np.searchsorted(sets[d], items[i])
-                pos[pos == len(sets[d])] = 0
-                shared = int((sets[d][pos] == items[i]).sum())
-                if shared >= threshold * len(items[i]):
-                    out.append((ids[d], i, shared, len(items[i])))
+            out = [(ids[d], i, shared, len(items[i])) for d, i, shared in search(texts)]
             cols = list(zip(*out)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "item", "n_shared", "n_item"])
     return run
 
 
+def _without(items: list[np.ndarray], threshold: float):
+    """The rows whose text, the last column, holds none of the items."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = _finder(items, threshold)
+        for b in batches:
+            lo = 0
+            for texts, in blocks([b.select([b.num_columns - 1])], BLOCK_BYTES):
+                clean = np.ones(len(texts), bool)
+                clean[[d for d, _, _ in search(texts)]] = False
+                yield b.slice(lo, len(texts)).filter(pa.array(clean))
+                lo += len(texts)
+    return run
+
+
 def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_id_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item): the items of which a document holds
@@ -162,7 +189,26 @@ def _item_blocks(items: DataFrame) -> Iterator[tuple[list, list[np.ndarray]]]:
         yield ids, sets
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The documents that hold no item, with their own columns."""
-    bad = find_items(docs, items, id_col, **kw).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs[id_col].cast("long").eqNullSafe(bad["bad_id"]), "left_anti")
+def clean_documents(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
+                    item_text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that hold no item, with their own columns.
+
+    Each row is judged by its own text, whatever its id: rows of one id, or
+    without an id, stay or go one by one. A null, empty or word-less text
+    stays, as do repeated rows; without items all rows stay.
+    """
+    spark = prepare(docs.sparkSession)
+    names = docs.columns
+    at = names.index(text_col)
+    other = [c for c in names if c != text_col]
+    kept = docs.select(*[F.col(f"`{c}`").alias(f"keep_{i}") for i, c in enumerate(other)], as_bytes(f"`{text_col}`"))
+    schema = kept.schema
+    root = scratch_path(spark, "clean")
+    for k, (_, sets) in enumerate(_item_blocks(items.select(F.col(f"`{item_id_col}`").cast("long"), as_bytes(f"`{item_text_col}`")))):
+        if k:  # a task holds one block of items
+            kept.write.parquet(f"{root}/{k}")
+            kept = spark.read.schema(schema).parquet(f"{root}/{k}")
+        kept = kept.mapInArrow(_without(sets, threshold), schema)
+    cols = [F.col(f"keep_{i}").alias(c) for i, c in enumerate(other)]
+    cols.insert(at, F.col("text").cast(docs.schema[text_col].dataType).alias(text_col))
+    return kept.select(*cols)

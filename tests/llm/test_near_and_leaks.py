@@ -159,3 +159,16 @@ def test_windows_cover_every_item_position(n):
     spans = decontam._windows(n, 8, 2)
     assert all(any(a <= i and i + 2 <= b for a, b in spans) for i in range(n - 1))
     assert {i for a, b in spans for i in range(a, b)} == set(range(n))
+
+
+@pytest.mark.parametrize("block", [20_000, 1])
+def test_leaked_rows_go_and_clean_rows_of_their_id_stay(spark, monkeypatch, block):
+    monkeypatch.setattr(decontam, "BLOCK_ITEMS", block)
+    items = spark.createDataFrame([(1, "q r s t u v"), (2, "a b c d e f")], "item_id long, text string")
+    leaked = [(None, "x q r s t u v y", "l"), (7, "a b c d e f", "l"), (8, "q r s t u v", "l")]
+    clean = [(None, "no item here", "c"), (None, None, None), (7, "nor in this text", "c"), (7, "nor in this text", "c"), (9, "", "c")]
+    docs = spark.createDataFrame(leaked + clean, "doc_id long, text string, `a.b` string").repartition(3)
+    got = decontam.clean_documents(docs, items)
+    assert got.schema == docs.schema
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(clean, key=str)
+    assert decontam.clean_documents(docs, items.limit(0)).count() == docs.count()
