@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm import decontam, langid, neardup, secrets, spbpe
-from skein.llm.common import prepare, table
+from skein.llm.common import as_bytes, prepare, table
 from skein.llm.queries import model_path
 from skein.session import scratch_path
 
@@ -27,13 +27,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; a text
-    without words has no group and stays, repeated rows once. Documents
-    without an id can't be told apart by it: they stay, equal texts once."""
+    """One document of each group stays, the one with the smallest id (none is
+    the largest) and, of several texts with that id, the smallest text hash; a
+    text without words has no group and stays. Repeated rows stay once."""
     docs = docs.select(*COLUMNS)
-    keep = neardup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
+    text_key = F.xxhash64(as_bytes("text"))
+    found = neardup.near_duplicates(docs, text_key=text_key).where("kept")
+    # the kept rows of a group all have its smallest id
+    first = found.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min("doc_id").alias("stay_id"), F.min("text_key").alias("stay_key"))
+    keep = first.select("stay_id", "stay_key").union(found.where("group_key IS NULL").select("doc_id", "text_key")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("stay_id")) & (text_key == F.col("stay_key"))
+    return docs.join(keep, same, "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

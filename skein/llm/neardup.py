@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.session import scratch_path
@@ -98,15 +98,15 @@ def minima(sets: list[np.ndarray], mult: np.ndarray) -> np.ndarray:
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo, mult = WordHashes(), token_multipliers()
-    for ids, texts in blocks(batches, BLOCK_BYTES):
+    for ids, keys, texts in blocks(batches, BLOCK_BYTES):
         sets = [shingle_set(t, memo) for t in texts]
         full = [s for s in sets if len(s)]
         rows = iter(minima(full, mult)) if full else iter(())
         tokens = [next(rows).tobytes() if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+            [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()), pa.array(tokens, pa.binary())],
-            ["doc_id", "n_shingles", "set_key", "tokens"])
+            ["doc_id", "text_key", "n_shingles", "set_key", "tokens"])
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -478,8 +478,9 @@ class _Join:
         return components(self.confirm(self.exhaust(groups, wide)), comp)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, group_key), one row a document.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", text_key: Column | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, group_key), one row a document;
+    with ``text_key``, a long, this too.
 
     ``component_id`` is the smallest doc_id linked directly or over others, the
     document's own included; ``kept`` marks the document that has that id;
@@ -492,8 +493,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table gives none. Only the two named columns are read.
     """
     spark = prepare(docs.sparkSession)
-    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), as_bytes(f"`{text_col}`"))
-    seen = _stored(src.mapInArrow(_describe, "doc_id long, n_shingles long, set_key binary, tokens binary"), "sets")
+    key = F.lit(None) if text_key is None else text_key
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), key.cast("long").alias("text_key"), as_bytes(f"`{text_col}`"))
+    seen = _stored(src.mapInArrow(_describe, "doc_id long, text_key long, n_shingles long, set_key binary, tokens binary"), "sets")
     classes = (seen.where("set_key IS NOT NULL").groupBy("set_key")
                .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("tokens").alias("tokens")))
     # numbered when written: the numbers stay as they are from here on
@@ -502,7 +504,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = classes.join(comp, "cid", "left").select("set_key", "rep", F.coalesce("comp", "cid").alias("comp"))
     ids = member.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = member.join(ids, "comp").select("set_key", "component_id", F.col("comp").alias("group_key"))
-    out = seen.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
+    own = [] if text_key is None else ["text_key"]
+    out = seen.select("doc_id", *own, "n_shingles", "set_key").join(named, "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"), "group_key")
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "group_key", *own)

@@ -79,6 +79,27 @@ def test_dedup_stage(spark, docs):
     assert len(ids) == len(set(ids)) and set(ids) == want
 
 
+def test_dedup_stage_removes_near_copies_of_any_id(spark):
+    import random
+    rng = random.Random(5)
+
+    def near(n):  # texts of one group
+        words = [f"w{rng.randrange(3000)}" for _ in range(200)]
+        return [" ".join([*words, f"end{k}"]) for k in range(n)]
+    one, two, three, four = near(3), near(2), near(2), near(2)
+    rows = [(1, one[0]), (1, one[1]), (1, "another text of this id, unlike the others"), (2, one[2]),  # near copies share an id
+            (3, two[0]), (None, two[1]),            # a near copy without an id
+            (None, three[0]), (None, three[1]), (None, three[1]),  # a group without ids
+            (4, four[0]), (4, four[0]), (5, four[1]),
+            (None, ""), (None, ""), (None, None), (6, None), (6, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()), key=str)
+    free = [(1, rows[2][1]), (3, two[0]), (4, four[0]), (None, ""), (None, None), (6, None), (6, "")]
+    assert [r for r in got if r in free] == sorted(free, key=str)
+    rest = [r for r in got if r not in free]
+    assert len(rest) == 2 and sum(r in [(1, one[0]), (1, one[1])] for r in rest) == 1 and sum(r in [(None, t) for t in three] for r in rest) == 1
+
+
 def test_leak_stage(spark, docs):
     got = corpus_pipeline.decontaminate(spark, docs, SF)
     bad = {r.doc_id for r in decontam.find_items(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
