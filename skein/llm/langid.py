@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import as_bytes, prepare, split_remainder
@@ -196,27 +196,31 @@ def train(docs: DataFrame, limit: int = MAX_ROWS) -> Network:
     HELD, a non-null lang and a letter in the text.
 
     The sample takes equally many texts of each language at most, by a hash of
-    the text, so a hot source or a group of copies can't fill it."""
+    the text, and equal texts of a language once, so a hot source or a group of
+    copies can't fill it. No more than ``limit`` texts reach the driver, or one
+    of each language."""
     prepare(docs.sparkSession)
     src = (docs.where(F.col("lang").isNotNull() & (split_remainder("doc_id", HELD_MOD) != HELD))
            .select(as_bytes("text"), F.col("lang").cast("string").alias("lang")))
-    counts = {r["lang"]: r["count"] for r in src.groupBy("lang").count().collect()}
+    src = src.withColumn("hash", F.xxhash64("text"))
+    counts = {r["lang"]: r["count"] for r in src.select("lang", "hash").distinct().groupBy("lang").count().collect()}
     if not counts:
         return Network([])
     each = max(1, limit // len(counts))
     # twice as many as needed by a hash threshold, then the exact number
-    key = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    key = F.pmod(F.col("hash"), F.lit(1 << 30)) / float(1 << 30)
     # lang is a handful of values here; the map of rates is bounded by them
     rate = F.create_map(*[x for k, c in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2.0 * each / c)))])
     some = src.withColumn("key", key).where(F.col("key") < rate[F.col("lang")])
-    got = some.mapInArrow(_training_windows, "lang string, key double, bytes binary").collect()
-    xs, ys, taken = [], [], dict.fromkeys(counts, 0)
+    once = (some.mapInArrow(_training_windows, "lang string, hash long, key double, bytes binary")
+            .groupBy("lang", "hash", "key").agg(F.min("bytes").alias("bytes")))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("key", "bytes", "hash"))
+    got = once.withColumn("place", place).where(F.col("place") <= each).select("lang", "key", "bytes").collect()
+    xs, ys = [], []
     for r in sorted(got, key=lambda r: (r["key"], r["lang"], r["bytes"])):
-        if taken[r["lang"]] < each:
-            taken[r["lang"]] += 1
-            grid = np.frombuffer(r["bytes"], np.uint8).reshape(-1, WINDOW)
-            xs.append(grid)
-            ys += [r["lang"]] * len(grid)
+        grid = np.frombuffer(r["bytes"], np.uint8).reshape(-1, WINDOW)
+        xs.append(grid)
+        ys += [r["lang"]] * len(grid)
     classes = sorted(set(ys))
     net = Network(classes)
     if len(classes) < 2:
@@ -228,16 +232,17 @@ def train(docs: DataFrame, limit: int = MAX_ROWS) -> Network:
 def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first and the middle windows of each text."""
     for b in batches:
-        langs, keys, out = [], [], []
-        for t, lang, key in zip(*(c.to_pylist() for c in b.columns)):
+        langs, hashes, keys, out = [], [], [], []
+        for t, lang, h, key in zip(*(c.to_pylist() for c in b.columns)):
             if has_letter(t):
                 grid = windows(_folded(t))
                 pick = sorted({0, len(grid) // 2, len(grid) - 1})[:WINDOWS_EACH]
                 langs.append(lang)
+                hashes.append(h)
                 keys.append(key)
                 out.append(grid[pick].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(keys, pa.float64()), pa.array(out, pa.binary())],
-                                         ["lang", "key", "bytes"])
+        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(hashes, pa.int64()), pa.array(keys, pa.float64()), pa.array(out, pa.binary())],
+                                         ["lang", "hash", "key", "bytes"])
 
 
 def detect(docs: DataFrame, net: Network, keep: tuple[str, ...] = ()) -> DataFrame:

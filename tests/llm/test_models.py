@@ -140,6 +140,22 @@ def test_language_accuracy_and_edges(spark):
     assert langid.detect(df.limit(0), langid.train(df.limit(0))).collect() == []
 
 
+def test_language_sample_takes_equal_texts_once(spark, monkeypatch):
+    rows = [(i, t, lang) for i, t, lang in texts(400, 5)]
+    hot = [(1000 + i, "the ing wh tion", "en") for i in range(600)]
+    df = spark.createDataFrame(rows + hot, "doc_id long, text string, lang string").repartition(4)
+    seen = []
+    monkeypatch.setattr(langid.Network, "fit", lambda self, x, y: seen.append((x, y, self.classes)) or self)
+    for limit in (6000, 90):
+        langid.train(df, limit)
+        x, y, classes = seen.pop()
+        known = {lang: {t for i, t, k in rows + hot if k == lang and remainder(i, langid.HELD_MOD) != langid.HELD} for lang in ENDS}
+        first = {lang: {langid.windows(t.encode().lower())[0].tobytes() for t in known[lang]} for lang in ENDS}
+        for k, lang in enumerate(classes):
+            starts = [w.tobytes() for w, c in zip(x, y) if c == k and w.tobytes() in first[lang]]
+            assert len(starts) == len(set(starts)) == min(len(known[lang]), limit // 3)
+
+
 def test_language_tables_equal_the_convolution():
     net = langid.Network(["a", "b", "c"])
     x = np.random.default_rng(1).integers(0, 256, (5, langid.WINDOW)).astype(np.uint8)
