@@ -39,6 +39,7 @@ MAX_ATTEMPTS = 3
 INNER_TRIES = 3
 BACKOFF_MIN_S, BACKOFF_MAX_S = 4, 10
 CALL_TIMEOUT_S = 300
+ROWS_AT_ONCE = 1 << 16  # equal routed rows made from one array
 # ---------------------------------------------------------------------------
 
 # Enhancement prompt (our wording): current fields, description, task.
@@ -331,16 +332,25 @@ def route_outcomes(attempts: DataFrame) -> DataFrame:
     winning answer), ``error`` (a failed call) and one ``failed`` row for
     ids that never succeeded.
 
-    One scan, one parse a call and one shuffle of (attempt, ok) pairs; an id
-    has as many as the ladder has attempts."""
+    One scan, one parse a call and one shuffle of (id, attempt, ok). Calls are
+    counted by (id, attempt, route) as they are read, so an id's array has at
+    most two entries an attempt, however often a call is repeated; the rows are
+    made again from the counts."""
     parsed = parse_calls(attempts.withColumn("call", F.lit("extract")))
-    g = parsed.groupBy("cve_id").agg(
-        F.min(F.when(F.col("ok"), F.col("attempt"))).alias("win"),
-        F.collect_list(F.struct("attempt", F.when(F.col("ok"), F.lit("success")).otherwise(F.lit("error")).alias("route"))).alias("calls"))
+    route = F.when(F.col("ok"), F.lit("success")).otherwise(F.lit("error")).alias("route")
+    # dealt by id, which serves both aggregates
+    calls = parsed.select("cve_id", "attempt", route).repartition("cve_id")
+    g = calls.groupBy("cve_id", "attempt", "route").agg(F.count("*").alias("times")).groupBy("cve_id").agg(
+        F.min(F.when(F.col("route") == "success", F.col("attempt"))).alias("win"),
+        F.collect_list(F.struct("attempt", "route", "times")).alias("calls"))
     upto = F.filter("calls", lambda c: F.col("win").isNull() | (c["attempt"] <= F.col("win")))
-    end = F.when(F.col("win").isNull(), F.array(F.struct(F.lit(None).cast("int").alias("attempt"), F.lit("failed").alias("route"))))
+    end = F.when(F.col("win").isNull(), F.array(F.struct(F.lit(None).cast("int").alias("attempt"), F.lit("failed").alias("route"), F.lit(1).cast("bigint").alias("times"))))
     rows = F.concat(upto, F.coalesce(end, F.slice(upto, 1, 0)))
-    return g.select("cve_id", F.explode(rows).alias("r")).select("cve_id", "r.attempt", "r.route")
+    r = g.select("cve_id", F.explode(rows).alias("r")).select("cve_id", "r.*")
+    # blocks of ROWS_AT_ONCE rows, so no array holds all rows of a call
+    r = r.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(times - 1) div {ROWS_AT_ONCE}"))).alias("block"))
+    size = F.least(F.lit(ROWS_AT_ONCE).cast("bigint"), F.col("times") - F.col("block") * ROWS_AT_ONCE).cast("int")
+    return r.select("cve_id", "attempt", "route", F.explode(F.array_repeat(F.lit(1), size))).select("cve_id", "attempt", "route")
 
 
 def reprocess(insufficient: DataFrame, descriptions: DataFrame, attempts_path: str,

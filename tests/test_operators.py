@@ -126,6 +126,20 @@ def test_outcome_routing_reads_its_input_once(spark, tmp_dir):
         ("a", 1, "error"), ("a", 2, "success"), ("b", 0, "failed"), ("b", 1, "error"), ("c", 1, "success")]
 
 
+def test_outcome_routing_of_repeated_calls(spark, monkeypatch):
+    from skein.operators import infer
+    monkeypatch.setattr(infer, "ROWS_AT_ONCE", 7, raising=False)
+    rows = 50 * [("a", 1, "primary", None, "503")] + 20 * [("a", 2, "fallback", '{"impact":"i"}', None)] + 3 * [("a", 2, "fallback", None, "503")]
+    rows += 9 * [("a", 3, "fallback", None, "503")] + 15 * [(None, 1, "primary", None, "503")] + 2 * [("b", None, "primary", None, "503")]
+    out = infer.route_outcomes(spark.createDataFrame(rows, "cve_id string, attempt int, model string, response string, error string"))
+    got = {(r.cve_id, r.attempt, r.route): r["count"] for r in out.groupBy("cve_id", "attempt", "route").count().collect()}
+    assert got == {("a", 1, "error"): 50, ("a", 2, "success"): 20, ("a", 2, "error"): 3, (None, 1, "error"): 15, (None, None, "failed"): 1,
+                   ("b", None, "error"): 2, ("b", None, "failed"): 1}
+    # the array is made of counts
+    aggregates = [n for n in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in n]
+    assert len(aggregates) == 2 and "collect_list" in aggregates[0] and "count(1)" in aggregates[1]
+
+
 def test_balance_keeps_the_scan_unless_told(spark, tmp_dir):
     from skein.operators.layout import SCAN_PARTITIONS, balance
     spark.range(10).write.parquet(f"{tmp_dir}/r")
