@@ -17,13 +17,13 @@ from skein.llm.queries import model_path
 from skein.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-MIN_LANGUAGE_SCORE = 0.4   # below it no language is recognised
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a recognised language go: ``und`` or an unsure score."""
+    """Texts without a language (``und``: null or without a letter) go; an
+    unsure one stays."""
     found = langid.detect(docs, langid.train(docs), keep=("text", "lang", "source", "n_chars"))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*COLUMNS)
+    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

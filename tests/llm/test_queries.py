@@ -71,6 +71,15 @@ def test_language_stage(spark, docs):
     assert {10**6, 10**6 + 1, 10**6 + 2} <= gone and 10**6 + 3 not in gone
 
 
+def test_language_stage_keeps_unsure_texts(spark, docs, monkeypatch):
+    unsure = langid.Network(["de", "en", "es", "fr"])
+    unsure.p["out"][:], unsure.p["bias"][:] = 0, 0  # 0.25 each
+    monkeypatch.setattr(langid, "train", lambda docs: unsure)
+    assert langid.detect(docs, unsure).where("score > 0.3").isEmpty()
+    got = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, SF).collect()}
+    assert got == {r.doc_id for r in docs.collect()} - {10**6, 10**6 + 1, 10**6 + 2}
+
+
 def test_dedup_stage(spark, docs):
     got = corpus_pipeline.near_dedup(spark, docs, SF)
     assert tuple(got.columns) == corpus_pipeline.COLUMNS
