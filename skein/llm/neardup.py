@@ -6,9 +6,10 @@ their exact Jaccard similarity is at least 0.75.
 1. One pass computes each set's size, a 128-bit set key, T minima (its minwise
    tokens) and their low bytes (its sketch). Equal sets are one class from here
    on, so copies cost nothing further.
-2. Chosen paths. In each of TREES independent trees a node picks one or two of
-   the T positions (1/lambda on average) by its own seed, and branches every
-   class to the child named by its token there. Classes alone in a node leave.
+2. Chosen paths. In each of TREES independent trees a root picks one or two of
+   the T positions (1/lambda on average) by its own seed, a node below it two,
+   and branches every class to the child named by its token there. Classes alone
+   in a node leave. TREES follows from MISS and DEPTH.
 3. Drawing together. Nodes are dealt in blocks of about BLOCK classes and each
    class proposes its best partner of another component, one pair a class and
    node. Proposals are confirmed on full sets and joined to components. A few
@@ -21,8 +22,11 @@ their exact Jaccard similarity is at least 0.75.
    first comparison only marks classes that have a partner; these get a longer sketch
    and only pairs near by that are confirmed, as texts that share most of a
    passage are often alike but seldom enough. A pair that meets in several
-   trees is reported at its first meeting. No node is cut short and no pair of
-   different components left out.
+   trees is reported at its first meeting. No node is cut short, and every pair
+   of different components that shares a last node is compared. By the branching
+   probabilities a pair of similarity 0.75 shares none with a chance of at most
+   MISS, even if all its nodes branch to DEPTH; with one position a node it
+   would be about 1%.
 5. The links give components (alternating large and small stars).
 
 A node is a grouping key, not a task: its rows are compared in sorted order
@@ -47,12 +51,12 @@ from .common import WordHashes, as_bytes, blocks, mix, odd_constants, prepare, s
 WIDTH = 5
 SHARE, OF = 75, 100        # linked when OF * intersection >= SHARE * union
 TOKENS = 128
-TREES = 10
 BLOCK = 256                # classes that propose partners to each other
 SMALL = 1024               # classes of a node compared exhaustively at once
 ROUNDS = 2                 # of drawing together
 WIDE = 8                   # nodes of more than WIDE * SMALL classes branch on
 DEPTH = 8
+MISS = 1e-6                # chance that a pair at the threshold shares no node at the last level
 BROADCAST_IDS = 500_000    # ids of texts to fetch that are sent to all tasks; more are joined
 RUN_ROWS = 8192
 SIEVE = 0.58               # estimated similarity below which a pair is let go (4.4 sigma under 0.75)
@@ -124,12 +128,14 @@ def _rows(m: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in m], pa.binary())
 
 
-def _choose(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The positions a node branches on: one, and with chance 1/lambda - 1 a second."""
+def _choose(node: np.ndarray, root: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The positions a node branches on: two; a root one, and with chance
+    1/lambda - 1 a second. Below the roots one more than 1/lambda keeps pairs
+    from dying out with depth."""
     h = mix(node + np.uint64(0xA5A5A5A5))
     first = h % np.uint64(TOKENS)
     other = (first + np.uint64(1) + (h >> np.uint64(20)) % np.uint64(TOKENS - 1)) % np.uint64(TOKENS)
-    two = (h >> np.uint64(44)) % np.uint64(SHARE) < np.uint64(OF - SHARE)
+    two = ((h >> np.uint64(44)) % np.uint64(SHARE) < np.uint64(OF - SHARE)) | (not root)
     return first.astype(np.int64), np.where(two, other.astype(np.int64), -1)
 
 
@@ -149,10 +155,22 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, TOKENS)
 
 
-def root_paths() -> list[tuple[int, int]]:
+def root_paths(trees: int | None = None) -> list[tuple[int, int]]:
     """(tree, position) of every branch at the roots, in order."""
-    seeds = np.arange(1, TREES + 1, dtype=np.uint64)
-    return [(t, int(p)) for t, pos in enumerate(zip(*_choose(seeds))) for p in pos if p >= 0]
+    seeds = np.arange(1, (trees or TREES) + 1, dtype=np.uint64)
+    return [(t, int(p)) for t, pos in enumerate(zip(*_choose(seeds, root=True))) for p in pos if p >= 0]
+
+
+def miss(paths: int, depth: int) -> float:
+    """The chance that a pair at the threshold shares no node at level
+    ``depth``, of ``paths`` branches at the roots."""
+    share, gone = SHARE / OF, 0.0
+    for _ in range(depth - 1):
+        gone = (1 - share + share * gone) ** 2
+    return (1 - share + share * gone) ** paths
+
+
+TREES = next(t for t in range(1, TOKENS) if miss(len(root_paths(t)), DEPTH) <= MISS)
 
 
 def _child(node: np.ndarray, pos: np.ndarray, value: np.ndarray) -> np.ndarray:

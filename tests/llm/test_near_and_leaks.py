@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from skein.llm import decontam, neardup
@@ -95,6 +96,24 @@ def test_finishing_alone_finds_all_links(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_pairs_at_the_threshold_meet_at_any_depth():
+    rng = np.random.default_rng(4)
+    n = 1500
+    a = rng.integers(0, 1 << 32, (n, neardup.TOKENS)).astype(np.uint32)
+    b = np.where(rng.random(a.shape) < neardup.SHARE / neardup.OF, a, a + np.uint32(1))
+    pair, node = [], []
+    for tree, pos in neardup.root_paths():
+        same = np.flatnonzero(a[:, pos] == b[:, pos])
+        pair.append(same)
+        node.append(neardup._child(np.full(len(same), tree + 1, np.uint64), np.full(len(same), pos), a[same, pos].astype(np.uint64)))
+    pair, node = np.concatenate(pair), np.concatenate(node)
+    for _ in range(neardup.DEPTH - 1):
+        row, x = neardup._children(node, a[pair])
+        same = x == neardup._children(node, b[pair])[1]
+        pair, node = pair[row[same]], x[same]
+    assert len(set(pair.tolist())) == n
+
+
 def test_edges(spark):
     long = " ".join(prose(random.Random(3), 60_000))
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, "a b c"), (5, "A  B\nc"), (6, "a b c d e"), (7, "a b c d e"), (7, "a b c d e"), (8, "É b c d e"), (9, "é b c d e"),
