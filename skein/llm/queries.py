@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, langid, lm, neardup, secrets, spbpe, toxicity, url_filter
+from . import ann, chat, decontam, exactdup, langid, lm, neardup, negatives, runs, secrets, spbpe, toxicity, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,73 @@ def op9_lm_scoring(spark, sf):
 def op10_language_id(spark, sf):
     docs = table(spark, sf, "documents")
     return langid.detect(docs, langid.train(docs))
+
+
+_LABELLED = """SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+@register("op11_hard_negatives", f"""
+WITH r AS ({_LABELLED}),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM s JOIN p USING (anchor_id)
+WHERE label <> own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY rank <= 10""")
+def op11_hard_negatives(spark, sf):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf, "embeddings").withColumn("label", label))
+
+
+@register("op12_exact_dedup", f"""
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{_UP}', '{_LOW}') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM t""")
+def op12_exact_dedup(spark, sf):
+    return exactdup.exact_duplicates(table(spark, sf, "documents"), keep="largest")
+
+
+# Fixed value: the reversed polynomial of crc32.
+_CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+  lambda h, b: list_reduce(list_prepend(xor(h, b), list_transform(range(8), lambda k: k::UBIGINT)),
+    lambda x, k: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))), 4294967295::UBIGINT)::BIGINT"""
+
+
+@register("op13_periodic_runs", rf"""
+WITH s AS (SELECT row_number() OVER () AS rid, doc_id, {_CRC} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+a AS (SELECT *, len(w) AS n, (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS d FROM s),
+t AS (SELECT rid, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+  THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // d) END]) ELSE w END AS w FROM a),
+g AS (SELECT rid, unnest(range(n - 5)) AS i, unnest(list_transform(range(1, n - 4), lambda j: array_to_string(w[j:j + 5], ' '))) AS six
+  FROM t WHERE n >= 12),
+e AS (SELECT x.rid, x.i, y.i - x.i AS q FROM g x JOIN g y ON x.rid = y.rid AND x.six = y.six AND x.i < y.i),
+b AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM e),
+r AS (SELECT rid, start, length, min(q) AS period FROM (
+  SELECT rid, q, min(i) AS start, count(*) + 5 + q AS length FROM b GROUP BY rid, q, island) WHERE length >= greatest(12, 2 * q) GROUP BY rid, start, length),
+f AS (SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+  first(struct_pack(s := start, l := length, p := period) ORDER BY length DESC, start, period) AS best,
+  list(struct_pack(lo := start + period, hi := start + length)) AS spans FROM r GROUP BY rid),
+o AS (SELECT t.*, f.n_runs, f.lines, f.best, CASE WHEN spans IS NULL THEN w ELSE list_transform(
+  list_filter(range(n), lambda i: len(list_filter(spans, lambda x: i >= x.lo AND i < x.hi)) = 0), lambda i: w[i + 1]) END AS kept FROM t LEFT JOIN f USING (rid))
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period, 1000 * best.l // best.p AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(array_to_string(kept, ' ')) AS collapsed_sha256 FROM o""")
+def op13_periodic_runs(spark, sf):
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    n = F.size("w").cast("long")
+    a = F.col("g") % n
+    docs = docs.select("doc_id", "text", "w", n.alias("n"), a.alias("a"), (1 + F.floor((n - a) / (3 + F.col("g") % 8))).alias("p"))
+    place = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")))
+    repeated = F.array_join(F.transform(place, lambda i: F.get("w", i.cast("int"))), " ")
+    got = runs.find_runs(docs.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return got.select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-best["start"]).alias("start"), best["length"].alias("length"),
+                      (-best["period"]).alias("period"), F.floor(1000 * best["length"] / -best["period"]).cast("long").alias("exponent_milli"),
+                      F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
