@@ -1,14 +1,23 @@
 """Approximate nearest neighbours with balanced posting lists.
 
-Nearness is the inner product. Vectors get one more component that makes all
-norms equal (queries get 0 there), so the largest inner product becomes the
-smallest distance. Centroids come from balanced k-means on a bounded sample;
-they are few (at most MAX_LISTS), and a neighbour graph over them is searched
-in memory. Each vector goes to its nearest centroid's list and, when it lies
-near a border, to up to COPIES lists in all: those whose distance is within
-BORDER of the nearest and that no closer chosen centroid already stands for.
-A query's lists are found in the graph and kept while their distance is within
-PRUNE of the nearest.
+Nearness is the inner product. A score is length times direction, so vectors
+are first parted into bands of nearly equal length, and the vectors of a band
+are clustered by direction. The lists are balanced: k-means gives each centroid
+a weight that grows while its list is too full, and the weights hold for the
+whole table. A vector goes to its best centroid and, when it lies near a border,
+to up to COPIES lists in all: those whose distance is within BORDER of the best
+one's and that no chosen centroid close by already stands for.
+
+A list's reach for a query is the score that its best member is expected to
+have: longest length times the mean along the query, plus what the members'
+spread adds. Reach is an inner product of the query with one point per list, so
+the lists with the largest reach are found by a best-first search in an
+in-memory neighbour graph of these points. The gap between the largest score
+possible and the reach is a squared distance; a query's lists are those whose
+distance is within a ratio of the nearest list's. The ratio is not fixed: TRIED
+queries are answered by brute force first, and the smallest ratio is taken whose
+lists hold TARGET of their true neighbours. There is no cap on lists, and a
+query always gets lists with enough vectors to fill its answer.
 
 Equal vectors are one entry holding its smallest ids, as many as a result can
 use, so a vector that a third of all rows repeat costs one entry. Lists are cut
@@ -22,7 +31,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,80 +39,105 @@ from skein.session import scratch_path
 
 from .common import prepare, shuffle_partitions
 
-SAMPLE = 20_000            # vectors the centroids are fitted on, at most
+BAND, BANDS = 1.25, 64     # ratio of the lengths in a band; bands at most, the last one open
+SAMPLE = 65_536            # vectors the centroids are fitted on, about, at most
+PER_LIST = 50              # of them for a list, as long as SAMPLE lasts
 LIST_SIZE = 128            # vectors in a list, aimed at
-MAX_LISTS = 4096
+MAX_LISTS = 16_384         # points of the graph, which every task holds
 COPIES, BORDER = 4, 1.1    # lists a vector stands in at most, and how much farther they may be
 APART = 0.12               # chosen centroids lie at least this share of the vector's squared distance apart
-PROBES, PRUNE = 48, 1.6    # lists of a query: at most, and the distance ratio
-LEAST = 16                 # lists searched whatever their distance (a query can be its own centroid)
-DEGREE, BEAM = 24, 48      # of the centroid graph and, at least, its search
+TRIED, TARGET = 256, 0.97  # queries the ratio is fitted on, and the share of their neighbours it keeps
+SPREAD = 3.0               # standard deviations by which a list's best member is expected to stand out
+DEGREE, BEAM = 24, 32      # of the graph and, at least, its search
 PART = 4096
 QUERIES_AT_ONCE = 8192     # queries that meet a part of a list in one task
+ROWS = 2048                # rows of the sample compared at once
 
 
-def kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 1) -> np.ndarray:
-    """k centroids; a list's size adds to its distance, which evens the lists."""
+def balanced_directions(x: np.ndarray, k: int, seed: int = 1, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
+    """k unit centroids of unit vectors and their weights: a vector belongs
+    where ``x @ c - weight`` is largest. Many centroids are fitted in two
+    levels, a few groups first and then each group's own."""
     rng = np.random.default_rng(seed)
-    c = x[rng.choice(len(x), k, replace=False)].copy()
-    load = np.zeros(k)
-    even = len(x) / k
+    if k > 128:
+        top = round(math.sqrt(k))
+        c, weight = balanced_directions(x, top, seed, rounds)
+        own = _owners(x, c, weight)[0]
+        parts = [x[own == g] for g in range(top)]
+        share = [max(1, round(k * len(p) / len(x))) for p in parts]
+        fitted = [balanced_directions(p, min(n, len(p)), seed, rounds) for p, n in zip(parts, share) if len(p)]
+        c, weight = np.concatenate([f[0] for f in fitted]), np.concatenate([f[1] for f in fitted])
+        rounds = 4  # and a few rounds over all, for vectors at the groups' borders
+    else:
+        c, weight = x[rng.choice(len(x), k, replace=False)].copy(), np.zeros(k)
+    k = len(c)
     for _ in range(rounds):
-        d = _distances(x, c)
-        scale = np.median(d.min(1)) + 1e-12
-        own = (d + 0.3 * scale * np.maximum(load / even - 1, 0)).argmin(1)
-        load = np.bincount(own, minlength=k).astype(float)
+        own, gap = _owners(x, c, weight)
+        load = np.bincount(own, minlength=k)
         sums = np.zeros_like(c)
         np.add.at(sums, own, x)
-        filled = load > 0
-        c[filled] = sums[filled] / load[filled, None]
-        if not filled.all():  # an empty list starts again at a point of the fullest lists
-            c[~filled] = x[rng.choice(len(x), int((~filled).sum()), p=load[own] / load[own].sum())]
-    return c
-
-
-def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return np.maximum((x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None], 0)
-
-
-class CentroidGraph:
-    """Neighbour graph over centroids with a best-first search in batches."""
-
-    def __init__(self, c: np.ndarray):
-        self.c = c
-        k = len(c)
+        norm = np.sqrt((sums * sums).sum(1))
+        ok = norm > 1e-9
+        c[ok] = sums[ok] / norm[ok, None]
+        if not ok.all():  # an empty list starts again at a vector of the fullest ones
+            c[~ok] = x[rng.choice(len(x), int((~ok).sum()), p=load[own] / load[own].sum())]
+            weight[~ok] = 0
+        weight += gap * np.clip(load * k / len(x) - 1, -0.5, 1)
+    return c, weight
+
+
+def _owners(x: np.ndarray, c: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """(each vector's centroid, the median lead over the second best)."""
+    own, lead = np.empty(len(x), np.int64), np.zeros(len(x))
+    for lo in range(0, len(x), ROWS):
+        s = x[lo:lo + ROWS] @ c.T - weight
+        own[lo:lo + ROWS] = s.argmax(1)
+        if len(c) > 1:
+            two = np.partition(s, -2, axis=1)[:, -2:]
+            lead[lo:lo + ROWS] = two[:, 1] - two[:, 0]
+    return own, float(np.median(lead)) if len(x) else 0.0
+
+
+class PointGraph:
+    """Neighbour graph over points, searched for the largest inner products.
+    One more component makes all points equally long, so that the nearest
+    points of a point are those with the largest products."""
+
+    def __init__(self, points: np.ndarray):
+        k = len(points)
+        square = (points * points).sum(1)
+        self.p = np.concatenate([points, np.sqrt(np.maximum(square.max(initial=0) - square, 0))[:, None]], 1)
         m = min(DEGREE, k - 1)
         self.near = np.empty((k, m), np.int64)
         for lo in range(0, k, 512):
-            d = _distances(c[lo:lo + 512], c)
-            d[np.arange(len(d)), lo + np.arange(len(d))] = np.inf
-            self.near[lo:lo + 512] = np.argsort(d, 1, kind="stable")[:, :m]
-        # entries spread over the centroids: each the farthest from those before
+            s = self.p[lo:lo + 512] @ self.p.T
+            s[np.arange(len(s)), lo + np.arange(len(s))] = -np.inf
+            self.near[lo:lo + 512] = np.argpartition(-s, min(m, k - 1) - 1, 1)[:, :m] if m else 0
+        # entries spread over the points: each the farthest from those before
         entry = [0]
-        far = _distances(c, c[:1])[:, 0]
+        close = self.p @ self.p[0]
         for _ in range(min(k, 32) - 1):
-            entry.append(int(far.argmax()))
-            far = np.minimum(far, _distances(c, c[entry[-1:]])[:, 0])
+            entry.append(int(close.argmin()))
+            close = np.maximum(close, self.p @ self.p[entry[-1]])
         self.entry = np.array(sorted(set(entry)))
 
     def search(self, q: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray]:
-        """(centroid numbers, squared distances) by distance, ``want`` each;
-        -1 where fewer were reached."""
-        n, k = len(q), len(self.c)
-        beam = min(k, max(BEAM, 2 * want))
+        """(point numbers, products), the largest first, ``want`` each; -1 and
+        -inf where fewer were reached."""
+        n, k = len(q), len(self.p)
+        q = np.concatenate([q, np.zeros((n, 1))], 1)
+        beam = min(k, max(BEAM, want + want // 2))
         known = np.zeros((n, k), bool)
         known[:, self.entry] = True
-        ids = np.full((n, beam), -1)
-        dist = np.full((n, beam), np.inf)
-        done = np.ones((n, beam), bool)
+        ids, score, done = np.full((n, beam), -1), np.full((n, beam), -np.inf), np.ones((n, beam), bool)
         m = min(beam, len(self.entry))
-        d = _distances(q, self.c[self.entry])
-        top = np.argsort(d, 1)[:, :m]
-        ids[:, :m], dist[:, :m], done[:, :m] = self.entry[top], np.take_along_axis(d, top, 1), False
+        s = q @ self.p[self.entry].T
+        top = np.argsort(-s, 1)[:, :m]
+        ids[:, :m], score[:, :m], done[:, :m] = self.entry[top], np.take_along_axis(s, top, 1), False
         rows = np.arange(n)
         while True:
-            open_ = np.where(done, np.inf, dist)
-            at = open_.argmin(1)
+            open_ = np.where(done, -np.inf, score)
+            at = open_.argmax(1)
             go = np.isfinite(open_[rows, at])
             if not go.any():
                 break
@@ -113,42 +146,156 @@ class CentroidGraph:
             nb = self.near[ids[r, at[go]]]
             new = ~known[r[:, None], nb]
             known[r[:, None], nb] = True
-            d = ((q[r][:, None] - self.c[nb]) ** 2).sum(2)
-            d[~new] = np.inf
-            all_d = np.concatenate([dist[r], d], 1)
-            top = np.argpartition(all_d, beam - 1, 1)[:, :beam]
+            s = np.matmul(self.p[nb], q[r][:, :, None])[:, :, 0]
+            s[~new] = -np.inf
+            all_s = np.concatenate([score[r], s], 1)
+            top = np.argpartition(-all_s, beam - 1, 1)[:, :beam]
             ids[r] = np.take_along_axis(np.concatenate([ids[r], nb], 1), top, 1)
             done[r] = np.take_along_axis(np.concatenate([done[r], ~new], 1), top, 1)
-            dist[r] = np.take_along_axis(all_d, top, 1)
-        order = np.argsort(dist, 1, kind="stable")[:, :want]
-        ids, dist = np.take_along_axis(ids, order, 1), np.take_along_axis(dist, order, 1)
-        ids[~np.isfinite(dist)] = -1
-        return ids, dist
+            score[r] = np.take_along_axis(all_s, top, 1)
+        order = np.argsort(-score, 1, kind="stable")[:, :want]
+        ids, score = np.take_along_axis(ids, order, 1), np.take_along_axis(score, order, 1)
+        ids[~np.isfinite(score)] = -1
+        return ids, score
+
+
+class Cells:
+    """The lists of all bands: where a vector is posted."""
+
+    def __init__(self, fitted: dict[int, tuple[np.ndarray, np.ndarray]]):
+        self.first, self.graphs, at = {}, {}, 0
+        self.c = np.concatenate([c for c, _ in fitted.values()])
+        for band, (c, weight) in fitted.items():
+            self.first[band], at = at, at + len(c)
+            self.graphs[band] = PointGraph(np.concatenate([c, -weight[:, None]], 1))
+
+    def post(self, unit: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) of every posting."""
+        rows, cells = [], []
+        for band in np.unique(bands):
+            at = np.flatnonzero(bands == band)
+            x = unit[at]
+            got, s = self.graphs[band].search(np.concatenate([x, np.ones((len(x), 1))], 1), 2 * COPIES)
+            got = np.where(got < 0, got[:, :1], got) + self.first[band]
+            far = 2 - 2 * np.matmul(self.c[got], x[:, :, None])[:, :, 0]  # squared distance of unit vectors
+            ok = np.isfinite(s) & (far <= BORDER ** 2 * far[:, :1] + 1e-12)
+            for j in range(1, got.shape[1]):
+                ok[:, j] &= ok[:, :j].sum(1) < COPIES
+                for o in range(j):  # a chosen centroid close by stands for this one
+                    ok[:, j] &= ~(ok[:, o] & (((self.c[got[:, j]] - self.c[got[:, o]]) ** 2).sum(1) < APART * far[:, j]))
+            ok[:, 0] = True
+            i, j = np.nonzero(ok)
+            rows.append(at[i])
+            cells.append(got[i, j])
+        return np.concatenate(rows), np.concatenate(cells)
+
+
+class Reach:
+    """Which lists a query looks into."""
+
+    def __init__(self, c: np.ndarray, size: np.ndarray, longest: np.ndarray, mean_cos: np.ndarray):
+        spread = SPREAD * longest * np.sqrt(np.maximum(1 - mean_cos ** 2, 0) / c.shape[1])
+        self.size = size
+        self.cells = np.flatnonzero(size)
+        self.points = np.concatenate([(longest * mean_cos)[:, None] * c, spread[:, None]], 1)[self.cells]
+        self.most = float((longest * np.abs(mean_cos) + spread).max()) * (1 + 1e-9)
+        self.graph = PointGraph(self.points)
+        self.ratio = math.inf
+
+    def far(self, reach: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(self.most - reach, 0))
+
+    def ratios(self, unit: np.ndarray) -> np.ndarray:
+        """The distance ratio of every list (by its number) for a few queries."""
+        far = self.far(np.concatenate([unit, np.ones((len(unit), 1))], 1) @ self.points.T)
+        out = np.full((len(unit), len(self.size)), np.inf)
+        out[:, self.cells] = far / np.maximum(far.min(1), 1e-12)[:, None]
+        return out
+
+    def aim(self, unit: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, list) of the lists within the ratio, and of more where
+        those hold fewer than ``least`` postings."""
+        q = np.concatenate([unit, np.ones((len(unit), 1))], 1)
+        todo, want = np.arange(len(q)), 32
+        rows, cells = [], []
+        while len(todo):
+            got, s = self.graph.search(q[todo], want)
+            far = self.far(np.where(np.isfinite(s), s, -np.inf))
+            held = np.where(got >= 0, self.size[self.cells[got]], 0)
+            before = np.cumsum(held, 1) - held
+            keep = (got >= 0) & ((far <= self.ratio * far[:, :1] + 1e-12) | (before < least))
+            # all of it is known once a list beyond the ratio was met
+            over = ~keep[:, -1] | (got.shape[1] >= len(self.cells))
+            i, j = np.nonzero(keep & over[:, None])
+            rows.append(todo[i])
+            cells.append(self.cells[got[i, j]])
+            todo, want = todo[~over], want * 2
+        return np.concatenate(rows) if rows else todo, np.concatenate(cells) if cells else todo
 
 
 def _grid(column, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dim)
 
 
-def _lifted(x: np.ndarray, norm2: float) -> np.ndarray:
-    return np.concatenate([x, np.sqrt(np.maximum(norm2 - (x * x).sum(1), 0))[:, None]], 1)
+def lengths(x: np.ndarray) -> np.ndarray:
+    """Lengths without overflow or underflow on the way."""
+    big = np.abs(x).max(1, initial=0)
+    return np.minimum(big * np.sqrt(((x / np.where(big > 0, big, 1)[:, None]) ** 2).sum(1)), 1e300)
+
+
+def units(x: np.ndarray) -> np.ndarray:
+    big = np.abs(x).max(1, initial=0)
+    y = x / np.where(big > 0, big, 1)[:, None]
+    return y / np.sqrt((y * y).sum(1))[:, None]
 
 
 def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors as packed doubles; the unusable ones leave."""
+    """Vectors as packed doubles; the unusable ones leave. Zeros at the end
+    change no score and are cut."""
     for b in batches:
-        ids, vs, dims, norms = [], [], [], []
+        ids, vs = [], []
         for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             if i is None or not v or None in v:
                 continue
             a = np.array(v, np.float64) + 0.0  # -0.0 and 0.0 are the same component
             if np.isfinite(a).all() and a.any():
                 ids.append(i)
-                vs.append(a.tobytes())
-                dims.append(len(a))
-                norms.append(float(a @ a))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vs, pa.binary()), pa.array(dims, pa.int32()), pa.array(norms)],
-                                         ["vec_id", "v", "dim", "norm2"])
+                vs.append(a[:np.flatnonzero(a)[-1] + 1].tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vs, pa.binary())], ["vec_id", "v"])
+
+
+def _padded(dim: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            vs = [v.ljust(8 * dim, b"\0") for v in b.column(1).to_pylist()]
+            x = np.frombuffer(b"".join(vs), np.float64).reshape(-1, dim)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(vs, pa.binary()), pa.array(lengths(x), pa.float64())], ["vec_id", "v", "norm"])
+    return run
+
+
+def top_of(s: np.ndarray, k: int, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k largest of each row, and of those within ``room`` of them."""
+    if s.shape[1] <= k:
+        i, j = np.indices(s.shape)
+        return i.ravel(), j.ravel()
+    return np.nonzero(s >= (np.partition(s, -k, axis=1)[:, -k] - room)[:, None])
+
+
+def _best(y: np.ndarray, x: np.ndarray, low: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, entry, score): the k best entries of each query, ties by ``low``."""
+    out = []
+    for a in range(0, len(y), 256):
+        part = y[a:a + 256]
+        s = part @ x.T
+        i, j = top_of(s, k, 1e-9 * (np.abs(s).max(1, initial=0) + 1e-300))
+        exact = (x[j] * part[i]).sum(1)
+        order = np.lexsort((low[j], -exact, i))
+        i, j, exact = i[order], j[order], exact[order]
+        new = np.ones(len(i), bool)
+        new[1:] = i[1:] != i[:-1]
+        ok = np.arange(len(i)) - np.flatnonzero(new)[np.cumsum(new) - 1] < k if len(i) else new[:0]
+        out.append((a + i[ok], j[ok], exact[ok]))
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.empty(0, int),) * 3
 
 
 def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -157,10 +304,10 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
 
     Score is the inner product of the original vectors in double precision;
     ties go to the smaller id. Vectors that are null, zero or hold a null or
-    non-finite component, and rows with a null id, take no part, nor do vectors
-    shorter or longer than most. A row repeated with its id and vector counts
-    once; an id on several vectors takes part with each. With fewer candidates
-    all are returned; an empty table gives none.
+    non-finite component, and rows with a null id, take no part. A shorter
+    vector counts as padded with zeros. A row repeated with its id and vector
+    counts once; an id on several vectors takes part with each. With fewer
+    candidates all are returned; an empty table gives none.
     """
     spark = prepare(vectors.sparkSession)
     root = scratch_path(spark, "ann")
@@ -171,59 +318,53 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
         return spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
     src = vectors.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{vec_col}`"))
-    rows = stored(src.mapInArrow(_usable, "vec_id long, v binary, dim int, norm2 double"), "rows")
+    rows = stored(src.mapInArrow(_usable, "vec_id long, v binary").distinct(), "rows")
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dims = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    if dims is None:
+    dim = (rows.agg(F.max(F.length("v"))).first()[0] or 0) // 8
+    if not dim:
         return empty
-    dim = dims["dim"]
-    rows = rows.where(F.col("dim") == dim).select("vec_id", "v", "norm2").distinct()
+    rows = stored(rows.mapInArrow(_padded(dim), "vec_id long, v binary, norm double"), "padded")
     # equal vectors are one entry; k + 1 ids are all a result can use of it
     first = Window.partitionBy("v").orderBy("vec_id")
     entries = (rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1)
-               .groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"), F.max("norm2").alias("norm2")))
-    entries = stored(entries.select(F.monotonically_increasing_id().alias("entry"), "v", "ids", "norm2"), "entries")
-    stats = entries.agg(F.count("*").alias("n"), F.max("norm2").alias("top")).first()
-    n, norm2 = stats["n"], stats["top"]
+               .groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"), F.max("norm").alias("norm")))
+    entries = stored(entries.select(F.monotonically_increasing_id().alias("entry"), "v", "ids", "norm"), "entries")
+    longest = entries.agg(F.max("norm")).first()[0]
+    band = F.least(F.lit(BANDS - 1), F.floor((F.log(F.lit(longest)) - F.log("norm")) / math.log(BAND) + 1e-6)).cast("int")
+    entries = entries.withColumn("band", band)
+    counts = {r["band"]: r["count"] for r in entries.groupBy("band").count().collect()}
 
-    take = min(1.0, SAMPLE / n)
-    picked = entries.where(F.pmod(F.xxhash64("v"), F.lit(1 << 30)) < F.lit(int(take * (1 << 30)))).orderBy(F.xxhash64("v")).limit(SAMPLE)
-    sample = np.array([np.frombuffer(r["v"], np.float64) for r in picked.select("v").collect()]) if n else np.empty((0, dim))
-    lists = max(1, min(MAX_LISTS, len(sample) // 4, math.ceil(n / LIST_SIZE)))
-    graph = spark.sparkContext.broadcast(CentroidGraph(kmeans(_lifted(sample, norm2), lists) if len(sample) else np.zeros((1, dim + 1))))
+    cells = spark.sparkContext.broadcast(Cells(_fit(entries, counts, dim)))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g = graph.value
+        g = cells.value
         for b in batches:
             if not b.num_rows:
                 continue
-            x = _lifted(_grid(b.column(1), dim), norm2)
-            got, dist = g.search(x, COPIES * 2)
-            rows_, cells = [], []
-            for i, (cs, ds) in enumerate(zip(got, dist)):
-                chosen: list[int] = []
-                for c, d in zip(cs, ds):
-                    if c < 0 or d > BORDER ** 2 * ds[0] + 1e-12 or len(chosen) == COPIES:
-                        break
-                    # a chosen centroid close by stands for this one
-                    if any(((g.c[c] - g.c[o]) ** 2).sum() < APART * d for o in chosen):
-                        continue
-                    chosen.append(int(c))
-                rows_ += [i] * len(chosen)
-                cells += chosen
-            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), *(c.take(pa.array(rows_)) for c in b.columns)], ["cell", "entry", "v", "ids"])
-
-    postings = stored(entries.select("entry", "v", "ids").mapInArrow(post, "cell long, entry long, v binary, ids array<long>"), "postings")
+            unit = units(_grid(b.column(1), dim))
+            r, c = g.post(unit, b.column(4).to_numpy())
+            cos = (g.c[c] * unit[r]).sum(1)
+            kept = b.take(pa.array(r))
+            yield pa.RecordBatch.from_arrays([pa.array(c), kept.column(0), kept.column(1), kept.column(2), kept.column(3), pa.array(cos)],
+                                             ["cell", "entry", "v", "ids", "norm", "cos"])
+
+    postings = stored(entries.select("entry", "v", "ids", "norm", "band")
+                      .mapInArrow(post, "cell long, entry long, v binary, ids array<long>, norm double, cos double"), "postings")
+    lists = postings.groupBy("cell").agg(F.count("*").alias("n"), F.max("norm").alias("longest"), F.avg("cos").alias("cos")).collect()  # MAX_LISTS rows
+    c = cells.value.c
+    size, far_out, mean_cos = np.zeros(len(c), np.int64), np.zeros(len(c)), np.zeros(len(c))
+    for r in lists:
+        size[r["cell"]], far_out[r["cell"]], mean_cos[r["cell"]] = r["n"], r["longest"], r["cos"]
+    reach = Reach(c, size, far_out / longest, mean_cos)
+    reach.ratio = _fit_ratio(reach, entries, postings, dim, k, query_mod)
+    reach = spark.sparkContext.broadcast(reach)
+
     def aim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            x = _grid(b.column(1), dim)
-            # a query's nearest is the largest inner product: it is lifted with 0
-            got, dist = graph.value.search(np.concatenate([x, np.zeros((len(x), 1))], 1), PROBES)
-            keep = (got >= 0) & ((dist <= PRUNE ** 2 * dist[:, :1] + 1e-12) | (np.arange(got.shape[1]) < LEAST))
-            r, c = np.nonzero(keep)
-            yield pa.RecordBatch.from_arrays([pa.array(got[r, c]), *(col.take(pa.array(r)) for col in b.columns)], ["cell", "query_id", "v"])
+            r, cell = reach.value.aim(units(_grid(b.column(1), dim)), COPIES * (k + 1))
+            yield pa.RecordBatch.from_arrays([pa.array(cell), *(col.take(pa.array(r)) for col in b.columns)], ["cell", "query_id", "v"])
 
     asked = rows.where(F.pmod("vec_id", F.lit(query_mod)) == 0).select("vec_id", "v").mapInArrow(aim, "cell long, query_id long, v binary")
     asked = stored(asked, "asked")
@@ -231,40 +372,30 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
     def parts_of(df: DataFrame, size: int, name: str) -> DataFrame:
         return df.groupBy("cell").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
 
-    cells = stored(parts_of(postings, PART, "parts").join(parts_of(asked, QUERIES_AT_ONCE, "blocks"), "cell"), "cells")
+    sizes = stored(parts_of(postings, PART, "parts").join(parts_of(asked, QUERIES_AT_ONCE, "blocks"), "cell"), "cells")
 
     def dealt(df: DataFrame, key: str, own: str, all_: str, *cols) -> DataFrame:
         """Each row in its own part (or block) and once in each block (or part)."""
         mine = F.pmod(F.xxhash64(key), F.col("parts" if own == "part" else "blocks")).cast("int").alias(own)
         every = F.explode(F.sequence(F.lit(0), F.col("parts" if all_ == "part" else "blocks") - 1)).alias(all_)
-        return df.join(cells, "cell").select("cell", mine, every, *cols)
+        return df.join(sizes, "cell").select("cell", mine, every, *cols)
 
     postings = dealt(postings, "entry", "part", "block", "entry", "v", "ids")
     asked = dealt(asked, "query_id", "block", "part", "query_id", F.col("v").alias("q"))
 
-    def scan(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"query_id": [], "entry": [], "ids": [], "score": []}
-        if len(q) and len(p):
-            x = np.frombuffer(b"".join(p["v"]), np.float64).reshape(-1, dim)
-            ids, names = p["ids"].to_numpy(), p["entry"].to_numpy()
-            low = np.array([i[0] for i in ids])
-            for a in range(0, len(q), 256):
-                y = np.frombuffer(b"".join(q["q"].iloc[a:a + 256]), np.float64).reshape(-1, dim)
-                s = y @ x.T
-                for r, query in enumerate(q["query_id"].iloc[a:a + 256]):
-                    # one more than needed: the query's own entry may be among them
-                    best = np.flatnonzero(s[r] >= np.partition(s[r], -(k + 1))[-(k + 1)] - 1e-9) if len(x) > k + 1 else np.arange(len(x))
-                    exact = (x[best] * y[r]).sum(1)
-                    order = np.lexsort((low[best], -exact))[:k + 1]
-                    out["query_id"] += [query] * len(order)
-                    out["entry"] += names[best[order]].tolist()
-                    out["ids"] += [list(i) for i in ids[best[order]]]
-                    out["score"] += exact[order].tolist()
-        kinds = {"query_id": "int64", "entry": "int64", "ids": object, "score": "float64"}
-        return pd.DataFrame({c: pd.Series(out[c], dtype=t) for c, t in kinds.items()})
+    def scan(q: pa.Table, p: pa.Table) -> pa.Table:
+        if q.num_rows and p.num_rows:
+            ids = p.column("ids").combine_chunks()
+            low = ids.values.to_numpy()[ids.offsets.to_numpy()[:-1]]
+            # one more than needed: the query's own entry may be among them
+            i, j, s = _best(_grid(q.column("q"), dim), _grid(p.column("v"), dim), low, k + 1)
+            return pa.table({"query_id": q.column("query_id").take(pa.array(i)), "entry": p.column("entry").take(pa.array(j)),
+                             "ids": ids.take(pa.array(j)), "score": pa.array(s)})
+        return pa.table({"query_id": pa.array([], pa.int64()), "entry": pa.array([], pa.int64()),
+                         "ids": pa.array([], pa.list_(pa.int64())), "score": pa.array([], pa.float64())})
 
     found = (asked.groupBy("cell", "part", "block").cogroup(postings.groupBy("cell", "part", "block"))
-             .applyInPandas(scan, "query_id long, entry long, ids array<long>, score double"))
+             .applyInArrow(scan, "query_id long, entry long, ids array<long>, score double"))
     # an entry found in several lists counts once
     each = (found.dropDuplicates(["query_id", "entry"]).select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
@@ -272,13 +403,68 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
 
+def _fit(entries: DataFrame, counts: dict[int, int], dim: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Each band's centroids and weights, from a hash sample of about SAMPLE vectors."""
+    lists = {b: max(1, math.ceil(n / LIST_SIZE)) for b, n in counts.items()}
+    scale = min(1.0, MAX_LISTS / sum(lists.values()))
+    lists = {b: max(1, int(n * scale)) for b, n in lists.items()}
+    scale = min(1.0, SAMPLE / sum(PER_LIST * n for n in lists.values()))
+    rate = {b: min(1.0, PER_LIST * lists[b] * scale / counts[b] + 8 / counts[b]) for b in counts}
+    bar = F.create_map(*[F.lit(x) for b, r in sorted(rate.items()) for x in (b, int(r * (1 << 30)))])
+    hashed = F.pmod(F.xxhash64("v"), F.lit(1 << 30))
+    picked = entries.where(hashed <= bar[F.col("band")]).orderBy(F.xxhash64("v")).limit(2 * SAMPLE).select("band", "v").toArrow()
+    bands = picked.column("band").to_numpy()
+    x = units(_grid(picked.column("v"), dim))
+    return {b: balanced_directions(x[bands == b], min(n, max(1, int((bands == b).sum()) // 4))) if (bands == b).any()
+            else (np.eye(1, dim), np.zeros(1)) for b, n in sorted(lists.items())}
+
+
+def _fit_ratio(reach: Reach, entries: DataFrame, postings: DataFrame, dim: int, k: int, query_mod: int) -> float:
+    """The smallest distance ratio whose lists hold TARGET of the true
+    neighbours of TRIED queries, which are found by brute force in one scan."""
+    spark = entries.sparkSession
+    tried = (entries.where(F.exists("ids", lambda i: F.pmod(i, F.lit(query_mod)) == 0)).orderBy(F.xxhash64("v"), "entry").limit(TRIED)
+             .select("entry", "v").toArrow())
+    if not tried.num_rows:
+        return 1.0
+    own, y = tried.column("entry").to_numpy(), _grid(tried.column("v"), dim)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None
+        for b in batches:  # the k best of the task so far stay
+            names, x = b.column(0).to_numpy(), _grid(b.column(1), dim)
+            s = y @ x.T
+            s[own[:, None] == names] = -np.inf
+            i, j = top_of(s, k, np.zeros(len(y)))
+            part = (i, names[j], s[i, j])
+            best = part if best is None else tuple(np.concatenate(c) for c in zip(best, part))
+            order = np.lexsort((best[1], -best[2], best[0]))
+            best = tuple(c[order] for c in best)
+            new = np.ones(len(order), bool)
+            new[1:] = best[0][1:] != best[0][:-1]
+            ok = (np.arange(len(order)) - np.flatnonzero(new)[np.cumsum(new) - 1] < k) & np.isfinite(best[2]) if len(order) else new[:0]
+            best = tuple(c[ok] for c in best)
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(best[0], pa.int64()), pa.array(best[1], pa.int64()), pa.array(best[2], pa.float64())], ["query", "entry", "score"])
+
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "entry"))
+    true = (entries.select("entry", "v").mapInArrow(scan, "query long, entry long, score double")
+            .withColumn("place", place).where(F.col("place") <= k).select("query", "entry"))
+    where = true.join(postings.select("entry", "cell"), "entry").groupBy("query", "entry").agg(F.collect_set("cell").alias("cells")).collect()
+    ratios = reach.ratios(units(y))
+    needed = sorted(float(ratios[r["query"], r["cells"]].min()) for r in where)
+    return needed[min(len(needed) - 1, math.ceil(TARGET * len(needed)))] * (1 + 1e-9) if needed else 1.0
+
+
 def nearest_exact(vectors: list[tuple[int, list]], k: int = 20, query_mod: int = 20) -> dict[int, list[tuple[int, float]]]:
     """Brute force over a small list, for tests and recall."""
     ok = [(i, np.array(v, np.float64)) for i, v in vectors
           if i is not None and v is not None and len(v) and not any(c is None for c in v) and np.isfinite(np.array(v, np.float64)).all() and np.any(v)]
+    dim = max((len(v) for _, v in ok), default=0)
+    ids, grid = [i for i, _ in ok], np.array([np.pad(v, (0, dim - len(v))) for _, v in ok]).reshape(-1, dim)
     out = {}
-    for q, y in ok:
+    for q, y in zip(ids, grid):
         if q % query_mod == 0:
-            got = sorted(((-(x * y).sum(), i) for i, x in ok if i != q))[:k]
+            got = sorted((-s, i) for i, s in zip(ids, (grid * y).sum(1).tolist()) if i != q)[:k]
             out[q] = [(i, -s) for s, i in got]
     return out

@@ -224,9 +224,12 @@ def test_ann_recall_with_norms_and_copies(spark):
 
 def test_ann_small_and_unusable(spark):
     rows = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]),
-            (40, [float("inf"), 1.0]), (None, [1.0, 2.0]), (7, []), (8, [-1.0, -1.0]), (9, [1.0, 1.0])]
+            (40, [float("inf"), 1.0]), (None, [1.0, 2.0]), (7, []), (8, [-1.0, -1.0]), (9, [1.0, 1.0]), (11, [0.5]), (60, [0.0, 0.0, -2.0])]
     got = run_ann(spark, rows)
-    assert got == {0: [(1, 1, 1.0), (2, 9, 1.0), (3, 20, 0.0), (4, 8, -1.0)], 20: [(1, 1, 1.0), (2, 9, 1.0), (3, 0, 0.0), (4, 8, -1.0)]}
+    # vectors of other lengths count as padded with zeros
+    assert got == {0: [(1, 1, 1.0), (2, 9, 1.0), (3, 11, 0.5), (4, 20, 0.0), (5, 60, 0.0), (6, 8, -1.0)],
+                   20: [(1, 1, 1.0), (2, 9, 1.0), (3, 0, 0.0), (4, 11, 0.0), (5, 60, 0.0), (6, 8, -1.0)],
+                   60: [(i + 1, v, 0.0) for i, v in enumerate([0, 1, 8, 9, 11, 20])]}
     assert run_ann(spark, []) == {} and run_ann(spark, [(0, [1.0])]) == {}
 
 
@@ -237,3 +240,49 @@ def test_ann_splits_large_lists(spark, monkeypatch):
     rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(rng.normal(size=(400, 8)))]
     got, want = run_ann(spark, rows), ann.nearest_exact(rows)
     assert np.mean([len({i for i, _ in want[q]} & {i for _, i, _ in got[q]}) / 20 for q in want]) >= 0.95
+
+
+@pytest.mark.parametrize("sigma, clustered", [(0.0, False), (0.5, False), (1.0, True)])
+def test_ann_recall_with_many_lists_and_unequal_lengths(spark, monkeypatch, sigma, clustered):
+    monkeypatch.setattr(ann, "LIST_SIZE", 8)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(6000, 24))
+    if clustered:
+        x = rng.normal(size=(150, 24))[rng.integers(150, size=6000)] + 0.4 * x
+    x *= np.exp(sigma * rng.normal(size=(6000, 1)))
+    made = []
+
+    def kept(*args):
+        made.append(args[0])
+        return fit(*args)
+    fit = ann._fit_ratio
+    monkeypatch.setattr(ann, "_fit_ratio", kept)
+    rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(x)]
+    got, want = run_ann(spark, rows), ann.nearest_exact(rows)
+    assert len(made[0].cells) > 500
+    assert all(len(got[q]) == 20 for q in want)
+    assert np.mean([len({i for i, _ in want[q]} & {i for _, i, _ in got[q]}) / 20 for q in want]) >= 0.95
+    size = np.sort(made[0].size[made[0].cells])[::-1]
+    assert size[:len(size) // 5].sum() < 0.5 * size.sum()  # the lists are balanced
+
+
+def test_ann_fills_every_answer(spark, monkeypatch):
+    """A query whose lists hold too few vectors gets more lists."""
+    monkeypatch.setattr(ann, "LIST_SIZE", 4)
+    monkeypatch.setattr(ann, "_fit_ratio", lambda *args: 1.0)
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(rng.normal(size=(300, 6)) * np.exp(2 * rng.normal(size=(300, 1))))]
+    got = run_ann(spark, rows)
+    assert set(got) == set(range(0, 300, 20)) and all(len(v) == 20 for v in got.values())
+
+
+def test_balanced_directions_and_extreme_lengths(spark):
+    rng = np.random.default_rng(8)
+    x = ann.units(rng.normal(size=(6000, 16)) + 2 * rng.normal(size=(3, 16))[rng.integers(3, size=6000)])
+    c, weight = ann.balanced_directions(x, 200)
+    load = np.sort(np.bincount(ann._owners(x, c, weight)[0], minlength=len(c)))[::-1]
+    assert np.allclose((c * c).sum(1), 1) and load[:len(load) // 5].sum() < 0.45 * len(x)
+    big = np.array([[1e300, 1e300], [1e-300, 0], [3, 4]])
+    assert ann.lengths(big)[2] == 5 and np.isfinite(ann.lengths(big)).all() and np.allclose((ann.units(big) ** 2).sum(1), 1)
+    got = run_ann(spark, [(0, [1e30, 1.0]), (20, [1e-30, 0.0]), (1, [1.0, 2.0]), (2, [-1e-40, 1e-40])])
+    assert [len(got[q]) for q in (0, 20)] == [3, 3] and got[0][0][1] == 1
