@@ -21,8 +21,9 @@ query always gets lists with enough vectors to fill its answer.
 
 Equal vectors are one entry holding its smallest ids, as many as a result can
 use, so a vector that a third of all rows repeat costs one entry. Lists are cut
-into parts of at most about PART entries, and the queries of a list into blocks
-of about QUERIES_AT_ONCE; a task scans one part, whole, for one block.
+into parts of at most about PART entries, which are dealt into buckets of about
+BUCKET. A task scans the parts of one bucket for one block of the queries that
+ask for them, and hands on each query's best of all its lists there.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.session import scratch_path
@@ -49,8 +50,10 @@ APART = 0.12               # chosen centroids lie at least this share of the vec
 TRIED, TARGET = 256, 0.97  # queries the ratio is fitted on, and the share of their neighbours it keeps
 SPREAD = 3.0               # standard deviations by which a list's best member is expected to stand out
 DEGREE, BEAM = 24, 32      # of the graph and, at least, its search
-PART = 4096
-QUERIES_AT_ONCE = 8192     # queries that meet a part of a list in one task
+AT_ONCE = 4                # points that a search follows in one step
+PART = 4096                # entries of a list that stay together
+BUCKET = 32_768            # entries in a task, about
+QUERIES_AT_ONCE = 65_536   # pairs of a query and a list part in a task, about
 ROWS = 2048                # rows of the sample compared at once
 
 
@@ -137,14 +140,17 @@ class PointGraph:
         rows = np.arange(n)
         while True:
             open_ = np.where(done, -np.inf, score)
-            at = open_.argmax(1)
-            go = np.isfinite(open_[rows, at])
-            if not go.any():
+            r = rows[np.isfinite(open_).any(1)]
+            if not len(r):
                 break
-            r = rows[go]
-            done[r, at[go]] = True
-            nb = self.near[ids[r, at[go]]]
+            # the best open points of each query are followed at once
+            at = np.argpartition(-open_[r], min(AT_ONCE, beam) - 1, 1)[:, :AT_ONCE]
+            follow = np.isfinite(np.take_along_axis(open_[r], at, 1))
+            done[r[:, None], at] = True
+            nb = np.where(follow[:, :, None], self.near[np.take_along_axis(ids[r], at, 1)], self.entry[0]).reshape(len(r), -1)
+            nb.sort(1)
             new = ~known[r[:, None], nb]
+            new[:, 1:] &= nb[:, 1:] != nb[:, :-1]
             known[r[:, None], nb] = True
             s = np.matmul(self.p[nb], q[r][:, :, None])[:, :, 0]
             s[~new] = -np.inf
@@ -200,7 +206,7 @@ class Reach:
         self.points = np.concatenate([(longest * mean_cos)[:, None] * c, spread[:, None]], 1)[self.cells]
         self.most = float((longest * np.abs(mean_cos) + spread).max()) * (1 + 1e-9)
         self.graph = PointGraph(self.points)
-        self.ratio = math.inf
+        self.ratio, self.usual = math.inf, 32  # usual: lists that most queries look into
 
     def far(self, reach: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(self.most - reach, 0))
@@ -216,7 +222,7 @@ class Reach:
         """(query, list) of the lists within the ratio, and of more where
         those hold fewer than ``least`` postings."""
         q = np.concatenate([unit, np.ones((len(unit), 1))], 1)
-        todo, want = np.arange(len(q)), 32
+        todo, want = np.arange(len(q)), self.usual
         rows, cells = [], []
         while len(todo):
             got, s = self.graph.search(q[todo], want)
@@ -281,6 +287,25 @@ def top_of(s: np.ndarray, k: int, room: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.nonzero(s >= (np.partition(s, -k, axis=1)[:, -k] - room)[:, None])
 
 
+def _place(key: np.ndarray) -> np.ndarray:
+    """Each element's place among its equal neighbours, from 0."""
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    return np.arange(len(key)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+
+
+def _units(q: pa.Table, p: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each list part of a bucket: (rows of q that ask for it, rows of p in it)."""
+    def grouped(t: pa.Table):
+        key = t.column("cell").to_numpy() * (1 << 20) + t.column("part").to_numpy()
+        order = np.argsort(key, kind="stable")
+        names, first = np.unique(key[order], return_index=True)
+        return dict(zip(names.tolist(), np.split(order, first[1:])))
+    asks, holds = grouped(q), grouped(p)
+    for name in asks.keys() & holds.keys():
+        yield asks[name], holds[name]
+
+
 def _best(y: np.ndarray, x: np.ndarray, low: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, entry, score): the k best entries of each query, ties by ``low``."""
     out = []
@@ -291,9 +316,7 @@ def _best(y: np.ndarray, x: np.ndarray, low: np.ndarray, k: int) -> tuple[np.nda
         exact = (x[j] * part[i]).sum(1)
         order = np.lexsort((low[j], -exact, i))
         i, j, exact = i[order], j[order], exact[order]
-        new = np.ones(len(i), bool)
-        new[1:] = i[1:] != i[:-1]
-        ok = np.arange(len(i)) - np.flatnonzero(new)[np.cumsum(new) - 1] < k if len(i) else new[:0]
+        ok = _place(i) < k
         out.append((a + i[ok], j[ok], exact[ok]))
     return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.empty(0, int),) * 3
 
@@ -356,7 +379,7 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
     for r in lists:
         size[r["cell"]], far_out[r["cell"]], mean_cos[r["cell"]] = r["n"], r["longest"], r["cos"]
     reach = Reach(c, size, far_out / longest, mean_cos)
-    reach.ratio = _fit_ratio(reach, entries, postings, dim, k, query_mod)
+    reach.ratio, reach.usual = _fit_ratio(reach, entries, postings, dim, k, query_mod)
     reach = spark.sparkContext.broadcast(reach)
 
     def aim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,32 +392,46 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
     asked = rows.where(F.pmod("vec_id", F.lit(query_mod)) == 0).select("vec_id", "v").mapInArrow(aim, "cell long, query_id long, v binary")
     asked = stored(asked, "asked")
 
-    def parts_of(df: DataFrame, size: int, name: str) -> DataFrame:
-        return df.groupBy("cell").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
-
-    sizes = stored(parts_of(postings, PART, "parts").join(parts_of(asked, QUERIES_AT_ONCE, "blocks"), "cell"), "cells")
+    # a task holds one bucket of list parts and one block of the queries that ask for them
+    buckets = max(n_parts, math.ceil(int(size.sum()) / BUCKET))
+    blocks = max(1, math.ceil(asked.count() / buckets / QUERIES_AT_ONCE))
+    parts = postings.groupBy("cell").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    parts = stored(parts, "parts")
+    bucket = F.pmod(F.xxhash64("cell", "part"), F.lit(buckets)).cast("int").alias("bucket")
 
-    def dealt(df: DataFrame, key: str, own: str, all_: str, *cols) -> DataFrame:
-        """Each row in its own part (or block) and once in each block (or part)."""
-        mine = F.pmod(F.xxhash64(key), F.col("parts" if own == "part" else "blocks")).cast("int").alias(own)
-        every = F.explode(F.sequence(F.lit(0), F.col("parts" if all_ == "part" else "blocks") - 1)).alias(all_)
-        return df.join(sizes, "cell").select("cell", mine, every, *cols)
+    def every(n) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
 
-    postings = dealt(postings, "entry", "part", "block", "entry", "v", "ids")
-    asked = dealt(asked, "query_id", "block", "part", "query_id", F.col("v").alias("q"))
+    own_part = F.pmod(F.xxhash64("entry"), F.col("parts")).cast("int")
+    there = (postings.join(parts, "cell").select("cell", own_part.alias("part"), "entry", "v", "ids")
+             .select(bucket, every(F.lit(blocks)).alias("block"), "cell", "part", "entry", "v", "ids"))
+    here = (asked.join(parts, "cell").select("cell", every(F.col("parts")).alias("part"), "query_id", "v")
+            .select(bucket, F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "cell", "part", "query_id", F.col("v").alias("q")))
 
     def scan(q: pa.Table, p: pa.Table) -> pa.Table:
-        if q.num_rows and p.num_rows:
-            ids = p.column("ids").combine_chunks()
-            low = ids.values.to_numpy()[ids.offsets.to_numpy()[:-1]]
+        if not q.num_rows or not p.num_rows:
+            return pa.table({"query_id": pa.array([], pa.int64()), "entry": pa.array([], pa.int64()),
+                             "ids": pa.array([], pa.list_(pa.int64())), "score": pa.array([], pa.float64())})
+        y, x = _grid(q.column("q"), dim), _grid(p.column("v"), dim)
+        ids = p.column("ids").combine_chunks()
+        low = ids.values.to_numpy()[ids.offsets.to_numpy()[:-1]]
+        found = []
+        for asks, holds in _units(q, p):
             # one more than needed: the query's own entry may be among them
-            i, j, s = _best(_grid(q.column("q"), dim), _grid(p.column("v"), dim), low, k + 1)
-            return pa.table({"query_id": q.column("query_id").take(pa.array(i)), "entry": p.column("entry").take(pa.array(j)),
-                             "ids": ids.take(pa.array(j)), "score": pa.array(s)})
-        return pa.table({"query_id": pa.array([], pa.int64()), "entry": pa.array([], pa.int64()),
-                         "ids": pa.array([], pa.list_(pa.int64())), "score": pa.array([], pa.float64())})
-
-    found = (asked.groupBy("cell", "part", "block").cogroup(postings.groupBy("cell", "part", "block"))
+            i, j, s = _best(y[asks], x[holds], low[holds], k + 1)
+            found.append((asks[i], holds[j], s))
+        i, j, s = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, int),) * 3
+        query, entry = q.column("query_id").to_numpy()[i], p.column("entry").to_numpy()[j]
+        order = np.lexsort((entry, low[j], -s, query))
+        query, entry, j, s = query[order], entry[order], j[order], s[order]
+        new = np.ones(len(s), bool)  # an entry may stand in several lists of the bucket
+        new[1:] = (query[1:] != query[:-1]) | (entry[1:] != entry[:-1])
+        query, j, s = query[new], j[new], s[new]
+        ok = _place(query) < k + 1
+        return pa.table({"query_id": pa.array(query[ok]), "entry": p.column("entry").take(pa.array(j[ok])),
+                         "ids": ids.take(pa.array(j[ok])), "score": pa.array(s[ok], pa.float64())})
+
+    found = (here.groupBy("bucket", "block").cogroup(there.groupBy("bucket", "block"))
              .applyInArrow(scan, "query_id long, entry long, ids array<long>, score double"))
     # an entry found in several lists counts once
     each = (found.dropDuplicates(["query_id", "entry"]).select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id"))
@@ -419,14 +456,15 @@ def _fit(entries: DataFrame, counts: dict[int, int], dim: int) -> dict[int, tupl
             else (np.eye(1, dim), np.zeros(1)) for b, n in sorted(lists.items())}
 
 
-def _fit_ratio(reach: Reach, entries: DataFrame, postings: DataFrame, dim: int, k: int, query_mod: int) -> float:
+def _fit_ratio(reach: Reach, entries: DataFrame, postings: DataFrame, dim: int, k: int, query_mod: int) -> tuple[float, int]:
     """The smallest distance ratio whose lists hold TARGET of the true
-    neighbours of TRIED queries, which are found by brute force in one scan."""
+    neighbours of TRIED queries, which are found by brute force in one scan;
+    and the number of lists within it for most of them."""
     spark = entries.sparkSession
     tried = (entries.where(F.exists("ids", lambda i: F.pmod(i, F.lit(query_mod)) == 0)).orderBy(F.xxhash64("v"), "entry").limit(TRIED)
              .select("entry", "v").toArrow())
     if not tried.num_rows:
-        return 1.0
+        return 1.0, 1
     own, y = tried.column("entry").to_numpy(), _grid(tried.column("v"), dim)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,9 +478,7 @@ def _fit_ratio(reach: Reach, entries: DataFrame, postings: DataFrame, dim: int,
             best = part if best is None else tuple(np.concatenate(c) for c in zip(best, part))
             order = np.lexsort((best[1], -best[2], best[0]))
             best = tuple(c[order] for c in best)
-            new = np.ones(len(order), bool)
-            new[1:] = best[0][1:] != best[0][:-1]
-            ok = (np.arange(len(order)) - np.flatnonzero(new)[np.cumsum(new) - 1] < k) & np.isfinite(best[2]) if len(order) else new[:0]
+            ok = (_place(best[0]) < k) & np.isfinite(best[2])
             best = tuple(c[ok] for c in best)
         if best is not None:
             yield pa.RecordBatch.from_arrays([pa.array(best[0], pa.int64()), pa.array(best[1], pa.int64()), pa.array(best[2], pa.float64())], ["query", "entry", "score"])
@@ -453,7 +489,8 @@ def _fit_ratio(reach: Reach, entries: DataFrame, postings: DataFrame, dim: int,
     where = true.join(postings.select("entry", "cell"), "entry").groupBy("query", "entry").agg(F.collect_set("cell").alias("cells")).collect()
     ratios = reach.ratios(units(y))
     needed = sorted(float(ratios[r["query"], r["cells"]].min()) for r in where)
-    return needed[min(len(needed) - 1, math.ceil(TARGET * len(needed)))] * (1 + 1e-9) if needed else 1.0
+    ratio = needed[min(len(needed) - 1, math.ceil(TARGET * len(needed)))] * (1 + 1e-9) if needed else 1.0
+    return ratio, int(np.percentile((ratios <= ratio).sum(1), 90)) + 8
 
 
 def nearest_exact(vectors: list[tuple[int, list]], k: int = 20, query_mod: int = 20) -> dict[int, list[tuple[int, float]]]:

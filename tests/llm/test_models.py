@@ -235,6 +235,7 @@ def test_ann_small_and_unusable(spark):
 
 def test_ann_splits_large_lists(spark, monkeypatch):
     monkeypatch.setattr(ann, "PART", 16)
+    monkeypatch.setattr(ann, "BUCKET", 50)
     monkeypatch.setattr(ann, "QUERIES_AT_ONCE", 3)
     rng = np.random.default_rng(4)
     rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(rng.normal(size=(400, 8)))]
@@ -269,7 +270,7 @@ def test_ann_recall_with_many_lists_and_unequal_lengths(spark, monkeypatch, sigm
 def test_ann_fills_every_answer(spark, monkeypatch):
     """A query whose lists hold too few vectors gets more lists."""
     monkeypatch.setattr(ann, "LIST_SIZE", 4)
-    monkeypatch.setattr(ann, "_fit_ratio", lambda *args: 1.0)
+    monkeypatch.setattr(ann, "_fit_ratio", lambda *args: (1.0, 2))
     rng = np.random.default_rng(7)
     rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(rng.normal(size=(300, 6)) * np.exp(2 * rng.normal(size=(300, 1))))]
     got = run_ann(spark, rows)
