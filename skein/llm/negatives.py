@@ -36,6 +36,7 @@ from .common import prepare, shuffle_partitions
 
 LEVELS = (4, 16, 32)    # segments of a vector, coarse to fine
 ROWS, ANCHORS = 32_768, 4_096
+FEWEST = 2_048          # rows in a block, about, at least: every block hands on each anchor's best
 STEP, GROUP = 1024, 256  # rows and anchors compared at once
 LARGEST = 1 << 56        # scores saturate here; below 2 ** 53 they are exact
 
@@ -175,7 +176,7 @@ def hard_negatives(vectors: DataFrame, positives: int = 5, negatives: int = 10,
     dim = max(1, stats["dim"])
     rows = stored(usable.mapInArrow(_packed(dim), "vec_id long, label long, v binary, summary binary")
                   .withColumn("entry", F.monotonically_increasing_id()), "rows")
-    row_blocks = max(math.ceil(stats["n"] / ROWS), n_parts)
+    row_blocks = max(math.ceil(stats["n"] / ROWS), min(n_parts, math.ceil(stats["n"] / FEWEST)))
     anchor_blocks = math.ceil(stats["anchors"] / ANCHORS)
 
     def dealt(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
