@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from skein.functions.built import built_once
 from skein.functions.text import WS_CLASS, strip
 
 # --- fixed values -----------------------------------------------------------
@@ -30,6 +31,7 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+@built_once
 def strict_ok(c) -> Column:
     """Valid JSON text in the strict sense of Python ``json.loads``.
 
@@ -47,15 +49,46 @@ def strict_ok(c) -> Column:
     return F.coalesce(one("[", "]") & one('[{"v":', "}]") & (strip(x) != F.lit("")), F.lit(False))
 
 
+@built_once
 def parse_object(c) -> Column:
     """``MAP<STRING,VARIANT>`` for a JSON object, null for any other text."""
     m = F.from_json(_c(c), MAP_SCHEMA)
     return F.map_from_entries(F.map_entries(m))
 
 
+@built_once
+def strict_parse(c) -> Column:
+    """The one parse of a text: ``[text]`` read as an array of object maps. One
+    element that is there means an object without anything after it, unless the
+    text closes the array itself (``strict_parse_ok``)."""
+    return F.from_json(F.concat(F.lit("["), _c(c), F.lit("]")), f"array<{MAP_SCHEMA}>", {"allowSingleQuotes": "false"})
+
+
+def strict_parse_ok(parsed: Column, c) -> Column:
+    """Whether the text of ``strict_parse`` is valid JSON. A text is read once
+    more only where it holds a ``]``, which may have closed the array early, or
+    isn't one object."""
+    x = _c(c)
+    whole = (F.size(parsed) == 1) & F.element_at(parsed, 1).isNotNull() & ~x.contains("]")
+    return F.when(F.coalesce(whole, F.lit(False)), F.lit(True)).otherwise(strict_ok(x))
+
+
+def strict_parse_object(parsed: Column) -> Column:
+    """The object of ``strict_parse``, the last of a repeated key's values."""
+    return F.map_from_entries(F.map_entries(F.element_at(parsed, 1)))
+
+
+def repeated_fields(parsed: Column) -> Column:
+    """Keys that stand more than once in the object of ``strict_parse``."""
+    keys = F.map_keys(F.element_at(parsed, 1))
+    return F.array_distinct(F.filter(keys, lambda k: F.size(F.filter(keys, lambda x: x == k)) > 1))
+
+
+@built_once
 def parse_doc(c) -> Column:
-    """Object map of strictly valid JSON text, else null."""
-    return F.when(strict_ok(c), parse_object(c))
+    """Object map of strictly valid JSON text, else null; parsed once."""
+    both = F.transform(F.array(strict_parse(c)), lambda p: F.when(strict_parse_ok(p, c) & (F.size(p) == 1), strict_parse_object(p)))
+    return F.element_at(both, 1)
 
 
 def vtype(v) -> Column:
@@ -127,6 +160,7 @@ def nonempty_flags(m, blank_unknown: bool = False) -> list[Column]:
     return [_content(F.element_at(x, F.lit(f)), blank_unknown) for f in REQUIRED_FIELDS]
 
 
+@built_once
 def nonempty_count(m, blank_unknown: bool = False) -> Column:
     """How many of the eight fields carry content. ``m`` should be a column
     reference (a parsed map), not a parse expression: it is read 8 times."""
@@ -143,6 +177,7 @@ def nonempty_fields(m) -> Column:
     return F.filter(arr, lambda x: x.isNotNull())
 
 
+@built_once
 def quality(m) -> Column:
     """STRUCT<is_empty, is_single, non_empty_count, non_empty_fields, needs_retry>."""
     n = nonempty_count(m)
@@ -155,6 +190,7 @@ def quality(m) -> Column:
     )
 
 
+@built_once
 def first_nested_key(m) -> Column:
     """First key in document order whose value is a list/object (not 'version')."""
     hits = F.filter(F.map_entries(_c(m)),
@@ -170,6 +206,7 @@ def missing_fields(m) -> Column:
     return F.array_sort(F.array_except(required_array(), F.map_keys(_c(m))))
 
 
+@built_once
 def repair_response(c) -> Column:
     """Model text -> JSON text: as-is when strict; else, when the stripped
     text starts with '{', cut after the last '}'. Null when neither works.

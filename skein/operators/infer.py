@@ -2,10 +2,13 @@
 
 Prompts are built with column expressions, the external call runs in one
 ``mapInPandas`` stage (one client per partition, bounded concurrency, inner
-retries), and every pass is *written* to an ``attempts`` table before any
-branch reads it, so a paid call is never repeated by re-evaluation. A call
-is keyed by ``(run, cve_id, attempt, call)``; calls already in the table are not
-made again when a run resumes, and a later run calls anew what failed.
+retries), and answers are *written* to an ``attempts`` table before any
+branch reads them, so a paid call is never repeated by re-evaluation. Prompts
+are cut into blocks, and a block's answers are committed before the next block
+is called: a lost task or a dead run repeats calls of one block at most. A call
+is keyed by ``(run, cve_id, attempt, call, deferral)``; calls already in the
+table are not made again when a run resumes, and a later run calls anew what
+failed. The ladder over these calls is in ``ladder``.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import jsonx as J
+from skein.functions.built import built_once
 from skein.operators.layout import balance, fence
-from skein.session import path_exists
+from skein.session import path_exists, scratch_path
 
 # --- fixed values -----------------------------------------------------------
 PRIMARY = "primary"
@@ -39,6 +43,7 @@ MAX_ATTEMPTS = 3
 INNER_TRIES = 3
 BACKOFF_MIN_S, BACKOFF_MAX_S = 4, 10
 CALL_TIMEOUT_S = 300
+BLOCK_ROWS = 200  # calls that a task makes before they are committed
 ROWS_AT_ONCE = 1 << 16  # equal routed rows made from one array
 # ---------------------------------------------------------------------------
 
@@ -52,19 +57,22 @@ ENHANCE_TAIL = ("\n\nAnswer with one JSON object holding only these fields: root
                 "impact, vector, attacker, product, version, component\n</INSTRUCTION>")
 
 CALL_SCHEMA = ("cve_id string, attempt int, call string, model string, description string, "
-               "prompt_chars int, response string, error string")
+               "prompt_chars int, response string, error string, deferral int, carried string, made_at double")
 
 
+@built_once
 def build_prompt(desc) -> Column:
     return F.concat(F.lit(EXTRACT_INSTRUCTION), desc if isinstance(desc, Column) else F.col(desc))
 
 
+@built_once
 def build_enhance_prompt(desc, current_json) -> Column:
     d = desc if isinstance(desc, Column) else F.col(desc)
     j = current_json if isinstance(current_json, Column) else F.col(current_json)
     return F.concat(F.lit(ENHANCE_HEAD), j, F.lit(ENHANCE_MID), d, F.lit(ENHANCE_TAIL))
 
 
+@built_once
 def classify_error(err) -> Column:
     """STRUCT<error_class, wait_s, counts_as_attempt> for an error text."""
     e = err if isinstance(err, Column) else F.col(err)
@@ -142,15 +150,18 @@ def call_with_retries(client, prompt: str, model: str, tries: int = INNER_TRIES,
 
 def infer(prompts: DataFrame, client_factory: Callable[[], object],
           concurrency: int | None = None, tries: int = INNER_TRIES,
-          sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+          sleep: Callable[[float], None] = time.sleep, made_at: float | None = None) -> DataFrame:
     """One model call per row of ``prompts(cve_id, attempt, call, model,
-    description, prompt)`` -> ``CALL_SCHEMA`` rows.
+    description, prompt)`` -> ``CALL_SCHEMA`` rows. ``deferral`` and ``carried``
+    are handed through where present.
 
     ``concurrency`` caps the number of simultaneous calls (partitions); the
     client is built once per partition from a picklable factory.
     """
-    cols = ["cve_id", "attempt", "call", "model", "description", "prompt"]
-    df = prompts.select(*cols)
+    extra = [F.col("deferral") if "deferral" in prompts.columns else F.lit(0).alias("deferral"),
+             F.col("carried") if "carried" in prompts.columns else F.lit(None).cast("string").alias("carried"),
+             F.lit(made_at).cast("double").alias("made_at")]
+    df = prompts.select("cve_id", "attempt", "call", "model", "description", "prompt", *extra)
     df = df.repartition(concurrency) if concurrency else balance(df)
 
     def run(batches):
@@ -165,7 +176,8 @@ def infer(prompts: DataFrame, client_factory: Callable[[], object],
                 "cve_id": pdf["cve_id"], "attempt": pdf["attempt"].astype("int32"),
                 "call": pdf["call"], "model": pdf["model"], "description": pdf["description"],
                 "prompt_chars": pd.Series([len(p) if p is not None else 0 for p in pdf["prompt"]], index=pdf.index, dtype="int32"),
-                "response": resp, "error": errs})
+                "response": resp, "error": errs, "deferral": pdf["deferral"].astype("int32"), "carried": pdf["carried"],
+                "made_at": pdf["made_at"]})
     return df.mapInPandas(run, CALL_SCHEMA)
 
 
@@ -177,7 +189,7 @@ def parse_calls(calls: DataFrame) -> DataFrame:
     filters on ``ok`` / ``n`` must not copy the parse into themselves."""
     j = fence(calls.select("*", J.repair_response("response").alias("json")))
     m = fence(j.select("*", J.parse_object("json").alias("__m")))
-    n = F.when(F.col("json").isNotNull(), F.coalesce(J.nonempty_count(F.col("__m")), F.lit(0)))
+    n = F.when(F.col("json").isNotNull(), F.coalesce(J.nonempty_count("__m"), F.lit(0)))
     err = F.coalesce(F.col("error"), F.when(F.col("json").isNull(), F.lit("Invalid JSON response")))
     cols = [c for c in calls.columns if c != "error"]
     return fence(m.select(*cols, err.alias("error"), "json", F.col("json").isNotNull().alias("ok"),
@@ -202,98 +214,58 @@ def read_attempts(spark, attempts_path: str) -> DataFrame:
     return spark.read.schema(CALL_SCHEMA + ", run string").parquet(attempts_path)
 
 
-def _append_calls(prompts: DataFrame, keys, attempts_path: str, run_id: str, client_factory, concurrency, tries, sleep):
+def _same_call(left: DataFrame, keys: DataFrame) -> Column:
+    return (left["cve_id"].eqNullSafe(keys["__id"]) & (left["attempt"] == keys["__a"])
+            & (left["call"] == keys["__c"]) & (F.coalesce(left["deferral"], F.lit(0)) == keys["__d"]))
+
+
+def _keys(df: DataFrame) -> DataFrame:
+    return df.select(F.col("cve_id").alias("__id"), F.col("attempt").alias("__a"), F.col("call").alias("__c"),
+                     F.coalesce("deferral", F.lit(0)).alias("__d"))
+
+
+def calls_of(due: DataFrame, calls: DataFrame) -> DataFrame:
+    """The recorded calls of the work that is due (calls of other ids stay in
+    the table but are not part of this run's outcome)."""
+    k = _keys(due)
+    return calls.join(k, _same_call(calls, k), "left_semi")
+
+
+def append_calls(prompts: DataFrame, keys, attempts_path: str, run_id: str, client_factory, concurrency, tries, sleep,
+                 now: Callable[[], float] = time.time, block_rows: int = BLOCK_ROWS, at_most: int | None = None) -> None:
     """Make the calls this run has not recorded yet and append them to the
-    attempts table.
+    attempts table, block by block.
 
     ``keys`` lists the ``(attempt, call)`` passes the prompts belong to; only
     those partitions are read for the "already called" anti-join. Another
-    run's calls don't count: what failed then is tried again now."""
+    run's calls don't count: what failed then is tried again now.
+
+    A block holds ``block_rows`` prompts of each of the ``concurrency`` tasks
+    and is one job: its answers are committed when all of them are in, and only
+    then the next block is called. ``at_most`` bounds the number of prompts, if
+    it is known: what fits one block isn't written first."""
     spark = prompts.sparkSession
     todo = prompts
     if path_exists(spark, attempts_path):
-        done = read_calls(spark, attempts_path, keys, run_id).select(
-            F.col("cve_id").alias("__id"), F.col("attempt").alias("__a"), F.col("call").alias("__c"))
-        cond = (prompts["cve_id"].eqNullSafe(done["__id"]) & (prompts["attempt"] == done["__a"])
-                & (prompts["call"] == done["__c"]))
-        todo = prompts.join(done, cond, "left_anti")
-    (infer(todo, client_factory, concurrency, tries, sleep).withColumn("run", F.lit(run_id)).write.mode("append")
-     .partitionBy("run", "call", "attempt").parquet(attempts_path))
-
-
-def run_ladder(records: DataFrame, attempts_path: str, client_factory, run_id: str = "run",
-               concurrency: int | None = None, tries: int = INNER_TRIES,
-               sleep: Callable[[float], None] = time.sleep,
-               max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """Extraction with quality gate and fallback ladder.
-
-    Attempt 1 uses the primary model; a success with at most one field
-    gets one enhancement call (fallback model, enhancement prompt), whose
-    answer is taken only when it has strictly more fields. Attempts 2..3
-    use the fallback model on the ids still failing. Returns the outcome
-    per record: ``cve_id, status, attempt, model_type, json, n, enhanced``.
-
-    ``records`` is read once: later passes take their ids and descriptions
-    from the failed calls stored in the attempts table. Calls are recorded
-    under ``run_id``: a run resumed under its id makes no call twice, a new
-    run tries again what failed before.
-    """
-    spark = records.sparkSession
-
-    def calls(a: int, call: str, ids: DataFrame) -> DataFrame:
-        """This run's recorded calls of one pass (earlier runs' calls for
-        other ids stay in the table but are not part of this outcome)."""
-        rec = read_calls(spark, attempts_path, [(a, call)], run_id)
-        k = ids.select(F.col("cve_id").alias("__id"))
-        rec = rec.join(k, rec["cve_id"].eqNullSafe(k["__id"]), "left_semi")
-        return parse_calls(rec)
-
-    def prompts(df: DataFrame, a: int, call: str, model: str, prompt: Column) -> DataFrame:
-        return df.select("cve_id", F.lit(a).alias("attempt"), F.lit(call).alias("call"),
-                         F.lit(model).alias("model"), "description", prompt.alias("prompt"))
-
-    # the records are written once (reliable checkpoint in the shared
-    # checkpoint folder): every pass and id filter reads that copy instead of
-    # re-running the preparation lineage
-    recs = records.select("cve_id", "description").checkpoint()
-    _append_calls(prompts(recs, 1, "extract", PRIMARY, build_prompt("description")), [(1, "extract")],
-                  attempts_path, run_id, client_factory, concurrency, tries, sleep)
-    first = calls(1, "extract", recs)
-    good = first.filter("ok").select("cve_id", "description", "json", "n")
-    gate = good.filter(F.col("n") <= 1)
-    # an answer that isn't an object is shown to the model as it is
-    current = F.coalesce(J.text_map_to_json(J.parse_object("json")), F.col("json"))
-    failing = first.filter(~F.col("ok")).select("cve_id", "description")
-    # the enhancement calls (attempt 1) and the first fallback attempt both
-    # depend only on attempt 1, so they share one model-call stage
-    second = prompts(gate, 1, "enhance", FALLBACK, build_enhance_prompt("description", current))
-    second_keys = [(1, "enhance")]
-    if max_attempts >= 2:
-        second = second.unionByName(prompts(failing, 2, "extract", FALLBACK, build_prompt("description")))
-        second_keys.append((2, "extract"))
-    _append_calls(second, second_keys, attempts_path, run_id, client_factory, concurrency, tries, sleep)
-    enh = calls(1, "enhance", gate).select("cve_id", F.col("json").alias("e_json"), F.col("n").alias("e_n"),
-                                           F.col("ok").alias("e_ok"))
-    g = good.join(enh, "cve_id", "left")
-    better = F.coalesce(F.col("e_ok") & (F.col("e_n") > F.col("n")), F.lit(False))
-    outcomes = g.select("cve_id", F.lit("success").alias("status"), F.lit(1).alias("attempt"),
-                        F.lit(PRIMARY).alias("model_type"),
-                        F.when(better, F.col("e_json")).otherwise(F.col("json")).alias("json"),
-                        F.when(better, F.col("e_n")).otherwise(F.col("n")).alias("n"),
-                        better.alias("enhanced"))
-    for a in range(2, max_attempts + 1):
-        if a > 2:
-            _append_calls(prompts(failing, a, "extract", FALLBACK, build_prompt("description")), [(a, "extract")],
-                          attempts_path, run_id, client_factory, concurrency, tries, sleep)
-        res = calls(a, "extract", failing)
-        outcomes = outcomes.unionByName(res.filter("ok").select(
-            "cve_id", F.lit("success").alias("status"), F.lit(a).alias("attempt"),
-            F.lit(FALLBACK).alias("model_type"), "json", "n", F.lit(False).alias("enhanced")))
-        failing = res.filter(~F.col("ok")).select("cve_id", "description")
-    failed = failing.select("cve_id", F.lit("failed").alias("status"), F.lit(None).cast("int").alias("attempt"),
-                            F.lit(None).cast("string").alias("model_type"), F.lit(None).cast("string").alias("json"),
-                            F.lit(None).cast("int").alias("n"), F.lit(False).alias("enhanced"))
-    return outcomes.unionByName(failed)
+        done = _keys(read_calls(spark, attempts_path, keys, run_id))
+        todo = prompts.join(done, _same_call(prompts, done), "left_anti")
+    tasks = concurrency or spark.sparkContext.defaultParallelism
+
+    def commit(block: DataFrame) -> None:
+        (infer(block, client_factory, concurrency, tries, sleep, now()).withColumn("run", F.lit(run_id)).write.mode("append")
+         .partitionBy("run", "call", "attempt").parquet(attempts_path))
+
+    if at_most is not None and at_most <= block_rows * tasks:
+        commit(todo)
+        return
+    # a row's place in its partition numbers its block
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    path = scratch_path(spark, "prompts")
+    todo.repartition(tasks).withColumn("block", F.floor(place / block_rows).cast("long")).write.partitionBy("block").parquet(path)
+    blocks = spark.read.schema(todo.schema.add("block", "long")).parquet(path)
+    for number in sorted(r["block"] for r in blocks.select("block").distinct().collect()):
+        # small files of a block would be read by one task: each task calls its share
+        commit(blocks.filter(F.col("block") == number).drop("block").repartition(tasks))
 
 
 def ladder_from_attempts(attempts: DataFrame) -> DataFrame:
@@ -332,14 +304,14 @@ def route_outcomes(attempts: DataFrame) -> DataFrame:
     winning answer), ``error`` (a failed call) and one ``failed`` row for
     ids that never succeeded.
 
-    One scan, one parse a call and one shuffle of (id, attempt, ok). Calls are
-    counted by (id, attempt, route) as they are read, so an id's array has at
-    most two entries an attempt, however often a call is repeated; the rows are
-    made again from the counts."""
+    One scan and one parse a call. Calls are counted by (id, attempt, route) as
+    they are read, before anything is shuffled, so an id with very many calls
+    sends one row a task and its array has at most two entries an attempt. The
+    rows are made again from the counts, in blocks that are dealt over all
+    tasks."""
     parsed = parse_calls(attempts.withColumn("call", F.lit("extract")))
     route = F.when(F.col("ok"), F.lit("success")).otherwise(F.lit("error")).alias("route")
-    # dealt by id, which serves both aggregates
-    calls = parsed.select("cve_id", "attempt", route).repartition("cve_id")
+    calls = parsed.select("cve_id", "attempt", route)
     g = calls.groupBy("cve_id", "attempt", "route").agg(F.count("*").alias("times")).groupBy("cve_id").agg(
         F.min(F.when(F.col("route") == "success", F.col("attempt"))).alias("win"),
         F.collect_list(F.struct("attempt", "route", "times")).alias("calls"))
@@ -349,40 +321,11 @@ def route_outcomes(attempts: DataFrame) -> DataFrame:
     r = g.select("cve_id", F.explode(rows).alias("r")).select("cve_id", "r.*")
     # blocks of ROWS_AT_ONCE rows, so no array holds all rows of a call
     r = r.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(times - 1) div {ROWS_AT_ONCE}"))).alias("block"))
+    r = r.repartition("cve_id", "attempt", "route", "block")
     size = F.least(F.lit(ROWS_AT_ONCE).cast("bigint"), F.col("times") - F.col("block") * ROWS_AT_ONCE).cast("int")
     return r.select("cve_id", "attempt", "route", F.explode(F.array_repeat(F.lit(1), size))).select("cve_id", "attempt", "route")
 
 
-def reprocess(insufficient: DataFrame, descriptions: DataFrame, attempts_path: str,
-              client_factory, run_id: str = "run", concurrency: int | None = None,
-              tries: int = INNER_TRIES, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """Enhance docs with at most one field: ``insufficient(cve_id,
-    current_count, content)`` joined to ``descriptions(cve_id,
-    description)``; one fallback call with the enhancement prompt; the
-    answer replaces the doc only when it has strictly more fields.
-    Output: ``cve_id, current_count, new_count, outcome, json``."""
-    spark = insufficient.sparkSession
-    d = descriptions.select("cve_id", "description")
-    j = insufficient.join(d, "cve_id", "left")
-    missing = j.filter(F.col("description").isNull()).select(
-        "cve_id", "current_count", F.lit(None).cast("int").alias("new_count"),
-        F.lit("failed").alias("outcome"), F.lit(None).cast("string").alias("json"))
-    have = j.filter(F.col("description").isNotNull())
-    prompts = have.select("cve_id", F.lit(0).alias("attempt"), F.lit("reprocess").alias("call"),
-                          F.lit(FALLBACK).alias("model"), "description",
-                          build_enhance_prompt("description", "content").alias("prompt"))
-    _append_calls(prompts, [(0, "reprocess")], attempts_path, run_id, client_factory, concurrency, tries, sleep)
-    calls = parse_calls(read_calls(spark, attempts_path, [(0, "reprocess")], run_id)
-                        .join(have.select("cve_id"), "cve_id", "left_semi"))
-    r = have.select("cve_id", "current_count").join(calls.select("cve_id", "ok", "n", "json"), "cve_id", "left")
-    outcome = (F.when(~F.coalesce(F.col("ok"), F.lit(False)), F.lit("failed"))
-               .when(F.col("n") > F.col("current_count"), F.lit("improved"))
-               .otherwise(F.lit("no_improvement")))
-    done = r.select("cve_id", "current_count", F.col("n").alias("new_count"), outcome.alias("outcome"),
-                    F.when(outcome == "improved", F.col("json")).alias("json"))
-    return done.unionByName(missing)
-
-
 def reprocess_stats(res: DataFrame) -> DataFrame:
     o = F.col("outcome")
     return res.agg(F.count_if(o == "improved").cast("bigint").alias("improved"),

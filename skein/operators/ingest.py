@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import text as T
-from skein.operators.layout import balance
+from skein.operators.layout import balance, fence
+from skein.session import scratch_path
 
 ID, DESC, STATE, REASON = "cve_id", "description", "state", "rejected_reason"
 
@@ -38,6 +39,60 @@ def incremental_anti(src: DataFrame, done: DataFrame | None, key: str = ID,
     return src.join(d, src[key].eqNullSafe(d["__done_key"]), "left_anti")
 
 
+FILTER_BITS = 1 << 27  # of a key filter: 16 MB, the most that is broadcast
+_WORD = 1 << 15        # bits in one bitmap row
+
+
+def _place(key, bits: int):
+    """A key's bit; a null key has its own."""
+    return F.pmod(F.xxhash64(key.cast("string"), key.isNull()), F.lit(bits))
+
+
+def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """A Bloom filter of a column as a table ``(word, map)`` of 4 kB bitmaps,
+    built by a partial aggregation: every task hands on one map a word. It has
+    at most ``bits`` / 32768 rows, whatever the number of keys."""
+    p = keys.select(_place(F.col(key), bits).alias("place"))
+    return p.groupBy(F.floor(F.col("place") / _WORD).alias("word")).agg(F.bitmap_construct_agg(F.col("place") % _WORD).alias("map"))
+
+
+def with_maybe(df: DataFrame, key: str, words: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``df`` with ``__maybe``: false where the filter proves that the key isn't
+    in it. The filter is broadcast, at most ``bits`` / 8 bytes."""
+    place = _place(F.col(key), bits)
+    w = words.select(F.col("word").alias("__word"), F.col("map").alias("__map"))
+    j = df.join(F.broadcast(w), F.floor(place / _WORD) == w["__word"], "left")
+    at = (place % _WORD).cast("int")
+    byte = F.conv(F.hex(F.substring("__map", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.floor(byte / F.pow(F.lit(2), at % 8)) % 2
+    return j.select(*[df[c] for c in df.columns], F.coalesce(bit == 1, F.lit(False)).alias("__maybe"))
+
+
+def incremental_anti_large(src: DataFrame, done: DataFrame | None, key: str = ID, done_key: str | None = None,
+                           bits: int = FILTER_BITS) -> DataFrame:
+    """``incremental_anti`` for a store above the broadcast threshold.
+
+    A filter of the source's keys goes to the store's tasks, and only the keys
+    it lets through are written out: the store is scanned, not shuffled. A
+    filter of those goes to the source's tasks: rows it rules out are surely new
+    and pass in place; only the others meet the written keys. Both filters err
+    on one side only, so the result is the same at any fill; the fuller they
+    are, the more rows are shuffled. The source is read three times: land it
+    first where reading it is dear."""
+    if done is None:
+        return src
+    spark = src.sparkSession
+    d = done.select(F.col(done_key or key).alias("__done_key"))
+    hits = with_maybe(d, "__done_key", key_filter(src, key, bits), bits).filter("__maybe").select("__done_key")
+    path = scratch_path(spark, "done-keys")
+    hits.write.parquet(path)
+    hits = spark.read.schema("__done_key " + d.schema[0].dataType.simpleString()).parquet(path)
+    flagged = with_maybe(src, key, key_filter(hits, "__done_key", bits), bits)
+    new = flagged.filter(~F.col("__maybe")).drop("__maybe")
+    rest = flagged.filter("__maybe").drop("__maybe")
+    return new.unionByName(rest.join(hits, rest[key].eqNullSafe(hits["__done_key"]), "left_anti"))
+
+
 def clean_and_filter(df: DataFrame) -> DataFrame:
     """Clean descriptions (markup, punctuation, non-ASCII, spaces, kernel
     traces) and drop blank or placeholder ones.
@@ -64,10 +119,10 @@ def records_to_process(src: DataFrame, done: DataFrame | None = None) -> DataFra
 def first_wins(df: DataFrame, key: str = ID, order: str = "ord") -> DataFrame:
     """Keep the first row per key in source order.
 
-    ``min(struct(order, ...))`` is a hash aggregate with a map-side partial
-    step, so a key holding a large share of the rows is reduced to one row
-    per task before the shuffle (a window would sort the whole hot group in
-    one task).
+    ``min(struct(order, ...))`` has a map-side partial step, so a key holding
+    a large share of the rows is reduced to one row per task before the
+    shuffle (a window would sort the whole hot group in one task). The buffer
+    holds texts, which makes it a sort aggregate.
     """
     others = [c for c in df.columns if c != key]
     packed = F.min(F.struct(F.col(order), *[F.col(c) for c in others if c != order]))
@@ -86,22 +141,19 @@ def insert_if_absent(new: DataFrame, target: DataFrame | None, key: str = ID,
 def processing_status(all_rows: DataFrame, already: DataFrame, to_process: DataFrame,
                       key: str = ID) -> DataFrame:
     """Status per source row: already_processed / to_be_processed /
-    filtered_out, in that precedence. Two left joins on distinct keys."""
+    filtered_out, in that precedence. Two left joins on distinct keys; texts
+    are cut and measured before them."""
     a = already.select(F.col(key).alias("__a")).distinct().withColumn("__in_a", F.lit(True))
     p = to_process.select(F.col(key).alias("__p")).distinct().withColumn("__in_p", F.lit(True))
-    j = (all_rows.join(a, all_rows[key] == a["__a"], "left")
-         .join(p, all_rows[key] == p["__p"], "left"))
+    extra = [c for c in (STATE, REASON, "ord") if c in all_rows.columns]
+    # a generated row: the joins can't pull the whole text above them again
+    short = fence(all_rows.select(F.col(key).alias(ID), T.truncate_200(all_rows[DESC]).alias(DESC),
+                                  T.text_length(all_rows[DESC]).alias("description_length"), *extra))
+    j = short.join(a, short[ID] == a["__a"], "left").join(p, short[ID] == p["__p"], "left")
     status = (F.when(F.col("__in_a"), F.lit("already_processed"))
               .when(F.col("__in_p"), F.lit("to_be_processed"))
               .otherwise(F.lit("filtered_out")))
-    extra = [c for c in (STATE, REASON) if c in all_rows.columns]
-    return j.select(
-        all_rows[key].alias(ID),
-        T.truncate_200(all_rows[DESC]).alias(DESC),
-        T.text_length(all_rows[DESC]).alias("description_length"),
-        status.alias("processing_status"),
-        *[all_rows[c] for c in extra],
-        *([all_rows["ord"]] if "ord" in all_rows.columns else []))
+    return j.select(ID, DESC, "description_length", status.alias("processing_status"), *extra)
 
 
 def processing_summary(status: DataFrame, store: DataFrame | None = None) -> DataFrame:
@@ -132,9 +184,11 @@ def processing_summary(status: DataFrame, store: DataFrame | None = None) -> Dat
 def description_lookup(ids: DataFrame, desc_docs: DataFrame, source: DataFrame,
                        key: str = ID) -> DataFrame:
     """Description per id: the staged description doc, else the cleaned
-    (markup/punctuation/ASCII/space steps only) first source row."""
+    (markup/punctuation/ASCII/space steps only) first source row. Source rows
+    of ids that aren't asked for leave before anything is made of their text."""
     d = desc_docs.select(F.col(key).alias("__k1"), F.col(DESC).alias("__doc"))
-    s = (first_wins(source.select(key, DESC, "ord"), key, "ord")
+    asked = source.select(key, DESC, "ord").join(ids.select(key), key, "left_semi")
+    s = (first_wins(asked, key, "ord")
          .select(F.col(key).alias("__k2"), T.clean_description(DESC).alias("__src")))
     j = ids.join(d, ids[key] == d["__k1"], "left").join(s, ids[key] == s["__k2"], "left")
     return j.select(ids[key].alias(ID), F.coalesce("__doc", "__src").alias(DESC),

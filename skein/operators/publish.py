@@ -40,6 +40,10 @@ def record_hash(c) -> Column:
     return F.sha2(F.coalesce(body, F.col(c) if isinstance(c, str) else c), 256)
 
 
+def _hashed(df: DataFrame, digest) -> DataFrame:
+    return df if "hash" in df.columns else df.withColumn("hash", digest("content"))
+
+
 def publish_actions(src: DataFrame, target: DataFrame, on_conflict: str = "skip", digest=content_hash) -> DataFrame:
     """Action per source doc ``(file_name, year, bucket, action)``:
     ``moved`` when the target has no doc under that path, ``deleted`` when
@@ -47,17 +51,22 @@ def publish_actions(src: DataFrame, target: DataFrame, on_conflict: str = "skip"
     existing doc wins) or ``overwritten`` when ``on_conflict='overwrite'``.
 
     One left join on the path key; both sides are reduced to
-    ``(name, hash)`` before the shuffle; ``digest`` makes the hash.
+    ``(name, hash)`` before the shuffle; ``digest`` makes the hash of
+    ``content`` where a side has no ``hash`` column yet (a manifest has one).
     """
-    s = with_layout(src).select("file_name", "year", "bucket",
-                                digest("content").alias("__src_hash"))
-    t = target.select(F.col("file_name").alias("__t_name"), digest("content").alias("__t_hash"))
+    return hashed_actions(src, target, on_conflict, digest).drop("hash")
+
+
+def hashed_actions(src: DataFrame, target: DataFrame, on_conflict: str = "skip", digest=content_hash) -> DataFrame:
+    """``publish_actions`` with each source doc's ``hash``."""
+    s = _hashed(with_layout(src), digest).select("file_name", "year", "bucket", F.col("hash"))
+    t = _hashed(target, digest).select(F.col("file_name").alias("__t_name"), F.col("hash").alias("__t_hash"))
     j = s.join(t, s["file_name"] == t["__t_name"], "left")
     conflict = F.lit(OVERWRITTEN if on_conflict == "overwrite" else SKIPPED)
     action = (F.when(F.col("__t_hash").isNull(), F.lit(MOVED))
-              .when(F.col("__t_hash") == F.col("__src_hash"), F.lit(DELETED))
+              .when(F.col("__t_hash") == F.col("hash"), F.lit(DELETED))
               .otherwise(conflict))
-    return j.select("file_name", "year", "bucket", action.alias("action"))
+    return j.select("file_name", "year", "bucket", action.alias("action"), "hash")
 
 
 def publish_stats(actions: DataFrame) -> DataFrame:

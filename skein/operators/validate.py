@@ -36,18 +36,16 @@ def classify(docs: DataFrame, key=None, size_col: str | None = None,
     dict cannot hold them, so this check is off by default).
     """
     key = key if key is not None else I.key_from_suffix("file_name")
-    base = balance(docs).select(
+    base = fence(balance(docs).select(
         key.alias("cve_id"), "file_name", "content",
         (F.col(size_col) if size_col else F.octet_length("content")).cast("bigint").alias("size"),
-        J.strict_ok("content").alias("__ok"))
-    parsed = base.withColumn("__m", F.when(F.col("__ok"), J.parse_object("content")))
-    if check_duplicates:
-        raw = F.map_keys(F.from_json("content", J.MAP_SCHEMA))
-        parsed = parsed.withColumn("__dup", F.when(F.col("__ok"), F.array_distinct(
-            F.filter(raw, lambda k: F.size(F.filter(raw, lambda x: x == k)) > 1))))
-    else:
-        parsed = parsed.withColumn("__dup", F.lit(None).cast("array<string>"))
-    parsed = fence(parsed)
+        J.strict_parse("content").alias("__p")))
+    ok = F.coalesce(J.strict_parse_ok(F.col("__p"), "content"), F.lit(False))
+    parsed = fence(base.select("cve_id", "file_name", "content", "size", "__p", ok.alias("__ok")))
+    one = F.col("__ok") & (F.size("__p") == 1)
+    dup = F.when(one, J.repeated_fields(F.col("__p"))) if check_duplicates else F.lit(None).cast("array<string>")
+    parsed = fence(parsed.select("cve_id", "file_name", "content", "size", "__ok",
+                                 F.when(one, J.strict_parse_object(F.col("__p"))).alias("__m"), dup.alias("__dup")))
     m = F.col("__m")
     nested = J.first_nested_key(m)
     error = (F.when(~F.col("__ok"), F.lit(ERR_INVALID))

@@ -126,6 +126,12 @@ def q_incremental_anti(spark, sf):
     return ingest.incremental_anti(src, fx(spark, sf, "f_store"))
 
 
+@register("incremental_anti_large", ORACLE["incremental_anti"])
+def q_incremental_anti_large(spark, sf):
+    src = fx(spark, sf, "f_source").select("ord", "cve_id")
+    return ingest.incremental_anti_large(src, fx(spark, sf, "f_store"))
+
+
 _FIRST_SQL = """first AS (SELECT cve_id, ord, description FROM (
   SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY ord) AS rn FROM f_source_dup) WHERE rn = 1)"""
 
@@ -284,6 +290,21 @@ def q_validation_summary(spark, sf):
     return V.validation_summary(_classified(spark, sf))
 
 
+@register("dup_fields", """
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'impact' WHEN 1 THEN 'vector,impact' ELSE '' END AS fields FROM documents""")
+def q_dup_fields(spark, sf):
+    """Fields that stand twice in an object, whole texts as their values."""
+    d = table(spark, sf, "documents").select(F.col("doc_id"), F.expr("to_json(struct(text AS vector))").alias("v"),
+                                             F.expr("to_json(struct(text AS impact))").alias("i"))
+    inner = lambda c: F.expr(f"substring({c}, 2, length({c}) - 2)")  # noqa: E731  an object's members
+    body = (F.when(F.col("doc_id") % 4 == 0, F.concat_ws(",", inner("i"), inner("v"), F.lit('"impact":"again"')))
+            .when(F.col("doc_id") % 4 == 1, F.concat_ws(",", inner("v"), inner("i"), F.lit('"vector":1'), F.lit('"impact":null')))
+            .otherwise(F.concat_ws(",", inner("v"), inner("i"))))
+    docs = d.select(F.col("doc_id").cast("string").alias("file_name"), F.concat(F.lit("{"), body, F.lit("}")).alias("content"))
+    got = V.classify(docs, key=F.col("file_name"), check_duplicates=True)
+    return got.select(F.col("cve_id").cast("bigint").alias("doc_id"), F.array_join(F.coalesce("duplicated_fields", F.array()), ",").alias("fields"))
+
+
 @register("issue_counts", _VD + """
 , k AS (SELECT 'error' AS kind FROM vd WHERE error IS NOT NULL
  UNION ALL SELECT 'extra_fields' FROM vd WHERE extra_fields <> ''
@@ -593,6 +614,7 @@ def q_to_json_record(spark, sf):
 # --------------------------------------------------------------- publish ---
 
 from skein.operators import publish as P  # noqa: E402
+from skein.operators import manifest as MF  # noqa: E402
 
 _PUB = D.with_fixtures(["f_staged", "f_target"], """
 ps AS (SELECT replace(file_name, '_keyphrases', '') AS file_name, content FROM f_staged
@@ -657,22 +679,26 @@ def q_read_json_store(spark, sf):
 SELECT 0::BIGINT AS moved, 0::BIGINT AS skipped, count(*)::BIGINT AS deleted, 0::BIGINT AS overwritten FROM env""")
 def q_republish_identical(spark, sf):
     """A second publish of the same records under another timestamp: every
-    record is recognised, none is written."""
+    record is recognised by the manifest, no document of the store is read."""
     m = M.merged(_merged_groups(spark, sf))
 
     def docs(stamp):
         r = M.record_json(m.withColumn("timestamp", F.lit(stamp)))
         return r.select(F.concat("cve_id", F.lit(".json")).alias("file_name"), F.col("json").alias("content"))
-    path = scratch_path(spark, "store")
+    path, names = scratch_path(spark, "store"), scratch_path(spark, "manifest")
     P.write_store(P.next_store(docs("first"), None).select("year", "bucket", F.col("content").alias("value")), path, fmt="text")
-    old = spark.read.text(path).select(F.concat(F.get_json_object("value", "$.cveId"), F.lit(".json")).alias("file_name"), F.col("value").alias("content"))
-    return P.publish_stats(P.publish_actions(docs("second"), old, "overwrite", P.record_hash))
+    stored = spark.read.text(path).select(F.get_json_object("value", "$.cveId").alias("cve_id"), "value")
+    MF.append(MF.of_documents(stored, P.record_hash), names, 1)
+    second = docs("second")
+    known = MF.current(MF.read_partitions(MF.read(spark, names), P.with_layout(second.select("file_name"))))
+    return P.publish_stats(P.publish_actions(second, known.select(F.concat("cve_id", F.lit(".json")).alias("file_name"), "hash"), "overwrite", P.record_hash))
 
 
 # ------------------------------------------------------------- inference ---
 
 from skein.operators import infer as N  # noqa: E402
-from skein.plans.stub import outage_factory, stub_factory  # noqa: E402
+from skein.operators import ladder as L  # noqa: E402
+from skein.plans.stub import LIMITED_HOURS, QUOTA_ERROR, StepClock, outage_factory, stub_factory  # noqa: E402
 
 
 def no_wait(_seconds: float) -> None:
@@ -700,7 +726,7 @@ def _records(spark, sf):
 
 def _ladder(spark, sf):
     path = scratch_path(spark, "attempts")
-    out = N.run_ladder(_records(spark, sf), path, stub_factory, sleep=no_wait)
+    out = L.run_ladder(_records(spark, sf), path, stub_factory, sleep=no_wait)
     return out, path
 
 
@@ -747,11 +773,24 @@ def q_ladder_resume(spark, sf):
     """A run during an outage, in which every call fails, and the next run on
     the same attempts table: it calls anew and has the usual outcome."""
     path, recs = scratch_path(spark, "attempts"), _records(spark, sf)
-    N.run_ladder(recs, path, outage_factory, run_id="outage", sleep=no_wait)
-    out = N.run_ladder(recs, path, stub_factory, run_id="next", sleep=no_wait)
+    L.run_ladder(recs, path, outage_factory, run_id="outage", sleep=no_wait)
+    out = L.run_ladder(recs, path, stub_factory, run_id="next", sleep=no_wait)
     return out.select("cve_id", "status", F.col("attempt").cast("bigint"), "model_type", F.col("n").cast("bigint"), "enhanced")
 
 
+@register("ladder_rate_limited", D.with_fixtures(["f_source", "f_store"], _LADDER) + f"""
+SELECT lad.cve_id, status, CAST(attempt AS BIGINT) AS attempt, model_type, CAST(n AS BIGINT) AS n, enhanced,
+ CAST(p1.L % {LIMITED_HOURS} + greatest(coalesce(e1.LE, 0) % {LIMITED_HOURS} - p1.L % {LIMITED_HOURS}, 0) AS BIGINT) AS put_off
+FROM lad JOIN p1 USING (cve_id) LEFT JOIN e1 USING (cve_id)""")
+def q_ladder_rate_limited(spark, sf):
+    """Calls that meet rate limits for some hours are put off and use up no
+    attempt: the outcome is that of a run without limits."""
+    path, clock = scratch_path(spark, "attempts"), StepClock()
+    out = L.run_ladder(_records(spark, sf), path, clock.quota_client, sleep=no_wait, clock=clock)
+    limited = N.read_attempts(spark, path).groupBy("cve_id").agg(F.max("run").alias("run"), F.count_if(F.col("error") == QUOTA_ERROR).alias("put_off"))
+    return out.join(limited, "cve_id").select("cve_id", "status", F.col("attempt").cast("bigint"), "model_type", F.col("n").cast("bigint"), "enhanced", "put_off")
+
+
 @register("enhance_gate", D.with_fixtures(["f_source", "f_store"], _LADDER) + """
 SELECT cve_id, CAST(n1 AS BIGINT) AS primary_n FROM e1""")
 def q_enhance_gate(spark, sf):
@@ -826,6 +865,19 @@ def q_run_stats(spark, sf):
     return N.run_stats(N.ladder_from_attempts(fx(spark, sf, "f_attempts")))
 
 
+@register("retry_table", D.with_fixtures(["f_source", "f_attempts"]) + f"""
+, ce AS (SELECT cve_id, attempt, error, CASE WHEN error IS NULL THEN NULL
+  WHEN strpos(error, {D.q(N.RATE_LIMIT_TEXT)}) > 0 OR strpos(lower(error), 'quota') > 0 THEN 'rate_limit'
+  WHEN strpos(lower(error), 'timeout') > 0 OR strpos(lower(error), 'connection') > 0 OR strpos(error, 'API call timed out') > 0 THEN 'timeout'
+  WHEN regexp_matches(error, '50[0234]') THEN 'server' ELSE 'other' END AS cls FROM f_attempts)
+SELECT cve_id, count(*) FILTER (cls IS DISTINCT FROM 'rate_limit') AS counted,
+ {", ".join(f"count(*) FILTER (cls = '{k}') AS n_{k}" for k in N.WAITS)},
+ (CASE arg_max(coalesce(cls, ''), attempt) {" ".join(f"WHEN '{k}' THEN {w}" for k, w in N.WAITS.items())} END)::BIGINT AS next_after_s
+FROM ce GROUP BY cve_id""")
+def q_retry_table(spark, sf):
+    return L.retry_table(fx(spark, sf, "f_attempts"))
+
+
 @register("latest_errors", D.with_fixtures(["f_source", "f_attempts"]) + """
 SELECT cve_id, attempt, model, error FROM (SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY attempt DESC) AS rn
  FROM f_attempts WHERE error IS NOT NULL) WHERE rn = 1""")
@@ -869,7 +921,7 @@ def _reprocess(spark, sf):
     ins = V.insufficient_docs(staged).select("cve_id", "current_count", "content")
     ids = ins.select("cve_id")
     desc = ingest.description_lookup(ids, fx(spark, sf, "f_descriptions"), fx(spark, sf, "f_source"))
-    res = N.reprocess(ins, desc.filter(F.col("description").isNotNull()), scratch_path(spark, "reprocess"),
+    res = L.reprocess(ins, desc.filter(F.col("description").isNotNull()), scratch_path(spark, "reprocess"),
                       stub_factory, sleep=no_wait)
     return staged, res
 
@@ -919,6 +971,14 @@ def q_read_csv_records(spark, sf):
     return S.read_csv_records(spark, path).select("cve_id", "description", "state", "rejected_reason")
 
 
+@register("read_csv_split", ORACLE["read_csv_records"])
+def q_read_csv_split(spark, sf):
+    """f_source as one CSV file whose fields hold newlines, read by many tasks."""
+    path = scratch_path(spark, "csv")
+    S.write_csv(fx(spark, sf, "f_source").select("cve_id", "description", "state", "rejected_reason").coalesce(1), path)
+    return S.read_csv_records(spark, path, multiline=S.SPLIT).select("cve_id", "description", "state", "rejected_reason")
+
+
 @register("staged_manifest", D.with_fixtures(["f_staged"])
           + "\nSELECT file_name, strlen(content)::BIGINT AS size, content FROM f_staged")
 def q_staged_manifest(spark, sf):

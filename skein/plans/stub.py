@@ -5,7 +5,10 @@ from __future__ import annotations
 import time
 
 from skein.functions import jsonx as J
-from skein.operators.infer import PRIMARY
+from skein.operators.infer import PRIMARY, RATE_LIMIT_TEXT
+
+QUOTA_ERROR = RATE_LIMIT_TEXT
+LIMITED_HOURS = 3
 
 
 class StubClient:
@@ -54,3 +57,34 @@ class OutageClient:
 
 def outage_factory():
     return OutageClient()
+
+
+class QuotaClient(StubClient):
+    """Answers a prompt of length ``n`` only from hour ``n % LIMITED_HOURS`` on."""
+
+    def __init__(self, now: float):
+        super().__init__()
+        self.now = now
+
+    def generate(self, prompt: str, model: str, timeout: float | None = None) -> str:
+        if self.now < 3600 * (len(prompt) % LIMITED_HOURS):
+            raise RuntimeError(QUOTA_ERROR)
+        return super().generate(prompt, model, timeout)
+
+
+class StepClock:
+    """A clock that stands still but for the waits asked of it; clients made
+    by it see its time."""
+
+    def __init__(self):
+        self.t, self.waits = 0.0, []
+
+    def now(self) -> float:
+        return self.t
+
+    def wait(self, seconds: float) -> None:
+        self.waits.append(seconds)
+        self.t += seconds
+
+    def quota_client(self) -> QuotaClient:
+        return QuotaClient(self.t)

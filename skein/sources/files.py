@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import ids as I
 from skein.session import path_exists
+from skein.sources.quoted import read_quoted
 
 # --- fixed values -----------------------------------------------------------
 # Field texts a pandas CSV reader turns into missing values by default.
@@ -33,27 +34,37 @@ def _na_to_null(df: DataFrame, cols) -> DataFrame:
                        if c in cols else F.col(c) for c in df.columns])
 
 
-def csv_reader(spark: SparkSession, profile: str = "standard", multiline: bool = True):
+# multiline: fields may hold newlines, and a file is read by many tasks all the same
+SPLIT = "split"
+
+
+def _quoting(profile: str) -> dict[str, str]:
+    return {"quote": '"', "escape": "\\" if profile == "legacy" else '"', "mode": "PERMISSIVE"}
+
+
+def csv_reader(spark: SparkSession, profile: str = "standard", multiline: bool | str = True):
     """``standard``: RFC-4180 quoting (doubled quotes), quoted newlines kept.
-    ``legacy``: every field quoted, backslash escapes. A file whose fields may
-    hold newlines can't be split; where they hold none, ``multiline=False``
-    lets Spark read a plain file in many tasks."""
-    r = (spark.read.option("header", True).option("multiLine", multiline)
-         .option("mode", "PERMISSIVE"))
-    if profile == "legacy":
-        return r.option("quote", '"').option("escape", "\\")
-    return r.option("quote", '"').option("escape", '"')
+    ``legacy``: every field quoted, backslash escapes. Spark's own reader can't
+    split a file whose fields may hold newlines; where they hold none,
+    ``multiline=False`` lets it read a plain file in many tasks, and
+    ``multiline=SPLIT`` does so with newlines (``read_csv_table``)."""
+    return spark.read.option("header", True).option("multiLine", bool(multiline)).options(**_quoting(profile))
 
 
-def read_csv_table(spark: SparkSession, path: str, profile: str = "standard", multiline: bool = True) -> DataFrame:
+def read_csv_table(spark: SparkSession, path: str, profile: str = "standard", multiline: bool | str = True) -> DataFrame:
     """All columns as strings, pandas NA words as null, plus ``ord``: the
     source order (file path, then row position within the file).
 
     ``ord`` is taken right after the scan, before any shuffle, where
     ``monotonically_increasing_id`` is stable; a gzip file is one split, so
-    callers spread the rows afterwards (``balance``)."""
+    callers spread the rows afterwards (``balance``). With ``multiline=SPLIT``
+    the byte ranges of a file are read by many tasks (``quoted``); ``row`` is
+    then the place in the file."""
     raw = csv_reader(spark, profile, multiline).csv(path)
     cols = raw.columns
+    if multiline == SPLIT:
+        t = read_quoted(spark, path, cols, _quoting(profile), profile)
+        return _na_to_null(t.select(*[F.col(f"`{c}`") for c in cols], F.struct("file", "row").alias(ORDER)), cols)
     with_ord = raw.select("*", F.struct(F.col("_metadata.file_path").alias("file"),
                                         F.monotonically_increasing_id().alias("row")).alias(ORDER))
     return _na_to_null(with_ord, cols)
@@ -122,7 +133,7 @@ def detect_columns(df: DataFrame, order: str = ORDER, sample: int | None = SAMPL
     return id_col, text_col
 
 
-def read_csv_records(spark: SparkSession, path: str, profile: str | None = None, multiline: bool = True) -> DataFrame:
+def read_csv_records(spark: SparkSession, path: str, profile: str | None = None, multiline: bool | str = True) -> DataFrame:
     """Source records ``(cve_id, description[, state, rejected_reason], ord)``.
 
     The standard profile with column detection is tried first; when reading

@@ -5,7 +5,9 @@ seen by earlier runs (the checkpoint remembers them) and stops when caught
 up. Each micro-batch prepares its records and appends to the sink only ids
 the sink does not hold yet, so an id is emitted once across runs and a
 replayed batch adds nothing. The state is the sink itself, not an
-unbounded ``dropDuplicates`` store.
+unbounded ``dropDuplicates`` store. The sink is laid out by the ids' year and
+thousand bucket, which makes its folders an index: a micro-batch lists and
+opens only the files that may hold its ids, however large the sink has grown.
 """
 
 from __future__ import annotations
@@ -14,27 +16,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from skein.operators import ingest
+from skein.functions import ids as I
+from skein.operators import ingest, manifest
 from skein.session import path_exists
 
 SOURCE_SCHEMA = StructType([
     StructField("ord", LongType()), StructField("cve_id", StringType()),
     StructField("description", StringType()), StructField("state", StringType()),
     StructField("rejected_reason", StringType())])
-SINK_SCHEMA = "cve_id string, ord long, description string"
+SINK_SCHEMA = "cve_id string, ord long, description string, year int, bucket string"
 
 
-def _seen_ids(spark: SparkSession, sink: str, batch: DataFrame) -> DataFrame | None:
-    """Sink ids that also occur in the micro-batch (null-safe).
+def by_id(df: DataFrame) -> DataFrame:
+    """Add the sink's partition of each id: its year and thousand bucket, both
+    null for an id of another form and for none."""
+    name = F.concat("cve_id", F.lit(".json"))
+    usual = I.publish_name_ok(name)
+    return df.select("*", F.when(usual, I.id_year(name)).alias("year"), F.when(usual, I.bucket(I.id_number(name))).alias("bucket"))
 
-    The sink grows with every run while a batch stays small, so the sink's
-    id column is semi-joined against the batch ids: when the batch side is
-    under the broadcast threshold (Catalyst measures it) the sink is
-    scanned without a shuffle, and the later anti-join only sees this small
+
+def read_sink(spark: SparkSession, sink: str) -> DataFrame:
+    return spark.read.schema(SINK_SCHEMA).parquet(sink)
+
+
+def seen_ids(spark: SparkSession, sink: str, batch: DataFrame) -> DataFrame | None:
+    """Sink ids that also occur in ``batch(cve_id, year, bucket)`` (null-safe).
+
+    The batch's partitions are named in a filter, so only their files are
+    opened. The ids in them are semi-joined against the batch ids: when the
+    batch side is under the broadcast threshold (Catalyst measures it) the
+    sink's ids are not shuffled, and the later anti-join only sees this small
     hit set. A large batch falls back to a sort-merge semi-join."""
     if not path_exists(spark, sink):
         return None
-    ids = spark.read.schema(SINK_SCHEMA).parquet(sink).select("cve_id")
+    ids = manifest.read_partitions(read_sink(spark, sink), batch).select("cve_id")
     b = batch.select(F.col("cve_id").alias("__b"))
     return ids.join(b, ids["cve_id"].eqNullSafe(b["__b"]), "left_semi")
 
@@ -42,10 +57,15 @@ def _seen_ids(spark: SparkSession, sink: str, batch: DataFrame) -> DataFrame | N
 def process_batch(batch: DataFrame, store: DataFrame | None, sink: str) -> None:
     """Prepare one micro-batch and append new ids (first row per id)."""
     spark = batch.sparkSession
-    todo = ingest.records_to_process(batch, store)
-    first = ingest.first_wins(todo.select("cve_id", "ord", "description"), "cve_id", "ord")
-    new = ingest.incremental_anti(first, _seen_ids(spark, sink, batch))
-    new.select("cve_id", "ord", "description").write.mode("append").parquet(sink)
+    batch = batch.persist()  # read for the batch's partitions, for its ids and for its rows
+    try:
+        todo = ingest.records_to_process(batch, store)
+        first = ingest.first_wins(todo.select("cve_id", "ord", "description"), "cve_id", "ord")
+        new = ingest.incremental_anti(first, seen_ids(spark, sink, by_id(batch.select("cve_id"))))
+        by_id(new.select("cve_id", "ord", "description")).hint("rebalance", "year", "bucket") \
+            .write.mode("append").partitionBy("year", "bucket").parquet(sink)
+    finally:
+        batch.unpersist()
 
 
 def run_incremental(spark: SparkSession, source_dir: str, sink: str, checkpoint: str,
@@ -62,4 +82,4 @@ def run_incremental(spark: SparkSession, source_dir: str, sink: str, checkpoint:
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    return spark.read.schema(SINK_SCHEMA).parquet(sink)
+    return read_sink(spark, sink).drop("year", "bucket")

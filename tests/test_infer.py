@@ -1,8 +1,13 @@
 """Inference job: stub ladder against a plain-Python model of the rules."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from skein.functions.jsonx import REQUIRED_FIELDS
 from skein.operators import infer as N
-from skein.plans.stub import StubClient, outage_factory, stub_factory
+from skein.operators import ladder as L
+from skein.plans.stub import StepClock, StubClient, outage_factory, stub_factory
 from skein.session import scratch_path
 
 
@@ -42,7 +47,7 @@ def _py_ladder(desc):
 def test_ladder_matches_python_model(spark):
     descs = [f"description {'x' * i}" for i in range(120)]
     recs = spark.createDataFrame([(f"CVE-2024-{i}", d) for i, d in enumerate(descs)], "cve_id string, description string")
-    out = N.run_ladder(recs, scratch_path(spark, "t-att"), stub_factory, sleep=lambda s: None)
+    out = L.run_ladder(recs, scratch_path(spark, "t-att"), stub_factory, sleep=lambda s: None)
     got = {r.cve_id: (r.status, r.attempt, r.n, r.enhanced) for r in out.collect()}
     want = {f"CVE-2024-{i}": _py_ladder(d) for i, d in enumerate(descs)}
     assert got == want
@@ -51,21 +56,21 @@ def test_ladder_matches_python_model(spark):
 def test_resume_skips_recorded_calls(spark):
     recs = spark.createDataFrame([("CVE-1", "abc"), ("CVE-2", "abcd")], "cve_id string, description string")
     path = scratch_path(spark, "t-resume")
-    N.run_ladder(recs, path, stub_factory, run_id="a", sleep=lambda s: None)
+    L.run_ladder(recs, path, stub_factory, run_id="a", sleep=lambda s: None)
     n1 = spark.read.parquet(path).count()
-    N.run_ladder(recs, path, stub_factory, run_id="a", sleep=lambda s: None)
+    L.run_ladder(recs, path, stub_factory, run_id="a", sleep=lambda s: None)
     assert spark.read.parquet(path).count() == n1  # nothing called twice
-    N.run_ladder(recs, path, stub_factory, run_id="b", sleep=lambda s: None)
+    L.run_ladder(recs, path, stub_factory, run_id="b", sleep=lambda s: None)
     assert spark.read.parquet(path).count() > n1  # another run calls anew
 
 
 def test_outage_then_recovery(spark):
     recs = spark.createDataFrame([(f"CVE-{i}", "abc" * i) for i in range(1, 12)], "cve_id string, description string")
     path = scratch_path(spark, "t-outage")
-    down = N.run_ladder(recs, path, outage_factory, run_id="down", sleep=lambda s: None).collect()
+    down = L.run_ladder(recs, path, outage_factory, run_id="down", sleep=lambda s: None).collect()
     assert {r.status for r in down} == {"failed"} and len(down) == 11
-    up = N.run_ladder(recs, path, stub_factory, run_id="up", sleep=lambda s: None).collect()
-    alone = N.run_ladder(recs, scratch_path(spark, "t-alone"), stub_factory, sleep=lambda s: None).collect()
+    up = L.run_ladder(recs, path, stub_factory, run_id="up", sleep=lambda s: None).collect()
+    alone = L.run_ladder(recs, scratch_path(spark, "t-alone"), stub_factory, sleep=lambda s: None).collect()
     assert sorted(up) == sorted(alone) and {"success"} <= {r.status for r in up}
 
 
@@ -76,7 +81,7 @@ def test_array_answers_are_enhanced(spark):
         def generate(self, prompt, model, timeout=None):
             return '{"rootcause":"r","weakness":"w"}' if "CURRENT KEYPHRASES" in prompt and "[1,2]" in prompt else "[1,2]"
     recs = spark.createDataFrame([("CVE-1", "abc")], "cve_id string, description string")
-    r = N.run_ladder(recs, scratch_path(spark, "t-array"), ArrayClient, sleep=lambda s: None).first()
+    r = L.run_ladder(recs, scratch_path(spark, "t-array"), ArrayClient, sleep=lambda s: None).first()
     assert (r.status, r.attempt, r.n, r.enhanced) == ("success", 1, 2, True)
 
 
@@ -130,3 +135,169 @@ def test_concat_chunks_many_blocks(spark):
     df = spark.createDataFrame(rows, "k int, p long, t string").repartition(5)
     r = N.concat_chunks(df, "k", "p", "t", block=100).first()
     assert r.n_chunks == 2501 and r.response == "".join(f"{i};" for i in range(2501))
+
+
+# ------------------------------------------------- put-off work, block commits
+
+# the clients below travel to the workers with their code
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class Limited:
+    """Rate-limits every prompt until ``now`` has reached its hour."""
+
+    def __init__(self, now, hours, answer):
+        self.now, self.hours, self.answer = now, hours, answer
+
+    def generate(self, prompt, model, timeout=None):
+        if self.now < 3600 * self.hours:
+            raise RuntimeError("429 Resource has been exhausted")
+        if isinstance(self.answer, Exception):
+            raise self.answer
+        return self.answer
+
+
+FULL = '{"rootcause":"r","weakness":"w"}'
+
+
+class _Now:
+    """Builds its client with the clock's time when the job is sent."""
+
+    def __init__(self, clock, hours, answer):
+        self.clock, self.hours, self.answer = clock, hours, answer
+
+    def __call__(self):
+        return Limited(self.clock.t, self.hours, self.answer)
+
+
+def test_rate_limits_use_up_no_attempt(spark):
+    clock, path = StepClock(), scratch_path(spark, "t-limit")
+    recs = spark.createDataFrame([("CVE-1", "abc"), ("CVE-2", "abcd")], "cve_id string, description string")
+    out = L.run_ladder(recs, path, _Now(clock, 5, FULL), sleep=lambda s: None, clock=clock).collect()
+    assert [(r.status, r.attempt, r.model_type, r.n) for r in out] == [("success", 1, "primary", 2)] * 2
+    log = N.read_attempts(spark, path)
+    assert sorted((r.cve_id, r.attempt, r.deferral, r.made_at) for r in log.collect()) == sorted(
+        (i, 1, d, 3600.0 * d) for i in ("CVE-1", "CVE-2") for d in range(6))
+    assert clock.waits == [3600.0] * 5
+    got = {r.cve_id: (r.counted, r.n_rate_limit, r.next_after_s) for r in L.retry_table(log).collect()}
+    assert got == {"CVE-1": (1, 5, None), "CVE-2": (1, 5, None)}
+
+
+def test_other_errors_use_up_attempts_and_wait(spark):
+    clock = StepClock()
+    recs = spark.createDataFrame([("CVE-1", "abc")], "cve_id string, description string")
+    path = scratch_path(spark, "t-wait")
+    out = L.run_ladder(recs, path, _Now(clock, 1, RuntimeError("weird")), sleep=lambda s: None, clock=clock).collect()
+    assert [(r.status, r.attempt) for r in out] == [("failed", None)]
+    assert clock.waits == [3600.0, 5.0, 5.0]
+    r = L.retry_table(N.read_attempts(spark, path)).first()
+    assert (r.counted, r.n_rate_limit, r.n_other, r.next_after_s) == (3, 1, 3, 5)
+
+
+def test_patience_ends_a_run_and_its_id_resumes_it(spark):
+    recs = spark.createDataFrame([("CVE-1", "abc"), (None, "no id")], "cve_id string, description string")
+    path, clock = scratch_path(spark, "t-patience"), StepClock()
+    out = L.run_ladder(recs, path, _Now(clock, 9, FULL), sleep=lambda s: None, clock=clock, patience_s=2 * 3600 + 100).collect()
+    assert [(r.status, r.attempt, r.enhanced) for r in out] == [("deferred", None, False)] * 2 and clock.t == 7200
+    before = N.read_attempts(spark, path).count()
+    clock.t = 9 * 3600
+    out = L.run_ladder(recs, path, _Now(clock, 9, FULL), sleep=lambda s: None, clock=clock).collect()
+    assert [(r.status, r.attempt) for r in out] == [("success", 1)] * 2
+    assert before == 6 and N.read_attempts(spark, path).count() == before + 2  # recorded calls were replayed
+
+
+def test_a_rate_limited_enhancement_is_put_off(spark):
+    class Enhancing:
+        def __init__(self, now):
+            self.now = now
+
+        def generate(self, prompt, model, timeout=None):
+            if "CURRENT KEYPHRASES" not in prompt:
+                return '{"rootcause":"r"}'
+            if self.now < 7200:
+                raise RuntimeError("Quota exceeded")
+            return FULL
+    clock = StepClock()
+
+    class Made:
+        def __init__(self, c):
+            self.c = c
+
+        def __call__(self):
+            return Enhancing(self.c.t)
+    recs = spark.createDataFrame([("CVE-1", "abc")], "cve_id string, description string")
+    r = L.run_ladder(recs, scratch_path(spark, "t-enh"), Made(clock), sleep=lambda s: None, clock=clock).first()
+    assert (r.status, r.attempt, r.n, r.enhanced, clock.t) == ("success", 1, 2, True, 7200)
+
+
+def test_reprocess_is_put_off_too(spark):
+    clock = StepClock()
+    ins = spark.createDataFrame([("CVE-1", 1, '{"rootcause":"r"}'), ("CVE-2", 0, "{}")], "cve_id string, current_count int, content string")
+    desc = spark.createDataFrame([("CVE-1", "abc")], "cve_id string, description string")
+    res = L.reprocess(ins, desc, scratch_path(spark, "t-rep"), _Now(clock, 3, FULL), sleep=lambda s: None, clock=clock)
+    assert sorted((r.cve_id, r.new_count, r.outcome) for r in res.collect()) == [("CVE-1", 2, "improved"), ("CVE-2", None, "failed")]
+    assert clock.waits == [3600.0] * 3
+
+
+class Dying:
+    """Notes every call in a file and kills its worker once, at one prompt."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def generate(self, prompt, model, timeout=None):
+        import os
+        import uuid
+        number = prompt.rsplit(" ", 1)[1]
+        open(f"{self.folder}/{number}-{uuid.uuid4().hex}", "w").close()
+        if number == "77" and not os.path.exists(f"{self.folder}/died"):
+            open(f"{self.folder}/died", "w").close()
+            os._exit(1)
+        return FULL
+
+
+def test_a_lost_worker_repeats_one_block_at_most(spark, tmp_dir):
+    import os
+
+    import pytest
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+    n, rows, tasks = 240, 10, 2
+    recs = spark.createDataFrame([(f"CVE-{i}", f"text {i}") for i in range(n)], "cve_id string, description string").coalesce(1)
+    path = scratch_path(spark, "t-dying")
+
+    def run():
+        return L.run_ladder(recs, path, lambda: Dying(tmp_dir), concurrency=tasks, sleep=lambda s: None, block_rows=rows).collect()
+
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        run()
+    made = len(os.listdir(tmp_dir)) - 1
+    kept = N.read_attempts(spark, path).count()
+    assert kept % (rows * tasks) == 0 and 0 < kept < n and made - kept <= rows * tasks
+    assert {r.status for r in run()} == {"success"}
+    calls = [f.split("-")[0] for f in os.listdir(tmp_dir) if f != "died"]
+    again = len(calls) - len(set(calls))
+    assert len(set(calls)) == n and 1 <= again <= rows * tasks
+    assert N.read_attempts(spark, path).count() == n
+
+
+def test_calls_in_flight_are_bounded(spark, tmp_dir):
+    class Counting:
+        def __init__(self, folder):
+            self.folder = folder
+
+        def generate(self, prompt, model, timeout=None):
+            import os
+            import time
+            import uuid
+            own = f"{self.folder}/{uuid.uuid4().hex}"
+            open(own, "w").close()
+            seen = len([f for f in os.listdir(self.folder) if not f.endswith("max")])
+            open(f"{self.folder}/{seen}.max", "w").close()
+            time.sleep(0.02)
+            os.remove(own)
+            return FULL
+    import os
+    recs = spark.createDataFrame([(f"CVE-{i}", "t") for i in range(40)], "cve_id string, description string").repartition(4)
+    L.run_ladder(recs, scratch_path(spark, "t-flight"), lambda: Counting(tmp_dir), concurrency=2, sleep=lambda s: None, block_rows=5).collect()
+    assert max(int(f.split(".")[0]) for f in os.listdir(tmp_dir)) <= 2

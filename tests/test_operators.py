@@ -121,7 +121,9 @@ def test_outcome_routing_reads_its_input_once(spark, tmp_dir):
     spark.createDataFrame(rows, "cve_id string, attempt int, model string, response string, error string").write.parquet(f"{tmp_dir}/a")
     out = infer.route_outcomes(spark.read.parquet(f"{tmp_dir}/a"))
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    # counts by call, counts by id, and the rebuilt rows are dealt out; the first sends counts, not calls
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 3
+    assert "partial_count" in plan[plan.rindex("Exchange"):]
     assert sorted((r.cve_id, r.attempt or 0, r.route) for r in out.collect()) == [
         ("a", 1, "error"), ("a", 2, "success"), ("b", 0, "failed"), ("b", 1, "error"), ("c", 1, "success")]
 
@@ -150,3 +152,46 @@ def test_balance_keeps_the_scan_unless_told(spark, tmp_dir):
         assert "Exchange" in balance(df)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset(SCAN_PARTITIONS)
+
+
+def test_large_store_anti_join_equals_the_plain_one(spark):
+    from skein.operators import ingest
+    src = spark.createDataFrame([(i, f"CVE-{i}" if i % 10 else None) for i in range(400)] + [(1000, "CVE-1")], "ord long, cve_id string").repartition(3)
+    done = spark.createDataFrame([(f"CVE-{i}",) for i in range(0, 3000, 3)], "k string").repartition(4)
+    with_null = done.unionByName(spark.createDataFrame([(None,)], "k string"))
+    for store in (done, with_null, done.limit(0)):
+        want = sorted(r.ord for r in ingest.incremental_anti(src, store, done_key="k").collect())
+        for bits in (1 << 27, 1 << 16, 1 << 15):  # the smaller ones let many keys through
+            got = ingest.incremental_anti_large(src, store, done_key="k", bits=bits)
+            assert got.columns == src.columns and sorted(r.ord for r in got.collect()) == want
+    assert ingest.incremental_anti_large(src, None) is src
+
+
+def test_large_store_anti_join_shuffles_only_matching_keys(spark):
+    from skein.operators import ingest
+    src = spark.createDataFrame([(i, f"CVE-{i}") for i in range(100)], "ord long, cve_id string")
+    done = spark.range(50, 50_000).selectExpr("concat('CVE-', id) AS k")
+    words = ingest.key_filter(src, "cve_id", 1 << 20)
+    assert words.count() <= 32
+    let_through = ingest.with_maybe(done, "k", words, 1 << 20).filter("__maybe")
+    assert 50 <= let_through.count() < 70
+    plan = let_through._jdf.queryExecution().executedPlan().toString()
+    store_side = plan[plan.index("Range"):] if "Range" in plan else ""
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(k" not in plan and store_side
+    assert sorted(r.ord for r in ingest.incremental_anti_large(src, done, done_key="k").collect()) == list(range(50))
+
+
+def test_status_and_lookup_move_no_long_text(spark):
+    from skein.operators import ingest
+    rows = spark.createDataFrame([(i, f"CVE-{i}", "long " * 100, None, None) for i in range(5)], "ord long, cve_id string, description string, state string, rejected_reason string")
+    ids = spark.createDataFrame([("CVE-1",)], "cve_id string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ingest.processing_status(rows, ids, ids)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Join") < plan.index("substring(description") if "substring(description" in plan else plan.index("Join") < plan.rindex("Generate")
+        look = ingest.description_lookup(ids, spark.createDataFrame([], "cve_id string, description string"), rows)
+        assert [(r.cve_id, r.found_in) for r in look.collect()] == [("CVE-1", "source")]
+        plan = look._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftSemi" in plan and plan.index("Aggregate") < plan.index("LeftSemi")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -163,3 +163,181 @@ def test_a_swap_that_was_cut_short_is_finished(spark, tmp_dir):
     PL._swap(spark, p.staged)
     assert [r.content for r in PL.read_staged(spark, p).collect()] == ["newer"]
     assert sorted(os.listdir(p.base)) == ["staged"]
+
+
+# ------------------------------------------------------------ manifest
+
+def merged_table(spark, p, docs, stamp):
+    rows = [(f"CVE-2024-{n}", text) for n, text in docs.items()]
+    for n, text in rows:
+        put(f"{p.base}/keyphrases/{n}_keyphrases.json", text)
+    PL.run_merge(spark, p, version=stamp)
+
+
+def stored(spark, p):
+    rows = spark.read.json(p.store).collect()
+    assert len(rows) == len({r.cveId for r in rows})  # nothing twice
+    return {r.cveId: r.keyphrases.impact for r in rows}
+
+
+def test_a_second_publish_reads_no_document(spark, tmp_dir, monkeypatch):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    merged_table(spark, p, {n: '{"impact":"i"}' for n in (1000, 1001, 5000)}, "1")
+    assert PL.run_publish(spark, p).first().moved == 3
+
+    def never(*_):
+        raise AssertionError("the store was read")
+    reader = PL.read_store
+    monkeypatch.setattr(PL, "settle_publish", lambda *_: None)
+    monkeypatch.setattr(PL, "read_store", never)
+    st = PL.run_publish(spark, p).first()
+    assert (st.moved, st.deleted) == (0, 3)
+    put(f"{p.base}/keyphrases/CVE-2024-7000_keyphrases.json", '{"impact":"new"}')
+    PL.run_merge(spark, p)
+    assert PL.run_publish(spark, p).first().moved == 1
+    monkeypatch.setattr(PL, "read_store", reader)
+    assert set(stored(spark, p)) == {f"CVE-2024-{n}" for n in (1000, 1001, 5000, 7000)}
+    assert sorted(r.cve_id for r in PL.published_ids(spark, p).collect()) == sorted(stored(spark, p))
+
+
+def test_a_publish_cut_off_before_the_manifest_is_made_good(spark, tmp_dir, monkeypatch):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    merged_table(spark, p, {n: '{"impact":"i"}' for n in (1000, 5000)}, "1")
+    append = PL.manifest.append
+    for docs, conflict in (({}, "skip"), ({1000: '{"impact":"changed"}', 1002: '{"impact":"n"}', 9000: '{"impact":"o"}'}, "overwrite")):
+        merged_table(spark, p, docs, "1")
+
+        def cut(*_):
+            raise RuntimeError("cut off")
+        monkeypatch.setattr(PL.manifest, "append", cut)
+        try:
+            PL.run_publish(spark, p, conflict)
+            raise AssertionError("not cut off")
+        except RuntimeError as e:
+            assert str(e) == "cut off"
+        monkeypatch.setattr(PL.manifest, "append", append)
+        st = PL.run_publish(spark, p, conflict).first()
+        assert (st.moved, st.overwritten, st.skipped) == (0, 0, 0)  # the store held it all
+    assert stored(spark, p) == {"CVE-2024-1000": "changed", "CVE-2024-1002": "n", "CVE-2024-5000": "i", "CVE-2024-9000": "o"}
+    assert not os.path.exists(p.publish_note)
+
+
+def test_a_replacement_cut_off_half_way_is_finished(spark, tmp_dir, monkeypatch):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    merged_table(spark, p, {n: '{"impact":"i"}' for n in (1000, 1001, 5000)}, "1")
+    PL.run_publish(spark, p)
+    merged_table(spark, p, {1000: '{"impact":"changed"}'}, "1")
+    write, calls = PL.publish.write_store, []
+
+    def cut(*args, **kw):
+        calls.append(args)
+        if len(calls) == 2:  # the new partitions are built, none is in place
+            raise RuntimeError("cut off")
+        write(*args, **kw)
+    monkeypatch.setattr(PL.publish, "write_store", cut)
+    try:
+        PL.run_publish(spark, p, "overwrite")
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(PL.publish, "write_store", write)
+    assert stored(spark, p)["CVE-2024-1000"] == "i"
+    assert PL.run_publish(spark, p, "overwrite").first().deleted == 3
+    assert stored(spark, p) == {"CVE-2024-1000": "changed", "CVE-2024-1001": "i", "CVE-2024-5000": "i"}
+
+
+def test_a_store_without_a_manifest_gets_one(spark, tmp_dir):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    merged_table(spark, p, {n: '{"impact":"i"}' for n in (1000, 5000)}, "1")
+    PL.run_publish(spark, p)
+    import shutil
+    shutil.move(p.store_manifest, f"{tmp_dir}/away")
+    st = PL.run_publish(spark, p).first()
+    assert (st.moved, st.deleted) == (0, 2) and len(stored(spark, p)) == 2
+
+
+# ------------------------------------------------------------- journal
+
+class Stopped(Exception):
+    pass
+
+
+def stop_after_every_step(spark, p, monkeypatch, mode, **kw):
+    """Runs a mode, cutting it off after each step and starting it again."""
+    enter, steps = PL.Journal.enter, []
+
+    def cut(self, step):
+        enter(self, step)
+        steps.append(step)
+        raise Stopped
+    monkeypatch.setattr(PL.Journal, "enter", cut)
+    for _ in range(20):
+        try:
+            out = PL.run_pipeline(spark, p, mode=mode, sleep=quiet, run_id="r1", **kw)
+            break
+        except Stopped:
+            pass
+    monkeypatch.setattr(PL.Journal, "enter", enter)
+    return out, steps
+
+
+def test_a_run_cut_off_after_every_step_goes_on(spark, tmp_dir, monkeypatch):
+    texts = [(f"CVE-2024-{1000 + i}", "some text " + "y" * i) for i in range(24)]
+    whole, cut = PL.Paths(base=f"{tmp_dir}/whole"), PL.Paths(base=f"{tmp_dir}/cut")
+    for p in (whole, cut):
+        S.write_csv(spark.createDataFrame(texts, "cve_id string, description string"), p.src())
+    want = PL.run_pipeline(spark, whole, stub_factory, sleep=quiet)
+    got, steps = stop_after_every_step(spark, cut, monkeypatch, "incremental", client_factory=stub_factory)
+    assert steps == ["extract.prepare", "extract.descriptions", "extract.calls", "extract.stage", "extract.reports",
+                     "validate.classify", "validate.split", "validate.swap", "validate.reports", "validate.missing", "merge", "publish"]
+    for k in ("extract", "merge", "publish"):
+        assert got[k].collect() == want[k].collect()
+    assert got["validate"]["summary"].collect() == want["validate"]["summary"].collect()
+    for name in ("invalid", "staged", "descriptions"):
+        a, b = (sorted(map(str, spark.read.parquet(getattr(p, name)).collect())) for p in (whole, cut))
+        assert a == b and (a or name == "invalid")
+    docs = [sorted((r.cveId, str(r.keyphrases)) for r in spark.read.json(p.store).collect()) for p in (whole, cut)]
+    assert docs[0] == docs[1] and docs[0]
+    # the finished run, started again, does nothing; another run finds all done
+    before = files(cut.base)
+    PL.run_pipeline(spark, cut, stub_factory, sleep=quiet, run_id="r1")
+    assert files(cut.base) == before
+
+
+def test_validate_and_merge_modes_alone_go_on_too(spark, tmp_dir, monkeypatch):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    docs = [("CVE-2024-1000_keyphrases.json", '{"rootcause":"r","weakness":"w","impact":"i","vector":"","attacker":"","product":"","version":"","component":""}'),
+            ("CVE-2024-1001_keyphrases.json", "{bad")]
+    spark.createDataFrame(docs, "file_name string, content string").write.parquet(p.staged)
+    out, steps = stop_after_every_step(spark, p, monkeypatch, "validate")
+    assert steps == ["validate.classify", "validate.split", "validate.swap", "validate.reports", "validate.missing"]
+    assert [r.file_name for r in spark.read.parquet(p.staged).collect()] == [docs[0][0]]
+    assert [r.file_name for r in spark.read.parquet(p.invalid).collect()] == [docs[1][0]]
+    assert (out["validate"]["summary"].first().valid, out["validate"]["summary"].first().invalid) == (1, 1) and set(out) == {"validate"}
+    out, steps = stop_after_every_step(spark, p, monkeypatch, "merge")
+    assert steps == ["merge", "publish"] and set(out) == {"merge", "publish"}
+    assert (out["merge"].first().processed, out["publish"].first().moved) == (1, 1)
+    assert [r.cveId for r in spark.read.json(p.store).collect()] == ["CVE-2024-1000"]
+
+
+def test_a_mode_or_run_id_that_is_none(spark, tmp_dir):
+    import pytest
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    with pytest.raises(ValueError):
+        PL.run_pipeline(spark, p, mode="everything")
+    with pytest.raises(ValueError):
+        PL.run_pipeline(spark, p, mode="merge", run_id="../x")
+
+
+def test_repair_mode_signals_failed_documents(spark, tmp_dir):
+    import pytest
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    docs = [("CVE-2024-1000_keyphrases.json", '{"impact":["a","b"]}'), ("CVE-2024-1001_keyphrases.json", "{bad")]
+    df = spark.createDataFrame(docs, "file_name string, content string")
+    df.write.parquet(p.invalid)
+    assert PL.run_repair(spark, p).first().exit_code == 1
+    with pytest.raises(PL.DocsFailed) as e:
+        PL.run_repair(spark, p, fail_on_error=True)
+    assert (e.value.stats.failed, e.value.stats.processed) == (1, 2)
+    assert [r.cve_id for r in spark.read.option("header", True).csv(p.report("repair_failed")).collect()] == ["CVE-2024-1001"]
+    df.limit(1).write.mode("overwrite").parquet(p.invalid)
+    assert PL.run_repair(spark, p, fail_on_error=True).first().exit_code == 0

@@ -117,3 +117,72 @@ def test_store_paths_start_below_the_base(spark, tmp_dir):
 
 def test_stage_docs_of_an_absent_folder(spark, tmp_dir):
     assert S.read_stage_docs(spark, f"{tmp_dir}/none").collect() == []
+
+
+# ----------------------------------------------- quoted newlines, many tasks
+
+def _odd_text(rng, profile):
+    pieces = ["a", "b c", ",", "\n", "\n\n", "x" * 30, "ü", " ", "\r\n" if profile == "standard" else ";", ',"', '",', "'"]
+    t = "".join(rng.choice(pieces) for _ in range(rng.randrange(12)))
+    return t if profile == "standard" else t.replace("\r", "")
+
+
+def _quoted(t, profile):
+    return '"' + (t.replace('"', '""') if profile == "standard" else t.replace("\\", "\\\\").replace('"', '\\"')) + '"'
+
+
+@pytest.mark.parametrize("profile", ["standard", "legacy"])
+def test_quoted_newlines_are_read_by_many_tasks(spark, tmp_dir, profile):
+    import random
+    rng = random.Random(profile)
+    rows = [(f"CVE-2024-{i}", _odd_text(rng, profile)) for i in range(3000)]
+    rows[700] = ("CVE-2024-700", "lines\n" * 4000)  # one field over several ranges
+    lines = [f"{_quoted(a, profile) if profile == 'legacy' or rng.random() < .5 else a},{_quoted(b, profile)}" for a, b in rows]
+    _write(f"{tmp_dir}/q/a.csv", '"CVE","Description"\n' + "\n".join(lines) + "\n")
+    _write(f"{tmp_dir}/q/b.csv", '"CVE","Description"\n"CVE-2025-1","no newline at the end"')
+    _write(f"{tmp_dir}/q/c.csv", "")
+    whole = S.read_csv_records(spark, f"{tmp_dir}/q", profile=profile).orderBy("ord").collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = S.read_csv_records(spark, f"{tmp_dir}/q", profile=profile, multiline=S.SPLIT)
+        assert df.rdd.getNumPartitions() > 10
+        split = df.orderBy("ord").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r[:2] for r in split] == [r[:2] for r in whole]
+    got = [(r.cve_id, r.description) for r in split if r.cve_id != "CVE-2025-1"]
+    na = lambda t: None if t in S.NA_WORDS else t
+    assert got == [(a, na(b)) for a, b in rows] or profile == "standard" and [(a, (b or "").replace("\r\n", "\n")) for a, b in got] == [
+        (a, (na(b.replace("\r\n", "\n")) or "")) for a, b in rows]
+
+
+def test_line_states():
+    from skein.sources.quoted import ends_inside as e
+    assert not e("a,b", False) and e("a,b", True)
+    assert e('a,"b', False) and not e('b",c', True) and e('b"",c', True) and not e('b""",c', True)
+    assert not e('5" pipe,x', False) and not e('"a ""q"" b",c', False) and e('","', True)
+    assert e('a","b', True) and not e('"",""', False) and e('"",""', True)
+    assert e('say \\"', True, "legacy") and not e('say \\\\"', True, "legacy") and e('"a\\",b', False, "legacy")
+
+
+def test_a_file_split_anew_is_not_misread(spark, tmp_dir):
+    _write(f"{tmp_dir}/s/a.csv", "cveId,description\n" + "".join(f'CVE-2024-{i},"x\n{"y" * 40}"\n' for i in range(500)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = S.read_csv_table(spark, f"{tmp_dir}/s", multiline=S.SPLIT)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5k")
+        with pytest.raises(Exception, match="split anew"):
+            df.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_split_reader_on_gzip_and_header_only(spark, tmp_dir):
+    _write(f"{tmp_dir}/g/a.csv.gz", 'id,summary\nCVE-2024-9,"two\nlines"\n\n', gz=True)
+    assert [(r.cve_id, r.description) for r in S.read_csv_records(spark, f"{tmp_dir}/g", multiline=S.SPLIT).collect()] == [("CVE-2024-9", "two\nlines")]
+    _write(f"{tmp_dir}/h/a.csv", "id,summary\n")
+    assert S.read_csv_records(spark, f"{tmp_dir}/h", multiline=S.SPLIT).collect() == []
