@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from skein.session import scratch_path
 
@@ -56,9 +57,10 @@ def identity_groups() -> list[list[bytes]]:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
-    """(text, y) of at most ``limit`` labelled training documents. The sample
-    is drawn from the labels, by a hash of the id, before texts are touched:
-    with that bound it is broadcast and no text is shuffled."""
+    """(text, y) of the training documents under at most ``limit`` labelled
+    ids. The ids are drawn by a hash before texts are touched: with that bound
+    they are broadcast and no text is shuffled. Rows that repeat an id all
+    count; they stay in a table and are read by many tasks."""
     lab = (labels.select(F.col("doc_id").cast("long").alias("lab_id"), F.col(f"`{label}`").cast("int").alias("y"))
            .where((split_remainder("lab_id", HELD_MOD) != HELD) & F.col("y").isin(0, 1)))
     # a doc labelled twice: the larger label
@@ -97,13 +99,18 @@ def choose_words(rows: DataFrame, size: int = MAX_WORDS) -> list[bytes]:
     return [bytes(r["word"]) for r in top.collect()]
 
 
-def _features(rows: DataFrame, vocab: dict[bytes, int]) -> tuple[list[list[int]], np.ndarray]:
-    """The known words and the label of each sampled row, in a fixed order."""
+def _features(rows: DataFrame, vocab: dict[bytes, int], limit: int) -> tuple[list[list[int]], np.ndarray]:
+    """The known words and the label of at most ``limit`` sampled rows, in a
+    fixed order. An id that stands on many documents may give more: of all, the
+    rows with the smallest text hashes are taken."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sorted(vocab[w] for w in words_of(t) & vocab.keys()) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), b.column(1)], ["at", "y"])
-    got = sorted((list(r["at"]), r["y"]) for r in rows.mapInArrow(run, "at array<int>, y int").collect())
+            texts = b.column(0).to_pylist()
+            found = [sorted(vocab[w] for w in words_of(t) & vocab.keys()) for t in texts]
+            order = [xxh3_64_intdigest(t or b"") >> 1 for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(order, pa.int64()), pa.array(found, pa.list_(pa.int32())), b.column(1)], ["h", "at", "y"])
+    got = rows.mapInArrow(run, "h long, at array<int>, y int").orderBy("h", "y", "at").limit(limit).collect()
+    got = sorted((list(r["at"]), r["y"]) for r in got)
     return [x for x, _ in got], np.array([y for _, y in got], float)
 
 
@@ -153,14 +160,17 @@ def fit(rows: list[list[int]], y: np.ndarray, groups: list[list[int]], size: int
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = MAX_ROWS) -> dict:
     """{word: weight} and the bias under the key b''. Null ids and labels
     other than 0 and 1 are left out; without labels of both kinds every score
-    is the bias alone (0.5 without any)."""
+    is the bias alone (0.5 without any). Weights are fitted on at most
+    ``limit`` rows; the word counts that choose the words cover every row under
+    the drawn ids, however often an id is repeated. Whole texts are read, and of
+    ``docs`` and ``labels`` only the id, text and label columns."""
     prepare(docs.sparkSession)
     rows = _labelled(docs, labels, label, limit)
     groups = identity_groups()
     chosen = choose_words(rows)
     names = list(dict.fromkeys([w for g in groups for w in g] + chosen))
     vocab = {w: k for k, w in enumerate(names)}
-    at, y = _features(rows, vocab)
+    at, y = _features(rows, vocab, limit)
     w, b = fit(at, y, [[vocab[x] for x in g] for g in groups], len(names))
     return {**{n: float(x) for n, x in zip(names, w)}, b"": b}
 
@@ -169,8 +179,9 @@ def score_texts(docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row; the model has at most
     MAX_WORDS words and the identity terms, so it travels with the tasks.
 
-    Null, empty and word-less texts score as the bias alone says. Repeated
-    rows and null ids stay; an empty table gives none."""
+    Null, empty and word-less texts score as the bias alone says. A score
+    counts each word of the whole text once, however long it is. Repeated rows
+    and null ids stay; other columns are not read; an empty table gives none."""
     prepare(docs.sparkSession)
     bias = model[b""]
     weights = {w: x for w, x in model.items() if w and x}

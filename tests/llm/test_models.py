@@ -101,6 +101,41 @@ def test_toxicity_holds_out_and_spares_groups(spark):
     assert abs(tied[vocab[b"muslim"]]) < abs(free[vocab[b"muslim"]])
 
 
+def test_toxicity_equals_brute_force(spark):
+    """Chosen words, features and scores against plain loops."""
+    docs, labels = toxic_corpus(n=300, seed=5)
+    d = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, y string, lab_id int").repartition(3)
+    l = spark.createDataFrame([(*r, "z") for r in labels], "doc_id long, quality int, toxic int, text string")
+    model = toxicity.train(d, l)
+    lab = {i: t for i, _, t in labels if zlib.crc32(str(i).encode()) % toxicity.HELD_MOD != toxicity.HELD}
+    rows = [(toxicity.words_of(t.encode()), lab[i]) for i, t in docs if i in lab]
+    n, pos = len(rows), sum(y for _, y in rows)
+    count, bad = {}, {}
+    for w, y in rows:
+        for x in w:
+            count[x] = count.get(x, 0) + 1
+            bad[x] = bad.get(x, 0) + y
+    chi = {w: (bad[w] * n - c * pos) ** 2 / (c * (n - c + 1) * pos * (n - pos)) for w, c in count.items() if c >= toxicity.MIN_ROWS}
+    chosen = sorted(chi, key=lambda w: (-chi[w], w))[:toxicity.MAX_WORDS]
+    groups = toxicity.identity_groups()
+    names = list(dict.fromkeys([w for g in groups for w in g] + chosen))
+    vocab = {w: k for k, w in enumerate(names)}
+    at = sorted((sorted(vocab[w] for w in ws if w in vocab), y) for ws, y in rows)
+    w, b = toxicity.fit([a for a, _ in at], np.array([y for _, y in at], float), [[vocab[x] for x in g] for g in groups], len(names))
+    assert model == {**{x: float(v) for x, v in zip(names, w)}, b"": b}
+    for r in toxicity.score_texts(d, model).collect():
+        z = b + sum(model.get(x, 0.0) for x in toxicity.words_of(dict(docs)[r.doc_id].encode()) if x)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30)))) and r.predicted == (r.score >= 0.5)
+
+
+def test_toxicity_sample_is_bounded_when_an_id_is_repeated(spark):
+    docs = spark.createDataFrame([(1, f"word{k % 7} text {k}") for k in range(500)] + [(2, "calm words")], "doc_id long, text string")
+    rows = toxicity._labelled(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"), "toxic", 10)
+    at, y = toxicity._features(rows, {b"text": 0}, 10)
+    assert len(at) == len(y) == 10
+    assert rows.count() >= 500
+
+
 def test_toxicity_edges(spark):
     d = spark.createDataFrame([(1, None), (2, ""), (2, ""), (None, "x"), (4, "y " * 100_000)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
