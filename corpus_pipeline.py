@@ -29,15 +29,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id (none is
     the largest) and, of several texts with that id, the smallest text hash; a
-    text without words has no group and stays. Repeated rows stay once."""
+    text without words has no group and stays. Rows that repeat an id and its
+    text stay once, with the smallest (lang, source, n_chars), nulls first.
+    Extra columns leave. Only texts of repeated rows are shuffled."""
     docs = docs.select(*COLUMNS)
     text_key = F.xxhash64(as_bytes("text"))
     found = neardup.near_duplicates(docs, text_key=text_key).where("kept")
     # the kept rows of a group all have its smallest id
     first = found.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min("doc_id").alias("stay_id"), F.min("text_key").alias("stay_key"))
-    keep = first.select("stay_id", "stay_key").union(found.where("group_key IS NULL").select("doc_id", "text_key")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("stay_id")) & (text_key == F.col("stay_key"))
-    return docs.join(keep, same, "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    keep = first.select("stay_id", "stay_key").union(found.where("group_key IS NULL").select("doc_id", "text_key"))
+    # landed: its size is known when the texts meet it
+    root = scratch_path(spark, "near-dedup")
+    counts = docs.groupBy(F.col("doc_id").cast("long").alias("id"), text_key.alias("key")).agg((F.count("*") > 1).alias("repeated")).where("repeated")
+    keep.distinct().write.parquet(f"{root}/keep")
+    counts.select("id", "key").write.parquet(f"{root}/repeated")
+    keep = spark.read.schema("stay_id long, stay_key long").parquet(f"{root}/keep")
+    repeated = spark.read.schema("id long, key long").parquet(f"{root}/repeated")
+    kept = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("stay_id")) & (text_key == F.col("stay_key")), "left_semi")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("id")) & (text_key == F.col("key"))
+    least = kept.join(repeated, same, "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*COLUMNS[2:])).alias("r"))
+    return kept.join(repeated, same, "left_anti").select(*COLUMNS).unionByName(least.select("doc_id", "text", "r.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
