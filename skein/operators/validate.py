@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from skein.functions import ids as I
 from skein.functions import jsonx as J
+from skein.operators.ingest import key_filter, with_maybe
 from skein.operators.layout import balance, fence
+from skein.session import scratch_path
 
 # --- fixed values -----------------------------------------------------------
 ERR_INVALID = "Invalid JSON"
@@ -127,16 +129,24 @@ def quarantine_split(v: DataFrame) -> tuple[DataFrame, DataFrame]:
 def duplicate_groups(df: DataFrame, key: str, content: str | None = None, hash_col: str | None = None) -> DataFrame:
     """Rows whose content occurs more than once: ``(content_hash, key, n_copies)``.
 
-    Counting is a hash aggregate with map-side partial counts, so a hash
-    shared by a large share of the rows costs one row per task in the
-    shuffle. Members are listed one row each (no per-group array), and the
-    join back to the counts is split by AQE's skew-join handling when one
-    hash dominates a partition. ``hash_col`` takes a hash that is there already.
+    The texts are scanned once, for their hashes, which are landed. Counting is
+    a hash aggregate with map-side partial counts, so a hash shared by a large
+    share of the rows costs one row per task in the shuffle. A filter of the
+    repeated hashes then goes to the landed rows: a row that occurs once is ruled
+    out in place, and only the others meet the counts, in a join that AQE splits
+    when one hash dominates. Members are listed one row each (no per-group
+    array). ``hash_col`` takes a hash that is there already.
     """
+    spark = df.sparkSession
     h = df.select(F.col(key), (F.col(hash_col) if hash_col else F.md5(F.col(content))).alias("content_hash"))
-    counts = (h.groupBy("content_hash").agg(F.count(F.lit(1)).alias("n_copies"))
-              .filter(F.col("n_copies") > 1))
-    return h.join(counts, "content_hash").select(
+    path = scratch_path(spark, "hashes")
+    h.write.parquet(f"{path}/all")
+    h = spark.read.schema(h.schema).parquet(f"{path}/all")
+    counts = h.groupBy("content_hash").agg(F.count(F.lit(1)).alias("n_copies")).filter(F.col("n_copies") > 1)
+    counts.write.parquet(f"{path}/repeated")
+    counts = spark.read.schema(counts.schema).parquet(f"{path}/repeated")
+    maybe = with_maybe(h, "content_hash", key_filter(counts, "content_hash")).filter("__maybe").drop("__maybe")
+    return maybe.join(counts, "content_hash").select(
         "content_hash", key, F.col("n_copies").cast("bigint").alias("n_copies"))
 
 

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -109,7 +110,42 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+_MADE: list[str] = []  # scratch paths of this process that no scope has cleared
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder. It stays until
+    the scope that it was made in ends (``scratch_scope``) or ``clear_scratch``
+    is called: a lazy result may still read it."""
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a table this process wrote; an absent one is no error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the scratch tables made inside, when what was made from them is
+    written elsewhere. Only paths that this process made are touched."""
+    mark = len(_MADE)
+    try:
+        yield
+    finally:
+        done = _MADE[mark:]
+        del _MADE[mark:]
+        for path in done:
+            delete_path(spark, path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete all scratch tables that this process made; their number."""
+    done = list(_MADE)
+    _MADE.clear()
+    for path in done:
+        delete_path(spark, path)
+    return len(done)

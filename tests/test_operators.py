@@ -195,3 +195,15 @@ def test_status_and_lookup_move_no_long_text(spark):
         assert "LeftSemi" in plan and plan.index("Aggregate") < plan.index("LeftSemi")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_duplicate_groups_scan_texts_once_and_rule_out_singles(spark, tmp_dir):
+    from skein.operators import validate as V
+    rows = [(i, f"text {i}") for i in range(300)] + [(1000 + i, "hot text") for i in range(150)] + [(2000, "text 7"), (2001, None), (2002, None), (2003, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = V.duplicate_groups(docs, "doc_id", "text")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan.replace("content_hash", "")  # only the landed hashes are read
+    out = {(r.doc_id, r.n_copies) for r in got.collect()}
+    assert out == {(1000 + i, 150) for i in range(150)} | {(7, 2), (2000, 2)}
+    assert V.duplicate_groups(docs.limit(0), "doc_id", "text").collect() == []
