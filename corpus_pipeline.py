@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from skein.llm import decontam, langid, neardup, secrets, spbpe
 from skein.llm.common import as_bytes, prepare, table
 from skein.llm.queries import model_path
-from skein.session import scratch_path
+from skein.session import delete_path, scratch_path, scratch_scope
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -80,11 +80,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Each stage's own scratch tables, and the table it
+    read, are deleted when it is written."""
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
     root = scratch_path(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(f"{root}/{k}")
+        with scratch_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(f"{root}/{k}")
+        if k:
+            delete_path(spark, f"{root}/{k - 1}")
         docs = spark.read.schema(out.schema).parquet(f"{root}/{k}")
     return docs
