@@ -223,9 +223,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     coded = spark.read.schema(ENCODED).parquet(f"{root}/blocks")
     tokens = coded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shards = max(shuffle_partitions(spark), -(-tokens // SHARD_KEYS))
-    n = shuffle_partitions(spark)
+    # as many tasks as there are blocks, and for the counts as there are groups: a task stays as it is while the corpus grows
+    n = max(shuffle_partitions(spark), coded.count())
     asked = coded.select(*[f.split()[0] for f in ENCODED.split(", ")]).mapInArrow(_messages(shards), MESSAGE)
-    asked.groupBy("kind", "shard").applyInPandas(_sum_shard, ANSWER).write.parquet(f"{root}/answers")
+    asked.repartition(2 * shards, "kind", "shard").groupBy("kind", "shard").applyInPandas(_sum_shard, ANSWER).write.parquet(f"{root}/answers")
     answers = spark.read.schema(ANSWER).parquet(f"{root}/answers")
     total = (answers.where("block IS NULL AND kind = 'word'")
              .agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first())
