@@ -37,6 +37,15 @@ def bucket(number) -> Column:
     return F.concat(((n - n % 1000) / 1000).cast("bigint").cast("string"), F.lit(BUCKET_SUFFIX))
 
 
+def folder(bucket_name) -> Column:
+    """The folder that holds a thousand bucket: the bucket's own up to number
+    99999; beyond, where numbers are sparse, one folder for each first digit
+    (``123xxx`` -> ``1xxxxx``, ``1234xxx`` -> ``1xxxxxx``). A year has 118 folders
+    at most, however far its numbers go. A folder's name gives itself."""
+    six = F.regexp_replace(_c(bucket_name), r"^(\d)\d{2}xxx$", "$1xxxxx")
+    return F.regexp_replace(six, r"^(\d)\d{3}xxx$", "$1xxxxxx")
+
+
 def key_from_suffix(name) -> Column:
     """``CVE-…_keyphrases.json`` -> ``CVE-…`` (replace form)."""
     return F.replace(_c(name), F.lit(STAGED_SUFFIX), F.lit(""))

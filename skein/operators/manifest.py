@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.functions import ids as I
 from skein.operators.publish import with_layout
 from skein.session import path_exists
 
@@ -23,10 +24,15 @@ MANIFEST = "cve_id string, hash string, version long, year int, bucket string"
 MOST_NAMED = 2000  # partitions named one by one in a filter; beyond them a semi-join picks the rows
 
 
+def folders(df: DataFrame) -> DataFrame:
+    """The folder ``(year, bucket)`` of each row, of which ``df`` may name the thousand bucket."""
+    return df.select("year", I.folder("bucket").alias("bucket"))
+
+
 def partitions_of(df: DataFrame) -> list[tuple[int, str]] | None:
-    """The distinct ``(year, bucket)`` of ``df``; None where they are too many
-    to be named."""
-    got = df.select("year", "bucket").distinct().limit(MOST_NAMED + 1).collect()
+    """The distinct folders ``(year, bucket)`` of ``df``; None where they are too
+    many to be named."""
+    got = folders(df).distinct().limit(MOST_NAMED + 1).collect()
     return None if len(got) > MOST_NAMED else [(r["year"], r["bucket"]) for r in got]
 
 
@@ -48,7 +54,7 @@ def read_partitions(df: DataFrame, touched: DataFrame) -> DataFrame:
     """The rows of a partitioned table in the partitions of ``touched``."""
     parts = partitions_of(touched)
     if parts is None:
-        return df.join(touched.select("year", "bucket").distinct(), ["year", "bucket"], "left_semi")
+        return df.join(folders(touched).distinct(), ["year", "bucket"], "left_semi")
     return df.filter(in_partitions(parts))
 
 
@@ -69,7 +75,7 @@ def next_version(spark: SparkSession, path: str) -> int:
 
 def append(rows: DataFrame, path: str, version: int) -> None:
     """Enter ``rows(cve_id, hash, year, bucket)``."""
-    (rows.select("cve_id", "hash", F.lit(version).cast("long").alias("version"), "year", "bucket").hint("rebalance", "year", "bucket")
+    (rows.select("cve_id", "hash", F.lit(version).cast("long").alias("version"), "year", I.folder("bucket").alias("bucket")).hint("rebalance", "year", "bucket")
      .write.mode("append").partitionBy("year", "bucket").parquet(path))
 
 

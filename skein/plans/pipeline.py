@@ -393,7 +393,7 @@ def run_publish(spark: SparkSession, p: Paths, on_conflict: str = "skip") -> Dat
     acts = spark.read.parquet(f"{p.base}/publish_actions")
     stats = publish.publish_stats(acts)
     named = acts.filter(F.col("action").isin(publish.MOVED, publish.OVERWRITTEN)).select(
-        F.regexp_replace("file_name", r"\.json$", "").alias("cve_id"), "hash", "year", "bucket", "action")
+        F.regexp_replace("file_name", r"\.json$", "").alias("cve_id"), "hash", "year", I.folder("bucket").alias("bucket"), "action")
     if not named.isEmpty():
         named.write.mode("overwrite").parquet(p.publish_note)
         named = spark.read.parquet(p.publish_note)

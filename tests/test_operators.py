@@ -207,3 +207,23 @@ def test_duplicate_groups_scan_texts_once_and_rule_out_singles(spark, tmp_dir):
     out = {(r.doc_id, r.n_copies) for r in got.collect()}
     assert out == {(1000 + i, 150) for i in range(150)} | {(7, 2), (2000, 2)}
     assert V.duplicate_groups(docs.limit(0), "doc_id", "text").collect() == []
+
+
+def test_high_numbers_share_folders(spark, tmp_dir):
+    """The number of folders doesn't grow with the records; buckets up to
+    99xxx keep their own."""
+    import glob
+
+    from skein.functions import ids
+    from skein.operators import manifest
+    rows = [(f"CVE-{y}-{n}.json", f'{{"cveId":"CVE-{y}-{n}"}}') for y in (2023, 2024) for n in (1000, 99999, *range(100000, 10000000, 33333))]
+    docs = publish.next_store(spark.createDataFrame(rows, "file_name string, content string"), None)
+    publish.write_store(docs.select("year", "bucket", F.col("content").alias("value")), tmp_dir, fmt="text")
+    assert len(glob.glob(f"{tmp_dir}/year=*/bucket=*")) == 2 * 20
+    back = spark.read.text(tmp_dir)
+    assert back.count() == len(rows)
+    one = spark.createDataFrame([(2024, "1000xxx"), (2023, "99xxx")], "year int, bucket string")
+    got = manifest.read_partitions(back, one)
+    assert {(r.year, r.bucket) for r in got.select("year", "bucket").distinct().collect()} == {(2024, "1xxxxxx"), (2023, "99xxx")}
+    names = spark.createDataFrame([(b,) for b in ("0xxx", "99xxx", "100xxx", "1000xxx", "9999xxx", "9xxxxx", None)], "b string")
+    assert [r[0] for r in names.select(ids.folder("b")).collect()] == ["0xxx", "99xxx", "1xxxxx", "1xxxxxx", "9xxxxxx", "9xxxxx", None]

@@ -103,6 +103,23 @@ def test_overwrite_touches_only_its_partitions(spark, tmp_dir):
     assert files(f"{p.store}/year=2024/bucket=5xxx") == before
 
 
+def test_overwrite_keeps_other_buckets_of_a_shared_folder(spark, tmp_dir):
+    p = PL.Paths(base=f"{tmp_dir}/run")
+    for n in (1000000, 1999999, 5000):
+        put(f"{p.base}/keyphrases/CVE-2024-{n}_keyphrases.json", '{"impact":"i"}')
+    PL.run_merge(spark, p)
+    PL.run_publish(spark, p)
+    assert set(os.listdir(f"{p.store}/year=2024")) == {"bucket=1xxxxxx", "bucket=5xxx"}
+    put(f"{p.base}/keyphrases/CVE-2024-1000000_keyphrases.json", '{"impact":"changed"}')
+    put(f"{p.base}/keyphrases/CVE-2024-1500000_keyphrases.json", '{"impact":"new"}')
+    PL.run_merge(spark, p)
+    st = PL.run_publish(spark, p, "overwrite").first()
+    assert (st.moved, st.overwritten, st.deleted) == (1, 1, 2)
+    rows = [(r.cveId, r.keyphrases.impact) for r in spark.read.json(p.store).collect()]
+    assert sorted(rows) == [("CVE-2024-1000000", "changed"), ("CVE-2024-1500000", "new"), ("CVE-2024-1999999", "i"), ("CVE-2024-5000", "i")]
+    assert PL.run_publish(spark, p, "overwrite").first().deleted == 4
+
+
 def test_validate_mode_lists_records_without_section(spark, tmp_dir):
     p = PL.Paths(base=f"{tmp_dir}/run")
     rows = [("CVE-2024-1000", '{"cveId":"CVE-2024-1000"}'), ("CVE-2024-1001", '{"cveId":"CVE-2024-1001","keyphrases":"text"}'),
