@@ -6,7 +6,7 @@ up. Each micro-batch prepares its records and appends to the sink only ids
 the sink does not hold yet, so an id is emitted once across runs and a
 replayed batch adds nothing. The state is the sink itself, not an
 unbounded ``dropDuplicates`` store. The sink is laid out by the ids' year and
-thousand bucket, which makes its folders an index: a micro-batch lists and
+bucket folder, which makes its folders an index: a micro-batch lists and
 opens only the files that may hold its ids, however large the sink has grown.
 """
 
@@ -28,11 +28,11 @@ SINK_SCHEMA = "cve_id string, ord long, description string, year int, bucket str
 
 
 def by_id(df: DataFrame) -> DataFrame:
-    """Add the sink's partition of each id: its year and thousand bucket, both
+    """Add the sink's partition of each id: its year and bucket folder, both
     null for an id of another form and for none."""
     name = F.concat("cve_id", F.lit(".json"))
     usual = I.publish_name_ok(name)
-    return df.select("*", F.when(usual, I.id_year(name)).alias("year"), F.when(usual, I.bucket(I.id_number(name))).alias("bucket"))
+    return df.select("*", F.when(usual, I.id_year(name)).alias("year"), F.when(usual, I.folder(I.bucket(I.id_number(name)))).alias("bucket"))
 
 
 def read_sink(spark: SparkSession, sink: str) -> DataFrame:

@@ -57,3 +57,13 @@ def test_a_batch_opens_only_files_that_may_hold_its_ids(spark, tmp_dir):
     odd = ST.by_id(spark.createDataFrame([(None,), ("X-2019",)], "cve_id string"))
     assert sorted({r.cve_id for r in ST.seen_ids(spark, sink, odd).collect()}, key=str) == sorted([None, "X-2019"], key=str)
     assert files_opened(ST.manifest.read_partitions(ST.read_sink(spark, sink), odd)) <= 3
+
+
+def test_high_numbers_share_sink_folders(spark, tmp_dir):
+    import glob
+    source, sink, ckpt = (f"{tmp_dir}/{x}" for x in ("source", "sink", "ckpt"))
+    for n in range(2):
+        drop(spark, source, n, [(i, f"CVE-2024-{i}", f"text {n}", None, None) for i in range(100000 + n * 50000, 9000000, 100000)])
+    got = ST.run_incremental(spark, source, sink, ckpt, None, files_per_batch=1).collect()
+    assert len(got) == len({r.cve_id for r in got}) == len(range(100000, 9000000, 100000)) + len(range(150000, 9000000, 100000))
+    assert len(glob.glob(f"{sink}/year=2024/bucket=*")) <= 17
