@@ -110,6 +110,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """The size of a file, or of all files below a folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 _MADE: list[str] = []  # scratch paths of this process that no scope has cleared
 
 

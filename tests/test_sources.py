@@ -186,3 +186,20 @@ def test_split_reader_on_gzip_and_header_only(spark, tmp_dir):
     assert [(r.cve_id, r.description) for r in S.read_csv_records(spark, f"{tmp_dir}/g", multiline=S.SPLIT).collect()] == [("CVE-2024-9", "two\nlines")]
     _write(f"{tmp_dir}/h/a.csv", "id,summary\n")
     assert S.read_csv_records(spark, f"{tmp_dir}/h", multiline=S.SPLIT).collect() == []
+
+
+def test_large_documents_make_several_csv_files(spark, tmp_dir, monkeypatch):
+    """No task writes all of them; each file is still split among tasks."""
+    import glob
+
+    from skein.plans import catalog
+    rows = [(i, f'text "{i}"\nsecond, line', "en", "web") for i in range(1, 400)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(6).write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_dir}/labels.parquet")
+    paths = []
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: paths.append(f"{tmp_dir}/{name}") or paths[-1])
+    want = sorted(catalog.QUERIES["read_csv_split"](spark, tmp_dir).collect(), key=str)
+    assert len(glob.glob(f"{paths[-1]}/part-*")) == 1 and len(want) == 399
+    monkeypatch.setattr(catalog, "CSV_FILE_BYTES", 5000)
+    assert sorted(catalog.QUERIES["read_csv_split"](spark, tmp_dir).collect(), key=str) == want
+    assert len(glob.glob(f"{paths[-1]}/part-*")) > 1
