@@ -1,11 +1,12 @@
 """Batch model inference as a Spark job around a pluggable client.
 
 Prompts are built with column expressions, the external call runs in one
-``mapInPandas`` stage (one client per partition, bounded concurrency, inner
+``mapInArrow`` stage (one client per partition, bounded concurrency, inner
 retries), and answers are *written* to an ``attempts`` table before any
 branch reads them, so a paid call is never repeated by re-evaluation. Prompts
-are cut into blocks, and a block's answers are committed before the next block
-is called: a lost task or a dead run repeats calls of one block at most. A call
+are cut into blocks, and a task's answers to a block are committed before it
+takes the next one: a lost task or a dead run repeats calls of one block a task
+at most. A call
 is keyed by ``(run, cve_id, attempt, call, deferral)``; calls already in the
 table are not made again when a run resumes, and a later run calls anew what
 failed. The ladder over these calls is in ``ladder``.
@@ -17,7 +18,7 @@ import json
 import time
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -150,35 +151,36 @@ def call_with_retries(client, prompt: str, model: str, tries: int = INNER_TRIES,
 
 def infer(prompts: DataFrame, client_factory: Callable[[], object],
           concurrency: int | None = None, tries: int = INNER_TRIES,
-          sleep: Callable[[float], None] = time.sleep, made_at: float | None = None) -> DataFrame:
+          sleep: Callable[[float], None] = time.sleep, now: Callable[[], float] | None = None) -> DataFrame:
     """One model call per row of ``prompts(cve_id, attempt, call, model,
     description, prompt)`` -> ``CALL_SCHEMA`` rows. ``deferral`` and ``carried``
-    are handed through where present.
+    are handed through where present. ``made_at`` is what ``now`` says on the
+    worker when the call is begun.
 
     ``concurrency`` caps the number of simultaneous calls (partitions); the
     client is built once per partition from a picklable factory.
     """
-    extra = [F.col("deferral") if "deferral" in prompts.columns else F.lit(0).alias("deferral"),
-             F.col("carried") if "carried" in prompts.columns else F.lit(None).cast("string").alias("carried"),
-             F.lit(made_at).cast("double").alias("made_at")]
-    df = prompts.select("cve_id", "attempt", "call", "model", "description", "prompt", *extra)
+    extra = [(F.col("deferral") if "deferral" in prompts.columns else F.lit(0)).cast("int").alias("deferral"),
+             F.col("carried") if "carried" in prompts.columns else F.lit(None).cast("string").alias("carried")]
+    df = prompts.select("cve_id", F.col("attempt").cast("int").alias("attempt"), "call", "model", "description", "prompt", *extra)
     df = df.repartition(concurrency) if concurrency else balance(df)
 
     def run(batches):
         client = client_factory()
-        for pdf in batches:
-            resp, errs = [], []
-            for p, m in zip(pdf["prompt"], pdf["model"]):
-                r, e = call_with_retries(client, p, m, tries=tries, sleep=sleep) if p is not None else (None, "no prompt")
-                resp.append(r)
-                errs.append(e)
-            yield pd.DataFrame({
-                "cve_id": pdf["cve_id"], "attempt": pdf["attempt"].astype("int32"),
-                "call": pdf["call"], "model": pdf["model"], "description": pdf["description"],
-                "prompt_chars": pd.Series([len(p) if p is not None else 0 for p in pdf["prompt"]], index=pdf.index, dtype="int32"),
-                "response": resp, "error": errs, "deferral": pdf["deferral"].astype("int32"), "carried": pdf["carried"],
-                "made_at": pdf["made_at"]})
-    return df.mapInPandas(run, CALL_SCHEMA)
+        for b in batches:
+            answers, errors, chars, made = [], [], [], []
+            for p, m in zip(b.column("prompt"), b.column("model")):  # one text at a time; the others stay in Arrow
+                p = p.as_py()
+                made.append(now() if now else None)
+                r, e = call_with_retries(client, p, m.as_py(), tries=tries, sleep=sleep) if p is not None else (None, "no prompt")
+                answers.append(r)
+                errors.append(e)
+                chars.append(len(p) if p is not None else 0)
+            own = {"prompt_chars": pa.array(chars, pa.int32()), "response": pa.array(answers, pa.string()),
+                   "error": pa.array(errors, pa.string()), "made_at": pa.array(made, pa.float64())}
+            names = [c.split()[0] for c in CALL_SCHEMA.split(", ")]
+            yield pa.RecordBatch.from_arrays([own[n] if n in own else b.column(n) for n in names], names)
+    return df.mapInArrow(run, CALL_SCHEMA)
 
 
 def parse_calls(calls: DataFrame) -> DataFrame:
@@ -231,30 +233,42 @@ def calls_of(due: DataFrame, calls: DataFrame) -> DataFrame:
     return calls.join(k, _same_call(calls, k), "left_semi")
 
 
-def append_calls(prompts: DataFrame, keys, attempts_path: str, run_id: str, client_factory, concurrency, tries, sleep,
-                 now: Callable[[], float] = time.time, block_rows: int = BLOCK_ROWS, at_most: int | None = None) -> None:
+def append_calls(work: DataFrame, keys, attempts_path: str, run_id: str, client_factory, concurrency, tries, sleep,
+                 now: Callable[[], float] = time.time, block_rows: int = BLOCK_ROWS, at_most: int | None = None,
+                 prompted: Callable[[DataFrame], DataFrame] = lambda df: df, recorded: bool = True) -> None:
     """Make the calls this run has not recorded yet and append them to the
     attempts table, block by block.
 
-    ``keys`` lists the ``(attempt, call)`` passes the prompts belong to; only
-    those partitions are read for the "already called" anti-join. Another
-    run's calls don't count: what failed then is tried again now.
-
-    A block holds ``block_rows`` prompts of each of the ``concurrency`` tasks
-    and is one job: its answers are committed when all of them are in, and only
-    then the next block is called. ``at_most`` bounds the number of prompts, if
-    it is known: what fits one block isn't written first."""
-    spark = prompts.sparkSession
-    todo = prompts
-    if path_exists(spark, attempts_path):
+    ``keys`` lists the ``(attempt, call)`` passes the work belongs to; only
+    those partitions are read for the "already called" anti-join, and none if
+    nothing is ``recorded`` under the run's id yet. Another run's calls don't
+    count: what failed then is tried again now. ``prompted`` adds the prompt,
+    which is as long as the description: it is built where it is sent.
+
+    With a cap on ``concurrency``, a block holds ``block_rows`` prompts of each
+    of its tasks and is one job: its answers are committed when all of them are
+    in, and only then the next block is called. Without one, a task is a block
+    of about ``block_rows`` prompts, all in one job: a task's answers are put in
+    place as it ends (the second version of Hadoop's commit), and only as many
+    tasks run at a time as there are cores. ``at_most`` bounds the number of
+    prompts, if it is known: what fits one block isn't written first."""
+    spark = work.sparkSession
+    todo = work
+    if recorded and path_exists(spark, attempts_path):
         done = _keys(read_calls(spark, attempts_path, keys, run_id))
-        todo = prompts.join(done, _same_call(prompts, done), "left_anti")
+        todo = work.join(done, _same_call(work, done), "left_anti")
     tasks = concurrency or spark.sparkContext.defaultParallelism
 
-    def commit(block: DataFrame) -> None:
-        (infer(block, client_factory, concurrency, tries, sleep, now()).withColumn("run", F.lit(run_id)).write.mode("append")
+    def commit(block: DataFrame, spread: int = tasks, by_task: bool = False) -> None:
+        (infer(prompted(block.repartition(spread)), client_factory, None, tries, sleep, now).withColumn("run", F.lit(run_id)).write.mode("append")
+         .option("mapreduce.fileoutputcommitter.algorithm.version", "2" if by_task else "1")
          .partitionBy("run", "call", "attempt").parquet(attempts_path))
 
+    if not concurrency:
+        n = todo.count() if at_most is None else at_most
+        # rows are dealt evenly but not exactly so: a tenth more tasks than needed
+        commit(todo, max(1, min(n, tasks), -(-n * 11 // (block_rows * 10))), by_task=True)
+        return
     if at_most is not None and at_most <= block_rows * tasks:
         commit(todo)
         return
@@ -265,7 +279,7 @@ def append_calls(prompts: DataFrame, keys, attempts_path: str, run_id: str, clie
     blocks = spark.read.schema(todo.schema.add("block", "long")).parquet(path)
     for number in sorted(r["block"] for r in blocks.select("block").distinct().collect()):
         # small files of a block would be read by one task: each task calls its share
-        commit(blocks.filter(F.col("block") == number).drop("block").repartition(tasks))
+        commit(blocks.filter(F.col("block") == number).drop("block"))
 
 
 def ladder_from_attempts(attempts: DataFrame) -> DataFrame:

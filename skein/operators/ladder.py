@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from skein.functions import jsonx as J
 from skein.operators import infer as N
 from skein.operators.layout import fence
-from skein.session import scratch_path
+from skein.session import path_exists, scratch_path
 
 GRACE_S = 60.0  # work due within this time is waited for and done in one round
 
-WORK = ("cve_id string, description string, attempt int, call string, model string, prompt string, "
+WORK = ("cve_id string, description string, attempt int, call string, model string, "
         "deferral int, carried string, not_before double")
 DONE = "status string, model_type string, json string, n int, enhanced boolean"
 STEP = f"{WORK}, {DONE}, kind string"
@@ -53,12 +53,12 @@ class Clock:
         self._ahead += max(0.0, seconds - (time.time() - began))
 
 
-def work_rows(df: DataFrame, attempt, call: str, model: str, prompt: Column, carried=None,
+def work_rows(df: DataFrame, attempt, call: str, model: str, carried=None,
               not_before: Column | None = None, deferral: Column | None = None) -> DataFrame:
     """Rows of ``WORK`` from ``df(cve_id, description)``."""
     a = attempt if isinstance(attempt, Column) else F.lit(attempt)
     return df.select("cve_id", "description", a.cast("int").alias("attempt"), F.lit(call).alias("call"), F.lit(model).alias("model"),
-                     prompt.alias("prompt"), F.coalesce(deferral if deferral is not None else F.lit(0)).cast("int").alias("deferral"),
+                     F.coalesce(deferral if deferral is not None else F.lit(0)).cast("int").alias("deferral"),
                      (F.col(carried) if carried else F.lit(None).cast("string")).alias("carried"),
                      (not_before if not_before is not None else F.lit(0.0)).cast("double").alias("not_before"))
 
@@ -77,7 +77,6 @@ CASE WHEN again THEN description END AS description
 CASE WHEN retry THEN attempt + 1 ELSE attempt END AS attempt
 CASE WHEN enhance THEN 'enhance' WHEN again THEN 'extract' END AS call
 CASE WHEN limited THEN model WHEN again THEN '{N.FALLBACK}' END AS model
-CASE WHEN enhance THEN enhance_prompt WHEN again THEN extract_prompt END AS prompt
 CASE WHEN limited THEN deferral + 1 ELSE 0 END AS deferral
 CASE WHEN enhance THEN base END AS carried
 CASE WHEN ask THEN 0D ELSE again_at END AS not_before
@@ -96,24 +95,38 @@ def ladder_step(calls: DataFrame, max_attempts: int) -> DataFrame:
                                  f"call = 'extract' AND NOT ok AND NOT limited AND attempt < {max_attempts} AS retry")
     p = p.selectExpr("*", "ask OR (limited AND NOT extract) AS enhance", "limited OR ask OR retry AS again", "NOT extract OR ok AS won",
                      "CASE WHEN ask THEN json ELSE carried END AS base")
-    p = fence(p.select("*", F.when(F.expr("enhance OR NOT extract"), J.parse_object("base")).alias("__b")))
-    # the enhancement counts only with strictly more fields; an answer that
-    # isn't an object is shown to the model as it is
-    p = p.select("*", J.nonempty_count("__b").alias("__had"), F.coalesce(J.text_map_to_json("__b"), F.col("base")).alias("shown"))
+    p = fence(p.select("*", F.when(F.expr("NOT extract"), J.parse_object("base")).alias("__b")))
+    # the enhancement counts only with strictly more fields
+    p = p.select("*", J.nonempty_count("__b").alias("__had"))
     p = fence(p.selectExpr("*", "coalesce(__had, 0) AS had", "NOT extract AND ok AND n > coalesce(__had, 0) AS is_more"))
-    p = p.select("*", N.build_prompt("description").alias("extract_prompt"), N.build_enhance_prompt("description", "shown").alias("enhance_prompt"),
-                 F.expr("coalesce(is_more, false) AS better"))
+    p = p.select("*", F.expr("coalesce(is_more, false) AS better"))
     return p.selectExpr(*_NEXT)
 
 
-def run_rounds(work: DataFrame, step: Callable[[DataFrame], DataFrame], attempts_path: str, run_id: str, client_factory,
+def ladder_prompts(work: DataFrame) -> DataFrame:
+    """``work`` with its prompts. An answer to be enhanced that isn't an object
+    is shown to the model as it is."""
+    p = fence(work.select("*", F.when(F.col("call") == "enhance", J.parse_object("carried")).alias("__b")))
+    p = p.select("*", F.coalesce(J.text_map_to_json("__b"), F.col("carried")).alias("shown"))
+    return p.select("*", F.when(F.col("call") == "enhance", N.build_enhance_prompt("description", "shown"))
+                    .otherwise(N.build_prompt("description")).alias("prompt"))
+
+
+def run_rounds(work: DataFrame, prompted: Callable[[DataFrame], DataFrame], step: Callable[[DataFrame], DataFrame], attempts_path: str, run_id: str, client_factory,
                concurrency: int | None, tries: int, sleep: Callable[[float], None], clock: Clock,
                patience_s: float | None, block_rows: int) -> DataFrame:
     """``STEP`` rows at the end of the run: ``done``, and as ``work`` what is
-    still put off when ``patience_s`` seconds have passed (None: none is)."""
+    still put off when ``patience_s`` seconds have passed (None: none is).
+    ``prompted`` adds the prompts of the calls that are due.
+
+    Recorded calls are matched with the work only where others than its own may
+    stand under the same passes: in a run taken up again, and in a pass that an
+    earlier round made calls of. Otherwise no text is shuffled for it."""
     spark: SparkSession = work.sparkSession
     root = scratch_path(spark, "ladder")
     began, k = clock.now(), 0
+    resumed = path_exists(spark, attempts_path) and not N.read_attempts(spark, attempts_path).filter(F.col("run") == run_id).isEmpty()
+    called: set = set()
 
     def write(df: DataFrame) -> DataFrame:
         """One version of the state, read back by kind."""
@@ -145,8 +158,12 @@ def run_rounds(work: DataFrame, step: Callable[[DataFrame], DataFrame], attempts
         if not s["due"]:
             continue
         due, keys = left.filter(soon), sorted({(r["attempt"], r["call"]) for r in s["keys"]})
-        N.append_calls(due, keys, attempts_path, run_id, client_factory, concurrency, tries, sleep, clock.now, block_rows, s["due"])
-        calls = N.calls_of(due, N.read_calls(spark, attempts_path, keys, run_id))
+        N.append_calls(due, keys, attempts_path, run_id, client_factory, concurrency, tries, sleep, clock.now, block_rows, s["due"],
+                       prompted, resumed)
+        calls = N.read_calls(spark, attempts_path, keys, run_id)
+        if resumed or called.intersection(keys):
+            calls = N.calls_of(due, calls)
+        called.update(keys)
         k += 1
         state = write(step(calls).unionByName(left.filter(~soon).drop("round"), allowMissingColumns=True))
     return rounds().filter((F.col("kind") == "done") | (F.col("round") == k))
@@ -169,11 +186,12 @@ def run_ladder(records: DataFrame, attempts_path: str, client_factory, run_id: s
     Calls are recorded under ``run_id``: a run resumed under its id makes no
     recorded call again, a new run tries again what failed before. Of a run
     that is cut off, at most one block of calls (``block_rows`` for each of the
-    ``concurrency`` tasks) is not recorded yet.
+    ``concurrency`` tasks, or of the tasks that the cores run at a time) is not
+    recorded yet.
     """
     recs = records.select("cve_id", "description")
-    work = work_rows(recs, 1, "extract", N.PRIMARY, N.build_prompt("description"))
-    end = run_rounds(work, lambda calls: ladder_step(calls, max_attempts), attempts_path, run_id, client_factory,
+    work = work_rows(recs, 1, "extract", N.PRIMARY)
+    end = run_rounds(work, ladder_prompts, lambda calls: ladder_step(calls, max_attempts), attempts_path, run_id, client_factory,
                      concurrency, tries, sleep, clock or Clock(sleep), patience_s, block_rows)
     put_off = F.col("kind") == "work"
     return end.select("cve_id", F.when(put_off, "deferred").otherwise(F.col("status")).alias("status"),
@@ -195,18 +213,20 @@ def reprocess(insufficient: DataFrame, descriptions: DataFrame, attempts_path: s
         "cve_id", "current_count", F.lit(None).cast("int").alias("new_count"),
         F.lit("failed").alias("outcome"), F.lit(None).cast("string").alias("json"))
     have = j.filter(F.col("description").isNotNull())
-    prompt = N.build_enhance_prompt("description", F.col("carried"))
-    work = work_rows(have.select("cve_id", "description", F.col("content").alias("carried")), 0, "reprocess", N.FALLBACK, prompt, "carried")
+    work = work_rows(have.select("cve_id", "description", F.col("content").alias("carried")), 0, "reprocess", N.FALLBACK, "carried")
+
+    def prompted(due: DataFrame) -> DataFrame:
+        return due.select("*", N.build_enhance_prompt("description", "carried").alias("prompt"))
 
     def step(calls: DataFrame) -> DataFrame:
         again = F.col("limited")
         return _state(calls).select(
             "cve_id", "attempt", "call", "model", (F.col("deferral") + 1).alias("deferral"), F.col("again_at").alias("not_before"),
-            F.when(again, F.col("description")).alias("description"), F.when(again, prompt).alias("prompt"), F.when(again, F.col("carried")).alias("carried"),
+            F.when(again, F.col("description")).alias("description"), F.when(again, F.col("carried")).alias("carried"),
             F.when(~again, F.when(F.col("ok"), "success").otherwise("failed")).alias("status"), "json", "n",
             F.when(again, "work").otherwise("done").alias("kind"))
 
-    end = run_rounds(work, step, attempts_path, run_id, client_factory, concurrency, tries, sleep, clock or Clock(sleep), patience_s, block_rows)
+    end = run_rounds(work, prompted, step, attempts_path, run_id, client_factory, concurrency, tries, sleep, clock or Clock(sleep), patience_s, block_rows)
     r = have.select("cve_id", "current_count").join(end.select("cve_id", "kind", "status", "n", "json"), "cve_id", "left")
     outcome = (F.when(F.col("kind") == "work", "deferred").when(~F.coalesce(F.col("status") == "success", F.lit(False)), "failed")
                .when(F.col("n") > F.col("current_count"), "improved").otherwise("no_improvement"))

@@ -3,6 +3,7 @@
 import sys
 
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from skein.functions.jsonx import REQUIRED_FIELDS
 from skein.operators import infer as N
@@ -301,3 +302,62 @@ def test_calls_in_flight_are_bounded(spark, tmp_dir):
     recs = spark.createDataFrame([(f"CVE-{i}", "t") for i in range(40)], "cve_id string, description string").repartition(4)
     L.run_ladder(recs, scratch_path(spark, "t-flight"), lambda: Counting(tmp_dir), concurrency=2, sleep=lambda s: None, block_rows=5).collect()
     assert max(int(f.split(".")[0]) for f in os.listdir(tmp_dir)) <= 2
+
+
+def test_blocks_without_a_cap_are_tasks_of_one_job(spark):
+    """The number of jobs doesn't grow with the number of calls."""
+    recs = spark.createDataFrame([(f"CVE-{i}", f"text {i}") for i in range(600)], "cve_id string, description string")
+    path, sc = scratch_path(spark, "t-jobs"), spark.sparkContext
+    sc.setJobGroup("ladder-jobs", "")
+    try:
+        L.run_ladder(recs, path, lambda: _Full(), sleep=lambda s: None, block_rows=5).collect()
+        jobs = len(sc.statusTracker().getJobIdsForGroup("ladder-jobs"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 20
+    log = N.read_attempts(spark, path)
+    files = log.select(F.col("_metadata.file_path").alias("f")).groupBy("f").count()
+    assert log.count() == 600 and files.count() >= 600 // 5 and files.agg(F.max("count")).first()[0] <= 8
+    assert "prompt" not in [c.split()[0] for c in L.STEP.split(", ")]  # as long as the description: not stored, not shuffled
+
+
+class _Full:
+    def generate(self, prompt, model, timeout=None):
+        return FULL
+
+
+def test_a_dead_run_keeps_the_tasks_that_ended(spark, tmp_dir):
+    import os
+
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+    n, rows = 240, 10
+    recs = spark.createDataFrame([(f"CVE-{i}", f"text {i}") for i in range(n)], "cve_id string, description string")
+    path = scratch_path(spark, "t-dead")
+
+    def run():
+        return L.run_ladder(recs, path, lambda: Dying(tmp_dir), sleep=lambda s: None, block_rows=rows).collect()
+
+    try:
+        run()
+    except (Py4JJavaError, PySparkException):
+        pass
+    assert {r.status for r in run()} == {"success"}
+    calls = [f.split("-")[0] for f in os.listdir(tmp_dir) if f != "died"]
+    assert len(set(calls)) == n and len(calls) - n <= 2 * rows * spark.sparkContext.defaultParallelism
+    assert N.read_attempts(spark, path).count() == n == N.read_attempts(spark, path).select("cve_id").distinct().count()
+
+
+def test_answers_reach_python_in_small_batches(spark):
+    """A worker holds few texts at a time, however many rows a partition has."""
+    recs = spark.range(5000).selectExpr("concat('CVE-', id) AS cve_id", "1 AS attempt", "'extract' AS call", "'primary' AS model",
+                                        "repeat('x', 10000) AS description", "repeat('x', 10000) AS prompt").coalesce(1)
+
+    def biggest(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+    got = recs.mapInArrow(biggest, "n long, size long").agg(F.max("n"), F.max("size")).first()
+    assert got[0] <= 1000 and got[1] < 20 << 20
+    out = N.infer(recs, lambda: _Full(), sleep=lambda s: None)
+    assert out.agg(F.count("*"), F.sum(F.length("description")), F.min("response")).first() == (5000, 50000000, FULL)
