@@ -36,7 +36,7 @@ lost executor costs one stage's tasks.
 
 from __future__ import annotations
 
-import math
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,9 +44,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.session import scratch_path
+from skein.session import release, scratch_path
 
-from .common import WordHashes, as_bytes, blocks, mix, odd_constants, prepare, shingles, shuffle_partitions, word_hashes
+from .common import WordHashes, as_bytes, blocks, mix, odd_constants, prepare, shingles, word_hashes
 
 WIDTH = 5
 SHARE, OF = 75, 100        # linked when OF * intersection >= SHARE * union
@@ -57,7 +57,7 @@ ROUNDS = 2                 # of drawing together
 WIDE = 8                   # nodes of more than WIDE * SMALL classes branch on
 DEPTH = 8
 MISS = 1e-6                # chance that a pair at the threshold shares no node at the last level
-BROADCAST_IDS = 500_000    # ids of texts to fetch that are sent to all tasks; more are joined
+ID_BITS, MOST_BITS = 16, 1 << 27  # bits for an id in the map of texts to fetch, which all tasks hold, and its size at most
 RUN_ROWS = 8192
 SIEVE = 0.58               # estimated similarity below which a pair is let go (4.4 sigma under 0.75)
 DEEP_TOKENS = 1024         # of the longer sketch that classes near a class of another component get
@@ -317,13 +317,42 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo = WordHashes()
-    for (texts,) in blocks(batches, BLOCK_BYTES):
-        sets = [shingle_set(t, memo) for t in texts]
-        keep = [s for s in sets if len(s)]
-        yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in keep], pa.binary()),
-                                          pa.array([s.tobytes() for s in keep], pa.binary())], ["set_key", "members"])
+def _id_bits(ids: pa.Array, bits: int) -> np.ndarray:
+    """Each id's bit in the map of ids; a null id has that of 0."""
+    return mix(ids.fill_null(0).to_numpy().view(np.uint64)) & np.uint64(bits - 1)
+
+
+def id_map(ids: DataFrame, count: int) -> np.ndarray:
+    """The bits of about ``count`` ids (one long column) as 64-bit words: a few
+    bytes an id, however the ids are spread. Other ids may share a bit."""
+    bits = min(MOST_BITS, 1 << max(6, (ID_BITS * count - 1).bit_length()))
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = _id_bits(b.column(0), bits)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], ["slot", "word"])
+
+    got = ids.mapInArrow(words, "slot long, word long").groupBy("slot").agg(F.bit_or("word").alias("word")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[got.column("slot").to_numpy()] = got.column("word").to_numpy().view(np.uint64)
+    return out
+
+
+def _full_sets(wanted):
+    """The full sets of texts (doc_id, text) whose id is in the broadcast map."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, words = WordHashes(), wanted.value
+
+        def named(b: pa.RecordBatch) -> pa.RecordBatch:
+            at = _id_bits(b.column(0), 64 * len(words))
+            return b.filter(pa.array(words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1) == 1))
+
+        for _, texts in blocks(map(named, batches), BLOCK_BYTES):
+            sets = [shingle_set(t, memo) for t in texts]
+            keep = [s for s in sets if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in keep], pa.binary()),
+                                              pa.array([s.tobytes() for s in keep], pa.binary())], ["set_key", "members"])
+    return run
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -387,9 +416,8 @@ class _Join:
 
     def compare(self, rows: DataFrame, how, out: str, sketches: DataFrame, *more: str) -> DataFrame:
         """Runs ``how`` over the rows of each node, of bounded size here."""
-        n = shuffle_partitions(self.spark)
         full = rows.join(sketches, "cid").select("node", "comp", "cid", "n", "sketch", *more)
-        return full.repartition(n, "node").sortWithinPartitions("node", "cid").mapInArrow(_in_runs(how), out)
+        return full.repartition("node").sortWithinPartitions("node", "cid").mapInArrow(_in_runs(how), out)
 
     @staticmethod
     def dealt(rows: DataFrame, turn: int) -> DataFrame:
@@ -424,18 +452,19 @@ class _Join:
         return big.join(main, "node")
 
     def fetch(self, used: DataFrame) -> DataFrame | None:
-        """Full sets of the given classes and of those asked for before."""
+        """Full sets of the given classes and of those asked for before. The
+        texts stay where they are read: tasks pass over those that aren't in a
+        map of the wanted ids, and what it lets by in vain goes by its set key."""
         if self.sets is not None:
             used = used.join(self.sets.select("cid"), "cid", "left_anti")
         named = _stored(used.join(self.classes.select("cid", "rep", "set_key"), "cid"), "fetch")
-        ids, count = named.select("rep").distinct(), named.count()
+        count = named.count()
         if count:
-            if count <= BROADCAST_IDS:
-                ids = F.broadcast(ids)
-            text = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-            got = text.select("text").mapInArrow(_full_sets, "set_key binary, members binary")
+            wanted = self.spark.sparkContext.broadcast(id_map(named.select("rep"), count))
+            got = self.docs.select("doc_id", "text").mapInArrow(_full_sets(wanted), "set_key binary, members binary")
             # an id may stand on several texts, a text on several rows: one set a class
             got = _stored(got.join(named.select("cid", "set_key"), "set_key").select("cid", "members").dropDuplicates(["cid"]), "full")
+            wanted.destroy()
             self.sets = got if self.sets is None else self.sets.union(got)
         return self.sets
 
@@ -456,11 +485,9 @@ class _Join:
     def exhaust(self, groups: list[DataFrame], wide: DataFrame | None) -> DataFrame:
         """Candidate pairs of different components within bounded groups.
         ``wide``: (cid, wide), the root paths whose node branched, as bits."""
-        marked = None
-        for g in groups:
-            got = self.compare(g, _mark, ROW, self.sketches, "path")
-            marked = got if marked is None else marked.union(got)
-        marked = _stored(marked.distinct(), "marked")
+        # one comparison for all groups: one each would give as many tasks and plans
+        rows = functools.reduce(DataFrame.union, [g.select("node", "cid", "comp", "path") for g in groups])
+        marked = _stored(self.compare(rows, _mark, ROW, self.sketches, "path").distinct(), "marked")
         used = marked.select("cid").distinct()
         sets = self.fetch(used)
         if sets is None:  # nothing is marked
@@ -477,6 +504,7 @@ class _Join:
             rows = _stored(self.mixed(rows, comp), "nodes")
             links = self.confirm(self.compare(self.dealt(rows, turn), _propose(turn), PAIR, self.sketches))
             comp = _stored(components(links, comp), "comp")
+            release(self.spark)
         groups, wide, level = [], None, 1
         while True:
             rows = _stored(self.mixed(rows, comp), "nodes")
@@ -493,6 +521,7 @@ class _Join:
                 wide = large.groupBy("cid").agg(F.bit_or(F.expr("shiftleft(1L, CAST(path AS INT))")).alias("wide"))
             rows = large.join(self.tokens, "cid").select("node", "cid", "tokens").mapInArrow(_branch, NODE)
             level += 1
+            release(self.spark)
         return components(self.confirm(self.exhaust(groups, wide)), comp)
 
 

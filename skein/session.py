@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -151,6 +152,13 @@ def scratch_scope(spark: SparkSession):
             delete_path(spark, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished steps left: broadcasts and shuffle files stay
+    until the driver collects its garbage, which a long run of steps outgrows."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete all scratch tables that this process made; their number."""
     done = list(_MADE)

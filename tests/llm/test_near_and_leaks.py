@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skein.llm import decontam, neardup
@@ -96,6 +97,34 @@ def test_finishing_alone_finds_all_links(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_one_finishing_comparison_for_nodes_of_all_sizes(spark, monkeypatch):
+    """The number of tasks and plans doesn't follow the levels of branching."""
+    for name, n in (("BLOCK", 4), ("SMALL", 4), ("WIDE", 2), ("DEPTH", 3)):
+        monkeypatch.setattr(neardup, name, n)
+    compare, ran = neardup._Join.compare, []
+    monkeypatch.setattr(neardup._Join, "compare", lambda self, rows, how, *more: ran.append(how) or compare(self, rows, how, *more))
+    rows = corpus(4)
+    assert run(spark, rows) == brute(rows)
+    assert ran.count(neardup._mark) == ran.count(neardup._exhaust) == 1
+
+
+def test_the_map_of_wanted_ids_holds_all_in_a_few_bytes_each(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    ids = [None, 0, -1, *map(int, rng.integers(-1 << 63, 1 << 63, 20_000))]
+    there = pa.array(ids, pa.int64())
+    other = pa.array(rng.integers(-1 << 63, 1 << 63, 20_000), pa.int64())
+
+    def held(words, x):
+        at = neardup._id_bits(x, 64 * len(words))
+        return words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1) == 1
+    df = spark.createDataFrame([(i,) for i in ids], "rep long").repartition(3)
+    words = neardup.id_map(df, len(ids))
+    assert held(words, there).all() and held(words, other).mean() < 0.1 and words.nbytes <= 4 * len(ids)
+    monkeypatch.setattr(neardup, "MOST_BITS", 1 << 16)  # however many are wanted
+    words = neardup.id_map(df, len(ids))
+    assert held(words, there).all() and words.nbytes == 1 << 13
+
+
 def test_pairs_at_the_threshold_meet_at_any_depth():
     rng = np.random.default_rng(4)
     n = 1500
