@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from skein.llm import decontam, langid, neardup, secrets, spbpe
 from skein.llm.common import as_bytes, prepare, table
 from skein.llm.queries import model_path
-from skein.session import delete_path, scratch_path, scratch_scope
+from skein.session import delete_path, release, scratch_path, scratch_scope
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -34,12 +34,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Extra columns leave. Only texts of repeated rows are shuffled."""
     docs = docs.select(*COLUMNS)
     text_key = F.xxhash64(as_bytes("text"))
-    found = neardup.near_duplicates(docs, text_key=text_key).where("kept")
+    root = scratch_path(spark, "near-dedup")
+    # landed: it is read more than once, and what the search left is let go of
+    found = neardup.near_duplicates(docs, text_key=text_key).where("kept").select("doc_id", "text_key", "group_key")
+    found.write.parquet(f"{root}/found")
+    found = spark.read.schema(found.schema).parquet(f"{root}/found")
+    release(spark)
     # the kept rows of a group all have its smallest id
     first = found.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min("doc_id").alias("stay_id"), F.min("text_key").alias("stay_key"))
     keep = first.select("stay_id", "stay_key").union(found.where("group_key IS NULL").select("doc_id", "text_key"))
     # landed: its size is known when the texts meet it
-    root = scratch_path(spark, "near-dedup")
     counts = docs.groupBy(F.col("doc_id").cast("long").alias("id"), text_key.alias("key")).agg((F.count("*") > 1).alias("repeated")).where("repeated")
     keep.distinct().write.parquet(f"{root}/keep")
     counts.select("id", "key").write.parquet(f"{root}/repeated")
