@@ -17,13 +17,16 @@ possible and the reach is a squared distance; a query's lists are those whose
 distance is within a ratio of the nearest list's. The ratio is not fixed: TRIED
 queries are answered by brute force first, and the smallest ratio is taken whose
 lists hold TARGET of their true neighbours. There is no cap on lists, and a
-query always gets lists with enough vectors to fill its answer.
+query always gets lists with enough vectors to fill its answer. Where a search of
+the graph would follow a good part of the points, all are scored at once instead.
 
 Equal vectors are one entry holding its smallest ids, as many as a result can
 use, so a vector that a third of all rows repeat costs one entry. Lists are cut
 into parts of at most about PART entries, which are dealt into buckets of about
 BUCKET. A task scans the parts of one bucket for one block of the queries that
-ask for them, and hands on each query's best of all its lists there.
+ask for them: a query comes once, with the numbers of its parts there, and is
+held against a part only for what beats its best so far. One row of a query's
+best in the bucket goes on.
 """
 
 from __future__ import annotations
@@ -33,10 +36,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.session import scratch_path
+from skein.session import delete_path, release, scratch_path
 
 from .common import prepare, shuffle_partitions
 
@@ -52,8 +56,10 @@ SPREAD = 3.0               # standard deviations by which a list's best member i
 DEGREE, BEAM = 24, 32      # of the graph and, at least, its search
 AT_ONCE = 4                # points that a search follows in one step
 PART = 4096                # entries of a list that stay together
-BUCKET = 32_768            # entries in a task, about
-QUERIES_AT_ONCE = 65_536   # pairs of a query and a list part in a task, about
+DIRECT = 256               # a search of a beam of n scores up to n times as many points at once
+BUCKET = 131_072           # entries in a task, about
+QUERIES_AT_ONCE = 1 << 24  # 4-byte words of queries and the numbers of their list parts in a task, about
+SCANNED = 1024             # queries scanned together
 ROWS = 2048                # rows of the sample compared at once
 
 
@@ -96,8 +102,10 @@ def _owners(x: np.ndarray, c: np.ndarray, weight: np.ndarray) -> tuple[np.ndarra
         s = x[lo:lo + ROWS] @ c.T - weight
         own[lo:lo + ROWS] = s.argmax(1)
         if len(c) > 1:
-            two = np.partition(s, -2, axis=1)[:, -2:]
-            lead[lo:lo + ROWS] = two[:, 1] - two[:, 0]
+            r = np.arange(len(s))
+            best = s[r, own[lo:lo + ROWS]]
+            s[r, own[lo:lo + ROWS]] = -np.inf
+            lead[lo:lo + ROWS] = best - s.max(1)
     return own, float(np.median(lead)) if len(x) else 0.0
 
 
@@ -110,6 +118,8 @@ class PointGraph:
         k = len(points)
         square = (points * points).sum(1)
         self.p = np.concatenate([points, np.sqrt(np.maximum(square.max(initial=0) - square, 0))[:, None]], 1)
+        if k <= DIRECT * BEAM:  # all points are scored at once
+            return
         m = min(DEGREE, k - 1)
         self.near = np.empty((k, m), np.int64)
         for lo in range(0, k, 512):
@@ -128,8 +138,10 @@ class PointGraph:
         """(point numbers, products), the largest first, ``want`` each; -1 and
         -inf where fewer were reached."""
         n, k = len(q), len(self.p)
-        q = np.concatenate([q, np.zeros((n, 1))], 1)
         beam = min(k, max(BEAM, want + want // 2))
+        if k <= DIRECT * max(beam, BEAM):
+            return self._direct(q, min(want, beam))
+        q = np.concatenate([q, np.zeros((n, 1))], 1)
         known = np.zeros((n, k), bool)
         known[:, self.entry] = True
         ids, score, done = np.full((n, beam), -1), np.full((n, beam), -np.inf), np.ones((n, beam), bool)
@@ -164,6 +176,16 @@ class PointGraph:
         ids[~np.isfinite(score)] = -1
         return ids, score
 
+    def _direct(self, q: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray]:
+        ids, score = np.empty((len(q), want), np.int64), np.empty((len(q), want))
+        for lo in range(0, len(q), 256):
+            s = q[lo:lo + 256] @ self.p[:, :-1].T
+            top = np.argpartition(-s, want - 1, 1)[:, :want] if want < s.shape[1] else np.broadcast_to(np.arange(want), s.shape)
+            part = np.take_along_axis(s, top, 1)
+            order = np.argsort(-part, 1, kind="stable")
+            ids[lo:lo + 256], score[lo:lo + 256] = np.take_along_axis(top, order, 1), np.take_along_axis(part, order, 1)
+        return ids, score
+
 
 class Cells:
     """The lists of all bands: where a vector is posted."""
@@ -185,10 +207,10 @@ class Cells:
             got = np.where(got < 0, got[:, :1], got) + self.first[band]
             far = 2 - 2 * np.matmul(self.c[got], x[:, :, None])[:, :, 0]  # squared distance of unit vectors
             ok = np.isfinite(s) & (far <= BORDER ** 2 * far[:, :1] + 1e-12)
+            apart = 2 - 2 * np.matmul(self.c[got], self.c[got].transpose(0, 2, 1))
             for j in range(1, got.shape[1]):
-                ok[:, j] &= ok[:, :j].sum(1) < COPIES
-                for o in range(j):  # a chosen centroid close by stands for this one
-                    ok[:, j] &= ~(ok[:, o] & (((self.c[got[:, j]] - self.c[got[:, o]]) ** 2).sum(1) < APART * far[:, j]))
+                # a chosen centroid close by stands for this one
+                ok[:, j] &= (ok[:, :j].sum(1) < COPIES) & ~(ok[:, :j] & (apart[:, j, :j] < APART * far[:, j:j + 1])).any(1)
             ok[:, 0] = True
             i, j = np.nonzero(ok)
             rows.append(at[i])
@@ -224,6 +246,18 @@ class Reach:
         q = np.concatenate([unit, np.ones((len(unit), 1))], 1)
         todo, want = np.arange(len(q)), self.usual
         rows, cells = [], []
+        if len(self.cells) <= DIRECT * BEAM:
+            short = []
+            for lo in range(0, len(q), 256):
+                far = self.far(q[lo:lo + 256] @ self.points.T)
+                keep = far <= self.ratio * far.min(1)[:, None] + 1e-12
+                few = keep @ self.size[self.cells] < least
+                short.append(lo + np.flatnonzero(few))
+                keep[few] = False
+                i, j = np.nonzero(keep)
+                rows.append(lo + i)
+                cells.append(self.cells[j])
+            todo = np.concatenate(short) if short else todo
         while len(todo):
             got, s = self.graph.search(q[todo], want)
             far = self.far(np.where(np.isfinite(s), s, -np.inf))
@@ -259,6 +293,13 @@ def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Vectors as packed doubles; the unusable ones leave. Zeros at the end
     change no score and are cut."""
     for b in batches:
+        column = b.column(1)
+        dims = np.unique(pc.list_value_length(column).to_numpy(zero_copy_only=False)) if not column.null_count and b.num_rows else ()
+        if len(dims) == 1 and dims[0] > 0 and not b.column(0).null_count and not column.flatten().null_count:
+            x = column.flatten().to_numpy().astype(np.float64).reshape(b.num_rows, -1) + 0.0
+            if np.isfinite(x).all() and (x[:, -1] != 0).all():
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([v.tobytes() for v in x], pa.binary())], ["vec_id", "v"])
+                continue
         ids, vs = [], []
         for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             if i is None or not v or None in v:
@@ -294,31 +335,103 @@ def _place(key: np.ndarray) -> np.ndarray:
     return np.arange(len(key)) - np.flatnonzero(new)[np.cumsum(new) - 1]
 
 
-def _units(q: pa.Table, p: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each list part of a bucket: (rows of q that ask for it, rows of p in it)."""
-    def grouped(t: pa.Table):
-        key = t.column("cell").to_numpy() * (1 << 20) + t.column("part").to_numpy()
-        order = np.argsort(key, kind="stable")
-        names, first = np.unique(key[order], return_index=True)
-        return dict(zip(names.tolist(), np.split(order, first[1:])))
-    asks, holds = grouped(q), grouped(p)
-    for name in asks.keys() & holds.keys():
-        yield asks[name], holds[name]
-
-
-def _best(y: np.ndarray, x: np.ndarray, low: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, entry, score): the k best entries of each query, ties by ``low``."""
-    out = []
-    for a in range(0, len(y), 256):
-        part = y[a:a + 256]
-        s = part @ x.T
-        i, j = top_of(s, k, 1e-9 * (np.abs(s).max(1, initial=0) + 1e-300))
-        exact = (x[j] * part[i]).sum(1)
-        order = np.lexsort((low[j], -exact, i))
-        i, j, exact = i[order], j[order], exact[order]
-        ok = _place(i) < k
-        out.append((a + i[ok], j[ok], exact[ok]))
-    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.empty(0, int),) * 3
+def _flat(column: pa.ChunkedArray, kind, width: int | None = None) -> np.ndarray:
+    """The values of packed cells, one row each if all have ``width`` values."""
+    column = column.combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.binary())
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+    out = np.frombuffer(column.buffers()[2], np.uint8)[at[0]:at[-1]].view(kind) if at[-1] > at[0] else np.empty(0, kind)
+    return out if width is None else out.reshape(-1, width)
+
+
+def _cells(rows: np.ndarray, n: int, *values: np.ndarray) -> list[pa.Array]:
+    """Values of n rows, sorted by row, as one packed cell a row."""
+    at = np.searchsorted(rows, np.arange(n + 1))
+    return [pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((at * v.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(v))]) for v in values]
+
+
+def _best(y: np.ndarray, asks: list[np.ndarray], x: np.ndarray, holds: list[np.ndarray], low: np.ndarray, name: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row of x, score), sorted: the k best of each query among the rows
+    of the list parts it asks for, an entry (``name``) once; ties by ``low``."""
+    held = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+    bar, new, size = np.full(len(y), -np.inf), [], 0
+    with np.errstate(over="ignore"):  # by how much a product may be off
+        off = 1e-9 * (lengths(y) * lengths(x).max(initial=0) + 1e-300)
+
+    def settle():
+        nonlocal held, new, size
+        i, j, s = (np.concatenate(c) for c in zip(held, *new))
+        order = np.lexsort((name[j], low[j], -s, i))
+        i, j, s = i[order], j[order], s[order]
+        once = np.ones(len(i), bool)
+        # equal scores and lows stand together, and so do the copies of an entry
+        once[1:] = (i[1:] != i[:-1]) | (name[j[1:]] != name[j[:-1]])
+        i, j, s = i[once], j[once], s[once]
+        place = _place(i)
+        ok = place < k
+        full = place == k - 1
+        bar[i[full]] = s[full]
+        held, new, size = (i[ok], j[ok], s[ok]), [], 0
+
+    for a, h in zip(asks, holds):
+        if not len(a):
+            continue
+        part = x[h]
+        s = y[a] @ part.T
+        room = off[a]
+        over = s >= (bar[a] - room)[:, None]
+        many = np.flatnonzero(over.sum(1) > 2 * k)
+        if len(many):  # no more than the k best of the part
+            least = np.partition(s[many], -k, axis=1)[:, -k] - room[many]
+            over[many] &= s[many] >= least[:, None]
+        i, j = np.nonzero(over)
+        new.append((a[i], h[j], (part[j] * y[a[i]]).sum(1)))
+        size += len(i)
+        if size > max(len(held[0]), 2 * k * len(y)):
+            settle()
+    settle()
+    return held
+
+
+def _merge(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The k best neighbours of each query from its best of each bucket; rows come sorted by query."""
+    def ranked(t: pa.Table) -> pa.RecordBatch:
+        score, entry, many, ids = (_flat(t.column(c), kind) for c, kind in (("scores", np.float64), ("entries", np.int64), ("counts", np.int32), ("ids", np.int64)))
+        sizes = np.array([len(c) // 8 for c in t.column("scores").to_pylist()], np.int64)
+        query, first = np.repeat(t.column("query_id").to_numpy(), sizes), np.cumsum(many) - many
+        order = np.lexsort((-score, entry, query))
+        q, e = query[order], entry[order]
+        once = np.ones(len(order), bool)  # an entry found in several buckets counts once
+        once[1:] = (q[1:] != q[:-1]) | (e[1:] != e[:-1])
+        at = order[once]
+        n = many[at].astype(np.int64)
+        rows = np.repeat(at, n)
+        vec = ids[np.repeat(first[at], n) + np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)] if len(rows) else np.empty(0, np.int64)
+        q, s = query[rows], score[rows]
+        other = vec != q
+        q, s, vec = q[other], s[other], vec[other]
+        order = np.lexsort((vec, -s, q))
+        q, s, vec = q[order], s[order], vec[order]
+        rank = _place(q) + 1
+        ok = rank <= k
+        return pa.RecordBatch.from_arrays([pa.array(q[ok], pa.int64()), pa.array(rank[ok], pa.int32()), pa.array(vec[ok], pa.int64()), pa.array(s[ok], pa.float64())],
+                                          ["query_id", "rank", "vec_id", "score"])
+
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        if sum(x.num_rows for x in held) >= 8 * ROWS:
+            t = pa.Table.from_batches(held).combine_chunks()
+            q = t.column("query_id").to_numpy()
+            cut = int(np.searchsorted(q, q[-1]))  # the last query may go on in the next batch
+            if cut:
+                yield ranked(t.slice(0, cut))
+            held = pa.concat_tables([t.slice(cut)]).combine_chunks().to_batches()
+    if held:
+        yield ranked(pa.Table.from_batches(held).combine_chunks())
 
 
 def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -347,6 +460,7 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
     if not dim:
         return empty
     rows = stored(rows.mapInArrow(_padded(dim), "vec_id long, v binary, norm double"), "padded")
+    delete_path(spark, f"{root}/rows")
     # equal vectors are one entry; k + 1 ids are all a result can use of it
     first = Window.partitionBy("v").orderBy("vec_id")
     entries = (rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1)
@@ -366,13 +480,19 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
                 continue
             unit = units(_grid(b.column(1), dim))
             r, c = g.post(unit, b.column(4).to_numpy())
+            order = np.argsort(r, kind="stable")
+            r, c = r[order], c[order]
+            at = pa.array(np.searchsorted(r, np.arange(b.num_rows + 1)), pa.int32())
             cos = (g.c[c] * unit[r]).sum(1)
-            kept = b.take(pa.array(r))
-            yield pa.RecordBatch.from_arrays([pa.array(c), kept.column(0), kept.column(1), kept.column(2), kept.column(3), pa.array(cos)],
-                                             ["cell", "entry", "v", "ids", "norm", "cos"])
-
-    postings = stored(entries.select("entry", "v", "ids", "norm", "band")
-                      .mapInArrow(post, "cell long, entry long, v binary, ids array<long>, norm double, cos double"), "postings")
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.ListArray.from_arrays(at, pa.array(c)), pa.ListArray.from_arrays(at, pa.array(cos))],
+                                             ["entry", "v", "ids", "norm", "cells", "cos"])
+
+    # one row an entry, with its lists
+    entries = stored(entries.select("entry", "v", "ids", "norm", "band")
+                     .mapInArrow(post, "entry long, v binary, ids array<long>, norm double, cells array<long>, cos array<double>"), "posted")
+    delete_path(spark, f"{root}/entries")
+    release(spark)
+    postings = entries.select("entry", "v", "ids", "norm", F.explode(F.arrays_zip("cells", "cos")).alias("p")).select("p.cells", "entry", "v", "ids", "norm", "p.cos").withColumnRenamed("cells", "cell")
     lists = postings.groupBy("cell").agg(F.count("*").alias("n"), F.max("norm").alias("longest"), F.avg("cos").alias("cos")).collect()  # MAX_LISTS rows
     c = cells.value.c
     size, far_out, mean_cos = np.zeros(len(c), np.int64), np.zeros(len(c)), np.zeros(len(c))
@@ -387,57 +507,81 @@ def nearest(vectors: DataFrame, k: int = 20, query_mod: int = 20, id_col: str =
             if not b.num_rows:
                 continue
             r, cell = reach.value.aim(units(_grid(b.column(1), dim)), COPIES * (k + 1))
-            yield pa.RecordBatch.from_arrays([pa.array(cell), *(col.take(pa.array(r)) for col in b.columns)], ["cell", "query_id", "v"])
-
-    asked = rows.where(F.pmod("vec_id", F.lit(query_mod)) == 0).select("vec_id", "v").mapInArrow(aim, "cell long, query_id long, v binary")
+            asks = np.zeros((b.num_rows, len(size)), bool)
+            asks[r, cell] = True
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x.tobytes() for x in np.packbits(asks, axis=1)], pa.binary()), pa.array(asks @ n_parts_of, pa.int64())],
+                                             ["query_id", "v", "cells", "pairs"])
+
+    # the parts of the lists are numbered; a part's bucket follows from its number
+    n_parts_of = -(-size // PART)
+    first_part = np.cumsum(n_parts_of) - n_parts_of
+    asked = rows.where(F.pmod("vec_id", F.lit(query_mod)) == 0).select("vec_id", "v").mapInArrow(aim, "query_id long, v binary, cells binary, pairs long")
     asked = stored(asked, "asked")
+    delete_path(spark, f"{root}/padded")
+    release(spark)
 
     # a task holds one bucket of list parts and one block of the queries that ask for them
     buckets = max(n_parts, math.ceil(int(size.sum()) / BUCKET))
-    blocks = max(1, math.ceil(asked.count() / buckets / QUERIES_AT_ONCE))
-    parts = postings.groupBy("cell").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    parts = stored(parts, "parts")
-    bucket = F.pmod(F.xxhash64("cell", "part"), F.lit(buckets)).cast("int").alias("bucket")
-
-    def every(n) -> Column:
-        return F.explode(F.sequence(F.lit(0), n - 1))
-
-    own_part = F.pmod(F.xxhash64("entry"), F.col("parts")).cast("int")
-    there = (postings.join(parts, "cell").select("cell", own_part.alias("part"), "entry", "v", "ids")
-             .select(bucket, every(F.lit(blocks)).alias("block"), "cell", "part", "entry", "v", "ids"))
-    here = (asked.join(parts, "cell").select("cell", every(F.col("parts")).alias("part"), "query_id", "v")
-            .select(bucket, F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "cell", "part", "query_id", F.col("v").alias("q")))
+    told = asked.agg(F.count("*").alias("n"), F.sum("pairs").alias("pairs")).first()
+    blocks = max(1, math.ceil((2 * dim * told["n"] + (told["pairs"] or 0) / buckets) / QUERIES_AT_ONCE))
+    parts = spark.createDataFrame(pa.table({"cell": pa.array(np.flatnonzero(size)), "parts": pa.array(n_parts_of[size > 0], pa.int32()), "first_part": pa.array(first_part[size > 0])}))
+    own_part = F.col("first_part") + F.pmod(F.xxhash64("entry"), F.col("parts"))
+    there = (postings.join(F.broadcast(parts), "cell").select(own_part.alias("part"), "entry", "v", "ids")
+             .select(F.pmod("part", F.lit(buckets)).cast("int").alias("bucket"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "part", "entry", "v", "ids"))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 128):
+                b = whole.slice(lo, 128)
+                cells = np.unpackbits(np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint8).reshape(b.num_rows, -1), axis=1, count=len(size))
+                r, cell = np.nonzero(cells)
+                n = n_parts_of[cell]
+                r, part = np.repeat(r, n), np.repeat(first_part[cell] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                group = r * buckets + part % buckets
+                order = np.argsort(group, kind="stable")
+                group, part = group[order], part[order].astype(np.int32)
+                named, at = np.unique(group, return_inverse=True)
+                of = pa.array(named // buckets)
+                yield pa.RecordBatch.from_arrays([pa.array(named % buckets, pa.int32()), b.column(0).take(of), b.column(1).take(of), *_cells(at, len(named), part)],
+                                                 ["bucket", "query_id", "q", "parts"])
+
+    here = (asked.select("query_id", "v", "cells").mapInArrow(spread, "bucket int, query_id long, q binary, parts binary")
+            .withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")))
 
     def scan(q: pa.Table, p: pa.Table) -> pa.Table:
+        names = ["query_id", "scores", "entries", "counts", "ids"]
         if not q.num_rows or not p.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "entry": pa.array([], pa.int64()),
-                             "ids": pa.array([], pa.list_(pa.int64())), "score": pa.array([], pa.float64())})
-        y, x = _grid(q.column("q"), dim), _grid(p.column("v"), dim)
-        ids = p.column("ids").combine_chunks()
-        low = ids.values.to_numpy()[ids.offsets.to_numpy()[:-1]]
+            return pa.table([pa.array([], pa.int64()), *(pa.array([], pa.binary()) for _ in names[1:])], names=names)
+        y, x = _flat(q.column("q"), np.float64, dim), _flat(p.column("v"), np.float64, dim)
+        entry, ids = p.column("entry").to_numpy(), p.column("ids").combine_chunks()
+        ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
+        offsets, ids = ids.offsets.to_numpy(), ids.values.to_numpy()
+        low = ids[offsets[:-1]]
+        part = p.column("part").to_numpy()
+        order = np.argsort(part, kind="stable")
+        there_, at = np.unique(part[order], return_index=True)
+        holds = np.split(order, at[1:])
+        packed = q.column("parts").to_pylist()
         found = []
-        for asks, holds in _units(q, p):
+        for lo in range(0, len(y), SCANNED):
+            some = [np.frombuffer(c, np.int32) for c in packed[lo:lo + SCANNED]]
+            asks = np.zeros((len(some), len(there_)), bool)
+            want, row = np.concatenate(some), np.repeat(np.arange(len(some)), [len(c) for c in some])
+            col = np.minimum(np.searchsorted(there_, want), len(there_) - 1)
+            here_ = there_[col] == want
+            asks[row[here_], col[here_]] = True
             # one more than needed: the query's own entry may be among them
-            i, j, s = _best(y[asks], x[holds], low[holds], k + 1)
-            found.append((asks[i], holds[j], s))
-        i, j, s = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, int),) * 3
-        query, entry = q.column("query_id").to_numpy()[i], p.column("entry").to_numpy()[j]
-        order = np.lexsort((entry, low[j], -s, query))
-        query, entry, j, s = query[order], entry[order], j[order], s[order]
-        new = np.ones(len(s), bool)  # an entry may stand in several lists of the bucket
-        new[1:] = (query[1:] != query[:-1]) | (entry[1:] != entry[:-1])
-        query, j, s = query[new], j[new], s[new]
-        ok = _place(query) < k + 1
-        return pa.table({"query_id": pa.array(query[ok]), "entry": p.column("entry").take(pa.array(j[ok])),
-                         "ids": ids.take(pa.array(j[ok])), "score": pa.array(s[ok], pa.float64())})
+            i, j, s = _best(y[lo:lo + SCANNED], [np.flatnonzero(c) for c in asks.T], x, holds, low, entry, k + 1)
+            found.append((lo + i, j, s))
+        i, j, s = (np.concatenate(c) for c in zip(*found))
+        n = (offsets[1:] - offsets[:-1])[j].astype(np.int64)
+        flat = np.repeat(offsets[j] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return pa.table([q.column("query_id").combine_chunks(), *_cells(i, len(y), s, entry[j], n.astype(np.int32)), *_cells(np.repeat(i, n), len(y), ids[flat])], names=names)
 
     found = (here.groupBy("bucket", "block").cogroup(there.groupBy("bucket", "block"))
-             .applyInArrow(scan, "query_id long, entry long, ids array<long>, score double"))
-    # an entry found in several lists counts once
-    each = (found.dropDuplicates(["query_id", "entry"]).select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id"))
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return (each.repartition(n_parts, "query_id").withColumn("rank", place).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+             .applyInArrow(scan, "query_id long, scores binary, entries binary, counts binary, ids binary"))
+    return (found.repartition(n_parts, "query_id").sortWithinPartitions("query_id")
+            .mapInArrow(lambda batches: _merge(batches, k), "query_id long, rank int, vec_id long, score double"))
 
 
 def _fit(entries: DataFrame, counts: dict[int, int], dim: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:

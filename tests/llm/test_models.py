@@ -302,6 +302,41 @@ def test_ann_recall_with_many_lists_and_unequal_lengths(spark, monkeypatch, sigm
     assert size[:len(size) // 5].sum() < 0.5 * size.sum()  # the lists are balanced
 
 
+def test_ann_sends_a_query_once_however_many_lists_it_asks(spark, monkeypatch, tmp_dir):
+    monkeypatch.setattr(ann, "LIST_SIZE", 4)
+    monkeypatch.setattr(ann, "scratch_path", lambda spark, name: f"{tmp_dir}/{name}")
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(rng.normal(size=(400, 8)))]
+    got, want = run_ann(spark, rows), ann.nearest_exact(rows)
+    assert np.mean([len({i for i, _ in want[q]} & {i for _, i, _ in got[q]}) / 20 for q in want]) >= 0.95
+    # each asks several of the lists
+    assert spark.read.parquet(f"{tmp_dir}/ann/asked").count() == len(want)
+
+
+def test_ann_scan_keeps_the_best_and_counts_an_entry_once():
+    rng = np.random.default_rng(10)
+    v = rng.integers(-3, 4, (300, 5)).astype(float)  # many equal scores
+    at = np.concatenate([rng.permutation(300), rng.permutation(300)[:150]])  # half stand in two lists
+    low = rng.permutation(300)[at]
+    holds = np.array_split(rng.permutation(len(at)), 12)
+    y = rng.integers(-3, 4, (40, 5)).astype(float)
+    asks = rng.random((12, 40)) < 0.6
+    i, j, s = ann._best(y, [np.flatnonzero(a) for a in asks], v[at], holds, low, at, 7)
+    for q in range(40):
+        there = {(-float(y[q] @ v[at[x]]), int(low[x]), int(at[x])) for a, h in zip(asks, holds) if a[q] for x in h}
+        assert [(-a, int(low[b]), int(at[b])) for a, b in zip(s[i == q], j[i == q])] == sorted(there)[:7]
+
+
+def test_few_points_are_searched_exactly(monkeypatch):
+    rng = np.random.default_rng(11)
+    points, q = rng.normal(size=(700, 9)), rng.normal(size=(300, 9))
+    ids, score = ann.PointGraph(points).search(q, 8)
+    assert (ids == np.argsort(-(q @ points.T), 1)[:, :8]).all() and np.allclose(score, -np.sort(-(q @ points.T), 1)[:, :8])
+    monkeypatch.setattr(ann, "DIRECT", 0)  # and over the graph, nearly
+    walked = ann.PointGraph(points).search(q, 8)[0]
+    assert np.mean([len({*a} & {*b}) / 8 for a, b in zip(ids, walked)]) > 0.9
+
+
 def test_ann_fills_every_answer(spark, monkeypatch):
     """A query whose lists hold too few vectors gets more lists."""
     monkeypatch.setattr(ann, "LIST_SIZE", 4)
